@@ -12,6 +12,8 @@ WHITESPACE = (
     "    　"
 )
 _SPACE_RUN = f"[{WHITESPACE}]+"
+# Runs that are not a single blank already; clean text has no match and is left alone.
+_UNTIDY_RUN = f"(?: [{WHITESPACE}]|[{WHITESPACE}&&[^ ]])[{WHITESPACE}]*"
 
 # Size units, each 1024 times the one before.
 SIZE_UNITS = ("bytes", "kb", "mb", "gb", "tb", "pb", "eb", "zb")
@@ -29,7 +31,7 @@ def fields(c: Column) -> Column:
 
 def squeeze(c: Column) -> Column:
     """Collapse every run of white space to one blank."""
-    return F.regexp_replace(strip(c), _SPACE_RUN, " ")
+    return F.regexp_replace(strip(c), _UNTIDY_RUN, " ")
 
 
 def tail(parts: Column, start: int) -> Column:
