@@ -174,6 +174,17 @@ def mapped_length(cidr: Column) -> Column:
     return F.when(~cidr.contains(":"), prefix_length(cidr) + 96).otherwise(prefix_length(cidr))
 
 
+def written_length(cidr: Column) -> Column:
+    """``mapped_length`` for text with at most one slash, else null."""
+    return F.when(F.size(F.split(cidr, "/")) <= 2, mapped_length(cidr))
+
+
+def is_network(b: Column, length: Column) -> Column:
+    """True for a legal prefix without host bits."""
+    lo = network(b, length)
+    return b.isNotNull() & length.isNotNull() & (lo["hi"] == b["hi"]) & (lo["lo"] == b["lo"])
+
+
 def network_range(b: Column, length: Column, strict: bool = True) -> Column:
     """struct(lo, hi, len) of the prefix; null when illegal or, if ``strict``, host bits are set."""
     lo = network(b, length)
@@ -188,7 +199,7 @@ def with_network(df: DataFrame, cidr: str, out: str, strict: bool = True) -> Dat
     staged = (
         df.withColumn("_addr", cidr_address(F.col(cidr)))
         .withColumn("_bits", bits(F.col("_addr")))
-        .withColumn("_len", F.when(F.size(F.split(cidr, "/")) <= 2, mapped_length(F.col(cidr))))
+        .withColumn("_len", written_length(F.col(cidr)))
     )
     return staged.withColumn(out, network_range(F.col("_bits"), F.col("_len"), strict)).drop("_addr", "_bits", "_len")
 

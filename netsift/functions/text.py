@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters that count as white space in scan logs.
-WHITESPACE = (
-    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0 "
-    "           "
-    "    　"
-)
-_SPACE_RUN = f"[{WHITESPACE}]+"
+# The characters that count as white space in scan logs (one-byte code points).
+WHITESPACE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
 # Runs that are not a single blank already; clean text has no match and is left alone.
-_UNTIDY_RUN = f"(?: [{WHITESPACE}]|[{WHITESPACE}&&[^ ]])[{WHITESPACE}]*"
+_UNTIDY_RUN = f"(?: [{WHITESPACE}]|[{WHITESPACE[1:]}])[{WHITESPACE}]*"
 
 # Size units, each 1024 times the one before.
 SIZE_UNITS = ("bytes", "kb", "mb", "gb", "tb", "pb", "eb", "zb")
@@ -24,19 +21,17 @@ def strip(c: Column) -> Column:
     return F.trim(c, F.lit(WHITESPACE))
 
 
-def fields(c: Column) -> Column:
-    """Split on runs of white space; leading and trailing runs do not count."""
-    return F.split(strip(c), _SPACE_RUN)
-
-
 def squeeze(c: Column) -> Column:
     """Collapse every run of white space to one blank."""
     return F.regexp_replace(strip(c), _UNTIDY_RUN, " ")
 
 
-def tail(parts: Column, start: int) -> Column:
-    """Join the fields from position ``start`` (0-based) with one blank."""
-    return F.array_join(F.slice(parts, F.lit(start + 1), F.greatest(F.size(parts) - start, F.lit(0))), " ")
+def fields(c: Column, limit: int = -1) -> Column:
+    """Split on runs of white space; with ``limit`` the last field is the rest, joined by single blanks.
+
+    Splitting tidied text on one literal blank spares a regex compiled per row.
+    """
+    return F.split(squeeze(c), " ", limit)
 
 
 def drop_dots(c: Column) -> Column:
@@ -77,9 +72,14 @@ def to_integer(c: Column) -> Column:
     return c.try_cast("double").try_cast("bigint")
 
 
-def terms(c: Column) -> Column:
-    """Lower-case words of a text, for full-text matching."""
-    return F.split(F.lower(c), r"[^\p{L}\p{N}]+")
+def has_word(text: Column, word: str) -> Column:
+    """True when lower-case ``text`` has ``word`` as a whole word.
+
+    The plain search rules out most texts before the regex looks at word ends.
+    """
+    escaped = re.sub(r"([^\w])", r"\\\1", word.lower())
+    edge = r"[\p{L}\p{N}]"
+    return text.contains(word.lower()) & text.rlike(f"(?<!{edge}){escaped}(?!{edge})")
 
 
 def human_size(n: Column) -> Column:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from netsift.functions import ip, times
-from netsift.functions.text import terms
+from netsift.functions.text import has_word
 
 # Longer values are not found by exact match.
 EXACT_LIMIT = 256
@@ -20,9 +22,8 @@ def exact(c: Column, value: str) -> Column:
 
 def has_terms(c: Column, words: Sequence[str], every: bool = False) -> Column:
     """Full-text match on any of the words, or on all of them."""
-    wanted = F.array(*[F.lit(w.lower()) for w in words])
-    found = terms(c)
-    return F.size(F.array_except(wanted, found)) == 0 if every else F.arrays_overlap(wanted, found)
+    found = [has_word(F.lower(c), w) for w in words]
+    return reduce(and_ if every else or_, found)
 
 
 def in_range(bits: Column, first: str, last: str) -> Column:

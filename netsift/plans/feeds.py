@@ -19,9 +19,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores when a small table arrives in fewer pieces than there are cores.
+
+    A table with enough pieces is left as it is, so large inputs are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def as_lines(df: DataFrame, order: str, *values: Column, file: Column | None = None) -> DataFrame:
     """Lines in the order of ``order``; each row gives its non-null values in turn."""
-    lines = df.select(
+    lines = spread(df).select(
         (file if file is not None else F.lit("/feed/all.txt")).alias("_file"),
         F.expr(f"{order} div {SPLIT_ROWS}").cast("bigint").alias("_block"),
         F.col(order).cast("bigint").alias("_at"),
@@ -221,7 +230,7 @@ def transfer_documents(spark: SparkSession, folder: str) -> DataFrame:
         kind.alias("type"),
         F.struct(F.concat(F.lit("org "), F.col("o_custkey").cast("string")).alias("name")).alias("source_organization"),
     )
-    return o.select(
+    return spread(o).select(
         F.to_json(F.struct(F.array(transfer).alias("transfers"))).alias("value"),
         F.concat(F.lit("/feed/"), F.col("o_orderkey").cast("string"), F.lit(".json")).alias("_file"),
     )
@@ -293,7 +302,7 @@ def registry_object_rows(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("\n   of "), F.col("c_mktsegment"), F.lit("\nDescr:second\norigin:   AS"), F.col("c_nationkey").cast("string"),
         F.lit("\n"),
     )
-    return c.select(text.alias("value"), F.lit("/feed/all.db").alias("_file"))
+    return spread(c).select(text.alias("value"), F.lit("/feed/all.db").alias("_file"))
 
 
 def networks(spark: SparkSession, folder: str) -> DataFrame:

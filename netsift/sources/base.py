@@ -66,19 +66,28 @@ def first_error(*checks: tuple[Column, str]) -> Column:
     return chain
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once per row.
+
+    Filters are normally rewritten to the inputs of the columns they test, which
+    repeats costly expressions for every test. They do not pass an explode, here of
+    an array with one struct.
+    """
+    packed = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("_once")
+    return df.select("*", packed).select(*[F.col(f"`{c}`") for c in df.columns], *[f"_once.`{n}`" for n in columns])
+
+
 def parse_json(lines: DataFrame, schema: T.StructType | str, out: str = "_json") -> DataFrame:
     """Parse one JSON object per line into struct ``out``; null when malformed.
 
     The line is nested in an outer object with a closing field, so that text after
-    the object, which the parser would ignore, counts as malformed. The explode of a
-    one-element array holds later filters above the parser, which they would
-    otherwise be rewritten to call once per field they test.
+    the object, which the parser would ignore, counts as malformed.
     """
     inner = schema if isinstance(schema, str) else f"struct<{','.join(f'`{f.name}`:{f.dataType.simpleString()}' for f in schema)}>"
     wrapped = F.concat(F.lit('{"r":'), F.col("value"), F.lit(',"ok":true}'))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "allowSingleQuotes": "false"}
     outer = F.from_json(wrapped, f"r {inner}, ok boolean, _corrupt string", options)
-    staged = lines.select("*", F.explode(F.array(outer)).alias("_outer"))
+    staged = once(lines, _outer=outer)
     good = F.col("_outer.ok") & F.col("_outer._corrupt").isNull()
     return staged.withColumn(out, F.when(good, F.col("_outer.r"))).drop("_outer")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from netsift.functions import ip, times
 from netsift.functions.text import blank_to_null, stem, strip
-from netsift.sources.base import REPLACE, Source, first_error, good_rows, line_reader, register_source, typed
+from netsift.sources.base import REPLACE, Source, first_error, good_rows, line_reader, once, register_source, typed
 from netsift.sources.lines import POSITION, file_name, mark_first
 from netsift.sources.schemas import BLOCKLIST, BLOCKLIST_HISTORY
 
@@ -29,8 +29,9 @@ def parse(lines: DataFrame, **_) -> DataFrame:
         stem(file_name(marked)).alias("ipset"),
         blank_to_null(F.col("_category.value")).alias("category"),
     )
-    checked = ip.with_network(entries, "ip", "net")
-    return checked.withColumn("_error", first_error((F.col("net").isNotNull(), "bad network")))
+    staged = once(entries, _bits=ip.bits(ip.cidr_address(F.col("ip"))), _len=ip.written_length(F.col("ip")))
+    legal = ip.is_network(F.col("_bits"), F.col("_len"))
+    return staged.withColumn("_error", first_error((legal, "bad network"))).drop("_bits", "_len")
 
 
 def shape(parsed: DataFrame, seen=None, **_) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netsift.functions import times
-from netsift.sources.base import Source, as_is, first_error, line_reader, parse_json, register_source
+from netsift.sources.base import Source, as_is, first_error, line_reader, once, parse_json, register_source
 from netsift.sources.lines import POSITION, SENTINEL, cut_at_sentinel
 from netsift.sources.schemas import MESH_MESSAGE, MESH_PAYLOAD, MESH_PAYLOAD_STORED
 
@@ -21,10 +21,9 @@ def _epoch(c: Column) -> Column:
     return times.from_epoch(c.try_cast("double"))
 
 
-def _payload(p: Column, known: Column) -> Column:
+def _payload(p: Column, known: Column, is_object: Column) -> Column:
     """An object keeps its fields, with epoch times as instants; anything else becomes ``value``."""
-    is_object = F.schema_of_variant(p).startswith("OBJECT")
-    kept = [F.when(is_object, known[f.name]).cast(f.dataType).alias(f.name)
+    kept = [known[f.name].cast(f.dataType).alias(f.name)
             for f in MESH_PAYLOAD_STORED.fields if f.name not in ("time", "timestamp", "value", "raw")]
     stamps = [
         F.when(is_object, _epoch(F.try_variant_get(p, f"$.{n}", "double"))).alias(n) for n in ("time", "timestamp")
@@ -34,15 +33,16 @@ def _payload(p: Column, known: Column) -> Column:
 
 def parse(lines: DataFrame, sentinel: str | None = SENTINEL, **_) -> DataFrame:
     rows = cut_at_sentinel(lines, sentinel).where(F.col("value").startswith("{"))
-    known = F.try_variant_get(F.col("_json.decoded.payload"), "$", MESH_PAYLOAD.simpleString())
-    staged = parse_json(rows, _MESSAGE).withColumn("_known", known)
     r = F.col("_json")
     p = r.decoded.payload
+    staged = once(parse_json(rows, _MESSAGE), _is_object=F.schema_of_variant(p).startswith("OBJECT"))
+    known = F.when(F.col("_is_object"), F.try_variant_get(p, "$", MESH_PAYLOAD.simpleString()))
+    staged = once(staged, _known=known)
     decoded = F.when(
         r.decoded.isNotNull(),
         F.struct(
             r.decoded.bitfield.alias("bitfield"),
-            F.when(p.isNotNull(), F.array(_payload(p, F.col("_known")))).alias("payload"),
+            F.when(p.isNotNull(), F.array(_payload(p, F.col("_known"), F.col("_is_object")))).alias("payload"),
             r.decoded.portnum.alias("portnum"),
             r.decoded.requestId.alias("requestId"),
             r.decoded.wantResponse.alias("wantResponse"),

@@ -25,7 +25,7 @@ def parse(objects: DataFrame, **_) -> DataFrame:
     plain = F.regexp_replace("value", r"(?m)^[%#].*$", "")
     joined = F.regexp_replace(plain, r"\r?\n[ \t+]+(?=\S)", " ")
     pairs = F.transform(
-        F.filter(F.split(joined, r"\r?\n"), lambda x: strip(x) != ""),
+        F.filter(F.split(F.replace(joined, F.lit("\r\n"), F.lit("\n")), "\n"), lambda x: strip(x) != ""),
         lambda x: F.struct(
             strip(F.lower(F.split_part(x, F.lit(":"), F.lit(1)))).alias("name"),
             strip(F.regexp_extract(x, r"\A[^:]*:(.*)\z", 1)).alias("value"),

@@ -6,28 +6,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netsift.functions import ip, times
-from netsift.functions.text import drop_dots, fields, tail
+from netsift.functions.text import drop_dots, fields
 from netsift.operators.grouping import run_numbers, with_order
 from netsift.operators.skew import HOT_ROWS, fold_lists
-from netsift.sources.base import UPSERT, Source, first_error, good_rows, line_reader, parse_json, register_source
+from netsift.sources.base import UPSERT, Source, first_error, good_rows, line_reader, once, parse_json, register_source
 from netsift.sources.lines import POSITION, SENTINEL, cut_at_sentinel
 from netsift.sources.schemas import REVERSE_NAMES, REVERSE_STREAM
 
 
 def parse_text(lines: DataFrame, sentinel: str | None = SENTINEL, **_) -> DataFrame:
     """One row per usable answer line: ip, record."""
-    rows = cut_at_sentinel(lines, sentinel).where(F.col("value") != "").withColumn("_parts", fields(F.col("value")))
+    rows = once(cut_at_sentinel(lines, sentinel).where(F.col("value") != ""), _parts=fields(F.col("value"), 3))
     parts = F.col("_parts")
     split = rows.select(
         *POSITION,
         F.col("value").alias("_raw"),
-        (F.size(parts) >= 3).alias("_enough"),
+        F.get(parts, F.lit(2)).isNotNull().alias("_enough"),
         drop_dots(F.get(parts, F.lit(0))).alias("_name"),
         F.get(parts, F.lit(1)).alias("_type"),
-        drop_dots(tail(parts, 2)).alias("record"),
+        drop_dots(F.get(parts, F.lit(2))).alias("record"),
     )
     wanted = (F.col("_type") == "PTR") & (F.col("record") != "") & (F.col("record") != F.col("_name"))
-    addressed = split.where(~F.col("_enough") | wanted).withColumn("ip", ip.from_reverse_name(F.col("_name")))
+    addressed = once(split.where(~F.col("_enough") | wanted), ip=ip.from_reverse_name(F.col("_name")))
     error = first_error(
         (F.col("_enough"), "fewer than 3 fields"),
         (ip.is_ipv4(F.col("ip")), "not an IPv4 reverse name"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from netsift.functions import ip, times
 from netsift.functions.text import digits_only
-from netsift.sources.base import Source, as_is, first_error, parse_json, register_source
+from netsift.sources.base import Source, as_is, first_error, once, parse_json, register_source
 from netsift.sources.schemas import TRANSFER, TRANSFER_TYPES
 
 _NETS = "struct<original_set:array<struct<start_address:string,end_address:string>>,transfer_set:array<struct<start_address:string,end_address:string>>>"
@@ -57,11 +57,11 @@ def parse(documents: DataFrame, seen=None, utc: bool = False, **_) -> DataFrame:
         F.when(F.col("_json").isNull(), "malformed JSON").otherwise("no transfers").alias("_error"),
     )
     t = F.col("t")
-    rows = docs.select("_file", F.explode("_json.transfers").alias("t")).select(
-        "_file", "t",
-        _rewrite(t.ip4nets, ("start_address", "end_address"), ip.repaired).alias("_v4"),
-        _rewrite(t.ip6nets, ("start_address", "end_address"), ip.repaired).alias("_v6"),
-        _rewrite(t.asns, ("start", "end"), _as_number).alias("_as"),
+    rows = once(
+        docs.select("_file", F.explode("_json.transfers").alias("t")),
+        _v4=_rewrite(t.ip4nets, ("start_address", "end_address"), ip.repaired),
+        _v6=_rewrite(t.ip6nets, ("start_address", "end_address"), ip.repaired),
+        _as=_rewrite(t.asns, ("start", "end"), _as_number),
     )
     error = first_error(
         (_all_fine(t.asns, F.col("_as"), ("start", "end")), "bad AS number"),

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netsift.functions import times
-from netsift.functions.text import digits_only, drop_dots, fields, tail, zone_of_file
+from netsift.functions.text import digits_only, drop_dots, fields, zone_of_file
 from netsift.operators.grouping import run_numbers, with_order
 from netsift.operators.skew import HOT_ROWS, fold_lists
-from netsift.sources.base import UPSERT, Source, first_error, good_rows, line_reader, register_source
+from netsift.sources.base import UPSERT, Source, first_error, good_rows, line_reader, once, register_source
 from netsift.sources.lines import POSITION, SENTINEL, before_mark, file_name, mark_first
 from netsift.sources.schemas import ZONE, ZONE_RECORD_TYPES
 
@@ -38,22 +38,21 @@ def parse(lines: DataFrame, sentinel: str | None = SENTINEL, **_) -> DataFrame:
     marked = mark_first(lines, marks)
     if sentinel is not None:
         marked = before_mark(marked, "_end")
-    rows = marked.where((text != "") & ~comment).withColumn("_parts", fields(text))
+    rows = once(marked.where((text != "") & ~comment), _parts=fields(text, 5))
     parts = F.col("_parts")
     split = rows.select(
         *POSITION,
         "_axfr",
         text.alias("_raw"),
         zone_of_file(file_name(rows)).alias("zone"),
-        F.size(parts).alias("_count"),
+        F.get(parts, F.lit(4)).alias("_data"),
         F.lower(drop_dots(F.get(parts, F.lit(0)))).alias("domain"),
         F.get(parts, F.lit(1)).alias("_ttl"),
         F.lower(F.get(parts, F.lit(2))).alias("_class"),
         F.lower(F.get(parts, F.lit(3))).alias("type"),
-        tail(parts, 4).alias("_data"),
     )
     error = first_error(
-        (F.col("_count") >= 5, "fewer than 5 fields"),
+        (F.col("_data").isNotNull(), "fewer than 5 fields"),
         (digits_only(F.col("_ttl")) & F.col("_ttl").try_cast("bigint").isNotNull(), "bad ttl"),
         (F.col("_class") == "in", "unsupported class"),
         (F.col("type").isin(*ZONE_RECORD_TYPES), "unsupported type"),

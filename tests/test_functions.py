@@ -87,7 +87,10 @@ def test_text(spark):
     odd = ["  a \t b  c \n", "", "x", "\x1c y "]
     assert [r[0] for r in values(spark, odd, text.strip(v))] == [s.strip() for s in odd]
     assert [r[0] for r in values(spark, odd, text.squeeze(v))] == [" ".join(s.split()) for s in odd]
-    assert values(spark, ["a b  c d", "a b"], text.tail(text.fields(v), 2)) == [("c d",), ("",)]
+    assert values(spark, ["a b  c \td", "a b"], text.fields(v, 3)) == [(["a", "b", "c d"],), (["a", "b"],)]
+    words = text.has_word(F.lower("v"), "Cat")
+    assert [r[0] for r in values(spark, ["a Cat.", "concat", "cats", "xcat cat", "cat"], words)] == [
+        True, False, False, True, True]
     assert values(spark, ["a...", "."], text.drop_dots(v)) == [("a",), ("",)]
     assert values(spark, ["com.eu.txt", "zone"], text.zone_of_file(v), text.stem(v)) == [("com.eu", "com.eu"), ("", "zone")]
     assert values(spark, ["*.x.y", "*.*.z", "x"], text.bare_domain(v)) == [("x.y",), ("*.z",), ("x",)]
