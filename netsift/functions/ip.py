@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from netsift.functions.staging import once
+
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _V4 = rf"\A{_OCTET}(?:\.{_OCTET}){{3}}\z"
 _H = "[0-9a-fA-F]{1,4}"
@@ -36,10 +38,10 @@ def is_ipv4(c: Column) -> Column:
 
 
 def _dotted(c: Column) -> Column:
-    parts = F.split(c, r"\.")
     n = _long(0)
-    for i in range(4):
-        n = n * 256 + F.get(parts, F.lit(i)).try_cast("bigint")
+    for i in range(1, 5):
+        octet = F.substring_index(F.substring_index(c, ".", i), ".", -1)
+        n = n * 256 + octet.try_cast("bigint")
     return n
 
 
@@ -196,12 +198,10 @@ def network_range(b: Column, length: Column, strict: bool = True) -> Column:
 
 def with_network(df: DataFrame, cidr: str, out: str, strict: bool = True) -> DataFrame:
     """Add ``out`` = struct(lo, hi: raw bits, len) of a CIDR column; null when illegal."""
-    staged = (
-        df.withColumn("_addr", cidr_address(F.col(cidr)))
-        .withColumn("_bits", bits(F.col("_addr")))
-        .withColumn("_len", written_length(F.col(cidr)))
-    )
-    return staged.withColumn(out, network_range(F.col("_bits"), F.col("_len"), strict)).drop("_addr", "_bits", "_len")
+    staged = once(df, _addr=cidr_address(F.col(cidr)), _len=written_length(F.col(cidr)))
+    staged = once(staged, _bits=bits(F.col("_addr")))
+    ranged = once(staged, **{out: network_range(F.col("_bits"), F.col("_len"), strict)})
+    return ranged.drop("_addr", "_bits", "_len")
 
 
 def ipv6_block_end(b: Column, length: Column) -> Column:

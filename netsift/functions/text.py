@@ -27,11 +27,11 @@ def squeeze(c: Column) -> Column:
 
 
 def fields(c: Column, limit: int = -1) -> Column:
-    """Split on runs of white space; with ``limit`` the last field is the rest, joined by single blanks.
+    """Split stripped text on runs of white space; with ``limit`` the last field is the rest, joined by single blanks.
 
     Splitting tidied text on one literal blank spares a regex compiled per row.
     """
-    return F.split(squeeze(c), " ", limit)
+    return F.split(F.regexp_replace(c, _UNTIDY_RUN, " "), " ", limit)
 
 
 def drop_dots(c: Column) -> Column:

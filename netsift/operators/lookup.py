@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netsift.functions import ip
+from netsift.functions.staging import once
 from netsift.operators.skew import HOT_ROWS, MAX_BROADCAST_ROWS, is_small, join_lookup, settled
 
 # Titles that say nothing about a service.
@@ -32,8 +33,8 @@ def distinct_addresses(df: DataFrame, address: str) -> DataFrame:
 
     A hot address is one row here, and the aggregate combines before the shuffle.
     """
-    once = df.where(F.col(address).isNotNull()).groupBy(F.col(address).alias("_ip")).agg(F.count(F.lit(1)).alias("_n"))
-    return once.withColumn("_b", ip.bits(F.col("_ip"))).where(F.col("_b").isNotNull())
+    each = df.where(F.col(address).isNotNull()).groupBy(F.col(address).alias("_ip")).agg(F.count(F.lit(1)).alias("_n"))
+    return once(each, _b=ip.bits(F.col("_ip"))).where(F.col("_b").isNotNull())
 
 
 def network_matches(
@@ -50,7 +51,7 @@ def network_matches(
     ).drop("_net")
     lengths = nets.agg(F.collect_set("_len")).scalar()
     masked = addresses.withColumn("_lens", lengths).withColumn("_len", F.explode("_lens"))
-    masked = masked.withColumn("_m", ip.network(F.col("_b"), F.col("_len")))
+    masked = once(masked, _m=ip.network(F.col("_b"), F.col("_len")))
     keyed = masked.select("_ip", "_len", F.col("_m.hi").alias("_hi"), F.col("_m.lo").alias("_lo"))
     return join_lookup(keyed, nets, ["_len", "_hi", "_lo"], "inner", hot_rows, max_rows).drop("_hi", "_lo")
 
@@ -104,9 +105,7 @@ def range_lookup(
     distinct address once, and the results are joined back.
     """
     columns = F.struct(*[F.col(c) for c in ranges.columns if c not in (start, end)])
-    parsed = ranges.select(
-        columns.alias(out), ip.bits(F.col(start)).alias("_from"), ip.bits(F.col(end)).alias("_to")
-    ).where(F.col("_from").isNotNull() & F.col("_to").isNotNull())
+    parsed = once(ranges.withColumn(out, columns), _from=ip.bits(F.col(start)), _to=ip.bits(F.col(end))).where(F.col("_from").isNotNull() & F.col("_to").isNotNull())
     bucketed = parsed.select(
         out,
         F.explode(F.sequence(_bucket(F.col("_from")), _bucket(F.col("_to")))).alias("_bucket"),
@@ -116,11 +115,11 @@ def range_lookup(
     within = F.col("_key").between(F.col("_from"), F.col("_to"))
 
     def search(rows: DataFrame, side: DataFrame, how: str) -> DataFrame:
-        keyed = rows.withColumn("_bucket", _bucket(F.col("_b"))).withColumn("_key", ip.sort_key(F.col("_b"))).alias("a")
+        keyed = once(rows, _bucket=_bucket(F.col("_b")), _key=ip.sort_key(F.col("_b"))).alias("a")
         met = keyed.join(side.alias("r"), (F.col("a._bucket") == F.col("r._bucket")) & within, how)
         return met.select(*[f"a.`{c}`" for c in rows.columns if c != "_b"], f"r.{out}")
 
     if is_small(bucketed, max_rows):
-        return search(df.withColumn("_b", ip.bits(F.col(address))), F.broadcast(bucketed), "left")
+        return search(once(df, _b=ip.bits(F.col(address))), F.broadcast(bucketed), "left")
     found = search(distinct_addresses(df, address).drop("_n"), bucketed, "inner")
     return attach(df, address, found, "left", max_rows, hot_rows)

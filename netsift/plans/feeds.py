@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from netsift.functions.text import strip
+
 SEEN = "2024-06-01T00:00:00Z"
 # Rows of one pretended file split; keeps positional work bounded as tables grow.
 SPLIT_ROWS = 65536
@@ -36,7 +38,7 @@ def as_lines(df: DataFrame, order: str, *values: Column, file: Column | None = N
         F.col(order).cast("bigint").alias("_at"),
         F.posexplode(F.array(*values)).alias("_nth", "value"),
     ).where(F.col("value").isNotNull())
-    return lines.select("value", "_file", "_block", (F.col("_at") * len(values) + F.col("_nth")).alias("_row"))
+    return lines.select(strip(F.col("value")).alias("value"), "_file", "_block", (F.col("_at") * len(values) + F.col("_nth")).alias("_row"))
 
 
 def epoch(ts: str) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from netsift import ingest as ingestion
 from netsift.functions import ip, times
+from netsift.functions.staging import once
 from netsift.functions.text import human_size
 from netsift.operators import lookup, merging, predicates, tables
 from netsift.operators.skew import shared_folder
@@ -202,7 +203,7 @@ def longest_network(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cidr_match(spark: SparkSession, folder: str) -> DataFrame:
-    rows = feeds.events_with_address(spark, folder).withColumn("_b", ip.bits(F.col("ip")))
+    rows = once(feeds.events_with_address(spark, folder), _b=ip.bits(F.col("ip")))
     return rows.where(predicates.in_network(F.col("_b"), "10.0.8.0/21")).drop("_b")
 
 

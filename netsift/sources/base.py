@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from netsift.functions.staging import once
+
 APPEND, REPLACE, UPSERT = "append", "replace", "upsert"
 BOOKKEEPING = ["_file", "_block", "_row", "_raw", "_error"]
 
@@ -66,17 +68,6 @@ def first_error(*checks: tuple[Column, str]) -> Column:
     return chain
 
 
-def once(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns that are computed once per row.
-
-    Filters are normally rewritten to the inputs of the columns they test, which
-    repeats costly expressions for every test. They do not pass an explode, here of
-    an array with one struct.
-    """
-    packed = F.explode(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))).alias("_once")
-    return df.select("*", packed).select(*[F.col(f"`{c}`") for c in df.columns], *[f"_once.`{n}`" for n in columns])
-
-
 def parse_json(lines: DataFrame, schema: T.StructType | str, out: str = "_json") -> DataFrame:
     """Parse one JSON object per line into struct ``out``; null when malformed.
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netsift.functions import ip, times
+from netsift.functions.staging import once
 from netsift.functions.text import blank_to_null, stem, strip
-from netsift.sources.base import REPLACE, Source, first_error, good_rows, line_reader, once, register_source, typed
+from netsift.sources.base import REPLACE, Source, first_error, good_rows, line_reader, register_source, typed
 from netsift.sources.lines import POSITION, file_name, mark_first
 from netsift.sources.schemas import BLOCKLIST, BLOCKLIST_HISTORY
 
@@ -17,8 +18,7 @@ _CATEGORY = r"(?i)\A#\s*Category\s*:\s*(.+)\z"
 def parse(lines: DataFrame, **_) -> DataFrame:
     """One row per entry: network text, list name, list category."""
     history = "|".join(BLOCKLIST_HISTORY)
-    name = file_name(lines)
-    kept = lines.where(name.rlike(r"\.(?:ipset|netset)\z") & ~stem(name).rlike(rf"(?:{history})\z"))
+    kept = lines.where(F.col("_file").rlike(rf"(?<!{history})\.(?:ipset|netset)\z"))
     text = F.col("value")
     header = text.startswith("#") & text.rlike(_CATEGORY)
     marked = mark_first(kept, {"_category": (header, strip(F.regexp_extract(text, _CATEGORY, 1)))})
@@ -29,9 +29,10 @@ def parse(lines: DataFrame, **_) -> DataFrame:
         stem(file_name(marked)).alias("ipset"),
         blank_to_null(F.col("_category.value")).alias("category"),
     )
-    staged = once(entries, _bits=ip.bits(ip.cidr_address(F.col("ip"))), _len=ip.written_length(F.col("ip")))
+    staged = once(entries, _addr=ip.cidr_address(F.col("ip")), _len=ip.written_length(F.col("ip")))
+    staged = once(staged, _bits=ip.bits(F.col("_addr")))
     legal = ip.is_network(F.col("_bits"), F.col("_len"))
-    return staged.withColumn("_error", first_error((legal, "bad network"))).drop("_bits", "_len")
+    return staged.withColumn("_error", first_error((legal, "bad network"))).drop("_addr", "_bits", "_len")
 
 
 def shape(parsed: DataFrame, seen=None, **_) -> DataFrame:

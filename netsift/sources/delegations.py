@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netsift.functions import ip, times
+from netsift.functions.staging import once
 from netsift.functions.text import blank_to_null, digits_only
-from netsift.sources.base import Source, as_is, first_error, line_reader, once, register_source
+from netsift.sources.base import Source, as_is, first_error, line_reader, register_source
 from netsift.sources.lines import POSITION
 from netsift.sources.schemas import DELEGATION, DELEGATION_STATES
 

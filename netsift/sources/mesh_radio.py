@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netsift.functions import times
-from netsift.sources.base import Source, as_is, first_error, line_reader, once, parse_json, register_source
+from netsift.functions.staging import once
+from netsift.sources.base import Source, as_is, first_error, line_reader, parse_json, register_source
 from netsift.sources.lines import POSITION, SENTINEL, cut_at_sentinel
 from netsift.sources.schemas import MESH_MESSAGE, MESH_PAYLOAD, MESH_PAYLOAD_STORED
 

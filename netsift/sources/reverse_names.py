@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netsift.functions import ip, times
+from netsift.functions.staging import once
 from netsift.functions.text import drop_dots, fields
 from netsift.operators.grouping import run_numbers, with_order
 from netsift.operators.skew import HOT_ROWS, fold_lists
-from netsift.sources.base import UPSERT, Source, first_error, good_rows, line_reader, once, parse_json, register_source
+from netsift.sources.base import UPSERT, Source, first_error, good_rows, line_reader, parse_json, register_source
 from netsift.sources.lines import POSITION, SENTINEL, cut_at_sentinel
 from netsift.sources.schemas import REVERSE_NAMES, REVERSE_STREAM
 

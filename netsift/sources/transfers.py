@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netsift.functions import ip, times
+from netsift.functions.staging import once
 from netsift.functions.text import digits_only
-from netsift.sources.base import Source, as_is, first_error, once, parse_json, register_source
+from netsift.sources.base import Source, as_is, first_error, parse_json, register_source
 from netsift.sources.schemas import TRANSFER, TRANSFER_TYPES
 
 _NETS = "struct<original_set:array<struct<start_address:string,end_address:string>>,transfer_set:array<struct<start_address:string,end_address:string>>>"

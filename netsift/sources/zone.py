@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netsift.functions import times
+from netsift.functions.staging import once
 from netsift.functions.text import digits_only, drop_dots, fields, zone_of_file
 from netsift.operators.grouping import run_numbers, with_order
 from netsift.operators.skew import HOT_ROWS, fold_lists
-from netsift.sources.base import UPSERT, Source, first_error, good_rows, line_reader, once, register_source
+from netsift.sources.base import UPSERT, Source, first_error, good_rows, line_reader, register_source
 from netsift.sources.lines import POSITION, SENTINEL, before_mark, file_name, mark_first
 from netsift.sources.schemas import ZONE, ZONE_RECORD_TYPES
 
