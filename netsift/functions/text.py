@@ -7,10 +7,14 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters that count as white space in scan logs (one-byte code points).
-WHITESPACE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
+# The characters that count as white space in scan logs, one by one and as regex ranges.
+WHITESPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+_UNUSUAL = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Runs that are not a single blank already; clean text has no match and is left alone.
-_UNTIDY_RUN = f"(?: [{WHITESPACE}]|[{WHITESPACE[1:]}])[{WHITESPACE}]*"
+_UNTIDY_RUN = f"(?: [ {_UNUSUAL}]|[{_UNUSUAL}])[ {_UNUSUAL}]*"
 
 # Size units, each 1024 times the one before.
 SIZE_UNITS = ("bytes", "kb", "mb", "gb", "tb", "pb", "eb", "zb")

@@ -29,9 +29,12 @@ def rejects_path(path: str) -> str:
 
 
 def documents_of(source: Source, parsed: DataFrame, **options) -> DataFrame:
-    """Documents of one batch; keyed sources give one per key."""
+    """Documents of one batch; writes to the same key are merged where one pass does it.
+
+    Documents that may span ``part`` rows are left for the fold at read time.
+    """
     documents = source.shape(parsed, **options)
-    if source.mode == APPEND or "_order" not in documents.columns:
+    if source.mode == APPEND or "part" in source.key or "_order" not in documents.columns:
         return documents
     return fold_log(documents, source)
 

@@ -10,23 +10,33 @@ from pyspark.sql import types as T
 def run_numbers(rows: DataFrame, key: str) -> DataFrame:
     """Add ``_run``: the position of the first line of the run the row belongs to.
 
-    A run is a stretch of consecutive rows of one file with the same ``key``. All
-    ordered work happens inside file splits; what must cross them (the last key and
-    the start of the last run of each split) is one row per split.
+    A run is a stretch of consecutive rows of one file with the same ``key``. Runs are
+    found inside each file split, which is all that is ever sorted. A table with one
+    row per split then tells which splits open in the middle of a run, and where that
+    run began.
     """
-    from netsift.sources.lines import previous_in_file
-
     inside = Window.partitionBy("_file", "_block").orderBy("_row")
-    marked = previous_in_file(rows, key, "_before")
-    starts = F.when(F.col("_before").isNull() | (F.col("_before") != F.col(key)), F.struct("_block", "_row"))
-    marked = marked.withColumn("_start", starts).drop("_before")
-    running = F.last("_start", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    marked = marked.withColumn("_run", running).drop("_start")
-    ends = marked.groupBy("_file", "_block").agg(F.max("_run").alias("_last_run"))
-    across = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.select("_file", "_block", F.last("_last_run", ignorenulls=True).over(across).alias("_open_run"))
-    joined = marked.join(ends, ["_file", "_block"], "left")
-    return joined.withColumn("_run", F.coalesce("_run", "_open_run")).drop("_open_run")
+    before = F.lag(key).over(inside)
+    starts = F.when(before.isNull() | (before != F.col(key)), F.struct("_block", "_row"))
+    marked = rows.withColumn("_start", starts)
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    marked = marked.withColumn("_run", F.last("_start", ignorenulls=True).over(upto)).drop("_start")
+    splits = marked.groupBy("_file", "_block").agg(
+        F.min("_run").alias("_head"),
+        F.max("_run").alias("_tail"),
+        F.min_by(key, "_row").alias("_first"),
+        F.max_by(key, "_row").alias("_last"),
+    )
+    across = Window.partitionBy("_file").orderBy("_block")
+    splits = splits.withColumn("_goes_on", F.coalesce(F.lag("_last").over(across) == F.col("_first"), F.lit(False)))
+    anchor = F.when(~F.col("_goes_on") | (F.col("_head") != F.col("_tail")), F.col("_tail"))
+    splits = splits.withColumn("_anchor", anchor)
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    begun = F.last("_anchor", ignorenulls=True).over(earlier)
+    opened = splits.withColumn("_begun", begun).where("_goes_on").select("_file", "_block", "_head", "_begun")
+    joined = marked.join(opened, ["_file", "_block"], "left")
+    continued = F.coalesce(F.col("_run") == F.col("_head"), F.lit(False))
+    return joined.withColumn("_run", F.when(continued, F.col("_begun")).otherwise(F.col("_run"))).drop("_head", "_begun")
 
 
 def with_order(documents: DataFrame, schema: T.StructType) -> DataFrame:

@@ -10,27 +10,35 @@ from pyspark.sql import functions as F
 ORDER = "_order"
 
 
-def _last(column: str, order: str) -> Column:
-    """Latest non-null value of a column."""
-    value = F.col(column)
-    return F.max_by(value, F.when(value.isNotNull(), F.col(order))).alias(column)
-
-
 def last_writes(df: DataFrame, key: Sequence[str], order: str = ORDER, maps: Sequence[str] = ()) -> DataFrame:
-    """One row per key: each column's latest non-null value, maps merged entry by entry.
+    """One row per key: each column's latest non-null value, a map merged entry by entry.
 
     Everything is an aggregate with map-side partial results, so a key written a
-    billion times shuffles one row per task. ``order`` is kept as the latest.
+    billion times shuffles one row per task and map entry. ``order`` is kept as the
+    latest.
     """
     key = list(key)
     plain = [c for c in df.columns if c not in (*key, *maps, order)]
-    out = df.groupBy(*key).agg(*[_last(c, order) for c in plain], F.max(order).alias(order))
-    for name in maps:
-        entries = df.select(*key, order, F.explode(name).alias("_k", "_v"))
-        latest = entries.groupBy(*key, "_k").agg(F.max_by("_v", order).alias("_v"))
-        merged = latest.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("_k", "_v"))).alias(name))
-        out = out.join(merged, key, "left")
-    return out.select(*df.columns)
+    if not maps:
+        latest = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in plain]
+        return df.groupBy(*key).agg(*latest, F.max(order).alias(order)).select(*df.columns)
+    if len(maps) > 1:
+        raise ValueError("one map column can be merged")
+    # First per key and map entry, then per key; each plain column travels with its order.
+    entries = df.select(*key, order, *plain, F.explode_outer(maps[0]).alias("_k", "_v"))
+    dated = [
+        F.max_by(F.struct(F.col(c).alias("v"), F.col(order).alias("at")), F.when(F.col(c).isNotNull(), F.col(order))).alias(c)
+        for c in plain
+    ]
+    per_entry = entries.groupBy(*key, "_k").agg(*dated, F.max_by("_v", order).alias("_v"), F.max(order).alias(order))
+    pair = F.when(F.col("_k").isNotNull(), F.struct("_k", "_v"))
+    per_key = per_entry.groupBy(*key).agg(
+        *[F.max_by(F.col(f"{c}.v"), F.col(f"{c}.at")).alias(c) for c in plain],
+        F.collect_list(pair).alias("_pairs"),
+        F.max(order).alias(order),
+    )
+    merged = F.when(F.size("_pairs") > 0, F.map_from_entries("_pairs"))
+    return per_key.withColumn(maps[0], merged).select(*df.columns)
 
 
 def last_rows(df: DataFrame, key: Sequence[str], order: str = ORDER) -> DataFrame:

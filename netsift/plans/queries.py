@@ -104,7 +104,7 @@ def zone_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def zone_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """The domains of all zone files after merging them in file order."""
-    docs = ingestion.documents_of(zone.ZONES, zone.parse(feeds.zone_lines(spark, folder)), seen=SEEN)
+    docs = tables.fold_log(_zones(spark, folder), zone.ZONES)
     return docs.select("domain", "zone", "source", joined(F.map_keys("records")).alias("types"),
                        F.aggregate(F.map_values("records"), F.lit(0), lambda n, v: n + F.size(v)).alias("records"))
 
