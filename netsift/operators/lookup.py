@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from netsift.functions import ip
 from netsift.functions.staging import once
-from netsift.operators.skew import HOT_ROWS, MAX_BROADCAST_ROWS, is_small, join_lookup, settled
+from netsift.operators.skew import HOT_ROWS, MAX_BROADCAST_ROWS, is_small, join_lookup, salted_join, settled
 
 # Titles that say nothing about a service.
 NOISE_TITLES = (
@@ -19,6 +19,12 @@ NOISE_TITLES = (
 )
 
 
+# Prefix lengths, in the 128-bit form, of the cells ranges are placed in; finest first.
+V4_LEVELS = (120, 112, 104)
+V6_LEVELS = (64, 56, 48, 40, 32, 24, 16, 8)
+MAX_CELLS = 1024
+
+
 def is_noise(service: Column, banner: Column) -> Column:
     """A ``title`` banner that is on the noise list."""
     return F.coalesce((service == "title") & banner.isin(*NOISE_TITLES), F.lit(False))
@@ -93,33 +99,68 @@ def _bucket(b: Column) -> Column:
     return F.when(ip.is_mapped_v4(b), v4).otherwise(v6)
 
 
+def _cell(b: Column, level: int) -> Column:
+    """Number of the ``level``-bit prefix (128-bit form) that holds an address of the family the level is for."""
+    return F.shiftrightunsigned(b["hi"], 64 - level) if level <= 64 else F.shiftrightunsigned(b["lo"], 128 - level)
+
+
+def _range_cells(ranges: DataFrame) -> DataFrame:
+    """Each range once per cell it touches, on the finest level where it touches at most MAX_CELLS.
+
+    Ranges do not overlap, so a cell of a coarser level meets only ranges wider than
+    several cells, two at most: however many ranges and addresses there are, an
+    address is compared with a handful.
+    """
+    chain = None
+    for mapped, levels in ((True, V4_LEVELS), (False, V6_LEVELS)):
+        family = ip.is_mapped_v4(F.col("_from")) if mapped else ~ip.is_mapped_v4(F.col("_from"))
+        for level in levels:
+            first, last = _cell(F.col("_from"), level), _cell(F.col("_to"), level)
+            fits = family & ((last - first < MAX_CELLS) if level != levels[-1] else F.lit(True))
+            cells = F.struct(F.lit(level).alias("_level"), F.sequence(first, last).alias("_cells"))
+            chain = F.when(fits, cells) if chain is None else chain.when(fits, cells)
+    placed = once(ranges, _place=chain)
+    return placed.select("*", F.col("_place._level").alias("_level"), F.explode("_place._cells").alias("_cell")).drop("_place")
+
+
+def _address_cells(addresses: DataFrame) -> DataFrame:
+    """Each address once per level of its family."""
+    b = F.col("_b")
+
+    def on(levels):
+        return F.array(*[F.struct(F.lit(v).alias("_level"), _cell(b, v).alias("_cell")) for v in levels])
+
+    cells = F.explode(F.when(ip.is_mapped_v4(b), on(V4_LEVELS)).otherwise(on(V6_LEVELS)))
+    return addresses.select("*", cells.alias("_c")).select(*addresses.columns, "_c._level", "_c._cell")
+
+
 def range_lookup(
     df: DataFrame, address: str, ranges: DataFrame, start: str, end: str, out: str,
     max_rows: int = MAX_BROADCAST_ROWS, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``out``: the columns of the range that holds the address, else null.
 
-    Ranges are inclusive and do not overlap. A range is repeated for each coarse
-    bucket it touches, so the search is an equi-join on the bucket with the bounds
-    checked after it. Few ranges are broadcast straight to the rows; many meet each
-    distinct address once, and the results are joined back.
+    Ranges are inclusive and do not overlap. They are placed in address buckets, so
+    the search is an equi-join with the bounds checked after it. Few ranges are
+    broadcast straight to the rows, which are not shuffled. Many meet each distinct
+    address once, on cells fitted to their size, and the results are joined back.
     """
     columns = F.struct(*[F.col(c) for c in ranges.columns if c not in (start, end)])
-    parsed = once(ranges.withColumn(out, columns), _from=ip.bits(F.col(start)), _to=ip.bits(F.col(end))).where(F.col("_from").isNotNull() & F.col("_to").isNotNull())
-    bucketed = parsed.select(
-        out,
-        F.explode(F.sequence(_bucket(F.col("_from")), _bucket(F.col("_to")))).alias("_bucket"),
-        ip.sort_key(F.col("_from")).alias("_from"),
-        ip.sort_key(F.col("_to")).alias("_to"),
-    )
-    within = F.col("_key").between(F.col("_from"), F.col("_to"))
-
-    def search(rows: DataFrame, side: DataFrame, how: str) -> DataFrame:
-        keyed = once(rows, _bucket=_bucket(F.col("_b")), _key=ip.sort_key(F.col("_b"))).alias("a")
-        met = keyed.join(side.alias("r"), (F.col("a._bucket") == F.col("r._bucket")) & within, how)
-        return met.select(*[f"a.`{c}`" for c in rows.columns if c != "_b"], f"r.{out}")
-
-    if is_small(bucketed, max_rows):
-        return search(once(df, _b=ip.bits(F.col(address))), F.broadcast(bucketed), "left")
-    found = search(distinct_addresses(df, address).drop("_n"), bucketed, "inner")
+    parsed = once(ranges.withColumn(out, columns), _from=ip.bits(F.col(start)), _to=ip.bits(F.col(end)))
+    keys = once(parsed, _low=ip.sort_key(F.col("_from")), _high=ip.sort_key(F.col("_to")))
+    same_family = ip.is_mapped_v4(F.col("_from")) == ip.is_mapped_v4(F.col("_to"))
+    legal = keys.where(F.col("_from").isNotNull() & F.col("_to").isNotNull() & same_family & (F.col("_low") <= F.col("_high")))
+    legal = legal.select(out, "_from", "_to", "_low", "_high")
+    within = F.col("_key").between(F.col("_low"), F.col("_high"))
+    if is_small(legal, max_rows):
+        buckets = F.explode(F.sequence(_bucket(F.col("_from")), _bucket(F.col("_to"))))
+        bucketed = legal.select(out, "_low", "_high", buckets.alias("_bucket"))
+        if is_small(bucketed, max_rows):
+            rows = once(df, _b=ip.bits(F.col(address)))
+            rows = once(rows, _at=_bucket(F.col("_b")), _key=ip.sort_key(F.col("_b")))
+            met = rows.join(F.broadcast(bucketed), (F.col("_at") == F.col("_bucket")) & within, "left")
+            return met.select(*df.columns, out)
+    addresses = _address_cells(distinct_addresses(df, address).drop("_n"))
+    met = salted_join(addresses, _range_cells(legal), ["_level", "_cell"], "inner", hot_rows)
+    found = met.withColumn("_key", ip.sort_key(F.col("_b"))).where(within).select("_ip", out)
     return attach(df, address, found, "left", max_rows, hot_rows)

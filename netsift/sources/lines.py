@@ -10,6 +10,7 @@ grouping no hot key can swell.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +66,12 @@ def position(*extra: Column) -> Column:
     return F.struct("_block", "_row", *extra)
 
 
+def position_number() -> Column:
+    """Block and row as one number in the same order: unlike a struct it can be a hash-aggregate buffer."""
+    block = F.col("_block").cast("decimal(18,0)") * F.lit(Decimal(10**19))
+    return (block + F.col("_row").cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def mark_first(lines: DataFrame, marks: Mapping[str, tuple[Column, Column]]) -> DataFrame:
     """Add per-file facts: for each name the ``value`` at the first line where ``condition`` holds.
 

@@ -11,7 +11,7 @@ from netsift.functions.text import drop_dots, fields
 from netsift.operators.grouping import run_numbers, with_order
 from netsift.operators.skew import HOT_ROWS, fold_lists
 from netsift.sources.base import UPSERT, Source, first_error, good_rows, line_reader, parse_json, register_source
-from netsift.sources.lines import POSITION, SENTINEL, cut_at_sentinel
+from netsift.sources.lines import POSITION, SENTINEL, cut_at_sentinel, position_number
 from netsift.sources.schemas import REVERSE_NAMES, REVERSE_STREAM
 
 
@@ -43,7 +43,7 @@ def distinct_names(parsed: DataFrame) -> DataFrame:
     its distinct names.
     """
     good = good_rows(parsed)
-    return good.groupBy("_file", "ip", "record").agg(F.min(F.struct("_block", "_row")).alias("_first"))
+    return good.groupBy("_file", "ip", "record").agg(F.min(position_number()).alias("_first"))
 
 
 def shape_text(parsed: DataFrame, group: str = "key", seen=None, hot_rows: int = HOT_ROWS, **_) -> DataFrame:
@@ -54,7 +54,7 @@ def shape_text(parsed: DataFrame, group: str = "key", seen=None, hot_rows: int =
     """
     if group == "run":
         good = run_numbers(good_rows(parsed), "ip")
-        names = good.groupBy("_file", "_run", "ip", "record").agg(F.min(F.struct("_block", "_row")).alias("_first"))
+        names = good.groupBy("_file", "_run", "ip", "record").agg(F.min(position_number()).alias("_first"))
         keys = ["_file", "_run", "ip"]
     else:
         names, keys = distinct_names(parsed), ["_file", "ip"]

@@ -91,6 +91,7 @@ def test_salted_join_equals_plain_join(spark, how):
 def addresses(spark):
     rng = random.Random(2)
     items = [f"10.{rng.randrange(4)}.{rng.randrange(4)}.{rng.randrange(8)}" for _ in range(150)]
+    items += ["200.1.2.3", "11.0.0.0", "2001:dc0::1", "3fff::", "3fff::1", "2a00::7"]
     items += [f"2001:db8::{rng.randrange(300):x}" for _ in range(50)] + ["10.0.0.1"] * 60 + [None, "x"] * 3
     return items, spark.createDataFrame(list(enumerate(items)), "i int, ip string").repartition(4)
 
@@ -125,7 +126,7 @@ def test_network_lookups(spark, addresses, sizes):
 def test_range_lookup(spark, addresses, sizes):
     items, df = addresses
     spans = [("10.0.0.0", "10.0.1.255", "A"), ("10.1.2.3", "10.3.0.0", "B"), ("2001:db8::10", "2001:db8::80", "C"),
-             ("bad", "10.9.9.9", "D")]
+             ("bad", "10.9.9.9", "D"), ("10.8.0.0", "10.7.0.0", "E"), ("2001:dc0::", "3fff::", "F"), ("11.0.0.0", "255.0.0.0", "G")]
     ranges = spark.createDataFrame(spans, "first string, last string, name string")
     got = {r.i: r.geo and r.geo.name for r in lookup.range_lookup(df, "ip", ranges, "first", "last", "geo", **sizes).collect()}
 
@@ -134,7 +135,7 @@ def test_range_lookup(spark, addresses, sizes):
             a = ipaddress.ip_address(a)
         except ValueError:
             return None
-        for first, last, name in spans[:3]:
+        for first, last, name in (x for x in spans if x[2] in "ABCFG"):
             low, high = ipaddress.ip_address(first), ipaddress.ip_address(last)
             if a.version == low.version and low <= a <= high:
                 return name
