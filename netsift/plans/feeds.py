@@ -30,15 +30,22 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def as_lines(df: DataFrame, order: str, *values: Column, file: Column | None = None) -> DataFrame:
-    """Lines in the order of ``order``; each row gives its non-null values in turn."""
+def as_lines(df: DataFrame, order: str, *values: Column, file: Column | None = None, files: list[Column] | None = None) -> DataFrame:
+    """Lines in the order of ``order``; each row gives its non-null values in turn.
+
+    All go to ``file``, or each value to the file at its place in ``files``.
+    """
+    one = file if file is not None else F.lit("/feed/all.txt")
+    pieces = values if files is None else [F.struct(v.alias("v"), f.alias("f")) for v, f in zip(values, files)]
     lines = spread(df).select(
-        (file if file is not None else F.lit("/feed/all.txt")).alias("_file"),
+        one.alias("_file"),
         F.expr(f"{order} div {SPLIT_ROWS}").cast("bigint").alias("_block"),
         F.col(order).cast("bigint").alias("_at"),
-        F.posexplode(F.array(*values)).alias("_nth", "value"),
-    ).where(F.col("value").isNotNull())
-    return lines.select(strip(F.col("value")).alias("value"), "_file", "_block", (F.col("_at") * len(values) + F.col("_nth")).alias("_row"))
+        F.posexplode(F.array(*pieces)).alias("_nth", "_piece"),
+    )
+    value, where = (F.col("_piece"), F.col("_file")) if files is None else (F.col("_piece.v"), F.col("_piece.f"))
+    return lines.where(value.isNotNull()).select(
+        strip(value).alias("value"), where.alias("_file"), "_block", (F.col("_at") * len(values) + F.col("_nth")).alias("_row"))
 
 
 def epoch(ts: str) -> Column:
@@ -247,10 +254,10 @@ def blocklist_lines(spark: SparkSession, folder: str) -> DataFrame:
     entry = F.when(F.col("l_linestatus") == "F", F.concat(net, F.lit("0/24"))).otherwise(F.concat(net, last))
     bad = F.when(F.col("l_returnflag") == "N", F.concat(net, F.lit("1/24")))
     category = F.when(F.col("l_linestatus") == "F", F.concat(F.lit("# Category  : cat "), F.col("l_returnflag")))
-    lists = as_lines(li, "l_orderkey", entry, bad, category, file=F.concat(F.lit("/feed/"), name, F.lit(".netset")))
-    history = as_lines(li, "l_orderkey", entry, file=F.concat(F.lit("/feed/"), name, F.lit("_30d.ipset")))
-    notes = as_lines(li, "l_orderkey", entry, file=F.lit("/feed/readme.md"))
-    return lists.unionByName(history).unionByName(notes)
+    current = F.concat(F.lit("/feed/"), name, F.lit(".netset"))
+    history = F.concat(F.lit("/feed/"), name, F.lit("_30d.ipset"))
+    return as_lines(li, "l_orderkey", entry, bad, category, entry, entry,
+                    files=[current, current, current, history, F.lit("/feed/readme.md")])
 
 
 def licence_rows(spark: SparkSession, folder: str) -> DataFrame:
