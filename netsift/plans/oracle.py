@@ -243,7 +243,7 @@ ORACLE = {
         LEFT JOIN (SELECT event_type, min(event_id) AS cut FROM events WHERE {_K} = 99 GROUP BY event_type) USING (event_type)
         WHERE cut IS NULL OR event_id <= cut""",
     "reject_reasons": " UNION ALL ".join(_count_reason(*r) for r in _REJECTS),
-    "table_summary": " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS documents, 1 AS files FROM {t}" for t in _TABLES),
+    "table_summary": " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS documents FROM {t}" for t in _TABLES),
     "text_sizes": f"""
         SELECT source, CAST(chars AS BIGINT) AS chars, {_size('chars')} AS size
         FROM (SELECT source, sum(n_chars) AS chars FROM documents GROUP BY source)""",

@@ -285,7 +285,7 @@ def reject_reasons(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def table_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.table_summary({name: table(spark, folder, name) for name in TABLES}).select("name", "documents", "files")
+    return tables.table_summary({name: table(spark, folder, name) for name in TABLES}).select("name", "documents")
 
 
 def text_sizes(spark: SparkSession, folder: str) -> DataFrame:
