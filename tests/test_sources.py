@@ -268,11 +268,11 @@ def test_mesh_radio(spark, tmp_path):
 
 
 def test_exchanges(spark, tmp_path):
-    line = {"pch_id": 1848, "name": "ANGONIX", "country": "AO", "alternatenames": [], "sources": ["pch"], "ix_id": 10,
-            "prefixes": {"ipv4": ["196.11.234.0/24"], "ipv6": ["2001:43f8:9d0::/48"]}, "latitude": 1.5}
+    line = {"pch_id": 1848, "name": "EXAMPLE-IX", "country": "AO", "alternatenames": [], "sources": ["pch"], "ix_id": 10,
+            "prefixes": {"ipv4": ["192.0.2.0/24"], "ipv6": ["2001:db8:9d0::/48"]}, "latitude": 1.5}
     docs, errors = run(spark, "exchanges", write(tmp_path / "in", "a.jsonl", json.dumps(line) + "\n{}\nx"))
-    assert [(r.name, r.latitude, r.sources) for r in docs.collect()] == [("ANGONIX", 1.5, ["pch"])]
-    assert sorted((r.prefix, r.net.len) for r in prefixes(docs).collect()) == [("196.11.234.0/24", 120), ("2001:43f8:9d0::/48", 48)]
+    assert [(r.name, r.latitude, r.sources) for r in docs.collect()] == [("EXAMPLE-IX", 1.5, ["pch"])]
+    assert sorted((r.prefix, r.net.len) for r in prefixes(docs).collect()) == [("192.0.2.0/24", 120), ("2001:db8:9d0::/48", 48)]
     assert sorted(errors) == ["malformed JSON", "missing name"]
 
 
