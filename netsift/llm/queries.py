@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from netsift.llm.packing import op7_cost_balanced_packing
+from netsift.llm.quality import op5_robust_quality
 
 QUERIES = {
+    "op5_robust_quality": op5_robust_quality,
     "op7_cost_balanced_packing": op7_cost_balanced_packing,
 }
 
