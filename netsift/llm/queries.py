@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from netsift.llm.lines import OP3_SQL, op3_line_dedup
 from netsift.llm.packing import op7_cost_balanced_packing
 from netsift.llm.quality import op5_robust_quality
 
 QUERIES = {
+    "op3_line_dedup": op3_line_dedup,
     "op5_robust_quality": op5_robust_quality,
     "op7_cost_balanced_packing": op7_cost_balanced_packing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_line_dedup": OP3_SQL,
+}
