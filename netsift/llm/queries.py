@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from netsift.llm.lines import OP3_SQL, op3_line_dedup
+from netsift.llm.near import op9_dart_near_duplicates
 from netsift.llm.packing import op7_cost_balanced_packing
 from netsift.llm.quality import op5_robust_quality
 
@@ -10,6 +11,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op5_robust_quality": op5_robust_quality,
     "op7_cost_balanced_packing": op7_cost_balanced_packing,
+    "op9_dart_near_duplicates": op9_dart_near_duplicates,
 }
 
 ORACLE: dict[str, str] = {
