@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from netsift.llm.decontaminate import op4_benchmark_decontamination
+from netsift.llm.languages import op1_language_mixture
 from netsift.llm.lines import OP3_SQL, op3_line_dedup
 from netsift.llm.near import op9_dart_near_duplicates
 from netsift.llm.packing import op7_cost_balanced_packing
 from netsift.llm.quality import op5_robust_quality
+from netsift.llm.wordpiece import op8_longest_match_counts
 
 QUERIES = {
+    "op1_language_mixture": op1_language_mixture,
     "op3_line_dedup": op3_line_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_robust_quality": op5_robust_quality,
     "op7_cost_balanced_packing": op7_cost_balanced_packing,
+    "op8_longest_match_counts": op8_longest_match_counts,
     "op9_dart_near_duplicates": op9_dart_near_duplicates,
 }
 
