@@ -10,15 +10,16 @@ answer does not depend on any order of work.
 2. Two lines within the bound share their first or their last ``a`` words, ``a`` being
    about half their length. Distinct lines that share neither with another line have no
    partner and need no variants. This loses no pair.
-3. The others emit each variant with one word left out, as a hashed key, and themselves.
+3. The others emit each variant with one word of the half that is not shared left out, as
+   a hashed key, and themselves.
    Lines of a length that share a variant at one position differ by that one word; a line
    that is itself the variant of another differs by one word too. So the earliest line per
    (variant, position) and per variant is all a member needs: no pairs are built, and a
    key shared by any number of lines is summed up map side.
 4. Each line found to be a copy is compared word by word with its earlier partner.
 
-DataFrame operations only. A document's text is shuffled twice: to give its lines in
-question their words, and to take out the copies.
+DataFrame operations only. A document's text is shuffled to take out the copies, and to
+give the lines in question their words if these lines are more than ``MAX_SENT``.
 
 Cases: a null text has no lines and stays null; documents with a null id stay as they
 are; repeated ids count as one document if the texts are equal, and otherwise lines at the
@@ -33,8 +34,11 @@ from pyspark.sql import functions as F
 from netsift.functions.staging import once
 from netsift.llm.common import read, written
 from netsift.llm.quality import SPACE_PATTERN
+from netsift.operators.skew import is_small
 
 MIN_WORDS = 5
+# Lines in question that are sent to every task rather than met by a shuffle.
+MAX_SENT = 1_000_000
 
 
 def _words(line: Column) -> Column:
@@ -52,12 +56,17 @@ def _ends(hashes: Column, a: Column) -> list[Column]:
 
 
 def _distinct_lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """Distinct lines: ``h1, h2`` (hash of the words), ``place`` (earliest id and position), ``n``, ``ends``."""
+    """Distinct lines: ``h1, h2`` (hash of the words), ``place`` (earliest id and position), ``n``, ``ends``.
+
+    ``ends`` holds the first and last words, as long as suits a partner of the same length or
+    longer, and if that differs, as long as suits a shorter one.
+    """
     lines = docs.select("_id", F.posexplode(F.split("_text", "\n")).alias("pos", "line"))
     lines = once(lines, hashes=F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))).drop("line")
     lines = lines.where(F.size("hashes") >= min_words)
     n, h = F.size("hashes"), F.col("hashes")
-    ends = F.array_distinct(F.array(*_ends(h, _half(n)), *_ends(h, _half(n - 1))))
+    ends = _ends(h, _half(n))
+    ends = F.when(_half(n) == _half(n - 1), F.array(*ends)).otherwise(F.array(*ends, *_ends(h, _half(n - 1))))
     keyed = lines.select("_id", "pos", n.alias("n"), F.xxhash64(h).alias("h1"), F.xxhash64(F.lit(7), h).alias("h2"), ends.alias("ends"))
     return keyed.groupBy("h1", "h2").agg(
         F.min(F.struct("_id", "pos")).alias("place"), F.first("n").alias("n"), F.first("ends").alias("ends")
@@ -65,16 +74,25 @@ def _distinct_lines(docs: DataFrame, min_words: int) -> DataFrame:
 
 
 def _in_question(distinct: DataFrame) -> DataFrame:
-    """Lines that share an end with another line."""
-    ends = distinct.select("h1", "h2", "place", F.explode("ends").alias("end"))
+    """``place`` of lines that share an end with another line, and the range ``low``..``high`` of words that may differ."""
+    n = F.col("n")
+    ends = distinct.select("place", "n", F.posexplode("ends").alias("e", "end"))
+    a = F.when(F.col("e") < 2, _half(n)).otherwise(_half(n - 1))
+    head = F.col("e") % 2 == 0
+    ends = ends.select("place", "end", F.when(head, a).otherwise(0).alias("low"), F.when(head, n).otherwise(n - a).alias("high"))
     shared = ends.groupBy("end").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("end")
-    return ends.join(shared, "end", "left_semi").select("h1", "h2", "place").distinct()
+    met = ends.join(shared, "end", "left_semi")
+    return met.groupBy("place._id", "place.pos").agg(F.min("low").alias("low"), F.max("high").alias("high"))
 
 
 def _with_words(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    wanted = lines.groupBy(F.col("place._id").alias("_id")).agg(F.collect_set("place.pos").alias("wanted"))
-    met = docs.select("_id", "_text").join(wanted, "_id").select("_id", F.split("_text", "\n").alias("lines"), F.explode("wanted").alias("pos"))
-    met = met.select(F.struct("_id", "pos").alias("place"), _words(F.get("lines", F.col("pos"))).alias("words"))
+    """``lines`` with their ``words``, from the documents."""
+    lines = written(lines)
+    wanted = lines.groupBy("_id").agg(F.collect_list(F.struct("pos", "low", "high")).alias("wanted"))
+    if is_small(lines, MAX_SENT):  # about 40 bytes a line
+        wanted = F.broadcast(wanted)
+    met = docs.select("_id", "_text").join(wanted, "_id").select("_id", F.split("_text", "\n").alias("lines"), F.explode("wanted").alias("w"))
+    met = met.select(F.struct("_id", "w.pos").alias("place"), "w.low", "w.high", _words(F.get("lines", F.col("w.pos"))).alias("words"))
     return met.where(F.col("words").isNotNull()).dropDuplicates(["place"])
 
 
@@ -86,16 +104,18 @@ def _without(words: Column, i: Column) -> Column:
 
 def _partners(lines: DataFrame) -> DataFrame:
     """``place`` of each line with an earlier line that shares a variant, ``partner`` and the position ``i`` left out."""
-    numbered = lines.select("place", "words", F.explode(F.sequence(F.lit(-1), F.size("words") - 1)).alias("i"))
+    places = F.concat(F.array(F.lit(-1)), F.sequence(F.col("low"), F.col("high") - 1))
+    numbered = lines.select("place", "words", F.explode(places).alias("i"))
     variant = once(numbered, v=_without(F.col("words"), F.col("i")))
-    keys = variant.select("place", "i", F.xxhash64("v").alias("k1"), F.xxhash64(F.lit(7), "v").alias("k2"))
-    at = keys.groupBy("k1", "k2", "i").agg(F.min("place").alias("first"))
+    keys = written(variant.select("place", "i", F.xxhash64("v").alias("k1"), F.xxhash64(F.lit(7), "v").alias("k2")))
+    at = keys.groupBy("k1", "k2", "i").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
     own = F.col("i") == -1
     by_key = at.groupBy("k1", "k2").agg(
         F.min(F.when(own, F.col("first"))).alias("whole"), F.min(F.when(~own, F.col("first"))).alias("longer"),
-        F.count(F.lit(1)).alias("_n"),
-    )
+        F.sum("n").alias("_n"),
+    ).where("_n > 1")
     both = at.join(by_key, ["k1", "k2"])
+    # most keys are of one line only and gone by now
     best = both.select("k1", "k2", "i", F.when(own, F.col("longer")).otherwise(F.least("first", "whole")).alias("partner"))
     found = keys.join(best, ["k1", "k2", "i"]).where(F.col("partner") < F.col("place"))
     return found.groupBy("place").agg(F.min(F.struct("partner", "i")).alias("m")).select("place", "m.partner", "m.i")
@@ -131,16 +151,23 @@ def deduped_lines(
     lines = written(_with_words(known, _in_question(distinct)))
     copies = _copies(lines)
     stay = distinct.select("place").join(copies, "place", "left_anti")
-    stay = stay.groupBy(F.col("place._id").alias("_id")).agg(F.collect_set("place.pos").alias("_stay"))
+    stay = stay.groupBy(F.col("place._id").alias("_id")).agg(F.collect_list("place.pos").alias("_stay"))
     packed = docs.select(F.struct("*").alias("_row"), F.col(id_column).alias("_id"))
     joined = packed.join(stay, "_id", "left")
     stays = F.coalesce(F.col("_stay"), F.array().cast("array<int>"))
     split = once(joined.select("_row", "_id", stays.alias("_stay")), _lines=F.split(F.col(f"_row.{text}").cast("string"), "\n"))
+    # a marker per place that stays is sorted in before its line
+    entry = lambda i, m, line: F.struct(i.alias("i"), F.lit(m).alias("m"), line.alias("line"))
+    both = F.concat(F.transform("_lines", lambda line, i: entry(i, 1, line)),
+                    F.transform("_stay", lambda p: entry(p, 0, F.lit(""))))
+    split = once(split.select("_row", "_id", F.size("_lines").alias("_n_lines"), both.alias("_both")), _sorted=F.array_sort("_both"))
+    marked = lambda k: F.coalesce(F.get(F.col("_sorted"), k - 1)["m"] == 0, F.lit(False))
     kept = F.filter(
-        "_lines",
-        lambda line, i: F.col("_id").isNull() | (F.size(_words(line)) < min_words) | F.array_contains(F.col("_stay"), i),
+        "_sorted",
+        lambda e, k: (e["m"] == 1) & (F.col("_id").isNull() | marked(k) | (F.size(_words(e["line"])) < min_words)),
     )
-    return once(split, _kept_lines=kept).select("_row.*", "_kept_lines", F.size("_lines").alias("_n_lines"))
+    lines = F.transform(kept, lambda e: e["line"])
+    return once(split.select("_row", "_id", "_n_lines", "_sorted"), _kept_lines=lines).select("_row.*", "_kept_lines", "_n_lines")
 
 
 def without_copied_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: str | None = "n_chars") -> DataFrame:
