@@ -3,16 +3,20 @@
 Documents are multisets of five-word shingles; two are linked if their weighted Jaccard
 similarity is ``threshold`` or more, and a class is what links connect.
 
-1. One pass over the text gives each document a hash of its words and its band keys.
-   Documents of equal words are one from here on, the one of least id.
-2. Within a bucket (documents that share a band key) all are compared with the least one.
-   No bucket is collected and no pairs of a whole bucket are built.
-3. Links make components. A bucket whose members, apart from those compared with all
-   others, still belong to several components is compared with its next one, and so on
-   until no bucket is left in which an uncompared pair could join two components: so no
-   class that the buckets can show is missed, however large a bucket is.
-4. Each compared pair is verified on the texts. Members of one leader are dealt to parts
-   of a bounded size, each part streams through a task with the leader's text.
+1. One pass over the text gives each document a hash of its words, its number of shingles
+   and its band keys. Documents of equal words are one from here on, the one of least id.
+2. A bucket holds the documents that share a band key and are of similar size: sizes are
+   cut in classes by the threshold, and each document goes to two neighbouring ones, so
+   no pair that could be similar enough is parted.
+3. All documents of a bucket are compared with its least one, the leader. Links make
+   components; a bucket all of one component is done. The others are split by distance
+   from their leader: distance (one less similarity) is a metric, so two documents whose
+   distances from the leader differ by more than the bound cannot be near each other.
+   Each goes to two neighbouring parts of the bucket's, and parts go on as buckets do.
+4. What is still of several components after ``SPLITS`` rounds, or small, is compared
+   across components, every pair. So no link that the buckets can show is missed.
+5. Each pair is verified on the texts. Members of one leader are dealt to parts of a
+   bounded size, and each part streams through a task behind the leader's text.
 
 With the 24 bands of 5 rows a pair of similarity 0.8 shares a bucket with probability
 0.99993, one of 0.9 with all but 1e-9.
@@ -25,11 +29,12 @@ gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netsift.llm import darts
@@ -41,7 +46,10 @@ BANDS, ROWS = 24, 5
 THRESHOLD = 0.8
 # Members verified against one leader in one part.
 PART = 256
-_SIGNED = pa.schema([("id", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64()), ("bands", pa.list_(pa.int64()))])
+# Rounds of splitting buckets by distance from a leader, and the size under which all is compared at once.
+SPLITS = 3
+SMALL = 48
+_SIGNED = pa.schema([("id", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64()), ("n", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
 
 def _signed(value: int) -> int:
@@ -49,7 +57,7 @@ def _signed(value: int) -> int:
 
 
 def sign(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """``id``, 128 bits of hash of the words, and the band keys of documents with a word."""
+    """``id``, 128 bits of hash of the words, number of shingles, and the band keys of documents with a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = darts.WordHashes()
@@ -57,20 +65,22 @@ def sign(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
             split = [(i, w) for i, w in ((i, words(t)) for i, t in group) if w]
             if not split:
                 continue
-            keys = darts.band_keys(darts.signatures([darts.shingles(w, hashes, size) for _, w in split], bands * rows), bands)
+            bags = [darts.shingles(w, hashes, size) for _, w in split]
+            keys = darts.band_keys(darts.signatures(bags, bands * rows), bands)
             whole = [xxhash.xxh3_128_intdigest(utf8(" ".join(w))) for _, w in split]
             yield pa.RecordBatch.from_arrays([
                 pa.array([i for i, _ in split], pa.int64()),
                 pa.array([_signed(x >> 64) for x in whole], pa.int64()),
                 pa.array([_signed(x & ((1 << 64) - 1)) for x in whole], pa.int64()),
+                pa.array([int(b[1].sum()) for b in bags], pa.int64()),
                 pa.array(list(keys), pa.list_(pa.int64())),
             ], schema=_SIGNED)
 
-    return docs.mapInArrow(run, "id long, w1 long, w2 long, bands array<long>")
+    return docs.mapInArrow(run, "id long, w1 long, w2 long, n long, bands array<long>")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
-    """The pairs (leader ``a``, member ``b``) whose texts are similar enough."""
+def _compared(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """The pairs (leader ``a``, member ``b``) with the similarity ``s`` of their texts."""
     parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("n"))
     dealt = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("n")).cast("int").alias("part"), F.col("b").alias("id"))
     leaders = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("part"), F.col("a").alias("id"))
@@ -86,11 +96,23 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -
                 bag = darts.shingles(words(text), hashes, size)
                 if role == 0:
                     leader = bag
-                elif darts.similarity(leader, bag) >= threshold:
-                    found.append((a, i))
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+                else:
+                    found.append((a, i, darts.similarity(leader, bag)))
+            kinds = (pa.int64(), pa.int64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], kinds[k]) for k in range(3)], names=["a", "b", "s"])
 
-    return placed.mapInArrow(run, "a long, b long")
+    return placed.mapInArrow(run, "a long, b long, s double")
+
+
+def _led(buckets: DataFrame) -> DataFrame:
+    """``buckets`` (``key, id``) of several members, with the least id as ``a``."""
+    many = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("_c"), F.min("id").alias("a")).where("_c > 1")
+    return buckets.join(many, "key").drop("_c")
+
+
+def _twice(key: Column, part: Column) -> Column:
+    """The keys of two neighbouring parts: equal or adjacent ``part`` numbers have one in common."""
+    return F.explode(F.array(F.xxhash64(key, part), F.xxhash64(key, part + 1)))
 
 
 def near_classes(
@@ -100,31 +122,43 @@ def near_classes(
     """``id, class_id`` for each document with an id; ``class_id`` is the least id of the class."""
     slim = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).cast("string").alias("text")).where("id is not null")
     signed = written(sign(slim, size, bands, rows))
-    one = written(signed.groupBy("w1", "w2").agg(F.min("id").alias("id"), F.min("bands").alias("bands")))
-    keyed = one.select("id", F.explode("bands").alias("key"))
-    many = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("a")).where("n > 1").select("key", "a")
-    buckets = written(keyed.join(many, "key"))  # id, key, a: the least id of the bucket
-    asked = buckets.select("id").distinct()
-    texts = written(slim.join(asked, "id").dropDuplicates(["id"]))
+    one = written(signed.groupBy("w1", "w2").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("bands").alias("bands")))
+    size_class = F.floor(F.log(F.col("n")) / -math.log(threshold) + 1e-9)
+    keyed = one.select("id", size_class.alias("c"), F.explode("bands").alias("band"))
+    buckets = written(_led(keyed.select("id", _twice(F.col("band"), F.col("c")).alias("key"))))
+    texts = written(slim.join(buckets.select("id").distinct(), "id").dropDuplicates(["id"]))
     # equal documents under several ids, or several texts under one id, are links without a check
-    links = written(signed.join(one.select("w1", "w2", F.col("id").alias("a")), ["w1", "w2"]).where("a <> id").select("a", F.col("id").alias("b")).distinct())
-    known = links
-    tried = written(buckets.where("a <> id").select("a", F.col("id").alias("b")).distinct())
-    pairs, leaders = tried, buckets.select("key", F.col("a").alias("id")).distinct()
-    while True:
-        known = written(known.union(_verified(pairs, texts, size, threshold)))
+    firsts = one.select("w1", "w2", F.col("id").alias("a"))
+    known = written(signed.join(firsts, ["w1", "w2"]).where("a <> id").select("a", F.col("id").alias("b")).distinct())
+    sizes = one.select("id", "n").groupBy("id").agg(F.min("n").alias("n"))
+    scored = None
+    pairs = buckets.where("a <> id").select("a", F.col("id").alias("b")).distinct()
+    for split in range(SPLITS + 1):
+        now = written(_compared(pairs, texts, size))
+        scored = now if scored is None else written(scored.union(now))
+        known = written(known.union(now.where(F.col("s") >= threshold).select("a", "b")))
         roots = written(components(known))
-        # members that were no leader of the bucket yet, and whether they belong together
-        open_ = buckets.select("key", "id").join(leaders, ["key", "id"], "left_anti").join(roots, "id", "left")
-        open_ = open_.select("key", "id", F.coalesce("root", "id").alias("root"))
-        torn = open_.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.min(F.struct("root", "id")).alias("m"))
-        torn = written(torn.where("r1 <> r2").select("key", F.col("m.id").alias("a"), F.col("m.root").alias("ra")))
-        if torn.isEmpty():
+        if split == SPLITS or buckets is None:
+            break
+        # parts of the buckets by distance from the leader
+        led = buckets.where("a <> id").join(scored.select("a", F.col("b").alias("id"), "s"), ["a", "id"])
+        part = F.floor((1 - F.col("s")) / (1 - threshold) - 1e-9)
+        parts = led.select("id", _twice(F.col("key"), part).alias("key")).distinct().join(roots, "id", "left")
+        parts = parts.select("key", "id", F.coalesce("root", "id").alias("root"))
+        torn = parts.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("r1"), F.max("root").alias("r2"))
+        open_ = written(parts.join(torn.where("r1 <> r2").select("key", "c"), "key").join(sizes, "id"))
+        if open_.isEmpty():
             break
-        new = open_.join(torn, "key").where("root <> ra").select(F.least("a", "id").alias("x"), F.greatest("a", "id").alias("y"))
-        pairs = written(new.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
-        tried = written(tried.union(pairs))
-        leaders = written(leaders.union(torn.select("key", F.col("a").alias("id"))))
+        last = split == SPLITS - 1
+        whole = open_ if last else open_.where(F.col("c") <= SMALL)
+        other = whole.select("key", F.col("id").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"))
+        near_size = F.least("n", "n_b") >= threshold * F.greatest("n", "n_b") - 1e-9
+        across = whole.join(other, "key").where((F.col("id") < F.col("b")) & (F.col("root") != F.col("root_b")) & near_size)
+        across = across.select(F.col("id").alias("a"), "b")
+        buckets = None if last else written(_led(open_.where(F.col("c") > SMALL).select("key", "id")))
+        if buckets is not None:
+            across = across.union(buckets.where("a <> id").select("a", F.col("id").alias("b")))
+        pairs = written(across.distinct().join(scored, ["a", "b"], "left_anti"))
     return slim.select("id").distinct().join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("class_id"))
 
 
