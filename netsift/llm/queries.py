@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from netsift.llm.decontaminate import op4_benchmark_decontamination
+from netsift.llm.extract import op10_wrapper_main_text
 from netsift.llm.languages import op1_language_mixture
 from netsift.llm.lines import OP3_SQL, op3_line_dedup
 from netsift.llm.near import op9_dart_near_duplicates
@@ -18,6 +19,7 @@ QUERIES = {
     "op7_cost_balanced_packing": op7_cost_balanced_packing,
     "op8_longest_match_counts": op8_longest_match_counts,
     "op9_dart_near_duplicates": op9_dart_near_duplicates,
+    "op10_wrapper_main_text": op10_wrapper_main_text,
 }
 
 ORACLE: dict[str, str] = {
