@@ -9,6 +9,7 @@ from netsift.llm.lines import OP3_SQL, op3_line_dedup
 from netsift.llm.near import op9_dart_near_duplicates
 from netsift.llm.packing import op7_cost_balanced_packing
 from netsift.llm.quality import op5_robust_quality
+from netsift.llm.scoring import op6_context_mixing
 from netsift.llm.wordpiece import op8_longest_match_counts
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_robust_quality": op5_robust_quality,
+    "op6_context_mixing": op6_context_mixing,
     "op7_cost_balanced_packing": op7_cost_balanced_packing,
     "op8_longest_match_counts": op8_longest_match_counts,
     "op9_dart_near_duplicates": op9_dart_near_duplicates,
