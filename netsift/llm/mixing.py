@@ -4,11 +4,14 @@ A word is coded byte by byte and bit by bit, in two parts: its first two bytes,
 the last two bytes of the word before, and the rest, which sees the word so far. Each of
 five contexts is hashed with the bits of the byte so far to a slot; the slot's counts of
 zeros and ones give a prediction in the logistic domain. Predictions are added up with
-weights chosen by a gate: which of the longer contexts were seen, and in which part. Words
+weights chosen by a gate: how often the whole context was seen, whether the context of
+four bytes was, and in which part. Words
 that occur again in a block are computed once and counted as often as they occur.
 
-Training is online: the bits of a block are predicted with what was counted before it, the
-weights of the gates step against the error, then the block is counted.
+Training is online: a batch of bits is predicted with what was counted before it, the
+weights of the gates take a Newton step against the error (their curvature adds up over
+the batches), then the batch is counted. Every batch is counted; the weights, a few dozen
+numbers, are fitted on the first ``FITTED`` batches of a block.
 """
 
 from __future__ import annotations
@@ -17,6 +20,10 @@ import numpy as np
 
 CONTEXTS = 5
 GATES = 16
+# Slots of each context's table, as powers of two below the largest.
+SMALLER = (5, 3, 1, 0, 1)
+WHOLE = 3
+FITTED = 6
 PRIOR = 0.4
 UNSEEN = -128
 SCALE = 10.0
@@ -24,7 +31,7 @@ END = b"\xff"  # a byte that UTF-8 never has
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _P = 0x100000001B3
 _PI = pow(_P, -1, 1 << 64)
-BATCH = 24_000
+BATCH = 16_000
 
 
 class Bits:
@@ -56,18 +63,17 @@ class Bits:
         node = (np.uint64(1) << depth) | (byte[:, None] >> (np.uint64(8) - depth))
         self.bit = ((byte[:, None] >> (np.uint64(7) - depth)) & np.uint64(1)).astype(bool).ravel()
         salt = node * _A
-        shift = np.uint64(64 - bits)
         self.slots = []
         for k, c in enumerate(contexts):
             key = (c + np.uint64(part * 8 + k + 1)) * _B
             key ^= key >> np.uint64(29)
-            self.slots.append((((key[:, None] ^ salt) * _B) >> shift).astype(np.int64).ravel())
+            self.slots.append((((key[:, None] ^ salt) * _B) >> np.uint64(64 - bits + SMALLER[k])).astype(np.int64).ravel())
         self.part, self.count = part, len(strings)
 
-    def predict(self, x: list[np.ndarray], seen: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def predict(self, x: list[np.ndarray], level: np.ndarray, seen: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Logistic sums and gates."""
-        gate = (seen[2] + 2 * seen[3] + 4 * seen[4] + 8 * self.part).astype(np.int64)
-        w = weights[gate]
+        gate = level + 4 * seen.astype(np.int64) + 8 * self.part
+        w = weights.astype(np.float32)[gate]
         total = w[:, CONTEXTS].copy()
         for k in range(CONTEXTS):
             total += w[:, k] * x[k]
@@ -126,34 +132,50 @@ def _by_bytes(indices: np.ndarray, strings: list[bytes]):
         yield np.array(held)
 
 
+def levels(n: np.ndarray) -> np.ndarray:
+    """0 to 3: never seen, a few times, often, very often."""
+    return (n > 0).astype(np.int64) + (n > 3) + (n > 60)
+
+
 class Trainer:
     """Counts of every slot, and weights learned on the way."""
 
-    def __init__(self, bits: int, rate: float = 0.1):
-        self.bits, self.rate = bits, rate
-        self.n = np.zeros((CONTEXTS, 2, 1 << bits), np.uint32)
-        self.weights = np.full((GATES, CONTEXTS + 1), 0.3)
+    def __init__(self, bits: int, ridge: float = 30.0):
+        self.bits = bits
+        self.n = [np.zeros(2 << (bits - less), np.uint32) for less in SMALLER]  # zeros, then ones
+        self.weights = np.full((GATES, CONTEXTS + 1), 0.2)
+        self.weights[:, WHOLE] = 0.5
         self.weights[:, CONTEXTS] = 0
+        self.curve = np.tile(np.eye(CONTEXTS + 1) * ridge, (GATES, 1, 1))
         self.tokens = 0.0
 
+    def half(self, k: int) -> int:
+        return len(self.n[k]) >> 1
+
+    def fit(self, b: Bits, often: np.ndarray) -> None:
+        zeros = [self.n[k][s] for k, s in enumerate(b.slots)]
+        ones = [self.n[k][s + self.half(k)] for k, s in enumerate(b.slots)]
+        x = [np.log((o + np.float32(PRIOR)) / (z + np.float32(PRIOR))) for z, o in zip(zeros, ones)]
+        level = levels(zeros[WHOLE] + ones[WHOLE])
+        total, gate = b.predict(x, level, zeros[2] + ones[2] > 0, self.weights)
+        p = 1 / (1 + np.exp(-total))
+        table = np.stack([*x, np.ones(len(p), np.float32)], 1).astype(np.float64)
+        for g in np.unique(gate):
+            at = gate == g
+            some, n, q = table[at], often[at], p[at]
+            self.curve[g] += some.T @ (some * (n * np.maximum(q * (1 - q), 1e-4))[:, None])
+            self.weights[g] += np.linalg.solve(self.curve[g], some.T @ (n * (b.bit[at] - q)))
+
     def learn(self, words: list[bytes], last: np.ndarray, word: np.ndarray, number: np.ndarray) -> None:
-        batches = parts(words, last, word, number, self.bits)
-        for b, n, _ in batches:
+        fitted = [0, 0]
+        for b, n, _ in parts(words, last, word, number, self.bits):
             often = np.repeat(n[b.owner], 8)
-            zeros = [self.n[k, 0, s] for k, s in enumerate(b.slots)]
-            ones = [self.n[k, 1, s] for k, s in enumerate(b.slots)]
-            x = [np.log((o + np.float32(PRIOR)) / (z + np.float32(PRIOR))) for z, o in zip(zeros, ones)]
-            seen = [(z + o > 0) for z, o in zip(zeros, ones)]
-            total, gate = b.predict(x, seen, self.weights)
-            error = often * (b.bit - 1 / (1 + np.exp(-total)))
-            for k in range(CONTEXTS + 1):
-                v = x[k] if k < CONTEXTS else np.ones(len(error), np.float32)
-                up = np.bincount(gate, error * v, GATES)
-                down = np.bincount(gate, often * v * v, GATES)
-                self.weights[:, k] += self.rate * up / (down + 100)
+            if fitted[b.part] < FITTED and self.tokens:
+                self.fit(b, often)
+                fitted[b.part] += 1
             count = often.astype(np.uint32)
             for k, s in enumerate(b.slots):
-                np.add.at(self.n[k].reshape(-1), s + (b.bit.astype(np.int64) << self.bits), count)
+                np.add.at(self.n[k], s + b.bit * self.half(k), count)
         self.tokens += float(number.sum())
 
 
@@ -166,9 +188,9 @@ def packed(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 class Model:
     """Frozen predictions and weights."""
 
-    def __init__(self, tables: np.ndarray, weights: np.ndarray):
-        self.tables, self.weights = tables, weights
-        self.bits = tables.shape[1].bit_length() - 1
+    def __init__(self, tables: list[np.ndarray], level: np.ndarray, weights: np.ndarray):
+        self.tables, self.level, self.weights = tables, level, weights
+        self.bits = len(tables[WHOLE]).bit_length() - 1
 
     def of_pairs(self, words: list[bytes], last: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Natural logarithm of the probability of each (word before, word)."""
@@ -176,10 +198,10 @@ class Model:
         rest = np.zeros(len(words))
         heads = None
         for b, _, where in parts(words, last, word, np.ones(len(word)), self.bits):
-            raw = [self.tables[k, s] for k, s in enumerate(b.slots)]
-            seen = [r != UNSEEN for r in raw]
-            x = [np.where(v, r.astype(np.float32) / np.float32(SCALE), np.float32(0)) for r, v in zip(raw, seen)]
-            cost = b.cost(b.predict(x, seen, self.weights)[0])
+            raw = [self.tables[k][s] for k, s in enumerate(b.slots)]
+            x = [np.where(r != UNSEEN, r, 0) * np.float32(1 / SCALE) for r in raw]
+            level = self.level[b.slots[WHOLE]].astype(np.int64)
+            cost = b.cost(b.predict(x, level, raw[2] != UNSEEN, self.weights)[0])
             if b.part == 0:
                 heads = cost if heads is None else np.concatenate([heads, cost])
                 index = where[1]

@@ -33,8 +33,8 @@ from netsift.llm import mixing
 from netsift.llm.common import groups_of, read, rows_of, utf8, written
 from netsift.llm.languages import fold
 
-BLOCK_CHARS = 6_000_000
-BITS = (16, 22)
+BLOCK_CHARS = 12_000_000
+BITS = (18, 23)
 PIECE = 1 << 16
 CACHE_SHARE, CACHE_HALF = 0.3, 300.0
 _BLOCK = "block long, docs binary, words binary, tokens binary, sizes binary, training binary, n_docs long, n_training long"
@@ -155,8 +155,8 @@ def _word_totals(cut: DataFrame, buckets: int) -> DataFrame:
 
 def _model(cut: DataFrame, bits: int) -> mixing.Model:
     """Trains over all blocks; the driver gets one table of fixed size and one set of weights."""
-    pieces = max(1, (1 << bits) // PIECE)
-    size = (1 << bits) // pieces
+    slots = [1 << (bits - less) for less in mixing.SMALLER]
+    step = [min(PIECE, n) for n in slots]
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = mixing.Trainer(bits)
@@ -169,10 +169,11 @@ def _model(cut: DataFrame, bits: int) -> mixing.Model:
         if not trainer.tokens:
             return
         yield _rows([(-1, 0, np.append(trainer.weights.ravel() * trainer.tokens, trainer.tokens).tobytes())])
-        for k in range(mixing.CONTEXTS):
-            for j in range(pieces):
+        for k, n in enumerate(slots):
+            both = trainer.n[k].reshape(2, n)
+            for j in range(n // step[k]):
                 # bytes of equal weight side by side compress well
-                piece = np.ascontiguousarray(trainer.n[k, :, j * size : (j + 1) * size]).view(np.uint8).reshape(-1, 4).T
+                piece = np.ascontiguousarray(both[:, j * step[k] : (j + 1) * step[k]]).view(np.uint8).reshape(-1, 4).T
                 yield _rows([(k, j, _zip(piece.tobytes()))])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +192,10 @@ def _model(cut: DataFrame, bits: int) -> mixing.Model:
             yield _rows([(*at, finished(at, total))])
 
     def finished(at, total) -> bytes:
-        return total.tobytes() if at[0] < 0 else mixing.packed(total[0], total[1]).tobytes()
+        if at[0] < 0:
+            return total.tobytes()
+        level = mixing.levels(total.sum(0)).astype(np.int8).tobytes() if at[0] == mixing.WHOLE else b""
+        return mixing.packed(total[0], total[1]).tobytes() + level
 
     def _rows(rows):
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
@@ -199,15 +203,19 @@ def _model(cut: DataFrame, bits: int) -> mixing.Model:
 
     schema = "k long, j long, data binary"
     summed = cut.mapInArrow(train, schema).repartition("k", "j").sortWithinPartitions("k", "j").mapInArrow(add, schema)
-    tables = np.full((mixing.CONTEXTS, 1 << bits), mixing.UNSEEN, np.int8)
-    weights = np.full((mixing.GATES, mixing.CONTEXTS + 1), 0.3)
-    for row in summed.toLocalIterator():  # CONTEXTS * 2 ** bits bytes in all
+    tables = [np.full(n, mixing.UNSEEN, np.int8) for n in slots]
+    level = np.zeros(slots[mixing.WHOLE], np.int8)
+    weights = mixing.Trainer(8).weights
+    for row in summed.toLocalIterator():  # a few times 2 ** bits bytes in all
         if row.k < 0:
             found = np.frombuffer(row.data, np.float64)
             weights = (found[:-1] / found[-1]).reshape(weights.shape)
         else:
-            tables[row.k, row.j * size : (row.j + 1) * size] = np.frombuffer(row.data, np.int8)
-    return mixing.Model(tables, weights)
+            found, at = np.frombuffer(row.data, np.int8), slice(row.j * step[row.k], (row.j + 1) * step[row.k])
+            tables[row.k][at] = found[: step[row.k]]
+            if row.k == mixing.WHOLE:
+                level[at] = found[step[row.k] :]
+    return mixing.Model(tables, level, weights)
 
 
 def _repeats(block: Block) -> tuple[np.ndarray, np.ndarray]:
