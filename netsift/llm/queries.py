@@ -10,10 +10,12 @@ from netsift.llm.near import op9_dart_near_duplicates
 from netsift.llm.packing import op7_cost_balanced_packing
 from netsift.llm.quality import op5_robust_quality
 from netsift.llm.scoring import op6_context_mixing
+from netsift.llm.substrings import op2_repeated_substrings
 from netsift.llm.wordpiece import op8_longest_match_counts
 
 QUERIES = {
     "op1_language_mixture": op1_language_mixture,
+    "op2_repeated_substrings": op2_repeated_substrings,
     "op3_line_dedup": op3_line_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_robust_quality": op5_robust_quality,
