@@ -5,21 +5,21 @@ similarity is ``threshold`` or more, and a class is what links connect.
 
 1. One pass over the text gives each document a hash of its words, its number of shingles
    and its band keys. Documents of equal words are one from here on, the one of least id.
-2. A bucket holds the documents that share a band key and are of similar size: sizes are
-   cut in classes by the threshold, and each document goes to two neighbouring ones, so
-   no pair that could be similar enough is parted.
-3. All documents of a bucket are compared with its least one, the leader. Links make
-   components; a bucket all of one component is done. The others are split by distance
-   from their leader: distance (one less similarity) is a metric, so two documents whose
-   distances from the leader differ by more than the bound cannot be near each other.
-   Each goes to two neighbouring parts of the bucket's, and parts go on as buckets do.
-4. What is still of several components after ``SPLITS`` rounds, or small, is compared
-   across components, every pair. So no link that the buckets can show is missed.
+2. A bucket holds the documents that share a band key. In the first bands all documents of
+   a bucket are compared with its least one, the leader; links make components. From then
+   on only buckets of several components count, by an aggregate over all bands.
+3. Small ones are compared across components, every pair of similar enough sizes. Large ones
+   are compared with a leader and split by distance from it: distance (one less
+   similarity) is a metric, so two documents whose distances from the leader differ by
+   more than the bound cannot be near each other. Each goes to two neighbouring parts of
+   the bucket's, and parts of several components go on as buckets do.
+4. What is still large after ``SPLITS`` rounds is compared across components, every pair. So
+   no link that the buckets can show is missed.
 5. Each pair is verified on the texts. Members of one leader are dealt to parts of a
    bounded size, and each part streams through a task behind the leader's text.
 
-With the 24 bands of 5 rows a pair of similarity 0.8 shares a bucket with probability
-0.99993, one of 0.9 with all but 1e-9.
+With 40 bands of 7 rows a pair of similarity 0.8 shares a bucket with probability 0.9999,
+one of 0.9 with all but 1e-11, one of 0.3 with 0.01.
 
 Cases: documents without a word (null, empty) and those with a null id are classes of
 their own; texts of under five words are near only to equal ones; repeated ids count as
@@ -42,7 +42,8 @@ from netsift.llm.common import groups_of, read, rows_of, utf8, words, written
 from netsift.llm.components import components
 
 SHINGLE = 5
-BANDS, ROWS = 24, 5
+BANDS, ROWS = 40, 7
+FIRST = 8
 THRESHOLD = 0.8
 # Members verified against one leader in one part.
 PART = 256
@@ -110,6 +111,12 @@ def _led(buckets: DataFrame) -> DataFrame:
     return buckets.join(many, "key").drop("_c")
 
 
+def _torn(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The buckets (``key, id, root``) of several roots, with their size ``c`` and each member's ``n``."""
+    seen = members.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("r1"), F.max("root").alias("r2"))
+    return written(members.join(seen.where("r1 <> r2").select("key", "c"), "key").join(sizes, "id"))
+
+
 def _twice(key: Column, part: Column) -> Column:
     """The keys of two neighbouring parts: equal or adjacent ``part`` numbers have one in common."""
     return F.explode(F.array(F.xxhash64(key, part), F.xxhash64(key, part + 1)))
@@ -123,42 +130,43 @@ def near_classes(
     slim = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).cast("string").alias("text")).where("id is not null")
     signed = written(sign(slim, size, bands, rows))
     one = written(signed.groupBy("w1", "w2").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("bands").alias("bands")))
-    size_class = F.floor(F.log(F.col("n")) / -math.log(threshold) + 1e-9)
-    keyed = one.select("id", size_class.alias("c"), F.explode("bands").alias("band"))
-    buckets = written(_led(keyed.select("id", _twice(F.col("band"), F.col("c")).alias("key"))))
-    texts = written(slim.join(buckets.select("id").distinct(), "id").dropDuplicates(["id"]))
+    sizes = one.groupBy("id").agg(F.min("n").alias("n"))
     # equal documents under several ids, or several texts under one id, are links without a check
     firsts = one.select("w1", "w2", F.col("id").alias("a"))
     known = written(signed.join(firsts, ["w1", "w2"]).where("a <> id").select("a", F.col("id").alias("b")).distinct())
-    sizes = one.select("id", "n").groupBy("id").agg(F.min("n").alias("n"))
-    scored = None
-    pairs = buckets.where("a <> id").select("a", F.col("id").alias("b")).distinct()
+    keyed = one.select("id", F.explode("bands").alias("key"))
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("key")
+    asked = keyed.join(shared, "key", "left_semi").select("id").distinct()
+    texts = written(slim.join(asked, "id").dropDuplicates(["id"]))
+    buckets = _led(one.select("id", F.explode(F.slice("bands", 1, FIRST)).alias("key")))
+    pairs = written(buckets.where("a <> id").select("a", F.col("id").alias("b")).distinct())
+    scored = written(_compared(pairs, texts, size))
+    known = written(known.union(scored.where(F.col("s") >= threshold).select("a", "b")))
+    roots = written(components(known))
+    rooted = one.join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("root"), "bands")
+    open_ = _torn(rooted.select("id", "root", F.explode("bands").alias("key")), sizes)
     for split in range(SPLITS + 1):
+        whole = open_ if split == SPLITS else open_.where(F.col("c") <= SMALL)
+        other = whole.select("key", F.col("id").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"))
+        near_size = F.least("n", "n_b") >= threshold * F.greatest("n", "n_b") - 1e-9
+        across = whole.join(other, "key").where((F.col("id") < F.col("b")) & (F.col("root") != F.col("root_b")) & near_size)
+        across = across.select(F.col("id").alias("a"), "b")
+        large = None
+        if split < SPLITS:
+            large = written(_led(open_.where(F.col("c") > SMALL).select("key", "id")))
+            across = across.union(large.where("a <> id").select("a", F.col("id").alias("b")))
+        pairs = written(across.distinct().join(scored, ["a", "b"], "left_anti"))
         now = written(_compared(pairs, texts, size))
-        scored = now if scored is None else written(scored.union(now))
+        scored = written(scored.union(now))
         known = written(known.union(now.where(F.col("s") >= threshold).select("a", "b")))
         roots = written(components(known))
-        if split == SPLITS or buckets is None:
+        if large is None or large.isEmpty():
             break
-        # parts of the buckets by distance from the leader
-        led = buckets.where("a <> id").join(scored.select("a", F.col("b").alias("id"), "s"), ["a", "id"])
+        # parts of the large buckets by distance from the leader
+        led = large.where("a <> id").join(scored.select("a", F.col("b").alias("id"), "s"), ["a", "id"])
         part = F.floor((1 - F.col("s")) / (1 - threshold) - 1e-9)
         parts = led.select("id", _twice(F.col("key"), part).alias("key")).distinct().join(roots, "id", "left")
-        parts = parts.select("key", "id", F.coalesce("root", "id").alias("root"))
-        torn = parts.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("r1"), F.max("root").alias("r2"))
-        open_ = written(parts.join(torn.where("r1 <> r2").select("key", "c"), "key").join(sizes, "id"))
-        if open_.isEmpty():
-            break
-        last = split == SPLITS - 1
-        whole = open_ if last else open_.where(F.col("c") <= SMALL)
-        other = whole.select("key", F.col("id").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"))
-        near_size = F.least("n", "n_b") >= threshold * F.greatest("n", "n_b") - 1e-9
-        across = whole.join(other, "key").where((F.col("id") < F.col("b")) & (F.col("root") != F.col("root_b")) & near_size)
-        across = across.select(F.col("id").alias("a"), "b")
-        buckets = None if last else written(_led(open_.where(F.col("c") > SMALL).select("key", "id")))
-        if buckets is not None:
-            across = across.union(buckets.where("a <> id").select("a", F.col("id").alias("b")))
-        pairs = written(across.distinct().join(scored, ["a", "b"], "left_anti"))
+        open_ = _torn(parts.select("id", F.coalesce("root", "id").alias("root"), "key"), sizes)
     return slim.select("id").distinct().join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("class_id"))
 
 
