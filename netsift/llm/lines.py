@@ -107,7 +107,8 @@ def _partners(lines: DataFrame) -> DataFrame:
     places = F.concat(F.array(F.lit(-1)), F.sequence(F.col("low"), F.col("high") - 1))
     numbered = lines.select("place", "words", F.explode(places).alias("i"))
     variant = once(numbered, v=_without(F.col("words"), F.col("i")))
-    keys = written(variant.select("place", "i", F.xxhash64("v").alias("k1"), F.xxhash64(F.lit(7), "v").alias("k2")))
+    # made twice, for the sums and for the join with them: on disk they would be larger than the lines by far
+    keys = variant.select("place", "i", F.xxhash64("v").alias("k1"), F.xxhash64(F.lit(7), "v").alias("k2"))
     at = keys.groupBy("k1", "k2", "i").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
     own = F.col("i") == -1
     by_key = at.groupBy("k1", "k2").agg(
