@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from netsift.operators.enrichment import apply_enrichment
-from netsift.operators.tables import fold_log, write_batch
+from netsift.operators.tables import drop_batch, fold_log, read_log, write_batch
 from netsift.sources.base import APPEND, Source, get_source, rejects
 
 
@@ -28,6 +28,11 @@ def rejects_path(path: str) -> str:
     return path.rstrip("/") + "__rejects"
 
 
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The rows set aside for the table at ``path``; ``batch`` tells by which write."""
+    return read_log(spark, rejects_path(path))
+
+
 def documents_of(source: Source, parsed: DataFrame, **options) -> DataFrame:
     """Documents of one batch; writes to the same key are merged where one pass does it.
 
@@ -41,11 +46,12 @@ def documents_of(source: Source, parsed: DataFrame, **options) -> DataFrame:
 
 def write_parsed(
     source: Source, parsed: DataFrame, path: str, batch_id: int, *, enrichment: str | None = None,
-    partitions: int | None = None, rows_per_file: int = 0, strict: bool = False, **options,
+    partitions: int | None = None, rows_per_file: int = 0, strict: bool = False, writer: str = "batch", **options,
 ) -> Report:
     """Write the documents of a parsed frame, then its rejects if there were any.
 
-    Counts come from the write itself, so a clean input is parsed once.
+    Counts come from the write itself, so a clean input is parsed once. A batch that is
+    written again by the same ``writer`` replaces its documents and its rejects.
     """
     counts = Observation()
     watched = parsed.observe(
@@ -54,10 +60,12 @@ def write_parsed(
     documents = apply_enrichment(documents_of(source, watched, **options), enrichment)
     if source.mode != APPEND and "_order" not in documents.columns:
         documents = documents.withColumn("_order", F.lit(0))
-    write_batch(documents, path, batch_id, partitions, rows_per_file, source.key)
+    write_batch(documents, path, batch_id, partitions, rows_per_file, source.key, writer)
     seen = counts.get
-    if seen["rejected"]:
-        write_batch(rejects(parsed), rejects_path(path), batch_id)
+    if not seen["rejected"]:
+        drop_batch(parsed.sparkSession, rejects_path(path), batch_id, writer)
+    else:
+        write_batch(rejects(parsed), rejects_path(path), batch_id, writer=writer)
         if strict:
             raise RejectedRows(f"{seen['rejected']:,} rows were rejected, see {rejects_path(path)}")
     return Report(seen["parsed"], seen["rejected"], batch_id)
@@ -66,8 +74,14 @@ def write_parsed(
 def ingest(
     spark: SparkSession, source: Source | str, input_path, path: str, *, batch_id: int | None = None, **options
 ) -> Report:
-    """Read files of ``source`` and write them to the table at ``path``."""
+    """Read files of ``source`` and write them to the table at ``path``.
+
+    Without ``batch_id`` each call is a batch of its own; with one, a further call with the
+    same replaces it.
+    """
     source = get_source(source)
-    batch_id = int(time.time() * 1000) if batch_id is None else batch_id
-    parsed = source.parse(source.read(spark, input_path, **options), **options)
+    if batch_id is None:
+        batch_id, options["writer"] = 0, f"ingest-{uuid.uuid4().hex}"
+    asked = {k: v for k, v in options.items() if k != "writer"}
+    parsed = source.parse(source.read(spark, input_path, **asked), **asked)
     return write_parsed(source, parsed, path, batch_id, **options)

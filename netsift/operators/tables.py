@@ -1,8 +1,8 @@
 """Tables: create, append, write by key, read back, export, summarise.
 
-A keyed table is an append-only log of batches, ``<path>/batch=<n>``. Writing a
-batch again replaces just that batch, so retries are harmless; the current
-documents are an aggregate over the log, and ``compact`` rewrites it.
+A table is a log of numbered batches (see ``versions``). Writing a batch again replaces
+just that batch, so retries are harmless; the current documents are an aggregate over
+the log, and ``compact`` replaces the batches by what they amount to, in place.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from netsift.functions.text import human_size
 from netsift.operators.merging import ORDER, last_rows, last_writes
+from netsift.operators.versions import Versions
 from netsift.sources.base import APPEND, REPLACE, Source, get_source
 
 
@@ -47,15 +48,23 @@ def append(documents: DataFrame, table: str, partitions: int | None = None, rows
 
 def write_batch(
     documents: DataFrame, path: str, batch_id: int, partitions: int | None = None, rows_per_file: int = 0,
-    key: tuple[str, ...] = (),
-) -> None:
-    writer = laid_out(documents, partitions, key).write.mode("overwrite")
-    writer.option("maxRecordsPerFile", rows_per_file).parquet(f"{path}/batch={batch_id}")
+    key: tuple[str, ...] = (), writer: str = "batch",
+) -> int:
+    """Write a batch of ``writer``; gives its number in the table's one line of numbers."""
+    laid = laid_out(documents, partitions, key)
+    return Versions(documents.sparkSession, path).write(laid, writer, batch_id, maxRecordsPerFile=rows_per_file)
+
+
+def drop_batch(spark: SparkSession, path: str, batch_id: int, writer: str = "batch") -> None:
+    """Take a batch of ``writer`` out, if there is one."""
+    versions = Versions(spark, path)
+    if versions.live():
+        versions.drop(writer, batch_id)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """All batches; ``batch`` tells which."""
-    return spark.read.parquet(path)
+    return Versions(spark, path).read()
 
 
 def _ordered(log: DataFrame) -> DataFrame:
@@ -106,15 +115,26 @@ def _continuations(further: DataFrame, heads: DataFrame, merged: DataFrame, base
     return lists.join(facts, base, "inner").select(*merged.columns)
 
 
-def compact(spark: SparkSession, path: str, target: str, source: Source | str, partitions: int | None = None) -> None:
-    """Write the current documents as the first batch of a new log."""
+def compact(spark: SparkSession, path: str, source: Source | str, partitions: int | None = None) -> None:
+    """Replace the batches written so far by the current documents; readers and streams go on.
+
+    The old batches' files stay for readers that hold them, until ``vacuum``.
+    """
     source = get_source(source)
-    log = read_log(spark, path)
+    versions = Versions(spark, path)
+    old = versions.live()
+    log = versions.read().where(F.col("batch").isin(list(old)))
     if source.mode == APPEND:
-        write_batch(log.drop("batch"), target, 0, partitions)
+        versions.replace(old, laid_out(log.drop("batch"), partitions))
         return
+    # documents keep the batch and the order within it of their latest write
     folded = fold_log(_ordered(log), source).withColumn(ORDER, F.col(f"{ORDER}.{ORDER}"))
-    write_batch(folded, target, 0, partitions, key=source.key)
+    versions.replace(old, laid_out(folded, partitions, source.key))
+
+
+def vacuum(spark: SparkSession, path: str) -> int:
+    """Delete the files of replaced batches; gives how many batches these were."""
+    return Versions(spark, path).vacuum()
 
 
 def export_json(documents: DataFrame, path: str) -> None:

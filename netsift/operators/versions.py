@@ -1,0 +1,178 @@
+"""What a table consists of: numbered batches of several writers, switched by small state files.
+
+    <path>/data/<number>-<id>/      rows of a batch, written aside before they count
+    <path>/_numbers/<number>        which writer and batch has the number
+    <path>/_state/<version>         the batches that count, one line of JSON
+
+All writers of a table (files, streams, compaction) take their numbers from one line, so
+batches never overwrite each other and a later batch has the greater number. A batch
+that is written again by the same writer keeps its number and replaces itself. A state
+file is put in place by a rename that fails if another writer was faster; then the change
+is made again on the newer state. Readers take the latest state and see a batch whole or
+not at all. Only names and numbers pass through the driver, one entry per live batch.
+
+The rename must not replace an existing file, as on HDFS and local disks.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+TRIES = 100
+# State files that are kept for readers that hold an older one.
+KEPT_STATES = 20
+
+
+class Files:
+    """The few file operations needed, on any file system that Spark reaches."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._jvm, self._gateway = spark._jvm, spark.sparkContext._gateway
+        conf = spark._jsc.hadoopConfiguration() if hasattr(spark, "_jsc") else spark.sparkContext._jsc.hadoopConfiguration()
+        self._path = self._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(path).getFileSystem(conf)
+        self._context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), conf)
+
+    def names(self, folder: str) -> list[str]:
+        at = self._path(folder)
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(at)) if self._fs.exists(at) else []
+
+    def read(self, file: str) -> str:
+        stream = self._fs.open(self._path(file))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def create(self, folder: str, name: str, text: str) -> bool:
+        """Puts a file in place, whole; False if there is one already."""
+        aside = self._path(f"{folder}/.{name}-{uuid.uuid4().hex}")
+        stream = self._fs.create(aside, False)
+        stream.write(text.encode())
+        stream.close()
+        options = self._jvm.org.apache.hadoop.fs.Options.Rename
+        plain = self._gateway.new_array(options, 1)
+        plain[0] = options.NONE
+        try:
+            self._context.rename(aside, self._path(f"{folder}/{name}"), plain)
+            return True
+        except Exception as e:  # noqa: BLE001
+            self._fs.delete(aside, False)
+            if "FileAlreadyExistsException" in str(e):
+                return False
+            raise
+
+    def delete(self, file: str) -> None:
+        self._fs.delete(self._path(file), True)
+
+
+class Versions:
+    """The batches of the table at ``path``."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.files = Files(spark, self.path)
+
+    def _visible(self, folder: str) -> list[str]:
+        return [n for n in self.files.names(f"{self.path}/{folder}") if not n.startswith((".", "_"))]
+
+    def state(self) -> tuple[int, dict]:
+        """Version and state: ``live`` has folder names by number, ``folded`` the numbers that a compaction took in."""
+        for version in reversed(self._visible("_state")):
+            return int(version), json.loads(self.files.read(f"{self.path}/_state/{version}"))
+        return 0, {"live": {}, "folded": []}
+
+    def live(self) -> dict[int, str]:
+        return {int(n): folder for n, folder in self.state()[1]["live"].items()}
+
+    def number(self, writer: str, batch: int) -> int:
+        """The number of a writer's batch; a new one if it has none yet."""
+        label = f"{writer}:{batch}"
+        for _ in range(TRIES):
+            taken = self._visible("_numbers")
+            for n in reversed(taken):
+                if self.files.read(f"{self.path}/_numbers/{n}") == label:
+                    return int(n)
+            number = int(taken[-1]) + 1 if taken else 1
+            if self.files.create(f"{self.path}/_numbers", f"{number:020d}", label):
+                return number
+        raise RuntimeError(f"no number to be had for {self.path}")
+
+    def aside(self, number: int) -> str:
+        """A new folder for the rows of a batch."""
+        return f"{number:020d}-{uuid.uuid4().hex}"
+
+    def commit(self, change: Callable[[dict], bool]) -> None:
+        """Applies ``change`` to the latest state (in place; False: nothing to do) and puts it in place."""
+        for _ in range(TRIES):
+            version, state = self.state()
+            if not change(state):
+                return
+            if self.files.create(f"{self.path}/_state", f"{version + 1:020d}", json.dumps(state)):
+                for old in self._visible("_state")[:-KEPT_STATES]:
+                    self.files.delete(f"{self.path}/_state/{old}")
+                return
+        raise RuntimeError(f"no state could be put in place for {self.path}")
+
+    def write(self, df: DataFrame, writer: str, batch: int, **options) -> int:
+        """Writes the rows of a batch aside, then makes them count; gives its number."""
+        number = self.number(writer, batch)
+        folder = self.aside(number)
+        df.write.options(**options).parquet(f"{self.path}/data/{folder}")
+
+        def put(state: dict) -> bool:
+            # a batch that a compaction took in already is written again after a failure: it is in
+            if number in state["folded"]:
+                return False
+            state["live"][str(number)] = folder
+            return True
+
+        self.commit(put)
+        return number
+
+    def drop(self, writer: str, batch: int) -> None:
+        """Takes a writer's batch out, if it is there."""
+        number = str(self.number(writer, batch))
+        self.commit(lambda state: state["live"].pop(number, None) is not None)
+
+    def replace(self, old: dict[int, str], df: DataFrame, **options) -> None:
+        """Puts ``df`` in the place of the batches ``old``, under the greatest of their numbers.
+
+        Raises if one of them was written again meanwhile; batches that came since stay.
+        """
+        number = max(old)
+        folder = self.aside(number)
+        df.write.options(**options).parquet(f"{self.path}/data/{folder}")
+
+        def swap(state: dict) -> bool:
+            if any(state["live"].get(str(n)) != f for n, f in old.items()):
+                raise RuntimeError(f"a batch of {self.path} was written again during compaction; compact again")
+            for n in old:
+                del state["live"][str(n)]
+            state["live"][str(number)] = folder
+            # every number so far counts as taken in, so that a late retry of one adds nothing twice
+            state["folded"] = sorted({*state["folded"], *(n for n in old)})
+            return True
+
+        self.commit(swap)
+
+    def vacuum(self) -> int:
+        """Deletes the folders of batches that do not count any more. Not while batches are being written."""
+        used = set(self.state()[1]["live"].values())
+        gone = [n for n in self._visible("data") if n not in used]
+        for name in gone:
+            self.files.delete(f"{self.path}/data/{name}")
+        return len(gone)
+
+    def read(self) -> DataFrame:
+        """All rows that count, with the number of their batch as ``batch``."""
+        folders = [f"{self.path}/data/{f}" for _, f in sorted(self.live().items())]
+        if not folders:
+            raise ValueError(f"no table at {self.path}")
+        number = F.regexp_extract(F.col("_metadata.file_path"), r"/data/(\d{20})-[0-9a-f]{32}/", 1).cast("bigint")
+        return self.spark.read.parquet(*folders).select("*", number.alias("batch"))

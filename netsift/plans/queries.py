@@ -309,7 +309,7 @@ def ingested_services(spark: SparkSession, folder: str) -> DataFrame:
     ingestion.ingest(spark, port_scan.PORT_SCANS, f"{path}/in", f"{path}/table", batch_id=1)
     good = tables.current(spark, f"{path}/table", port_scan.PORT_SCANS).groupBy(
         F.lit("stored").alias("state"), F.coalesce("service", F.lit("none")).alias("label"))
-    bad = spark.read.parquet(ingestion.rejects_path(f"{path}/table")).groupBy(
+    bad = ingestion.read_rejects(spark, f"{path}/table").groupBy(
         F.lit("rejected").alias("state"), F.col("_error").alias("label"))
     rows = F.count(F.lit(1)).alias("rows")
     return good.agg(rows).unionByName(bad.agg(rows))

@@ -1,7 +1,8 @@
 """Live input: files landing in a folder go through the same parse, shape and write as a batch.
 
-Each micro-batch is written under its own number, so a batch that is run again
-after a failure replaces itself. A file is never split over two micro-batches,
+Each micro-batch is a batch of the query's own in the table (see ``versions``), so one that
+is run again after a failure replaces itself, and neither another query nor a batch
+ingestion nor a compaction is touched. A file is never split over two micro-batches,
 hence grouping per file or per run gives the same documents as a batch run.
 """
 
@@ -18,7 +19,7 @@ from netsift.sources.lines import number_rows, watch_lines
 def watch(
     spark: SparkSession, source: Source | str, directory: str, path: str, checkpoint: str, *,
     finite: bool = False, interval: str = "10 seconds", pattern: str | None = None,
-    files_per_trigger: int | None = None, first_batch: int = 0, **options,
+    files_per_trigger: int | None = None, **options,
 ) -> StreamingQuery:
     """Start feeding ``directory`` into the table at ``path``.
 
@@ -28,19 +29,21 @@ def watch(
     if not source.streaming:
         raise ValueError(f"source {source.name!r} is read in batches only")
     lines = watch_lines(spark, directory, pattern, files_per_trigger)
-    return watch_frame(source, lines, path, checkpoint, finite=finite, interval=interval, first_batch=first_batch, **options)
+    return watch_frame(source, lines, path, checkpoint, finite=finite, interval=interval, **options)
 
 
 def watch_frame(
     source: Source | str, lines: DataFrame, path: str, checkpoint: str, *,
-    finite: bool = False, interval: str = "10 seconds", first_batch: int = 0, **options,
+    finite: bool = False, interval: str = "10 seconds", **options,
 ) -> StreamingQuery:
     """The same for any streaming frame with ``value``, ``_file`` and ``_block`` columns (a Kafka topic, say)."""
     source = get_source(source)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # the query's id lives in its checkpoint: the same after a restart, another for a new checkpoint
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         parsed = source.parse(number_rows(batch), **options)
-        write_parsed(source, parsed, path, first_batch + batch_id, **options)
+        write_parsed(source, parsed, path, batch_id, writer=f"stream-{query}", **options)
 
     writer = lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     writer = writer.trigger(availableNow=True) if finite else writer.trigger(processingTime=interval)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from netsift.functions import ip
-from netsift.ingest import RejectedRows, ingest, rejects_path
+from netsift.ingest import RejectedRows, ingest, read_rejects
 from netsift.operators import lookup, merging, predicates, skew, tables
 from netsift.operators.enrichment import apply_enrichment, register_enrichment
 from netsift.sources import get_source, source_names
@@ -200,7 +200,7 @@ def test_keyed_table_life(spark, tmp_path):
     path = str(tmp_path / "t")
     report = ingest(spark, "reverse_names", str(first), path, batch_id=1, hot_rows=10)
     assert (report.parsed, report.rejected) == (42, 1)
-    assert spark.read.parquet(rejects_path(path)).first()._error == "fewer than 3 fields"
+    assert read_rejects(spark, path).first()._error == "fewer than 3 fields"
     rows = tables.current(spark, path, "reverse_names").collect()
     assert sorted(n for r in rows if r.ip == "10.0.0.1" for n in r.record) == sorted(f"n{i}" for i in range(40))
     assert len({r.part for r in rows}) > 1
@@ -208,8 +208,10 @@ def test_keyed_table_life(spark, tmp_path):
         ingest(spark, "reverse_names", str(second), path, batch_id=2)
     expected = [("10.0.0.1", ["fresh"]), ("10.0.0.2", ["x"]), ("10.0.0.3", ["y"])]
     assert sorted((r.ip, r.record) for r in tables.current(spark, path, "reverse_names").collect()) == expected
-    tables.compact(spark, path, str(tmp_path / "c"), "reverse_names")
-    assert sorted((r.ip, r.record) for r in tables.current(spark, str(tmp_path / "c"), "reverse_names").collect()) == expected
+    tables.compact(spark, path, "reverse_names")
+    assert sorted((r.ip, r.record) for r in tables.current(spark, path, "reverse_names").collect()) == expected
+    assert tables.vacuum(spark, path) == 3  # one batch was written twice
+    assert sorted((r.ip, r.record) for r in tables.current(spark, path, "reverse_names").collect()) == expected
     with pytest.raises(RejectedRows):
         ingest(spark, "reverse_names", str(first), path, batch_id=3, strict=True)
 
@@ -256,3 +258,64 @@ def test_stream_equals_batch(spark, tmp_path):
     watch(spark, "reverse_names", str(folder), str(tmp_path / "t"), str(tmp_path / "chk"), finite=True).awaitTermination(120)
     after = {r.ip: r.record for r in tables.current(spark, str(tmp_path / "t"), "reverse_names").collect()}
     assert after["10.0.0.0"] == ["newest"] and len(after) == 4
+
+
+def _names_in(spark, path):
+    return {r.ip: r.record for r in tables.current(spark, path, "reverse_names").collect()}
+
+
+def _stream(spark, tmp_path, path, name, text):
+    folder = tmp_path / name
+    folder.mkdir(exist_ok=True)
+    (folder / f"{len(list(folder.iterdir()))}.txt").write_text(text)
+    watch(spark, "reverse_names", str(folder), path, str(tmp_path / f"{name}-checkpoint"), finite=True).awaitTermination()
+
+
+def test_streams_ingests_and_compaction_share_one_line_of_batches(spark, tmp_path):
+    path = str(tmp_path / "t")
+    source = tmp_path / "in.txt"
+    source.write_text("1.0.0.10.in-addr.arpa. PTR old.example.\n2.0.0.10.in-addr.arpa. PTR two.example.\n")
+    ingest(spark, "reverse_names", str(source), path)
+    tables.compact(spark, path, "reverse_names")
+    _stream(spark, tmp_path, path, "s1", "1.0.0.10.in-addr.arpa. PTR newer.example.\n")
+    assert _names_in(spark, path) == {"10.0.0.1": ["newer.example"], "10.0.0.2": ["two.example"]}
+    _stream(spark, tmp_path, path, "s2", "3.0.0.10.in-addr.arpa. PTR three.example.\n")
+    _stream(spark, tmp_path, path, "s1", "2.0.0.10.in-addr.arpa. PTR again.example.\n")
+    tables.compact(spark, path, "reverse_names")
+    want = {"10.0.0.1": ["newer.example"], "10.0.0.2": ["again.example"], "10.0.0.3": ["three.example"]}
+    assert _names_in(spark, path) == want
+    tables.vacuum(spark, path)
+    source.write_text("1.0.0.10.in-addr.arpa. PTR last.example.\n")
+    ingest(spark, "reverse_names", str(source), path)
+    assert _names_in(spark, path) == {**want, "10.0.0.1": ["last.example"]}
+
+
+def test_a_batch_written_again_replaces_itself_and_its_rejects(spark, tmp_path):
+    path, source = str(tmp_path / "t"), tmp_path / "in.txt"
+    source.write_text("1.0.0.10.in-addr.arpa. PTR one.example.\nbroken\n")
+    ingest(spark, "reverse_names", str(source), path, batch_id=7)
+    assert read_rejects(spark, path).count() == 1
+    source.write_text("1.0.0.10.in-addr.arpa. PTR mended.example.\n")
+    ingest(spark, "reverse_names", str(source), path, batch_id=7)
+    assert _names_in(spark, path) == {"10.0.0.1": ["mended.example"]}
+    with pytest.raises(ValueError):
+        read_rejects(spark, path)
+
+
+def test_a_write_that_fails_leaves_the_batch_as_it_was(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path / "t")
+    tables.write_batch(spark.range(3), path, 1)
+    with pytest.raises(Exception):
+        tables.write_batch(spark.range(3).select(F.raise_error(F.lit("lost")).alias("id")), path, 1)
+    assert sorted(r.id for r in tables.read_log(spark, path).collect()) == [0, 1, 2]
+
+
+def test_a_retry_of_a_compacted_append_batch_adds_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in (1, 2):
+        tables.write_batch(spark.range(n), path, n)
+    tables.compact(spark, path, "port_scan")
+    tables.write_batch(spark.range(2), path, 2)
+    assert tables.read_log(spark, path).count() == 3
