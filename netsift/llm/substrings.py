@@ -11,7 +11,8 @@ whose 16 bytes have the least hash, the same wherever the string occurs.
    ``length`` bytes) goes to the bucket of the anchor, each distinct piece once per block
    with its least document. If an anchor has more than ``HOT`` documents, its strings go one
    by one to the bucket of the string instead, so no bucket gets all that surrounds it.
-4. A bucket builds an enhanced suffix array of its distinct pieces and takes the maximal
+4. A bucket builds an enhanced suffix array of its distinct pieces, apart from those that are the
+   only one of their anchor and so share no string with another, and takes the maximal
    repeats with all their occurrences from its common-prefix interval tree. In each, all but
    the pieces of the least document are repeats of a lesser one. It answers each block with
    the least document of the piece and the strings in it that a still lesser one has.
@@ -38,14 +39,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netsift.llm.common import groups_of, read, rows_of, utf8, written
-from netsift.llm.darts import mixed
 from netsift.llm.suffixes import maximal_repeats, words8
 
 LENGTH = 50
 GRAM = 16
 BLOCK_CHARS = 6_000_000
 HOT = 20_000
-_A = np.uint64(0x9E3779B97F4A7C15)
+_A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _NOBODY = np.iinfo(np.int64).max
 
 
@@ -99,7 +99,9 @@ class Block:
             return
         w = words8(self.data)
         with np.errstate(over="ignore"):
-            h = mixed(w[: len(w) - GRAM + 1] * _A + mixed(w[8 : len(w) - GRAM + 9] + _A))
+            h = w[: len(w) - GRAM + 1] * _A + w[8 : len(w) - GRAM + 9] * _B
+            h = (h ^ (h >> np.uint64(32))) * _A
+            h ^= h >> np.uint64(29)
         least = (h >> np.uint64(32) << np.uint64(32)) | np.arange(len(h), dtype=np.uint64)
         span, have = self.length - GRAM + 1, 1
         while have < span:
@@ -127,8 +129,9 @@ class Block:
     def pieces(self, shared: np.ndarray, hot: np.ndarray, buckets: int):
         """Distinct pieces around shared anchors, in order of buckets.
 
-        Gives each bucket's start, the pieces, their least documents, and per run or single
-        string (first string, how many, document, piece).
+        Gives each bucket's start, the pieces, their least documents, a number that pieces of one
+        anchor have in common (0 for single strings, which share nothing with another piece),
+        and per run or single string (first string, how many, document, piece).
         """
         chosen = np.flatnonzero(shared)
         runs = [(f, m, o, int(h), False) for f, m, o, h, t in zip(
@@ -137,7 +140,7 @@ class Block:
         for i in np.flatnonzero(shared & hot).tolist():
             for j in range(int(self.first[i]), int(self.first[i] + self.many[i])):
                 runs.append((j, 1, int(self.owner[i]), 0, True))
-        raw, known, docs, places = self.data.tobytes(), {}, [], []
+        raw, known, docs, least, tags, places = self.data.tobytes(), {}, [], [], [], []
         ids = self.docs.tolist()
         for first, many, owner, h, single in runs:
             piece = raw[first : first + many + self.length - 1]
@@ -146,19 +149,22 @@ class Block:
             if number == len(docs):
                 if single:
                     h = int.from_bytes(hashlib.blake2b(piece, digest_size=8).digest(), "big")
-                docs.append([(h * 0x9E3779B97F4A7C15 >> 20) % (1 << 40) % buckets, ids[owner]])
-            elif ids[owner] < docs[number][1]:
-                docs[number][1] = ids[owner]
+                tag = 0 if single else h & 0xFFFFFFFF or 1
+                docs.append((h * 0x9E3779B97F4A7C15 >> 20) % (1 << 40) % buckets)
+                least.append(ids[owner])
+                tags.append(tag)
+            elif ids[owner] < least[number]:
+                least[number] = ids[owner]
             places.append((first, many, owner, number))
-        both = np.array(docs, np.int64).reshape(-1, 2)
-        order = np.argsort(both[:, 0], kind="stable")
+        bucket = np.array(docs, np.int64)
+        order = np.argsort(bucket, kind="stable")
         turned = np.empty(len(order), np.int64)
         turned[order] = np.arange(len(order))
         names = [k[0] for k in known]
         places = np.array(places, np.int64).reshape(-1, 4)
         places[:, 3] = turned[places[:, 3]]
-        starts = np.searchsorted(both[order, 0], np.arange(buckets + 1))
-        return starts, [names[i] for i in order.tolist()], both[order, 1], places
+        starts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        return starts, [names[i] for i in order.tolist()], np.array(least, np.int64)[order], np.array(tags, np.uint32)[order], places
 
 
 def _shared_anchors(cut: DataFrame, buckets: int, length: int) -> DataFrame:
@@ -228,37 +234,43 @@ def _compared_pieces(cut: DataFrame, shared: DataFrame, buckets: int, n_blocks:
         for number, block, states, _ in _met(batches, length):
             _, _, _, where = block.anchors(buckets)
             state = np.concatenate(states) if states else np.empty(0, np.uint8)
-            starts, pieces, docs, _ = block.pieces(state[where] > 0, state[where] > 1, buckets)
+            starts, pieces, docs, tags, _ = block.pieces(state[where] > 0, state[where] > 1, buckets)
             rows = []
             for b, (x, y) in enumerate(zip(starts.tolist(), starts[1:].tolist())):
                 if y > x:
                     sizes = np.array([len(p) for p in pieces[x:y]], np.uint16)
-                    rows.append((b, number, _zip(sizes.tobytes()), _zip(b"".join(pieces[x:y])), _zip(docs[x:y].tobytes())))
-            yield _table(rows, bucket=_INT, block=_INT, sizes=_BIN, data=_BIN, docs=_BIN)
+                    rows.append((b, number, _zip(sizes.tobytes()), _zip(b"".join(pieces[x:y])), _zip(docs[x:y].tobytes()), tags[x:y].tobytes()))
+            yield _table(rows, bucket=_INT, block=_INT, sizes=_BIN, data=_BIN, docs=_BIN, tags=_BIN)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(bucket, held):
             known: dict[bytes, int] = {}
-            which, docs = [], []
-            for _, sizes, data, own in held:
+            which, docs, groups = [], [], []
+            for _, sizes, data, own, tags in held:
                 raw, at, numbers = zstandard.ZstdDecompressor().decompress(data), 0, []
-                for size, doc in zip(_unzip(sizes, np.uint16).tolist(), _unzip(own, np.int64).tolist()):
+                columns = (_unzip(sizes, np.uint16), _unzip(own, np.int64), np.frombuffer(tags, np.uint32))
+                for size, doc, tag in zip(*(c.tolist() for c in columns)):
                     number = known.setdefault(raw[at : at + size], len(known))
                     if number == len(docs):
                         docs.append(doc)
+                        groups.append(tag)
                     elif doc < docs[number]:
                         docs[number] = doc
                     numbers.append(number)
                     at += size
                 which.append(np.array(numbers, np.int64))
             least = np.array(docs, np.int64)
-            masks = judged(list(known), least, length)
+            _, where, often = np.unique(np.array(groups, np.uint32), return_inverse=True, return_counts=True)
+            some = np.flatnonzero((often[where] > 1) & (np.array(groups) > 0))
+            masks, pieces = np.zeros(len(known), np.uint64), list(known)
+            if len(some):
+                masks[some] = judged([pieces[i] for i in some.tolist()], least[some], length)
             return _table([(number, bucket, _zip(least[w].tobytes()), _zip(masks[w].tobytes())) for (number, *_), w in zip(held, which)],
                           block=_INT, bucket=_INT, least=_BIN, masks=_BIN)
 
-        yield from _per_bucket(rows_of(batches, "bucket", "block", "sizes", "data", "docs"), done)
+        yield from _per_bucket(rows_of(batches, "bucket", "block", "sizes", "data", "docs", "tags"), done)
 
-    sent = _meet(cut, n_blocks, shared).mapInArrow(send, "bucket long, block long, sizes binary, data binary, docs binary")
+    sent = _meet(cut, n_blocks, shared).mapInArrow(send, "bucket long, block long, sizes binary, data binary, docs binary, tags binary")
     placed = sent.repartition("bucket").sortWithinPartitions("bucket", "block")
     return placed.mapInArrow(answer, "block long, bucket long, least binary, masks binary")
 
@@ -304,10 +316,14 @@ def removed(docs: DataFrame, id_column: str = "doc_id", text: str = "text", leng
             if got:
                 _, _, _, where = block.anchors(buckets)
                 state = np.concatenate(states)
-                _, _, _, places = block.pieces(state[where] > 0, state[where] > 1, buckets)
+                *_, places = block.pieces(state[where] > 0, state[where] > 1, buckets)
                 first, many, owner, piece = places.T
                 least, masks = np.concatenate([g[0] for g in got])[piece], np.concatenate([g[1] for g in got])[piece]
-                masks = np.where(block.docs[owner] > least, (np.uint64(1) << many.astype(np.uint64)) - np.uint64(1), masks)
+                all_ = block.docs[owner] > least
+                np.add.at(change, first[all_], 1)
+                np.add.at(change, first[all_] + many[all_] - 1 + length, -1)
+                part = ~all_ & (masks > 0)
+                first, masks = first[part], masks[part]
                 for i in range(int(many.max())):
                     at = first[(masks >> np.uint64(i) & np.uint64(1)).astype(bool)] + i
                     np.add.at(change, at, 1)
