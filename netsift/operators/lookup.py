@@ -48,18 +48,22 @@ def network_matches(
 ) -> DataFrame:
     """Rows (_ip, _len, network columns), one per network that holds the address.
 
-    Each address is masked once per prefix length that occurs (129 at most) and meets
-    the networks by equality. ``networks`` has one row per network.
+    Each address is masked once per prefix length that occurs in its own family (162 in
+    all at most) and meets the networks by equality; v4 addresses lie in v4 networks only.
+    ``networks`` has one row per network.
     """
     nets = ip.with_network(networks, cidr, "_net", strict=False).where(F.col("_net").isNotNull())
     nets = nets.select(
-        "*", F.col("_net.len").alias("_len"), F.col("_net.lo.hi").alias("_hi"), F.col("_net.lo.lo").alias("_lo")
+        "*", F.col("_net.len").alias("_len"), F.col("_net.lo.hi").alias("_hi"), F.col("_net.lo.lo").alias("_lo"),
+        ip.is_mapped_v4(F.col("_net.lo")).alias("_v4"),
     ).drop("_net")
-    lengths = nets.agg(F.collect_set("_len")).scalar()
-    masked = addresses.withColumn("_lens", lengths).withColumn("_len", F.explode("_lens"))
+    lengths = nets.agg(F.collect_set(F.struct("_v4", "_len"))).scalar()
+    masked = addresses.withColumn("_v4", ip.is_mapped_v4(F.col("_b"))).withColumn("_lens", lengths)
+    own = F.filter("_lens", lambda x: x["_v4"] == F.col("_v4"))
+    masked = masked.withColumn("_len", F.explode(F.transform(own, lambda x: x["_len"])))
     masked = once(masked, _m=ip.network(F.col("_b"), F.col("_len")))
-    keyed = masked.select("_ip", "_len", F.col("_m.hi").alias("_hi"), F.col("_m.lo").alias("_lo"))
-    return join_lookup(keyed, nets, ["_len", "_hi", "_lo"], "inner", hot_rows, max_rows).drop("_hi", "_lo")
+    keyed = masked.select("_ip", "_v4", "_len", F.col("_m.hi").alias("_hi"), F.col("_m.lo").alias("_lo"))
+    return join_lookup(keyed, nets, ["_v4", "_len", "_hi", "_lo"], "inner", hot_rows, max_rows).drop("_v4", "_hi", "_lo")
 
 
 def attach(

@@ -16,13 +16,13 @@ from netsift.functions.text import has_word
 EXACT_LIMIT = 256
 
 
-def exact(c: Column, value: str) -> Column:
+def exact(c: Column, value: str | Column) -> Column:
     return (F.length(c) <= EXACT_LIMIT) & (c == value)
 
 
-def has_terms(c: Column, words: Sequence[str], every: bool = False) -> Column:
-    """Full-text match on any of the words, or on all of them."""
-    found = [has_word(F.lower(c), w) for w in words]
+def has_terms(c: Column, words: Sequence[str], every: bool = False, lowered: bool = False) -> Column:
+    """Full-text match on any of the words, or on all of them; ``lowered`` says that ``c`` is in lower case."""
+    found = [has_word(c if lowered else F.lower(c), w) for w in words]
     return reduce(and_ if every else or_, found)
 
 
@@ -33,13 +33,14 @@ def in_range(bits: Column, first: str, last: str) -> Column:
 
 
 def in_network(bits: Column, cidr: str) -> Column:
-    """Address bits inside one network; ``bits`` is a stored or staged column."""
+    """Address bits inside one network of the same family; ``bits`` is a stored or staged column."""
     address, _, length = cidr.partition("/")
     whole = 128 if ":" in address else 32
     wide = int(length or whole) + (128 - whole)
     net = ip.network(ip.bits(F.lit(address)), F.lit(wide))
     own = ip.network(bits, F.lit(wide))
-    return (own["hi"] == net["hi"]) & (own["lo"] == net["lo"])
+    same_family = ip.is_mapped_v4(bits) == F.lit(":" not in address)
+    return same_family & (own["hi"] == net["hi"]) & (own["lo"] == net["lo"])
 
 
 def in_period(c: Column, start, end) -> Column:

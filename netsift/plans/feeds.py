@@ -111,6 +111,7 @@ def web_probe_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(False).alias("failed"),
         F.lit("5ms").alias("time"),
         F.col("page_id").alias("page"),
+        host.alias("cname"),
     )
     return as_lines(p, "page_id", F.to_json(record), F.concat(F.lit("no json "), F.col("url")))
 
@@ -147,6 +148,7 @@ def reverse_stream_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.when(kind == "error", own).otherwise(F.concat(F.lit("h"), k().cast("string"), F.lit(".example"))).alias("record"),
         F.when(kind == "view", F.concat(F.lit("192.0.2."), k().cast("string"))).alias("nameserver"),
         F.when(kind.isin("click", "purchase"), k() * 10).alias("ttl"),
+        F.when(kind == "view", k()).alias("asn"),
     )
     return as_lines(e, "event_id", F.to_json(record))
 
@@ -289,9 +291,11 @@ def mesh_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
     message = F.concat(
         F.lit('{"from":'), F.col("user_id").cast("string"), F.lit(',"id":'), F.col("event_id").cast("string"),
-        F.lit(',"rxTime":'), epoch("ts").cast("string"), F.lit(',"decoded":{"portnum":"P","payload":'), payload, F.lit("}}"),
+        F.lit(',"fromId":"!'), F.col("user_id").cast("string"), F.lit('","rxTime":'), epoch("ts").cast("string"),
+        F.lit(',"decoded":{"portnum":"P","text":"w'), k().cast("string"), F.lit('","payload":'), payload, F.lit("}}"),
     )
-    return as_lines(e, "event_id", message, F.when(kind == "view", F.lit("{cut off")))
+    broken = F.when(F.col("event_id") % 2 == 0, F.lit("{cut off")).otherwise(F.concat(message, F.lit(',"x":1')))
+    return as_lines(e, "event_id", message, F.when(kind == "view", broken))
 
 
 def exchange_lines(spark: SparkSession, folder: str) -> DataFrame:

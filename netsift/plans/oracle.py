@@ -53,9 +53,9 @@ _CERT_NAMES = f"""
 """
 
 _BATCH_ROWS = """
-  SELECT o_custkey AS key, o_orderkey AS ok, o_orderstatus AS st, substr(o_orderpriority, 1, 1) AS rank,
+  SELECT o_custkey AS key, o_orderkey AS ok, CASE WHEN o_orderstatus = 'F' THEN 'F' ELSE 'O' END AS st, substr(o_orderpriority, 1, 1) AS rank,
          CASE WHEN substr(o_orderpriority, 1, 1) <> '1' THEN o_orderpriority END AS priority
-  FROM orders WHERE o_orderstatus IN ('F', 'O')
+  FROM orders
 """
 
 
@@ -105,7 +105,7 @@ ORACLE = {
         SELECT '2024-01-14T13:08:' || lpad(CAST(page_id % 60 AS VARCHAR), 2, '0') || 'Z' AS timestamp,
                CASE WHEN url LIKE 'https%' THEN 443 ELSE 80 END AS port, url, {_HOST} AS input,
                split_part(url, ':', 1) AS scheme, length(html) AS content_length, md5(html) AS body,
-               '200,301' AS codes, page_id AS page, 1 AS extras FROM pages""",
+               '200,301' AS codes, page_id AS page, 1 AS extras, {_HOST} AS cname FROM pages""",
     "ptr_names": f"SELECT DISTINCT {_dot3('l_suppkey')} AS ip, 'p' || l_partkey || '.example.net' AS record FROM lineitem",
     "ptr_documents": f"""
         SELECT {_dot3('l_suppkey')} AS ip, count(DISTINCT l_partkey) AS names,
@@ -124,7 +124,8 @@ ORACLE = {
         SELECT {_dot3('user_id')} AS ip,
                arg_max('192.0.2.' || {_K}, event_id) FILTER (event_type = 'view') AS nameserver,
                arg_max('h' || {_K} || '.example', event_id) AS record,
-               arg_max({_K} * 10, event_id) FILTER (event_type IN ('click', 'purchase')) AS ttl
+               arg_max({_K} * 10, event_id) FILTER (event_type IN ('click', 'purchase')) AS ttl,
+               arg_max({_K}, event_id) FILTER (event_type = 'view') AS asn
         FROM events WHERE event_type <> 'error' GROUP BY user_id""",
     "zone_documents": f"""
         WITH zr AS ({_ZONE_ROWS}), src AS ({_ZONE_SOURCE})
@@ -183,7 +184,15 @@ ORACLE = {
                CASE event_type WHEN 'error' THEN 't' || {_K} WHEN 'click' THEN CAST({_K} AS VARCHAR) END AS text,
                CASE WHEN event_type NOT IN ('error', 'click') THEN CAST({_K} AS BIGINT) END AS altitude,
                CASE WHEN event_type NOT IN ('error', 'click') THEN {_ISO.format('ts')} END AS sent,
-               CASE WHEN event_type NOT IN ('error', 'click') THEN 2 END AS odd FROM events""",
+               CASE WHEN event_type NOT IN ('error', 'click') THEN 2 END AS odd, '!' || user_id AS sender_id, 'w' || {_K} AS words FROM events""",
+    "enriched_ingest": f"""
+        SELECT ip, 'N' || s_nationkey AS country, CAST(NULL AS VARCHAR) AS city
+        FROM (SELECT {_dot3('event_id')} AS ip, event_id AS n FROM events WHERE {_dot3('event_id')} IN (SELECT ip FROM ({_SCANS})))
+        LEFT JOIN supplier ON n // 256 = s_suppkey AND n % 256 < 128""",
+    "table_life": f"""
+        SELECT {_dot3('c_custkey')} AS ip,
+               CASE WHEN c_custkey % 3 = 0 THEN 'third' WHEN c_custkey % 2 = 0 THEN 'second' ELSE 'first' END || '.example' AS record
+        FROM customer""",
     "exchange_prefixes": f"""
         SELECT s_suppkey AS ix_id, s_name AS name, {_dot2('s_suppkey')} || '0/24' AS prefix,
                {_dot2('s_suppkey')} || '0' AS first, {_dot2('s_suppkey')} || '255' AS last FROM supplier
@@ -214,7 +223,7 @@ ORACLE = {
     "cidr_match": f"""
         SELECT event_id, {_EVENT_IP} AS ip FROM events
         WHERE user_id // 256 % 256 = 0 AND user_id % 256 BETWEEN 8 AND 15""",
-    "exact_match": "SELECT conv_id, turn FROM conversations WHERE length(role) <= 256 AND role = 'user'",
+    "exact_match": "SELECT conv_id, turn, coalesce(length(text) <= 256, false) AS found_by_text FROM conversations WHERE length(role) <= 256 AND role = 'user'",
     "text_match": r"""
         WITH t AS (SELECT doc_id, regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') AS w FROM documents),
              m AS (SELECT doc_id, list_has_any(w, ['license', 'email']) AS "any", list_has_all(w, ['the', 'and']) AS "every" FROM t)

@@ -12,6 +12,7 @@ from netsift.functions import ip, times
 from netsift.functions.staging import once
 from netsift.functions.text import human_size
 from netsift.operators import lookup, merging, predicates, tables
+from netsift.operators.enrichment import geoip_enrichment, register_enrichment
 from netsift.operators.skew import shared_folder
 from netsift.plans import feeds
 from netsift.plans.feeds import SEEN, table
@@ -60,6 +61,7 @@ def web_probe_parse(spark: SparkSession, folder: str) -> DataFrame:
         "timestamp", "port", "url", "input", "scheme", "content_length", F.md5("body_preview").alias("body"),
         joined(F.col("chain_status_codes").cast("array<string>")).alias("codes"),
         F.try_variant_get(F.col("_extra")["page"], "$", "bigint").alias("page"), F.size("_extra").alias("extras"),
+        joined("cname").alias("cname"),
     )
 
 
@@ -89,7 +91,8 @@ def ptr_runs(spark: SparkSession, folder: str) -> DataFrame:
 def ptr_stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     parsed = reverse_names.parse_json_records(feeds.reverse_stream_lines(spark, folder))
     docs = ingestion.documents_of(reverse_names.REVERSE_JSON, parsed)
-    return docs.select("ip", "nameserver", "record", "ttl")
+    asn = F.try_variant_get(F.col("_extra")["asn"], "$", "bigint").alias("asn")
+    return docs.select("ip", "nameserver", "record", "ttl", asn)
 
 
 def _zones(spark: SparkSession, folder: str) -> DataFrame:
@@ -159,7 +162,9 @@ def mesh_payloads(spark: SparkSession, folder: str) -> DataFrame:
     p = F.col("decoded.payload")[0]
     return docs.select("id", F.col("from").alias("sender"), times.iso(F.col("rxTime")).alias("received"),
                        p["value"].cast("string").alias("text"), p["altitude"].alias("altitude"),
-                       times.iso(p["time"]).alias("sent"), F.try_variant_get(p["raw"], "$.odd.a[1]", "int").alias("odd"))
+                       times.iso(p["time"]).alias("sent"), F.try_variant_get(p["raw"], "$.odd.a[1]", "int").alias("odd"),
+                       F.try_variant_get(F.col("_extra")["fromId"], "$", "string").alias("sender_id"),
+                       F.try_variant_get(F.col("decoded._extra")["text"], "$", "string").alias("words"))
 
 
 def exchange_prefixes(spark: SparkSession, folder: str) -> DataFrame:
@@ -208,16 +213,18 @@ def cidr_match(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def exact_match(spark: SparkSession, folder: str) -> DataFrame:
-    """Conversation turns that say just this; longer texts are never exact matches."""
+    """A user's turns, and whether the whole text finds them; longer texts are never exact matches."""
     turns = table(spark, folder, "conversations")
-    return turns.where(predicates.exact(F.col("role"), "user")).select("conv_id", "turn")
+    text = F.col("text")
+    found = turns.where(predicates.exact(F.col("role"), "user"))
+    return found.select("conv_id", "turn", F.coalesce(predicates.exact(text, text), F.lit(False)).alias("found_by_text"))
 
 
 def text_match(spark: SparkSession, folder: str) -> DataFrame:
-    t = F.col("text")
-    docs = table(spark, folder, "documents")
-    found = docs.withColumn("any", predicates.has_terms(t, ["license", "Email"])).withColumn(
-        "every", predicates.has_terms(t, ["the", "and"], every=True))
+    low = F.col("_low")
+    docs = once(table(spark, folder, "documents").select("doc_id", "text"), _low=F.lower("text")).drop("text")
+    found = once(docs, any=predicates.has_terms(low, ["license", "email"], lowered=True),
+                 every=predicates.has_terms(low, ["the", "and"], every=True, lowered=True))
     return found.where("any or every").select("doc_id", "any", "every")
 
 
@@ -228,7 +235,7 @@ def date_range(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _batches(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Per customer: the latest finished order and the latest open one."""
+    """Per customer: the latest finished order and the latest other one."""
     o = table(spark, folder, "orders")
     rank = F.substring("o_orderpriority", 1, 1)
     rows = o.select(
@@ -238,7 +245,7 @@ def _batches(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
         F.col("o_orderkey").alias("_order"),
     )
     first = merging.last_writes(rows.where("o_orderstatus = 'F'").drop("o_orderstatus"), ["key"], maps=["m"])
-    second = merging.last_writes(rows.where("o_orderstatus = 'O'").drop("o_orderstatus"), ["key"], maps=["m"])
+    second = merging.last_writes(rows.where("o_orderstatus <> 'F'").drop("o_orderstatus"), ["key"], maps=["m"])
     return first.drop("_order"), second.drop("_order")
 
 
@@ -315,6 +322,16 @@ def ingested_services(spark: SparkSession, folder: str) -> DataFrame:
     return good.agg(rows).unionByName(bad.agg(rows))
 
 
+def enriched_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """The port-scan feed stored with the place of each address, by a registered enrichment."""
+    path = scratch(spark)
+    feeds.port_scan_lines(spark, folder).select("value").write.text(f"{path}/in")
+    register_enrichment("geoip", geoip_enrichment(feeds.address_ranges(spark, folder)))
+    ingestion.ingest(spark, port_scan.PORT_SCANS, f"{path}/in", f"{path}/table", enrichment="geoip")
+    docs = tables.current(spark, f"{path}/table", port_scan.PORT_SCANS)
+    return docs.select("ip", F.col("geoip.country_iso_code").alias("country"), F.col("geoip.city_name").alias("city"))
+
+
 def streamed_certificates(spark: SparkSession, folder: str) -> DataFrame:
     """Certificate messages as landed files through a stream into a keyed table.
 
@@ -346,6 +363,23 @@ def two_batches(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("ip", joined("record").alias("record"))
 
 
+def table_life(spark: SparkSession, folder: str) -> DataFrame:
+    """A keyed table through ingestion, a stream, compaction, and a stream with another checkpoint."""
+    path = scratch(spark)
+    customers = table(spark, folder, "customer")
+    name = feeds.reverse_name("c_custkey")
+    stages = {"first": customers, "second": customers.where("c_custkey % 2 = 0"), "third": customers.where("c_custkey % 3 = 0")}
+    for stage, rows in stages.items():
+        rows.select(F.concat(name, F.lit(f" PTR {stage}.example."))).write.text(f"{path}/{stage}")
+    ingestion.ingest(spark, reverse_names.REVERSE, f"{path}/first", f"{path}/table", seen=SEEN)
+    for stage in ("second", "third"):
+        watch(spark, reverse_names.REVERSE, f"{path}/{stage}", f"{path}/table", f"{path}/{stage}-checkpoint", finite=True,
+              seen=SEEN).awaitTermination()
+        tables.compact(spark, f"{path}/table", reverse_names.REVERSE)
+    docs = tables.current(spark, f"{path}/table", reverse_names.REVERSE)
+    return docs.select("ip", joined("record").alias("record"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -354,6 +388,7 @@ QUERIES = {
         blocklist_documents, licence_parse, mesh_payloads, exchange_prefixes, registry_object_attributes,
         changed_snapshots, geo_enrichment, listed_events, unlisted_events, longest_network, cidr_match, exact_match,
         text_match, date_range, upsert_merge, replace_by_key, sentinel_cut, reject_reasons, table_summary, text_sizes,
-        export_round_trip, ingested_services, streamed_certificates, two_batches,
+        export_round_trip, ingested_services, streamed_certificates, two_batches, table_life,
+        enriched_ingest,
     )
 }

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, field
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +34,6 @@ class Source:
     key: tuple[str, ...] = ()
     merge_maps: tuple[str, ...] = ()
     streaming: bool = True
-    options: dict = field(default_factory=dict)
 
 
 _SOURCES: dict[str, Source] = {}
@@ -72,17 +71,28 @@ def parse_json(lines: DataFrame, schema: T.StructType | str, out: str = "_json")
     """Parse one JSON object per line into struct ``out``; null when malformed.
 
     The line is nested in an outer object with a closing field, so that text after
-    the object, which the parser would ignore, counts as malformed.
+    the object, which the parser would ignore, counts as malformed. A field of another
+    type than asked for is null and the others stay. Where the parser saw something odd, or
+    further fields might follow the object, the line itself is parsed as the only element of an
+    array to tell whether it is legal.
     """
     inner = schema if isinstance(schema, str) else f"struct<{','.join(f'`{f.name}`:{f.dataType.simpleString()}' for f in schema)}>"
     wrapped = F.concat(F.lit('{"r":'), F.col("value"), F.lit(',"ok":true}'))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "allowSingleQuotes": "false"}
     outer = F.from_json(wrapped, f"r {inner}, ok boolean, _corrupt string", options)
     staged = once(lines, _outer=outer)
-    good = F.col("_outer.ok") & F.col("_outer._corrupt").isNull()
+    doubtful = F.col("_outer._corrupt").isNotNull() | F.col("value").rlike(r"\}\s*,")
+    alone = F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]"))).cast("array<variant>")
+    good = F.when(doubtful, F.coalesce(F.size(alone) == 1, F.lit(False))).otherwise(F.col("_outer.ok"))
     return staged.withColumn(out, F.when(good, F.col("_outer.r"))).drop("_outer")
 
 
+def further(fields: Column, known: Sequence[str]) -> Column:
+    """The entries of a map that are not among the known fields; null if there are none."""
+    rest = F.map_filter(fields, lambda k, _v: ~k.isin(*known))
+    return F.when(F.size(rest) > 0, rest)
+
+
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the columns of ``schema``, in order and cast; absent ones are null."""
     present = set(df.columns)

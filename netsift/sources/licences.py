@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,11 +14,19 @@ from netsift.sources.schemas import LICENCE, LICENCE_COLUMNS, LICENCE_DATES, LIC
 
 
 def read(spark: SparkSession, path, multiline: bool = True, **_) -> DataFrame:
-    """All columns as text. Turn ``multiline`` off for dumps without line breaks in fields: files can then be split."""
-    return (
-        spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
-        .csv(path)
-    )
+    """All columns as text. Turn ``multiline`` off for dumps without line breaks in fields: files can then be split.
+
+    Each file is read by its own header; files with the same header are read together.
+    """
+    by_header: dict[str, list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):  # the names and one line of each
+        line = spark.read.text(file).first()
+        if line is not None:
+            by_header.setdefault(line.value.lower(), []).append(file)
+    reader = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
+    frames = [reader.csv(files) for files in by_header.values()] or [reader.csv(path)]
+    lowered = [df.toDF(*[c.lower() for c in df.columns]) for df in frames]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lowered)
 
 
 def parse(rows: DataFrame, **_) -> DataFrame:

@@ -59,7 +59,8 @@ def number_rows(batch: DataFrame) -> DataFrame:
 
 
 def file_name(df: DataFrame) -> Column:
-    return F.element_at(F.split(df["_file"], "/"), -1)
+    """Name of the file as it is on disk: paths come with ``%20`` for a blank and the like."""
+    return F.url_decode(F.replace(F.element_at(F.split(df["_file"], "/"), -1), F.lit("+"), F.lit("%2B")))
 
 
 def position(*extra: Column) -> Column:

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from netsift.functions import times
 from netsift.functions.staging import once
-from netsift.sources.base import Source, as_is, first_error, line_reader, parse_json, register_source
+from netsift.sources.base import Source, as_is, first_error, further, line_reader, parse_json, register_source
 from netsift.sources.lines import POSITION, SENTINEL, cut_at_sentinel
 from netsift.sources.schemas import MESH_MESSAGE, MESH_PAYLOAD, MESH_PAYLOAD_STORED
 
 _DECODED = "struct<bitfield:bigint,payload:variant,portnum:string,requestId:bigint,wantResponse:boolean>"
+_DECODED_NAMES = ("bitfield", "payload", "portnum", "requestId", "wantResponse")
 _MESSAGE = (
     f"struct<channel:bigint,decoded:{_DECODED},`from`:bigint,hopLimit:bigint,hopStart:bigint,id:bigint,"
     "priority:string,rxRssi:bigint,rxSnr:double,rxTime:string,to:bigint,viaMqtt:boolean,wantAck:boolean>"
@@ -47,16 +48,19 @@ def parse(lines: DataFrame, sentinel: str | None = SENTINEL, **_) -> DataFrame:
             r.decoded.portnum.alias("portnum"),
             r.decoded.requestId.alias("requestId"),
             r.decoded.wantResponse.alias("wantResponse"),
+            further(F.from_json(F.get_json_object("value", "$.decoded"), "map<string,variant>"), _DECODED_NAMES).alias("_extra"),
         ),
     )
-    own = {"decoded": decoded, "rxTime": _epoch(r.rxTime)}
+    names = [f.name for f in MESH_MESSAGE.fields]
+    extra = further(F.when(r.isNotNull(), F.from_json("value", "map<string,variant>")), names)
+    own = {"decoded": decoded, "rxTime": _epoch(r.rxTime), "_extra": extra}
     error = first_error(
         (r.isNotNull(), "malformed JSON"),
         (r.rxTime.isNull() | _epoch(r.rxTime).isNotNull(), "bad rxTime"),
     )
     return staged.select(
         *POSITION, F.col("value").alias("_raw"), error.alias("_error"),
-        *[own.get(f.name, r[f.name]).alias(f.name) for f in MESH_MESSAGE.fields],
+        *[(own[n] if n in own else r[n]).alias(n) for n in names],
     )
 
 

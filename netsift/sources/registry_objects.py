@@ -10,9 +10,14 @@ from netsift.sources.base import Source, as_is, register_source
 from netsift.sources.schemas import REGISTRY_OBJECT
 
 
-def read(spark: SparkSession, path, partitions: int | None = None, pattern: str | None = None, **_) -> DataFrame:
-    """One row per object. A gzipped dump is one task, so ``partitions`` spreads its objects afterwards."""
-    objects = spark.read.text(path, lineSep="\n\n", pathGlobFilter=pattern).select("value", F.col("_metadata.file_path").alias("_file"))
+def read(spark: SparkSession, path, partitions: int | None = None, pattern: str | None = None, crlf: bool = False, **_) -> DataFrame:
+    """One row per object. A gzipped dump is one task, so ``partitions`` spreads its objects afterwards.
+
+    Dumps with CR LF are split too; ``crlf`` reads large ones object by object instead of whole.
+    """
+    separator = "\r\n\r\n" if crlf else "\n\n"
+    rows = spark.read.text(path, lineSep=separator, pathGlobFilter=pattern).select("value", F.col("_metadata.file_path").alias("_file"))
+    objects = rows.select(F.explode(F.split("value", r"\r?\n[ \t]*\r?\n")).alias("value"), "_file").where(strip(F.col("value")) != "")
     return objects.repartition(partitions) if partitions else objects
 
 

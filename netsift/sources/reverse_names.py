@@ -99,5 +99,5 @@ REVERSE = register_source(
     Source("reverse_names", REVERSE_NAMES, parse_text, line_reader(), shape_text, UPSERT, ("ip", "part"))
 )
 REVERSE_JSON = register_source(
-    Source("reverse_stream", REVERSE_STREAM, parse_json_records, line_reader(), shape_json, UPSERT, ("ip",))
+    Source("reverse_stream", REVERSE_STREAM, parse_json_records, line_reader(), shape_json, UPSERT, ("ip",), ("_extra",))
 )

@@ -67,7 +67,7 @@ ORGANIZATION = struct(name=TEXT, country_code=TEXT)
 TRANSFER = struct(
     transfer_date=TEXT, source_registration_date=TEXT, recipient_registration_date=TEXT, ip4nets=ADDRESS_SETS,
     ip6nets=ADDRESS_SETS, asns=AS_NUMBER_SETS, type=TEXT, source_organization=ORGANIZATION,
-    recipient_organization=ORGANIZATION, source_rir=TEXT, recipient_rir=TEXT, seen=TIME,
+    recipient_organization=ORGANIZATION, source_rir=TEXT, recipient_rir=TEXT, seen=TIME, _extra=EXTRA,
 )
 # The kinds of transfer.
 TRANSFER_TYPES = ("MERGER_ACQUISITION", "RESOURCE_TRANSFER")
@@ -145,11 +145,11 @@ MESH_PAYLOAD_STORED = T.StructType(
 MESH_MESSAGE = T.StructType(
     [T.StructField("channel", LONG),
      T.StructField("decoded", struct(
-         bitfield=LONG, payload=T.ArrayType(MESH_PAYLOAD_STORED), portnum=TEXT, requestId=LONG, wantResponse=BOOL)),
+         bitfield=LONG, payload=T.ArrayType(MESH_PAYLOAD_STORED), portnum=TEXT, requestId=LONG, wantResponse=BOOL, _extra=EXTRA)),
      T.StructField("from", LONG)]
     + struct(
         hopLimit=LONG, hopStart=LONG, id=LONG, priority=TEXT, rxRssi=LONG, rxSnr=DOUBLE, rxTime=TIME, to=LONG,
-        viaMqtt=BOOL, wantAck=BOOL,
+        viaMqtt=BOOL, wantAck=BOOL, _extra=EXTRA,
     ).fields
 )
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from netsift.functions import ip, times
 from netsift.functions.staging import once
 from netsift.functions.text import digits_only
-from netsift.sources.base import Source, as_is, first_error, parse_json, register_source
+from netsift.sources.base import Source, as_is, first_error, further, parse_json, register_source
 from netsift.sources.schemas import TRANSFER, TRANSFER_TYPES
 
 _NETS = "struct<original_set:array<struct<start_address:string,end_address:string>>,transfer_set:array<struct<start_address:string,end_address:string>>>"
@@ -57,9 +57,11 @@ def parse(documents: DataFrame, seen=None, utc: bool = False, **_) -> DataFrame:
         F.col("value").alias("_raw"),
         F.when(F.col("_json").isNull(), "malformed JSON").otherwise("no transfers").alias("_error"),
     )
+    everything = F.from_json("value", "struct<transfers:array<map<string,variant>>>")["transfers"]
     t = F.col("t")
     rows = once(
-        docs.select("_file", F.explode("_json.transfers").alias("t")),
+        docs.select("_file", F.explode(F.arrays_zip(F.col("_json.transfers").alias("t"), everything.alias("all"))).alias("z"))
+        .select("_file", F.col("z.t").alias("t"), F.col("z.all").alias("_all")),
         _v4=_rewrite(t.ip4nets, ("start_address", "end_address"), ip.repaired),
         _v6=_rewrite(t.ip6nets, ("start_address", "end_address"), ip.repaired),
         _as=_rewrite(t.asns, ("start", "end"), _as_number),
@@ -76,7 +78,7 @@ def parse(documents: DataFrame, seen=None, utc: bool = False, **_) -> DataFrame:
         *[times.transfer_date(t[name], utc).alias(name) for name in dates],
         F.col("_v4").alias("ip4nets"), F.col("_v6").alias("ip6nets"), F.col("_as").alias("asns"), t.type.alias("type"),
         *[t[name].alias(name) for name in ("source_organization", "recipient_organization", "source_rir", "recipient_rir")],
-        times.as_instant(seen).alias("seen"),
+        times.as_instant(seen).alias("seen"), further(F.col("_all"), [f.name for f in TRANSFER.fields]).alias("_extra"),
     )
     return parsed.unionByName(broken, allowMissingColumns=True)
 

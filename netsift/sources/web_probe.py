@@ -11,6 +11,7 @@ from netsift.sources.lines import POSITION, SENTINEL, cut_at_sentinel
 from netsift.sources.schemas import WEB_PROBE, WEB_PROBE_DROPPED
 
 # Numbers arrive as numbers or as text, so they are read as text first.
+_LISTS = ("a", "cname", "aaaa", "tech")
 _NUMBERS = ("port", "words", "lines", "status_code", "content_length")
 
 
@@ -30,6 +31,10 @@ def parse(lines: DataFrame, sentinel: str | None = SENTINEL, utc: bool = False,
     codes = r.chain_status_codes
     lifted = {f.name: r[f.name] for f in WEB_PROBE.fields if f.name != "_extra"}
     lifted |= {name: r[name].try_cast("int") for name in _NUMBERS}
+    # a list field may come as one value
+    for name in _LISTS:
+        single = F.try_variant_get(everything[name], "$", "string")
+        lifted[name] = F.coalesce(r[name], F.when(single.isNotNull(), F.array(single)))
     lifted["timestamp"] = times.probe_time(r.timestamp, utc)
     lifted["chain_status_codes"] = F.transform(codes, lambda c: c.try_cast("int"))
     numbers_ok = F.lit(True)

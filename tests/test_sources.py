@@ -319,3 +319,79 @@ def test_runs_cross_file_splits(spark, tmp_path):
     finally:
         spark.conf.set(key, old)
     assert split == whole and len(whole) == 12
+
+
+# ---- fields survive, strict lines, odd files ----
+
+def lines_of(spark, *values):
+    from netsift.sources.lines import POSITION
+
+    return spark.createDataFrame([(v, "f", 0, i) for i, v in enumerate(values)], ["value", *POSITION])
+
+
+def test_text_after_the_object_is_malformed_and_a_mistyped_field_is_not(spark):
+    from netsift.sources.base import parse_json
+
+    good = '{"ip":"1.1.1.1","n":3,"deep":{"a":1}, "x":2}'
+    rows = lines_of(spark, good, '{"ip":"1.1.1.1"},"junk":1', '{"ip":"1.1.1.1","n":"q"}', '{"ip":"1"} {"ip":"2"}', '{"ip":')
+    got = [r._json for r in parse_json(rows, "struct<ip:string,n:int>").orderBy("_row").collect()]
+    assert [g and (g.ip, g.n) for g in got] == [("1.1.1.1", 3), None, ("1.1.1.1", None), None, None]
+
+
+def test_a_list_field_with_one_value_is_a_list(spark):
+    from netsift.sources import web_probe
+
+    line = '{"timestamp":"2024-01-01T00:00:00.1Z","url":"u","cname":"x","a":["1.1.1.1"],"other":5}'
+    row = web_probe.parse(lines_of(spark, line), sentinel=None).first()
+    assert row._error is None and row.cname == ["x"] and row.a == ["1.1.1.1"] and list(row._extra) == ["other"]
+
+
+def test_unknown_fields_of_messages_and_transfers_are_kept(spark):
+    from netsift.sources import mesh_radio, transfers
+
+    line = '{"from":1,"fromId":"!a","decoded":{"portnum":"P","text":"hi","payload":"z"},"rxTime":10}'
+    row = mesh_radio.parse(lines_of(spark, line), sentinel=None).first()
+    assert row._error is None and list(row._extra) == ["fromId"] and list(row.decoded._extra) == ["text"]
+    document = '{"transfers":[{"type":"RESOURCE_TRANSFER","remarks":"r"},{"type":"RESOURCE_TRANSFER"}]}'
+    rows = transfers.parse(spark.createDataFrame([(document, "f")], "value string, _file string"), seen="2024-01-01T00:00:00Z").collect()
+    assert [r._error for r in rows] == [None, None] and [r._extra and list(r._extra) for r in rows] == [["remarks"], None]
+
+
+def test_stored_extras_stay_when_a_later_record_has_none(spark, tmp_path):
+    from netsift.ingest import ingest
+    from netsift.operators import tables
+
+    path = str(tmp_path / "t")
+    for n, line in enumerate(('{"ip":"1.1.1.1","record":"a","asn":7}', '{"ip":"1.1.1.1","record":"b"}', '{"ip":"1.1.1.1","record":"c","org":"o"}')):
+        (tmp_path / "in.txt").write_text(line)
+        ingest(spark, "reverse_stream", str(tmp_path / "in.txt"), path)
+        row = tables.current(spark, path, "reverse_stream").first()
+        assert "asn" in row._extra and row.record == "abc"[n]
+    assert set(row._extra) == {"asn", "org"}
+
+
+def test_crlf_registry_dump_is_split(spark, tmp_path):
+    from netsift.sources import registry_objects
+
+    (tmp_path / "d").write_bytes(b"person: A\r\nnic-hdl: a1\r\n\r\nperson: B\r\nnic-hdl: b1\r\n\r\n\r\nperson: C\r\n")
+    for crlf in (False, True):
+        rows = registry_objects.parse(registry_objects.read(spark, str(tmp_path / "d"), crlf=crlf)).collect()
+        assert sorted(r.object_id for r in rows) == ["A", "B", "C"] and all(r._error is None for r in rows)
+
+
+def test_zone_name_of_a_file_with_a_blank(spark, tmp_path):
+    from netsift.sources import get_source
+
+    (tmp_path / "my zone+x.eu.txt").write_text("a.my. 3600 in a 10.0.0.1\n")
+    zone = get_source("zone")
+    row = zone.shape(zone.parse(zone.read(spark, str(tmp_path)), sentinel=None)).first()
+    assert row.zone == "my zone+x.eu"
+
+
+def test_licence_files_with_other_headers(spark, tmp_path):
+    from netsift.sources import licences
+
+    (tmp_path / "a.csv").write_text("CALLSIGN,LIC_NAME\nW1,Ann\n")
+    (tmp_path / "b.csv").write_text("lic_name,callsign,grant_date\nBob,W2,01/02/2020 00:00:00\n")
+    rows = licences.parse(licences.read(spark, str(tmp_path))).collect()
+    assert sorted((r.callsign, r.lic_name) for r in rows) == [("W1", "Ann"), ("W2", "Bob")]
