@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A group above this many rows counts as hot. The number of hot keys is at most
 # rows / HOT_ROWS, which is what bounds the tables of hot keys broadcast below.
@@ -37,21 +38,35 @@ def fold_lists(
     out: str,
     others: Sequence[Column] = (),
     hot_rows: int = HOT_ROWS,
+    bucket: Column | None = None,
+    weight: Column | None = None,
 ) -> DataFrame:
-    """One row per key with the list of its elements in ``order``.
+    """One row per key with the list of its elements in ``order``, in parts of bounded size.
 
-    A group above ``hot_rows`` continues in further rows, numbered by ``part``: its
-    rows are spread by a hash, so no task collects an unbounded group and nothing is
-    left out. The hot keys are few (rows / hot_rows), hence the broadcast.
-    ``others`` are further aggregates.
+    A group of a weight above ``hot_rows`` continues in further rows, numbered by ``part``.
+    Parts are cut in order: put together by number they give the list, at any size.
+    ``bucket`` is coarser than the first column of ``order`` and rises with it, with at most
+    ``hot_rows`` rows of the input in each; a part ends with the bucket in which the weight
+    passes ``hot_rows``. ``weight`` of an element is 1, or what its size calls for. Groups
+    within the bound cost a count. ``others`` are further aggregates.
+
+    The broadcast tables have a row per hot key, which are at most total weight / hot_rows, and one
+    per bucket of such a key.
     """
-    parts = F.ceil(F.col("_n") / hot_rows).cast("int")
-    # A struct is never null, so no null filter is inferred for this side only; both
-    # sides then share one exchange and ``df`` runs once.
-    hot = hot_keys(df, keys, F.col(order[0]), hot_rows).select(F.struct(*keys).alias("_hot"), parts.alias("_parts"))
-    spread = F.pmod(F.xxhash64(*order), F.col("_parts")).cast("int")
-    flagged = df.join(F.broadcast(hot), F.struct(*[df[k] for k in keys]) == hot["_hot"], "left")
-    parted = flagged.withColumn("part", F.coalesce(spread, F.lit(0)))
+    weight = F.lit(1) if weight is None else weight
+    bucket = F.floor(F.col(order[0]) / hot_rows) if bucket is None else bucket
+    # A struct is never null, so no null filter is inferred for one side only, and all sides
+    # need the order column: they then share one exchange and ``df`` runs once.
+    weighed = df.groupBy(*keys).agg(F.sum(F.when(F.col(order[0]).isNotNull(), weight)).alias("_n"))
+    hot = weighed.where(F.col("_n") > hot_rows).select(F.struct(*keys).alias("_hot"))
+    rows = df.withColumn("_bucket", bucket)
+    inside = rows.join(F.broadcast(hot), F.struct(*[rows[k] for k in keys]) == hot["_hot"], "left_semi")
+    inside = inside.groupBy(*keys, "_bucket").agg(F.sum(weight).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    number = F.floor(F.coalesce(F.sum("_n").over(earlier), F.lit(0)) / hot_rows).cast("int")
+    parts = inside.select(F.struct(*keys, "_bucket").alias("_at"), number.alias("part"))
+    at = F.struct(*[rows[k] for k in keys], rows["_bucket"].alias("_bucket"))
+    parted = rows.join(F.broadcast(parts), at == parts["_at"], "left").withColumn("part", F.coalesce("part", F.lit(0)))
     # Grouping by one struct keeps Spark from reusing a partitioning by the bare keys,
     # which would put all parts of a hot key back into one task.
     grouped = parted.groupBy(F.struct(*keys, "part").alias("_group")).agg(
@@ -73,7 +88,8 @@ def salted_join(
     keys = list(keys)
     parts = F.ceil(F.col("_n") / hot_rows).cast("bigint")
     hot = F.broadcast(hot_keys(big, keys, hot_rows=hot_rows).select(*keys, parts.alias("_parts")))
-    number = F.monotonically_increasing_id()
+    # by content, so that a task that runs again deals its rows as before
+    number = F.xxhash64(*[big[c] for c in big.columns if not isinstance(big.schema[c].dataType, (T.MapType, T.VariantType))])
     no_key = F.lit(False)
     for k in keys:
         no_key = no_key | F.col(k).isNull()

@@ -108,7 +108,7 @@ ORACLE = {
                '200,301' AS codes, page_id AS page, 1 AS extras, {_HOST} AS cname FROM pages""",
     "ptr_names": f"SELECT DISTINCT {_dot3('l_suppkey')} AS ip, 'p' || l_partkey || '.example.net' AS record FROM lineitem",
     "ptr_documents": f"""
-        SELECT {_dot3('l_suppkey')} AS ip, count(DISTINCT l_partkey) AS names,
+        SELECT {_dot3('l_suppkey')} AS ip, 0 AS part, count(DISTINCT l_partkey) AS names,
                string_agg(DISTINCT 'p' || l_partkey || '.example.net', ',' ORDER BY 'p' || l_partkey || '.example.net') AS record,
                {_SEEN} AS seen FROM lineitem GROUP BY l_suppkey""",
     "ptr_runs": """
@@ -137,7 +137,7 @@ ORACLE = {
              t AS (SELECT c, type, max(st) AS st FROM zr GROUP BY c, type),
              n AS (SELECT c, type, count(*) AS n FROM zr JOIN t USING (c, type, st) GROUP BY c, type),
              z AS (SELECT c, max(st) AS st FROM zr GROUP BY c)
-        SELECT 'c' || c || '.example' AS domain, lower(any_value(z.st)) || '.example' AS zone, any_value(source) AS source,
+        SELECT 'c' || c || '.example' AS domain, 0 AS part, lower(any_value(z.st)) || '.example' AS zone, any_value(source) AS source,
                string_agg(type, ',' ORDER BY type) AS types, CAST(sum(n) AS BIGINT) AS records
         FROM n JOIN z USING (c) JOIN src USING (c, st) GROUP BY c""",
     "nested_match": f"""

@@ -76,7 +76,7 @@ def ptr_names(spark: SparkSession, folder: str) -> DataFrame:
 
 def ptr_documents(spark: SparkSession, folder: str) -> DataFrame:
     docs = reverse_names.shape_text(_names(spark, folder), seen=SEEN)
-    return docs.select("ip", F.size("record").alias("names"), joined("record").alias("record"),
+    return docs.select("ip", "part", F.size("record").alias("names"), joined("record").alias("record"),
                        times.iso(F.col("seen")).alias("seen"))
 
 
@@ -108,7 +108,7 @@ def zone_documents(spark: SparkSession, folder: str) -> DataFrame:
 def zone_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """The domains of all zone files after merging them in file order."""
     docs = tables.fold_log(_zones(spark, folder), zone.ZONES)
-    return docs.select("domain", "zone", "source", joined(F.map_keys("records")).alias("types"),
+    return docs.select("domain", "part", "zone", "source", joined(F.map_keys("records")).alias("types"),
                        F.aggregate(F.map_values("records"), F.lit(0), lambda n, v: n + F.size(v)).alias("records"))
 
 
@@ -116,7 +116,7 @@ def nested_match(spark: SparkSession, folder: str) -> DataFrame:
     """Domains with an address record whose third octet is below 40."""
     test = predicates.any_record(
         F.col("records"), "a", lambda r: F.split_part(r["data"], F.lit("."), F.lit(3)).cast("int") < 40)
-    return _zones(spark, folder).where(test).select("zone", "domain")
+    return _zones(spark, folder).where(test).select("zone", "domain").distinct()  # a domain may span parts
 
 
 def certificate_domains(spark: SparkSession, folder: str) -> DataFrame:

@@ -58,7 +58,7 @@ def shape_text(parsed: DataFrame, group: str = "key", seen=None, hot_rows: int =
         keys = ["_file", "_run", "ip"]
     else:
         names, keys = distinct_names(parsed), ["_file", "ip"]
-    folded = fold_lists(names, keys, ["_first"], F.col("record"), "record", hot_rows=hot_rows)
+    folded = fold_lists(names, keys, ["_first"], F.col("record"), "record", hot_rows=hot_rows, weight=1 + F.floor(F.length("record") / 256))
     return with_order(folded.withColumn("seen", times.as_instant(seen)), REVERSE_NAMES)
 
 

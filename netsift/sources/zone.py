@@ -77,7 +77,8 @@ def shape(parsed: DataFrame, group: str = "key", seen=None, hot_rows: int = HOT_
         rows, keys = run_numbers(rows, "domain"), ["_file", "_run", "domain"]
     rows = rows.withColumn("_pos", F.struct("_block", "_row"))
     facts = [F.min("_pos").alias("_start"), F.first("zone").alias("zone"), F.first("_axfr").alias("_axfr")]
-    lists = fold_lists(rows, [*keys, "type"], ["_pos"], F.struct("ttl", "data"), "_records", facts, hot_rows)
+    lists = fold_lists(rows, [*keys, "type"], ["_pos"], F.struct("ttl", "data"), "_records", facts, hot_rows,
+                       F.struct("_block", F.floor(F.col("_row") / hot_rows).alias("_row")), 1 + F.floor(F.length("data") / 256))
     domains = lists.groupBy(*keys, "part").agg(
         F.map_from_entries(F.collect_list(F.struct("type", "_records"))).alias("records"),
         F.min("_start").alias("_start"),

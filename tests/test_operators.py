@@ -64,6 +64,10 @@ def test_fold_lists_splits_hot_groups_and_keeps_all(spark):
     assert sorted(x for r in rows for x in r.ids) == list(range(100))
     hot = [r for r in rows if r.k == "hot"]
     assert len(hot) > 1 and all(r.ids == sorted(r.ids) for r in rows) and len(rows) == len(hot) + 20
+    assert [x for r in sorted(hot, key=lambda r: r.part) for x in r.ids] == list(range(80))
+    assert all(len(r.ids) <= 20 for r in hot)
+    heavy = skew.fold_lists(df, ["k"], ["id"], F.col("id"), "ids", hot_rows=10, weight=F.lit(10)).where("k = 'hot'")
+    assert heavy.count() == 8
 
 
 def test_fold_lists_runs_its_input_once(spark, tmp_path):
