@@ -257,7 +257,7 @@ def test_model_is_a_distribution():
 
 def test_packing(odd, odd_rows, none):
     path = packing.vocabulary("byte_bpe_50k.json")
-    rows = packing.pack(odd, path, window=5000).collect()
+    rows = packing.pack(odd, path, window=5000, ranks=packing.vocabulary("byte_bpe_50k.tiktoken")).collect()
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -281,7 +281,7 @@ def test_packing(odd, odd_rows, none):
     " ", "x \n", "é à   ü", "a  b  ", "foo\n bar  \n", prose(9, 200),
 ])
 def test_encoder_gives_the_tokenizers_ids(text):
-    encoder = packing.encoder(packing.vocabulary("byte_bpe_50k.json"))
+    encoder = packing.encoder(packing.vocabulary("byte_bpe_50k.json"), packing.vocabulary("byte_bpe_50k.tiktoken"))
     assert np.frombuffer(encoder.many([text])[0], np.uint32).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
