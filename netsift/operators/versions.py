@@ -1,7 +1,8 @@
 """What a table consists of: numbered batches of several writers, switched by small state files.
 
     <path>/data/<number>-<id>/      rows of a batch, written aside before they count
-    <path>/_numbers/<number>        which writer and batch has the number
+    <path>/_numbers/<number>        numbers given, the last few
+    <path>/_writers/<name>          the number of a writer's batch
     <path>/_state/<version>         the batches that count, one line of JSON
 
 All writers of a table (files, streams, compaction) take their numbers from one line, so
@@ -16,6 +17,7 @@ The rename must not replace an existing file, as on HDFS and local disks.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Callable
@@ -42,6 +44,9 @@ class Files:
         at = self._path(folder)
         return sorted(s.getPath().getName() for s in self._fs.listStatus(at)) if self._fs.exists(at) else []
 
+    def exists(self, file: str) -> bool:
+        return self._fs.exists(self._path(file))
+
     def read(self, file: str) -> str:
         stream = self._fs.open(self._path(file))
         try:
@@ -93,14 +98,17 @@ class Versions:
     def number(self, writer: str, batch: int) -> int:
         """The number of a writer's batch; a new one if it has none yet."""
         label = f"{writer}:{batch}"
+        name = hashlib.sha256(label.encode()).hexdigest()
         for _ in range(TRIES):
+            if self.files.exists(f"{self.path}/_writers/{name}"):
+                return int(self.files.read(f"{self.path}/_writers/{name}"))
             taken = self._visible("_numbers")
-            for n in reversed(taken):
-                if self.files.read(f"{self.path}/_numbers/{n}") == label:
-                    return int(n)
             number = int(taken[-1]) + 1 if taken else 1
             if self.files.create(f"{self.path}/_numbers", f"{number:020d}", label):
-                return number
+                for old in taken[:-KEPT_STATES]:
+                    self.files.delete(f"{self.path}/_numbers/{old}")
+                if self.files.create(f"{self.path}/_writers", name, str(number)):
+                    return number
         raise RuntimeError(f"no number to be had for {self.path}")
 
     def aside(self, number: int) -> str:
