@@ -1,11 +1,13 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
 
-1. One pass counts in how many documents each n-gram of the test items occurs.
-2. The rarer half of an item's n-grams (ties with the last one included) are its seeds,
-   so every item has seeds whatever the corpus holds, even one that sits in a third of it.
-3. A second pass joins passages to items by seeds. Around each seed hit a window of the
-   item's length and some more is aligned with the item. Windows that hold too few of the
-   item's words to reach the threshold are not aligned; that bound is exact.
+1. A passage that reaches the score needed keeps at least so many of an item's n-grams
+   (``least_kept``); that bound is exact. Items that may lose all but one have all their
+   n-grams as seeds. At the threshold of one half only items of a few words keep more.
+2. For those that keep ``k`` a pass counts in how many documents each n-gram occurs; among
+   those that occur, all but the ``k - 1`` commonest are seeds.
+3. Another pass joins passages to items by seeds. Around each seed hit a window as wide as
+   a passage with the gaps that the score allows is aligned with the item. Windows that hold
+   too few of the item's words to reach the threshold are not aligned; both bounds are exact.
 4. A document is contaminated by an item if the best local alignment reaches ``threshold``
    of the item's own score, and at least ``least`` matching words or the whole item.
 
@@ -14,9 +16,10 @@ blocks of a bounded number of characters; a block is what tasks get, however man
 there are, and documents are never shuffled. Counting and alignment use no memory that
 grows with the corpus.
 
-Cases: null or empty texts match nothing; items of under ``n`` words are never found; a
-null document id is reported as null; repeated rows are each reported; empty tables give no
-rows; other columns of documents pass through the filter.
+Cases: null or empty texts match nothing; items of under ``n`` words and passages that keep
+no ``n`` words in a row of the item are never found; a null document id is reported as
+null; repeated rows are each reported; empty tables give no rows; other columns of
+documents pass through the filter.
 """
 
 from __future__ import annotations
@@ -50,6 +53,22 @@ def normal(word: str) -> str:
     return low[start:end] or low
 
 
+def needed(length: int, threshold: float, least: int) -> float:
+    """The alignment score from which an item of ``length`` words is found."""
+    own = MATCH * length
+    return max(threshold * own, min(own, MATCH * least))
+
+
+def least_kept(length: int, n: int, score: float) -> int:
+    """The number of an item's n-grams that any passage of at least this score keeps, 0 if it may keep none.
+
+    A word put in costs a gap and breaks n - 1 n-grams; one exchanged or left out costs a
+    match and a penalty and breaks n; one beyond the ends of the passage a match, and breaks 1.
+    """
+    dearest = max((n - 1) / -GAP, n / (MATCH - max(MISMATCH, GAP)), 1 / MATCH)
+    return max(0, length - n + 1 - int(dearest * (MATCH * length - score)))
+
+
 class Ids(dict):
     """Word -> number of its normal form among the items' words, 0 for others; remembered (speed only)."""
 
@@ -81,7 +100,6 @@ class Block:
                 self.words.append(np.array(number, np.int64))
         self.size = len(self.vocabulary) + 1
         self.grams = [self.keys(w) for w in self.words]
-        self.known = np.unique(np.concatenate(self.grams)) if self.grams else np.empty(0, np.int64)
 
     def keys(self, ids: np.ndarray) -> np.ndarray:
         """A number per n-gram, -1 where a word is none of the items'. Numbers are mixed beyond 63 bits, without harm: hits are aligned."""
@@ -130,9 +148,8 @@ class Matcher:
         self.keys = np.unique(np.array([p[0] for p in pairs], np.int64))
         self.first = np.searchsorted(np.array([p[0] for p in pairs], np.int64), np.append(self.keys, np.iinfo(np.int64).max))
         self.where = [(i, o) for _, i, o in pairs]
-        own = [MATCH * len(w) for w in block.words]
-        self.needed = [max(threshold * s, min(s, MATCH * least)) for s in own]
-        self.own = own
+        self.own = [MATCH * len(w) for w in block.words]
+        self.needed = [needed(len(w), threshold, least) for w in block.words]
         self.bags = [Counter(w.tolist()) for w in block.words]
 
     def align(self, item: int, window: np.ndarray) -> tuple[int, int, int] | None:
@@ -161,7 +178,7 @@ class Matcher:
         for p, k in zip(at.tolist(), place.tolist()):
             for item, offset in self.where[self.first[k] : self.first[k + 1]]:
                 length = len(self.block.words[item])
-                pad = 8 + length // 4
+                pad = int(self.own[item] - self.needed[item]) // -GAP
                 spans.setdefault(item, []).append((max(0, p - offset - pad), min(len(ids), p - offset + length + pad)))
         found = []
         for item, windows in spans.items():
@@ -192,32 +209,44 @@ def blocks(items: DataFrame, id_column: str, text: str, n: int, chars: int) -> I
         yield Block(held, n)
 
 
-def rarer_half(block: Block, docs: DataFrame, text: str) -> list[np.ndarray]:
-    """Positions in each item of its seeds, by document counts of the block's n-grams over all ``docs``."""
+def rarest(block: Block, docs: DataFrame, text: str, threshold: float, least: int) -> list[np.ndarray]:
+    """Positions in each item of its seeds, by document counts of n-grams over all ``docs``.
+
+    Only items that can spare seeds are counted; of the others every n-gram is one.
+    """
+    kept = [least_kept(len(w), block.n, needed(len(w), threshold, least)) for w in block.words]
+    counted = [g for g, k in zip(block.grams, kept) if k > 1]
+    if not counted:
+        return [np.arange(len(g)) for g in block.grams]
+    known = np.unique(np.concatenate(counted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, seen = Ids(block.vocabulary), np.zeros(len(block.known), np.int64)
+        ids, seen = Ids(block.vocabulary), np.zeros(len(known), np.int64)
         for (body,) in rows_of(batches, "text"):
-            _, place = block.hits(block.keys(ids.of(body)), block.known)
+            _, place = block.hits(block.keys(ids.of(body)), known)
             seen[np.unique(place)] += 1
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(seen[some])], names=["gram", "n"])
 
     counts = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "gram long, n long")
-    total = np.zeros(len(block.known), np.int64)
-    for row in counts.groupBy("gram").agg(F.sum("n").alias("n")).toLocalIterator():  # at most the block's n-grams
+    total = np.zeros(len(known), np.int64)
+    for row in counts.groupBy("gram").agg(F.sum("n").alias("n")).toLocalIterator():  # at most the n-grams counted
         total[row.gram] = row.n
     seeds = []
-    for grams in block.grams:
-        n = total[np.searchsorted(block.known, grams)]
-        seeds.append(np.flatnonzero(n <= np.sort(n)[(len(n) - 1) // 2]))
+    for grams, k in zip(block.grams, kept):
+        if k <= 1:
+            seeds.append(np.arange(len(grams)))
+            continue
+        n = total[np.searchsorted(known, grams)]
+        occurring = np.argsort(n, kind="stable")[(n == 0).sum() :]
+        seeds.append(np.sort(occurring[: max(0, len(occurring) - k + 1)]))
     return seeds
 
 
 def _matchers(docs, items, text, item_id, item_text, n, threshold, least, chars):
     for block in blocks(items, item_id, item_text, n, chars):
         if block.items:
-            yield block, rarer_half(block, docs, text), threshold, least
+            yield block, rarest(block, docs, text, threshold, least), threshold, least
 
 
 def contaminated(

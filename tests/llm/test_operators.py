@@ -174,6 +174,36 @@ def test_decontamination(spark, odd, none):
     assert decontaminate.contaminated(odd, items.where("false")).count() == 0 and decontaminate.clean(odd, items.where("false")).count() == odd.count()
 
 
+def test_edited_copies_are_found_without_their_original(spark):
+    rng = random.Random(9)
+    items, rows = [(i, " ".join(f"{w}{rng.randrange(9)}" for w in prose(700 + i, 20).split())) for i in range(30)], []
+    for i, body in items:
+        w = body.split()
+        for k in rng.sample(range(20), 5) if i else (4, 9, 14):
+            w[k] = "changed" if i % 2 else f"put in {w[k]}"
+        # some n-grams of the item occur more often than those that the copy keeps
+        rows += [(i, f"before it {' '.join(w)} and behind it"), (100 + i, " ".join(body.split()[:4])), (200 + i, " ".join(body.split()[:3]))]
+    block = decontaminate.Block(items, 3)
+    ids, want = decontaminate.Ids(block.vocabulary), set()
+    for d, body in rows:
+        keys = block.keys(ids.of(body))
+        for i, words_of in enumerate(block.words):
+            if decontaminate.best_alignment(ids.of(body), words_of)[0] >= 20 and set(keys.tolist()) & set(block.grams[i].tolist()):
+                want.add((d, i))
+    got = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want and len(want) >= 25
+
+
+def test_short_items_spare_their_commonest_ngrams(spark):
+    assert decontaminate.least_kept(8, 3, 16) == 6 and decontaminate.least_kept(9, 3, 16) == 3 and decontaminate.least_kept(20, 3, 20) == 0
+    nine = "a b c d e f g h i"
+    rows = [(1, "a b c d x e f g h i"), (2, "y b c d e f g h i"), *((k, "a b c d e") for k in range(3, 9))]
+    docs, items = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, nine)], "item_id long, text string")
+    block = decontaminate.Block([(1, nine)], 3)
+    assert decontaminate.rarest(block, docs, "text", 0.5, 8)[0].tolist() == [0, 3, 4, 5, 6]
+    assert {r.doc_id for r in decontaminate.contaminated(docs, items).collect()} == {1, 2}
+
+
 def test_alignment_is_smith_waterman():
     rng = np.random.default_rng(2)
     for _ in range(50):
