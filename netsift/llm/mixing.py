@@ -8,10 +8,9 @@ weights chosen by a gate: how often the whole context was seen, whether the cont
 four bytes was, and in which part. Words
 that occur again in a block are computed once and counted as often as they occur.
 
-Training is online: a batch of bits is predicted with what was counted before it, the
-weights of the gates take a Newton step against the error (their curvature adds up over
-the batches), then the batch is counted. Every batch is counted; the weights, a few dozen
-numbers, are fitted on the first ``FITTED`` batches of a block.
+Training takes blocks one by one: a block's bits are counted, then every batch of them is
+predicted with the counts so far less the occurrence predicted itself, and the weights of
+the gates take a Newton step against the error (their curvature adds up over the batches).
 """
 
 from __future__ import annotations
@@ -23,7 +22,6 @@ GATES = 16
 # Slots of each context's table, as powers of two below the largest.
 SMALLER = (5, 3, 1, 0, 1)
 WHOLE = 3
-FITTED = 6
 PRIOR = 0.4
 UNSEEN = -128
 SCALE = 10.0
@@ -153,8 +151,9 @@ class Trainer:
         return len(self.n[k]) >> 1
 
     def fit(self, b: Bits, often: np.ndarray) -> None:
-        zeros = [self.n[k][s] for k, s in enumerate(b.slots)]
-        ones = [self.n[k][s + self.half(k)] for k, s in enumerate(b.slots)]
+        """A step by bits that are counted already; each is predicted without itself."""
+        zeros = [self.n[k][s] - ~b.bit for k, s in enumerate(b.slots)]
+        ones = [self.n[k][s + self.half(k)] - b.bit for k, s in enumerate(b.slots)]
         x = [np.log((o + np.float32(PRIOR)) / (z + np.float32(PRIOR))) for z, o in zip(zeros, ones)]
         level = levels(zeros[WHOLE] + ones[WHOLE])
         total, gate = b.predict(x, level, zeros[2] + ones[2] > 0, self.weights)
@@ -167,15 +166,13 @@ class Trainer:
             self.weights[g] += np.linalg.solve(self.curve[g], some.T @ (n * (b.bit[at] - q)))
 
     def learn(self, words: list[bytes], last: np.ndarray, word: np.ndarray, number: np.ndarray) -> None:
-        fitted = [0, 0]
         for b, n, _ in parts(words, last, word, number, self.bits):
             often = np.repeat(n[b.owner], 8)
-            if fitted[b.part] < FITTED and self.tokens:
-                self.fit(b, often)
-                fitted[b.part] += 1
             count = often.astype(np.uint32)
             for k, s in enumerate(b.slots):
                 np.add.at(self.n[k], s + b.bit * self.half(k), count)
+        for b, n, _ in parts(words, last, word, number, self.bits):
+            self.fit(b, np.repeat(n[b.owner], 8))
         self.tokens += float(number.sum())
 
 

@@ -263,6 +263,25 @@ def test_scores(odd, odd_rows, none):
     assert parted.count() > 10
 
 
+def test_gate_weights_are_fitted_on_every_batch_of_every_block(monkeypatch):
+    monkeypatch.setattr(mixing, "BATCH", 50)
+    fits, fit = [], mixing.Trainer.fit
+    monkeypatch.setattr(mixing.Trainer, "fit", lambda self, b, often: (fits.append(b.part), fit(self, b, often)))
+    words = sorted({w.encode() + str(i % 40).encode() for i, w in enumerate(prose(800, 3000).split())})
+    word = np.arange(len(words))
+    last, number = np.roll(word, 7), word % 5 + 1
+    trainer = mixing.Trainer(18)
+    start = trainer.weights.copy()
+    for _ in range(2):
+        fits.clear()
+        with np.errstate(over="ignore"):
+            batches = [b.part for b, _, _ in mixing.parts(words, last, word, number, 18)]
+            trainer.learn(words, last, word, number)
+        assert fits == batches and min(batches.count(0), batches.count(1)) > 6
+        # the first block alone has moved the weights
+        assert not np.allclose(trainer.weights, start) and np.isfinite(trainer.weights).all()
+
+
 def test_model_is_a_distribution():
     """The probabilities of all next bytes add up to one, whatever was learned."""
     trainer = mixing.Trainer(14)
