@@ -2,8 +2,9 @@
 
 A line counts as a copy if a line earlier in the corpus (by document id, then position)
 differs from it by at most one word put in, taken out or exchanged; every copy is
-removed, the earliest stays. Lines of under ``min_words`` words are left alone. White
-space between words does not count. What is earlier is judged on the input, so the
+removed, the earliest stays. Lines of under ``min_words`` words are copies only of equal
+lines, and with ``short=False`` are left alone, as ``OP3_SQL`` has it; lines without words
+always stay. White space between words does not count. What is earlier is judged on the input, so the
 answer does not depend on any order of work.
 
 1. Equal lines meet by their hash; each distinct line goes on once, with its earliest place.
@@ -55,7 +56,7 @@ def _ends(hashes: Column, a: Column) -> list[Column]:
     return [first, F.xxhash64(F.lit(2), a, F.slice(hashes, F.size(hashes) - a + 1, a))]
 
 
-def _distinct_lines(docs: DataFrame, min_words: int) -> DataFrame:
+def _distinct_lines(docs: DataFrame, least: int) -> DataFrame:
     """Distinct lines: ``h1, h2`` (hash of the words), ``place`` (earliest id and position), ``n``, ``ends``.
 
     ``ends`` holds the first and last words, as long as suits a partner of the same length or
@@ -63,7 +64,7 @@ def _distinct_lines(docs: DataFrame, min_words: int) -> DataFrame:
     """
     lines = docs.select("_id", F.posexplode(F.split("_text", "\n")).alias("pos", "line"))
     lines = once(lines, hashes=F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))).drop("line")
-    lines = lines.where(F.size("hashes") >= min_words)
+    lines = lines.where(F.size("hashes") >= least)
     n, h = F.size("hashes"), F.col("hashes")
     ends = _ends(h, _half(n))
     ends = F.when(_half(n) == _half(n - 1), F.array(*ends)).otherwise(F.array(*ends, *_ends(h, _half(n - 1))))
@@ -140,7 +141,7 @@ def _copies(lines: DataFrame) -> DataFrame:
 
 
 def deduped_lines(
-    docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, short: bool = False
 ) -> DataFrame:
     """``docs`` plus ``_kept_lines``, the lines that stay, and ``_n_lines``, how many there were.
 
@@ -148,8 +149,9 @@ def deduped_lines(
     """
     slim = docs.select(F.col(id_column).alias("_id"), F.col(text).cast("string").alias("_text"))
     known = slim.where(F.col("_id").isNotNull())
-    distinct = written(_distinct_lines(known, min_words))
-    lines = written(_with_words(known, _in_question(distinct)))
+    least = 1 if short else min_words
+    distinct = written(_distinct_lines(known, least))
+    lines = written(_with_words(known, _in_question(distinct.where(F.col("n") >= min_words))))
     copies = _copies(lines)
     stay = distinct.select("place").join(copies, "place", "left_anti")
     stay = stay.groupBy(F.col("place._id").alias("_id")).agg(F.collect_list("place.pos").alias("_stay"))
@@ -165,18 +167,18 @@ def deduped_lines(
     marked = lambda k: F.coalesce(F.get(F.col("_sorted"), k - 1)["m"] == 0, F.lit(False))
     kept = F.filter(
         "_sorted",
-        lambda e, k: (e["m"] == 1) & (F.col("_id").isNull() | marked(k) | (F.size(_words(e["line"])) < min_words)),
+        lambda e, k: (e["m"] == 1) & (F.col("_id").isNull() | marked(k) | (F.size(_words(e["line"])) < least)),
     )
     lines = F.transform(kept, lambda e: e["line"])
     return once(split.select("_row", "_id", "_n_lines", "_sorted"), _kept_lines=lines).select("_row.*", "_kept_lines", "_n_lines")
 
 
 def without_copied_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: str | None = "n_chars") -> DataFrame:
-    """``docs`` with copied lines taken out of the text; documents that lose all their words go.
+    """``docs`` with copied lines of any length taken out of the text; documents that lose all their words go.
 
     ``length`` names a column that holds the length of the text, if there is one.
     """
-    done = deduped_lines(docs, id_column, text)
+    done = deduped_lines(docs, id_column, text, short=True)
     joined = F.array_join("_kept_lines", "\n")
     emptied = (F.size("_kept_lines") < F.col("_n_lines")) & (F.trim(F.translate(joined, "\t\n\x0b\x0c\r", " ")) == "")
     done = done.where(~F.coalesce(emptied, F.lit(False)))

@@ -151,6 +151,13 @@ def test_line_dedup_odd_rows(odd, odd_rows, none):
     assert len(rows[7]) == 3 and rows[104][0].text == "x" * 150_000
 
 
+def test_short_equal_lines_are_copies_too(spark):
+    rows = [(1, "Share this\none two three four five six\n\n漢字のとても長い行です"), (2, "Share  this\n\nmenu\nShare that"),
+            (3, "own\n漢字のとても長い行です\nmenu\n\none two three four five 6\nown")]
+    got = {r.doc_id: r.text for r in lines.without_copied_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "\nmenu\nShare that", 3: "own\n"}
+
+
 # ---- decontamination ----
 
 def test_decontamination(spark, odd, none):
