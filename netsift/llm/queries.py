@@ -6,6 +6,7 @@ from netsift.llm.decontaminate import op4_benchmark_decontamination
 from netsift.llm.extract import op10_wrapper_main_text
 from netsift.llm.languages import op1_language_mixture
 from netsift.llm.lines import OP3_SQL, op3_line_dedup
+from netsift.llm.middle import OP13_SQL, op13_displacement_middle
 from netsift.llm.near import op9_dart_near_duplicates
 from netsift.llm.packing import op7_cost_balanced_packing
 from netsift.llm.quality import op5_robust_quality
@@ -24,8 +25,10 @@ QUERIES = {
     "op8_longest_match_counts": op8_longest_match_counts,
     "op9_dart_near_duplicates": op9_dart_near_duplicates,
     "op10_wrapper_main_text": op10_wrapper_main_text,
+    "op13_displacement_middle": op13_displacement_middle,
 }
 
 ORACLE: dict[str, str] = {
     "op3_line_dedup": OP3_SQL,
+    "op13_displacement_middle": OP13_SQL,
 }
