@@ -12,6 +12,7 @@ from netsift.llm.packing import op7_cost_balanced_packing
 from netsift.llm.quality import op5_robust_quality
 from netsift.llm.scoring import op6_context_mixing
 from netsift.llm.substrings import op2_repeated_substrings
+from netsift.llm.tokenfiles import op12_mixed_id_files
 from netsift.llm.wordpiece import op8_longest_match_counts
 
 QUERIES = {
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_longest_match_counts": op8_longest_match_counts,
     "op9_dart_near_duplicates": op9_dart_near_duplicates,
     "op10_wrapper_main_text": op10_wrapper_main_text,
+    "op12_mixed_id_files": op12_mixed_id_files,
     "op13_displacement_middle": op13_displacement_middle,
 }
 
