@@ -192,8 +192,10 @@ def _manifest(path: str) -> list[dict] | None:
 
 
 class IdWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, overwrite: bool):
-        self.path, self.overwrite = path, overwrite
+    """Takes rows of ``doc_id, text``; encodes and writes them in one worker."""
+
+    def __init__(self, path: str, tokenizer: str, end_id: int, drops_spaces: bool):
+        self.path, self.tokenizer, self.end_id, self.drops_spaces = path, tokenizer, end_id, drops_spaces
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         files, folder = fs.FileSystem.from_uri(self.path)
@@ -218,12 +220,14 @@ class IdWriter(DataSourceArrowWriter):
                 done.append((task, len(done), name, docs, n_ids))
                 stream = None
 
-        for doc, ids in rows_of(iterator, "doc_id", "ids"):
-            pending[0].append(doc)
-            pending[1].append(ids)
-            pending = (pending[0], pending[1], pending[2] + len(ids) // 4)
-            if pending[2] >= STRIPE_IDS:
-                flush(False)
+        encode, end = encoder(self.tokenizer, self.drops_spaces), np.array([self.end_id], "<u4").tobytes()
+        for group in groups_of(rows_of(iterator, "doc_id", "text"), 1 << 20):
+            for (doc, _), ids in zip(group, encode.many([text or "" for _, text in group])):
+                pending[0].append(doc)
+                pending[1].append(ids + end)
+                pending = (pending[0], pending[1], pending[2] + len(ids) // 4 + 1)
+                if pending[2] >= STRIPE_IDS:
+                    flush(False)
         flush(True)
         return Written(done)
 
@@ -288,20 +292,8 @@ class IdFiles(DataSource):
     def writer(self, schema, overwrite: bool) -> IdWriter:
         if not overwrite and _manifest(self.options["path"]) is not None:
             raise ValueError(f"{self.options['path']} holds ids already; write with mode 'overwrite'")
-        return IdWriter(self.options["path"], overwrite)
-
-
-def encoded(docs: DataFrame, tokenizer: str, end_id: int, drops_spaces: bool) -> DataFrame:
-    """``doc_id, ids``: ids of each text and the end id, 32 bits each."""
-    end = np.array([end_id], "<u4").tobytes()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, drops_spaces)
-        for group in groups_of(rows_of(batches, "doc_id", "text"), 1 << 20):
-            ids = [i + end for i in encode.many([text or "" for _, text in group])]
-            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in group], pa.int64()), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
-
-    return docs.mapInArrow(run, "doc_id long, ids binary")
+        o = self.options
+        return IdWriter(o["path"], o["tokenizer"], int(o["endid"]), o["dropsspaces"] == "true")
 
 
 def write_ids(
@@ -318,7 +310,8 @@ def write_ids(
     # the hash deals rows of equal id over tasks too
     keyed = slim.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie")
     rows = keyed.sortWithinPartitions("doc_id", "tie", "text").drop("tie")
-    encoded(rows, tokenizer, end_id, drops_spaces).write.format(FORMAT).mode(mode).save(path)
+    options = {"tokenizer": tokenizer, "endid": str(end_id), "dropsspaces": str(drops_spaces).lower()}
+    rows.write.format(FORMAT).options(**options).mode(mode).save(path)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
