@@ -9,6 +9,7 @@ from netsift.llm.lines import OP3_SQL, op3_line_dedup
 from netsift.llm.middle import OP13_SQL, op13_displacement_middle
 from netsift.llm.near import op9_dart_near_duplicates
 from netsift.llm.packing import op7_cost_balanced_packing
+from netsift.llm.phrases import OP11_SQL, op11_phrase_collocations
 from netsift.llm.quality import op5_robust_quality
 from netsift.llm.scoring import op6_context_mixing
 from netsift.llm.substrings import op2_repeated_substrings
@@ -26,11 +27,13 @@ QUERIES = {
     "op8_longest_match_counts": op8_longest_match_counts,
     "op9_dart_near_duplicates": op9_dart_near_duplicates,
     "op10_wrapper_main_text": op10_wrapper_main_text,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_mixed_id_files": op12_mixed_id_files,
     "op13_displacement_middle": op13_displacement_middle,
 }
 
 ORACLE: dict[str, str] = {
     "op3_line_dedup": OP3_SQL,
+    "op11_phrase_collocations": OP11_SQL,
     "op13_displacement_middle": OP13_SQL,
 }
