@@ -8,17 +8,17 @@ much more often it stands than its two parts would by chance, at its weakest cut
 2. Counts of single words are summed over shards; each shard gets back those of its words that
    are frequent. A phrase is frequent only if all its words are.
 3. Each shard sorts its pairs of frequent words and builds count transducers from them
-   (``transducers``), one per first word: the prefix range. A range that holds more than
-   ``HOT`` occurrences is split by its second words.
+   (``transducers``), one per prefix range: a group of first words. Phrases whose first word
+   stands more than ``HOT`` times go over several ranges by their second word.
 4. A range's transducers are united and their weights summed; what stays below ``least`` goes.
    Composing the sum with what a shard sent gives the pairs that the shard has to go on with.
 5. The same once more for phrases of three to five words all of whose pairs are frequent.
 6. In the united transducer of a range, each phrase meets the counts of its first parts on its
    path. Its last parts go to their own ranges, where a transducer of all that is asked for
-   is composed with the counts.
+   is composed with the counts. Parts of one word are joined with the counts of words.
 
 No count is dropped before it is known in full: only frequent phrases can be candidates or parts
-of such. A range's messages are at most one entry per occurrence within ``HOT``, or one per shard.
+of such. Ranges are ``RANGES``, or more so that they hold some ``HOT`` occurrences each.
 
 Cases: a null text counts as empty, a null language is ``und``; texts without words give
 nothing; repeated rows count as often as they occur; very long texts make a shard of their own;
@@ -37,22 +37,27 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from netsift.llm.common import groups_of, read, rows_of, utf8, written
 from netsift.llm.transducers import Transducer, compose, union
 from netsift.operators.skew import join_lookup
 
-SHARD_CHARS = 8_000_000
+SHARD_CHARS = 16_000_000
 HOT = 1 << 20
+RANGES = 256
+_SPREAD = 0x9E3779B1
 LONGEST = 5
 # What ends a piece becomes a line break, the tab a space, A to Z lower case.
 _TABLE = bytes.maketrans(
     b".,;:!?\x0a\x0b\x0c\x0d\x09" + bytes(range(65, 91)), b"\n" * 10 + b" " + bytes(range(97, 123))
 )
-_COUNTS = "lang string, first binary, slice int, shard long, f_first long, counts binary"
-_ARROW = {"lang": pa.string(), "first": pa.binary(), "slice": pa.int32(), "shard": pa.int64(), "f_first": pa.int64(), "counts": pa.binary()}
+_COUNTS = "lang string, part int, shard long, hot array<struct<word:binary,total:long>>, counts binary"
+_ARROW = {
+    "lang": pa.string(), "part": pa.int32(), "shard": pa.int64(),
+    "hot": pa.list_(pa.struct([("word", pa.binary()), ("total", pa.int64())])), "counts": pa.binary(),
+}
 
 
 def _table(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
@@ -124,22 +129,38 @@ def _single_words(kept: DataFrame) -> DataFrame:
     return kept.mapInArrow(run, "shard long, lang string, word binary, c long")
 
 
-def _slice(second: bytes, f_first: int, hot: int) -> int:
-    """The part of a prefix range that phrases with this second word belong to."""
-    return zlib.crc32(second) % -(-f_first // hot) if f_first > hot else 0
+class _Ranges:
+    """Which prefix range a phrase belongs to: by its first word, by its second too if the first is hot."""
 
+    def __init__(self, ranges: int, hot: int):
+        self.ranges, self.hot = ranges, hot
 
-def _messages(shard: int, lang: str, counted: list[tuple], totals: dict[bytes, int], hot: int) -> Iterator[tuple]:
-    """Transducers of sorted phrases, one per prefix range."""
-    for first, phrases in itertools.groupby(counted, key=lambda pc: pc[0][0]):
-        parts = defaultdict(list)
-        for phrase, count in phrases:
-            parts[_slice(phrase[1], totals[first], hot)].append((phrase, count))
-        for number, part in parts.items():
-            yield lang, first, number, shard, totals[first], Transducer.build(part).pack()
+    def part(self, phrase: tuple[bytes, ...], totals: dict[bytes, int]) -> int:
+        total = totals.get(phrase[0], 0)
+        piece = zlib.crc32(phrase[1]) % -(-total // self.hot) if total > self.hot else 0
+        return (zlib.crc32(phrase[0]) + piece * _SPREAD) % self.ranges
 
+    def column(self, first: str, second: str, total: str) -> Column:
+        """The same as a column."""
+        pieces = F.ceil(F.col(total) / self.hot)
+        piece = F.when(F.col(total) > self.hot, F.pmod(F.crc32(second), pieces)).otherwise(F.lit(0))
+        return F.pmod(F.crc32(first) + piece * _SPREAD, F.lit(self.ranges)).cast("int")
 
-def _pairs(kept: DataFrame, known: DataFrame, hot: int) -> DataFrame:
+    def messages(self, shard: int, lang: str, counted: list[tuple], totals: dict[bytes, int]) -> Iterator[tuple]:
+        """Transducers of sorted phrases, one per prefix range. ``totals`` has the counts of hot words at least."""
+        parts = defaultdict(list)
+        for first, phrases in itertools.groupby(counted, key=lambda pc: pc[0][0]):
+            if totals.get(first, 0) > self.hot:
+                for phrase in phrases:
+                    parts[self.part(phrase[0], totals)].append(phrase)
+            else:
+                parts[self.part((first,), {})] += phrases
+        for part, phrases in parts.items():
+            hot = [{"word": w, "total": totals[w]} for w in {p[0] for p, _ in phrases} if totals.get(w, 0) > self.hot]
+            yield lang, part, shard, hot, Transducer.build(phrases).pack()
+
+
+def _pairs(kept: DataFrame, known: DataFrame, ranges: _Ranges) -> DataFrame:
     """Transducers of the pairs of frequent words of each shard."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -152,13 +173,13 @@ def _pairs(kept: DataFrame, known: DataFrame, hot: int) -> DataFrame:
             codes, counts = np.unique(a[both] * len(words) + b[both], return_counts=True)
             one, two = np.divmod(codes, len(words))
             counted = [((words[i], words[j]), c) for i, j, c in zip(one.tolist(), two.tolist(), counts.tolist())]
-            yield from _messages(shard, lang, counted, totals, hot)
+            yield from ranges.messages(shard, lang, counted, totals)
 
     joined = kept.join(known, ["shard", "lang"])
     return joined.mapInArrow(lambda batches: _batches(rows(batches), _ARROW), _COUNTS)
 
 
-def _longer(kept: DataFrame, replies: DataFrame, longest: int, hot: int) -> DataFrame:
+def _longer(kept: DataFrame, replies: DataFrame, longest: int, ranges: _Ranges) -> DataFrame:
     """Transducers of the phrases of three words and more all of whose pairs are frequent."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -167,7 +188,7 @@ def _longer(kept: DataFrame, replies: DataFrame, longest: int, hot: int) -> Data
             place = {w: i for i, w in enumerate(words)}
             totals, codes = {}, []
             for reply in pairs:
-                totals[reply["first"]] = reply["f_first"]
+                totals.update((w["word"], w["total"]) for w in reply["hot"])
                 codes += [place[a] * len(words) + place[b] for (a, b), _ in Transducer.unpack(reply["counts"]).paths()]
             codes = np.sort(np.array(codes, np.int64))
             inside = (numbers[:-1] >= 0) & (numbers[1:] >= 0)
@@ -186,95 +207,80 @@ def _longer(kept: DataFrame, replies: DataFrame, longest: int, hot: int) -> Data
                 phrases = [(*phrases[c // len(words)], c % len(words)) for c in found.tolist()]
                 counted += zip(phrases, counts.tolist())
             counted = [(tuple([words[i] for i in p]), c) for p, c in sorted(counted)]
-            yield from _messages(shard, lang, counted, totals, hot)
+            yield from ranges.messages(shard, lang, counted, totals)
 
     joined = kept.join(replies, ["shard", "lang"])
     return joined.mapInArrow(lambda batches: _batches(rows(batches), _ARROW), _COUNTS)
 
 
-def _ranges(rows: DataFrame, *order: str) -> DataFrame:
+def _dealt(rows: DataFrame, *order: str) -> DataFrame:
     """Rows dealt by prefix range, those of a range together."""
-    return rows.repartition("lang", "first", "slice").sortWithinPartitions("lang", "first", "slice", *order)
+    return rows.repartition("lang", "part").sortWithinPartitions("lang", "part", *order)
 
 
 def _by_range(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple[tuple, Iterator[tuple]]]:
-    return itertools.groupby(rows_of(batches, "lang", "first", "slice", *names), key=lambda r: r[:3])
+    return itertools.groupby(rows_of(batches, "lang", "part", *names), key=lambda r: r[:2])
 
 
 def _united(messages: DataFrame, least: int, replies: bool) -> DataFrame:
     """Sums over shards (a null ``shard``), and, if asked for, what of it each shard has."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for (lang, first, part), group in _by_range(batches, "shard", "f_first", "counts"):
-            sent, f_first = [], 0
-            for *_, shard, f_first, counts in group:
-                sent.append((shard, Transducer.unpack(counts)))
-            total = union((t for _, t in sent), least)
-            if not total.arcs or not (total.arcs[-1] or total.ends[-1] >= 0):
+        for (lang, part), group in _by_range(batches, "shard", "hot", "counts"):
+            sent = [row[2:] for row in group]
+            total = union((Transducer.unpack(counts) for *_, counts in sent), least)
+            if not total.arcs[-1]:
                 continue
-            yield lang, first, part, None, f_first, total.pack()
-            for shard, own in sent if replies else ():
-                left = [(phrase, count) for phrase, count, _ in compose(own, total)]
+            yield lang, part, None, [], total.pack()
+            for shard, hot, counts in sent if replies else ():
+                left = [(phrase, count) for phrase, count, _ in compose(Transducer.unpack(counts), total)]
                 if left:
-                    yield lang, first, part, shard, f_first, Transducer.build(left).pack()
+                    yield lang, part, shard, hot, Transducer.build(left).pack()
 
-    return _ranges(messages).mapInArrow(lambda batches: _batches(rows(batches), _ARROW), _COUNTS)
+    return _dealt(messages).mapInArrow(lambda batches: _batches(rows(batches), _ARROW, 50), _COUNTS)
 
 
 def _cuts(totals: DataFrame) -> DataFrame:
-    """Each frequent phrase of two words and more at each cut: ``lang, phrase, a, k, l, rest``."""
-    kinds = {"lang": pa.string(), "phrase": pa.binary(), "a": pa.int64(), "k": pa.int32(), "l": pa.int64(), "first": pa.binary(), "second": pa.binary(), "rest": pa.binary()}
+    """Each frequent phrase at each cut, with the counts of first parts of two words and more (``l``)."""
+    kinds = {"lang": pa.string(), "phrase": pa.binary(), "a": pa.int64(), "k": pa.int32(), "l": pa.int64(), "head": pa.binary(), "first": pa.binary(), "second": pa.binary(), "rest": pa.binary()}
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for (lang, first, _), group in _by_range(batches, "f_first", "counts"):
-            parts = [(f, Transducer.unpack(counts)) for *_, f, counts in group]
-            for phrase, count, before in union(t for _, t in parts).prefixes():
-                # the counts of pairs and longer parts stand on the path, that of the first word beside it
-                before = (parts[0][0], *before[1:])
+        for (lang, _), group in _by_range(batches, "counts"):
+            for phrase, count, before in union(Transducer.unpack(counts) for *_, counts in group).prefixes():
                 text = b" ".join(phrase)
                 for k in range(1, len(phrase)):
                     second = phrase[k + 1] if len(phrase) > k + 1 else None
-                    yield lang, text, count, k, before[k - 1], phrase[k], second, b" ".join(phrase[k:])
+                    yield lang, text, count, k, before[k - 1], phrase[0], phrase[k], second, b" ".join(phrase[k:])
 
-    schema = "lang string, phrase binary, a long, k int, l long, first binary, second binary, rest binary"
-    return _ranges(totals.select("lang", "first", "slice", "f_first", "counts")).mapInArrow(lambda b: _batches(rows(b), kinds), schema)
+    schema = "lang string, phrase binary, a long, k int, l long, head binary, first binary, second binary, rest binary"
+    return _dealt(totals.select("lang", "part", "counts")).mapInArrow(lambda b: _batches(rows(b), kinds), schema)
 
 
-def _answered(cuts: DataFrame, totals: DataFrame, words: DataFrame, hot: int) -> DataFrame:
-    """``cuts`` with ``r``, the count of the rest, looked up in the range of its first word."""
+def _answered(questions: DataFrame, totals: DataFrame) -> DataFrame:
+    """``questions`` with ``r``, the count of the rest, looked up in the range it belongs to."""
     kinds = {"lang": pa.string(), "phrase": pa.binary(), "a": pa.int64(), "k": pa.int32(), "l": pa.int64(), "rest": pa.binary(), "r": pa.int64()}
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for (_, first, _), group in _by_range(batches, "kind", "f_first", "counts", "phrase", "a", "k", "l", "rest"):
-            known, single = [], None
-            # counts come first, then the questions in the order of what they ask for
-            questions = []
-            for lang, _, _, kind, f_first, counts, phrase, a, k, cut_l, rest in group:
+        for (lang, _), group in _by_range(batches, "kind", "counts", "phrase", "a", "k", "l", "rest"):
+            known, asked = [], []
+            for _, _, kind, counts, *question in group:
                 if kind == 0:
-                    single = f_first
-                    if counts is not None:
-                        known.append(Transducer.unpack(counts))
+                    known.append(Transducer.unpack(counts))
                 else:
-                    questions.append((rest, lang, phrase, a, k, cut_l))
-            asked = Transducer.build(((tuple(rest.split(b" "))), 0) for rest, _ in itertools.groupby(questions, key=lambda q: q[0]))
-            answers = {p: c for p, _, c in compose(asked, union(known))} if known else {}
-            answers[first,] = single
-            for rest, lang, phrase, a, k, cut_l in questions:
-                yield lang, phrase, a, k, cut_l, rest, answers[tuple(rest.split(b" "))]
-
-    slices = words.where(F.col("total") > hot).select("lang", F.col("word").alias("first"), F.ceil(F.col("total") / hot).alias("slices"))
-    routed = join_lookup(cuts, slices, ["lang", "first"])
-    number = F.when(F.col("second").isNull(), F.lit(0)).otherwise(F.pmod(F.crc32("second"), F.coalesce("slices", F.lit(1))))
-    questions = routed.select("lang", "first", number.cast("int").alias("slice"), F.lit(1).alias("kind"), "phrase", "a", "k", "l", "rest")
-    counts = totals.select("lang", "first", "slice", F.lit(0).alias("kind"), "f_first", "counts")
-    single = words.select("lang", F.col("word").alias("first"), F.lit(0).alias("slice"), F.lit(0).alias("kind"), F.col("total").alias("f_first"))
-    everything = questions.unionByName(counts, allowMissingColumns=True).unionByName(single, allowMissingColumns=True)
+                    asked.append(question)
+            wanted = Transducer.build(sorted((tuple(rest.split(b" ")), 0) for rest in {q[-1] for q in asked}))
+            answers = {b" ".join(p): c for p, _, c in compose(wanted, union(known))}
+            for phrase, a, k, cut_l, rest in asked:
+                yield lang, phrase, a, k, cut_l, rest, answers[rest]
+
+    counts = totals.select("lang", "part", F.lit(0).alias("kind"), "counts")
+    everything = questions.withColumn("kind", F.lit(1)).unionByName(counts, allowMissingColumns=True)
     schema = "lang string, phrase binary, a long, k int, l long, rest binary, r long"
-    return _ranges(everything, "kind", "rest").mapInArrow(lambda b: _batches(rows(b), kinds), schema)
+    return _dealt(everything, "kind").mapInArrow(lambda b: _batches(rows(b), kinds), schema)
 
 
 def collocations(
-    docs: DataFrame, least: int = 100, top: int = 2000, longest: int = LONGEST, hot: int = HOT,
+    docs: DataFrame, least: int = 100, top: int = 2000, longest: int = LONGEST, hot: int = HOT, ranges: int = RANGES,
     text_column: str = "text", lang_column: str = "lang",
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: each language's best phrases of 2 to ``longest`` words.
@@ -288,13 +294,18 @@ def collocations(
     counted = written(_single_words(kept).withColumn("total", total).where(F.col("total") >= least))
     words = counted.groupBy("lang", "word").agg(F.first("total").alias("total"))
     known = counted.groupBy("shard", "lang").agg(F.collect_list(F.struct("word", "total")).alias("known"))
-    pairs = written(_united(_pairs(kept, known, hot), least, replies=True))
-    replies = pairs.where("shard is not null").groupBy("shard", "lang").agg(
-        F.collect_list(F.struct("first", "f_first", "counts")).alias("pairs")
-    )
-    longer = _united(_longer(kept, replies, longest, hot), least, replies=False)
+    # ranges grow in number with the words, so that the size of one stays
+    dealt = _Ranges(max(ranges, (kept.agg(F.sum("n")).first()[0] or 0) // hot), hot)
+    pairs = written(_united(_pairs(kept, known, dealt), least, replies=True))
+    replies = pairs.where("shard is not null").groupBy("shard", "lang").agg(F.collect_list(F.struct("hot", "counts")).alias("pairs"))
+    longer = _united(_longer(kept, replies, longest, dealt), least, replies=False)
     totals = written(pairs.where("shard is null").unionByName(longer))
-    parts = written(_answered(_cuts(totals), totals, words, hot))
+    cuts = join_lookup(_cuts(totals), words.select("lang", F.col("word").alias("head"), F.col("total").alias("f_head")), ["lang", "head"])
+    cuts = join_lookup(cuts, words.select("lang", F.col("word").alias("first"), F.col("total").alias("f_first")), ["lang", "first"])
+    cuts = written(cuts.withColumn("l", F.coalesce("l", "f_head")).withColumn("part", dealt.column("first", "second", "f_first")))
+    single = cuts.where("second is null").select("lang", "phrase", "a", "k", "l", "rest", F.col("f_first").alias("r"))
+    questions = cuts.where("second is not null").select("lang", "part", "phrase", "a", "k", "l", "rest")
+    parts = written(_answered(questions, totals).unionByName(single))
     # A longer candidate that stands as often as a part has a candidate of one word more than the part between them.
     same = parts.where("k = 1 and r = a and instr(rest, ' ') > 0").selectExpr("lang", "rest phrase").unionByName(
         parts.where("instr(rest, ' ') = 0 and k > 1 and l = a").selectExpr("lang", "substring(phrase, 1, length(phrase) - length(rest) - 1) phrase")

@@ -2,17 +2,21 @@
 
 A transducer is built incrementally from sorted phrases, as minimal automata are: the states of
 the last phrase that the next one does not share are frozen, and a frozen state that equals an
-earlier one is that one. A count is the sum of the weights along the path; weights stand as far to
+earlier one is that one. Phrases that differ in the last word alone are added together. A count is the sum of the weights along the path; weights stand as far to
 the front as the phrases that share an arc allow, so that equal endings stay equal.
 """
 
 from __future__ import annotations
 
+import itertools
+import operator
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import zstandard
 
 Phrase = tuple[bytes, ...]
+LEAF = 0
 
 
 class Transducer:
@@ -28,9 +32,9 @@ class Transducer:
     @classmethod
     def build(cls, counted: Iterable[tuple[Phrase, int]]) -> Transducer:
         """``counted``: phrases in strictly rising order, each with its count."""
-        arcs: list[tuple] = []
-        ends: list[int] = []
-        register: dict[tuple, int] = {}
+        arcs: list[tuple] = [()]
+        ends: list[int] = [0]  # the state LEAF, where most phrases end
+        register: dict[tuple, int] = {(0, ()): LEAF}
         open_arcs: list[list[list]] = [[]]
         open_ends: list[int] = [-1]
         last: Phrase | None = None
@@ -47,18 +51,25 @@ class Transducer:
                 if open_arcs:
                     open_arcs[-1][-1][1] = number
 
-        for phrase, count in counted:
-            if last is not None and phrase <= last:
+        for stem, run in itertools.groupby(counted, key=lambda pc: pc[0][:-1]):
+            run = list(run)
+            first = run[0][0]
+            words = [p[-1] for p, _ in run] if first else []
+            if last is not None and first <= last or any(map(operator.ge, words, words[1:])):
                 raise ValueError("phrases come in strictly rising order")
             shared = 0
             if last is not None:
-                for a, b in zip(last, phrase):
+                for a, b in zip(last, stem):
                     if a != b:
                         break
                     shared += 1
-            last = phrase
-            freeze(shared + 1)
-            rest = count
+                freeze(shared + 1)
+            last = run[-1][0]
+            if not first:
+                open_ends[0] = run[0][1]
+                continue
+            low = min([c for _, c in run])
+            rest, used = low, 0
             for depth in range(shared):
                 arc = open_arcs[depth][-1]
                 if arc[2] > rest:
@@ -70,12 +81,15 @@ class Transducer:
                         open_ends[depth + 1] += more
                     arc[2] = rest
                 rest -= arc[2]
-            for word in phrase[shared:]:
+                used += arc[2]
+            for word in stem[shared:]:
                 open_arcs[-1].append([word, -1, rest])
                 open_arcs.append([])
                 open_ends.append(-1)
-                rest = 0
-            open_ends[-1] = rest
+                used, rest = used + rest, 0
+            open_arcs[-1] += [[w, LEAF, c - used] for w, (_, c) in zip(words, run)]
+            open_arcs.append([])
+            open_ends.append(0)
         freeze(0)
         return cls(arcs, ends)
 
@@ -104,17 +118,18 @@ class Transducer:
     def pack(self) -> bytes:
         words = sorted({a[0] for state in self.arcs for a in state})
         number = {w: i for i, w in enumerate(words)}
-        flat = np.array([(number[w], t, v) for state in self.arcs for w, t, v in state], "<i8").reshape(-1, 3)
+        flat = list(itertools.chain.from_iterable(self.arcs))
+        links = np.array([(number[w], t) for w, t, _ in flat], "<i4")
+        weights = np.array([v for *_, v in flat], "<i8")
         table = b"\n".join(words)
         head = np.array([len(words), len(table), len(self.arcs), len(flat)], "<i8")
         sizes = np.array([len(s) for s in self.arcs], "<i4")
-        return b"".join([
-            head.tobytes(), table, sizes.tobytes(), np.array(self.ends, "<i8").tobytes(),
-            flat[:, :2].astype("<i4").tobytes(), flat[:, 2].tobytes(),
-        ])
+        parts = [head.tobytes(), table, sizes.tobytes(), np.array(self.ends, "<i8").tobytes(), links.tobytes(), weights.tobytes()]
+        return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
 
     @classmethod
     def unpack(cls, data: bytes) -> Transducer:
+        data = zstandard.ZstdDecompressor().decompress(data)
         n_words, n_table, n_states, n_arcs = np.frombuffer(data, "<i8", 4).tolist()
         at = 32 + n_table
         words = data[32:at].split(b"\n") if n_words else []
@@ -124,7 +139,7 @@ class Transducer:
         at += 8 * n_states
         links = np.frombuffer(data, "<i4", 2 * n_arcs, at).reshape(-1, 2)
         weights = np.frombuffer(data, "<i8", n_arcs, at + 8 * n_arcs).tolist()
-        flat = [(words[w], t, v) for (w, t), v in zip(links.tolist(), weights)]
+        flat = list(zip(map(words.__getitem__, links[:, 0].tolist()), links[:, 1].tolist(), weights))
         arcs, at = [], 0
         for size in sizes:
             arcs.append(tuple(flat[at : at + size]))
@@ -135,9 +150,19 @@ class Transducer:
 def union(parts: Iterable[Transducer], least: int = 0) -> Transducer:
     """All phrases of ``parts`` with the sums of their counts, those of ``least`` or more."""
     totals: dict[Phrase, int] = {}
+    known = totals.get
     for part in parts:
-        for phrase, count in part.paths():
-            totals[phrase] = totals.get(phrase, 0) + count
+        todo: list[tuple[int, Phrase, int]] = [(len(part.arcs) - 1, (), 0)]
+        while todo:
+            state, words, weight = todo.pop()
+            if part.ends[state] >= 0:
+                totals[words] = known(words, 0) + weight + part.ends[state]
+            for word, target, more in part.arcs[state]:
+                phrase = (*words, word)
+                if target == LEAF:
+                    totals[phrase] = known(phrase, 0) + weight + more
+                else:
+                    todo.append((target, phrase, weight + more))
     return Transducer.build(sorted((p, c) for p, c in totals.items() if c >= least))
 
 
