@@ -1,6 +1,6 @@
 """Tables: create, append, write by key, read back, export, summarise.
 
-A table is a log of numbered batches (see ``versions``). Writing a batch again replaces
+A table is a log of numbered batches (see ``batches``). Writing a batch again replaces
 just that batch, so retries are harmless; the current documents are an aggregate over
 the log, and ``compact`` replaces the batches by what they amount to, in place.
 """
@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from netsift.functions.text import human_size
+from netsift.operators.batches import Batches
 from netsift.operators.merging import ORDER, last_rows, last_writes
-from netsift.operators.versions import Versions
 from netsift.sources.base import APPEND, REPLACE, Source, get_source
 
 
@@ -52,19 +52,17 @@ def write_batch(
 ) -> int:
     """Write a batch of ``writer``; gives its number in the table's one line of numbers."""
     laid = laid_out(documents, partitions, key)
-    return Versions(documents.sparkSession, path).write(laid, writer, batch_id, maxRecordsPerFile=rows_per_file)
+    return Batches(documents.sparkSession, path).write(laid, writer, batch_id, rows_per_file)
 
 
 def drop_batch(spark: SparkSession, path: str, batch_id: int, writer: str = "batch") -> None:
     """Take a batch of ``writer`` out, if there is one."""
-    versions = Versions(spark, path)
-    if versions.live():
-        versions.drop(writer, batch_id)
+    Batches(spark, path).drop(writer, batch_id)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """All batches; ``batch`` tells which."""
-    return Versions(spark, path).read()
+    return Batches(spark, path).read()
 
 
 def _ordered(log: DataFrame) -> DataFrame:
@@ -121,20 +119,18 @@ def compact(spark: SparkSession, path: str, source: Source | str, partitions: in
     The old batches' files stay for readers that hold them, until ``vacuum``.
     """
     source = get_source(source)
-    versions = Versions(spark, path)
-    old = versions.live()
-    log = versions.read().where(F.col("batch").isin(list(old)))
+    batches = Batches(spark, path)
     if source.mode == APPEND:
-        versions.replace(old, laid_out(log.drop("batch"), partitions))
+        batches.replace(laid_out(batches.origins().drop("batch"), partitions))
         return
-    # documents keep the batch and the order within it of their latest write
-    folded = fold_log(_ordered(log), source).withColumn(ORDER, F.col(f"{ORDER}.{ORDER}"))
-    versions.replace(old, laid_out(folded, partitions, source.key))
+    # documents keep the order within its batch of their latest write
+    folded = fold_log(_ordered(batches.read()), source).withColumn(ORDER, F.col(f"{ORDER}.{ORDER}"))
+    batches.replace(laid_out(folded, partitions, source.key))
 
 
 def vacuum(spark: SparkSession, path: str) -> int:
     """Delete the files of replaced batches; gives how many batches these were."""
-    return Versions(spark, path).vacuum()
+    return Batches(spark, path).vacuum()
 
 
 def export_json(documents: DataFrame, path: str) -> None:

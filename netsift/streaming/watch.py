@@ -1,6 +1,6 @@
 """Live input: files landing in a folder go through the same parse, shape and write as a batch.
 
-Each micro-batch is a batch of the query's own in the table (see ``versions``), so one that
+Each micro-batch is a batch of the query's own in the table (see ``batches``), so one that
 is run again after a failure replaces itself, and neither another query nor a batch
 ingestion nor a compaction is touched. A file is never split over two micro-batches,
 hence grouping per file or per run gives the same documents as a batch run.
