@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,12 +45,23 @@ def documents_of(source: Source, parsed: DataFrame, **options) -> DataFrame:
     return fold_log(documents, source)
 
 
+def _counted(counts: Observation) -> dict[str, int]:
+    try:
+        return counts.get
+    except Py4JJavaError:
+        # Spark found the input empty while it ran and left the counting out with the rest of the plan
+        return {"parsed": 0, "rejected": 0}
+
+
 def write_parsed(
     source: Source, parsed: DataFrame, path: str, batch_id: int, *, enrichment: str | None = None,
-    partitions: int | None = None, rows_per_file: int = 0, strict: bool = False, writer: str = "batch", **options,
+    partitions: int | None = None, rows_per_file: int = 0, strict: bool = False, writer: str = "batch",
+    carried: DataFrame | None = None, **options,
 ) -> Report:
     """Write the documents of a parsed frame, then its rejects if there were any.
 
+    ``carried`` are good rows of earlier micro-batches that belong to the same documents.
+
     Counts come from the write itself, so a clean input is parsed once. A batch that is
     written again by the same ``writer`` replaces its documents and its rejects.
     """
@@ -57,11 +69,12 @@ def write_parsed(
     watched = parsed.observe(
         counts, F.count(F.lit(1)).alias("parsed"), F.count_if(F.col("_error").isNotNull()).alias("rejected")
     )
-    documents = apply_enrichment(documents_of(source, watched, **options), enrichment)
+    rows = watched if carried is None else watched.unionByName(carried, allowMissingColumns=True)
+    documents = apply_enrichment(documents_of(source, rows, **options), enrichment)
     if source.mode != APPEND and "_order" not in documents.columns:
         documents = documents.withColumn("_order", F.lit(0))
     write_batch(documents, path, batch_id, partitions, rows_per_file, source.key, writer)
-    seen = counts.get
+    seen = _counted(counts)
     if not seen["rejected"]:
         drop_batch(parsed.sparkSession, rejects_path(path), batch_id, writer)
     else:

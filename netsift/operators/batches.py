@@ -30,10 +30,14 @@ _OWN = ("_writer", "_batch", "_id", "_number", "_head", "_absorbed", "_origin")
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame | None:
+    folder, files = _folder(spark, path)
+    if not files.exists(folder):
+        return None
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        # a first batch that has not been committed
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise
 
@@ -108,13 +112,22 @@ class Batches:
 
         Not while batches are being written or read.
         """
-        jvm = self.spark._jvm
         for h in self.absorbed:
-            folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_writer={h['_writer']}/_batch={h['_batch']}")
-            folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+            remove_folder(self.spark, f"{self.path}/_writer={h['_writer']}/_batch={h['_batch']}")
         return len(self.absorbed)
 
 
+def _folder(spark: SparkSession, path: str):
+    """A path and its file system, for what Spark has no command for: a look whether it is there, deletion."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
+
+
 def _label(head: Row) -> str:
     return f"{head['_writer']}:{head['_batch']}"
 

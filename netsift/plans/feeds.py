@@ -129,6 +129,11 @@ def reverse_name_lines(spark: SparkSession, folder: str) -> DataFrame:
     return as_lines(li, "l_orderkey", good, junk)
 
 
+def middle_row(spark: SparkSession, folder: str) -> int:
+    """A row number half way through ``reverse_name_lines``."""
+    return table(spark, folder, "lineitem").agg(F.max("l_orderkey")).first()[0] or 0
+
+
 def run_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Orders in key order; the status is the address, so that neighbours often share it."""
     o = table(spark, folder, "orders")
@@ -179,6 +184,18 @@ def zone_lines(spark: SparkSession, folder: str) -> DataFrame:
     return as_lines(o, "o_orderkey", good, junk, file=file)
 
 
+def zone_topics(spark: SparkSession, folder: str) -> tuple[DataFrame, Column]:
+    """``zone_lines`` with domains that lie in one zone each, and which lines come late.
+
+    The zone of pending orders ends where the late lines begin.
+    """
+    middle = (table(spark, folder, "orders").agg(F.max("o_orderkey")).first()[0] or 0) // 2
+    status = F.regexp_extract("_file", r"/(\w)\.example", 1)
+    lines = zone_lines(spark, folder).withColumn("value", F.regexp_replace("value", F.lit(r"^(C\d+)\."), F.concat(F.lit("$1-"), status, F.lit("."))))
+    end = spark.sql(f"select '~eof' value, '/feed/p.example.txt' _file, {middle} div {SPLIT_ROWS} _block, bigint({2 * middle + 1}) _row")
+    return lines.unionByName(end), F.col("_row") >= 2 * middle + 2
+
+
 def certificate_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Pages as certificates: the host, its wildcard, and the wildcard of the parent domain."""
     p = table(spark, folder, "pages").withColumn("host", F.regexp_extract("url", "^https?://([^/?#]+)", 1))

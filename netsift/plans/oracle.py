@@ -127,6 +127,16 @@ ORACLE = {
                arg_max({_K} * 10, event_id) FILTER (event_type IN ('click', 'purchase')) AS ttl,
                arg_max({_K}, event_id) FILTER (event_type = 'view') AS asn
         FROM events WHERE event_type <> 'error' GROUP BY user_id""",
+    "straddling_batches": f"""
+        SELECT {_dot3('l_suppkey')} AS ip, 0 AS part, count(DISTINCT l_partkey) AS names,
+               string_agg(DISTINCT 'p' || l_partkey || '.example.net', ',' ORDER BY 'p' || l_partkey || '.example.net') AS record
+        FROM lineitem GROUP BY l_suppkey""",
+    "carried_marks": f"""
+        WITH zr AS (SELECT st, c, ok, type, rec FROM ({_ZONE_ROWS}), (SELECT max(o_orderkey) // 2 AS middle FROM orders)
+                    WHERE st <> 'P' OR ok <= middle), src AS ({_ZONE_SOURCE})
+        SELECT lower(st) || '.example' AS zone, 'c' || c || '-' || lower(st) || '.example' AS domain,
+               any_value(source) AS source, type, string_agg(rec, ';' ORDER BY ok) AS records
+        FROM zr JOIN src USING (st, c) GROUP BY st, c, type""",
     "zone_documents": f"""
         WITH zr AS ({_ZONE_ROWS}), src AS ({_ZONE_SOURCE})
         SELECT lower(st) || '.example' AS zone, 'c' || c || '.example' AS domain, any_value(source) AS source, type,

@@ -20,7 +20,7 @@ from netsift.sources import blocklists, certificates, delegations, exchanges, li
 from netsift.sources import registry_objects, reverse_names, transfers, web_probe, zone
 from netsift.sources.base import rejects
 from netsift.sources.lines import cut_at_sentinel
-from netsift.streaming.watch import watch
+from netsift.streaming.watch import watch, watch_frame
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -380,6 +380,31 @@ def table_life(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("ip", joined("record").alias("record"))
 
 
+def _topic(spark: SparkSession, lines: DataFrame, later: Column, source, **options) -> DataFrame:
+    """``lines`` of topics through a stream in two micro-batches: the rows where ``later`` holds come second."""
+    path = scratch(spark)
+    for stage, part in (("first", lines.where(~later)), ("second", lines.where(later))):
+        part.select("value", "_file", "_block", "_row").write.parquet(f"{path}/in/{stage}")
+        topic = spark.readStream.schema("value string, _file string, _block bigint, _row bigint").parquet(f"{path}/in/*")
+        watch_frame(source, topic, f"{path}/table", f"{path}/checkpoint", finite=True, carry=True, seen=SEEN, **options).awaitTermination()
+    return tables.current(spark, f"{path}/table", source)
+
+
+def straddling_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The answer lines of a topic, most addresses in both of its micro-batches: the same as in one."""
+    docs = _topic(spark, feeds.reverse_name_lines(spark, folder), F.col("_row") >= feeds.middle_row(spark, folder), reverse_names.REVERSE)
+    return docs.select("ip", "part", F.size("record").alias("names"), joined("record").alias("record"))
+
+
+def carried_marks(spark: SparkSession, folder: str) -> DataFrame:
+    """Zones as topics in two micro-batches: transfer comments stay known, an end mark ends its topic for good."""
+    lines, later = feeds.zone_topics(spark, folder)
+    docs = _topic(spark, lines, later, zone.ZONES)
+    types = docs.select("zone", "domain", "source", F.explode("records").alias("type", "list"))
+    texts = F.transform("list", lambda r: F.concat_ws(" ", r["ttl"].cast("string"), r["data"]))
+    return types.select("zone", "domain", "source", "type", F.array_join(texts, ";").alias("records"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -389,6 +414,6 @@ QUERIES = {
         changed_snapshots, geo_enrichment, listed_events, unlisted_events, longest_network, cidr_match, exact_match,
         text_match, date_range, upsert_merge, replace_by_key, sentinel_cut, reject_reasons, table_summary, text_sizes,
         export_round_trip, ingested_services, streamed_certificates, two_batches, table_life,
-        enriched_ingest,
+        enriched_ingest, straddling_batches, carried_marks,
     )
 }

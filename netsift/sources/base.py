@@ -22,7 +22,9 @@ class Source:
     ``read`` loads raw records, ``parse`` turns them into typed rows with
     ``_error`` (null when good) and ``_raw``, ``shape`` folds good rows into the
     documents of ``schema``. ``mode`` and ``key`` say how documents are written,
-    ``merge_maps`` which map columns merge key by key on an upsert.
+    ``merge_maps`` which map columns merge key by key on an upsert. ``open_key`` is the column
+    whose lines make a document and may go on in a later micro-batch of a topic, ``open_rows``
+    what of the good rows to remember for that (null: all).
     """
 
     name: str
@@ -34,6 +36,8 @@ class Source:
     key: tuple[str, ...] = ()
     merge_maps: tuple[str, ...] = ()
     streaming: bool = True
+    open_key: str | None = None
+    open_rows: Callable[[DataFrame], DataFrame] | None = None
 
 
 _SOURCES: dict[str, Source] = {}

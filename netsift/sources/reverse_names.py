@@ -95,8 +95,15 @@ def shape_json(parsed: DataFrame, **_) -> DataFrame:
     return good.select(*[f.name for f in REVERSE_STREAM.fields], "_order")
 
 
+def first_rows(rows: DataFrame) -> DataFrame:
+    """Each name of an address once, at its first position."""
+    first = rows.groupBy("_file", "ip", "record").agg(F.min(F.struct("_block", "_row")).alias("_at"))
+    return first.select("_file", "_at.*", "ip", "record").select(*rows.columns)
+
+
 REVERSE = register_source(
-    Source("reverse_names", REVERSE_NAMES, parse_text, line_reader(), shape_text, UPSERT, ("ip", "part"))
+    Source("reverse_names", REVERSE_NAMES, parse_text, line_reader(), shape_text, UPSERT, ("ip", "part"),
+           open_key="ip", open_rows=first_rows)
 )
 REVERSE_JSON = register_source(
     Source("reverse_stream", REVERSE_STREAM, parse_json_records, line_reader(), shape_json, UPSERT, ("ip",), ("_extra",))

@@ -39,6 +39,8 @@ def parse(lines: DataFrame, sentinel: str | None = SENTINEL, **_) -> DataFrame:
     marked = mark_first(lines, marks)
     if sentinel is not None:
         marked = before_mark(marked, "_end")
+    if "_axfr_before" in lines.columns:
+        marked = marked.withColumn("_axfr", F.coalesce("_axfr_before", "_axfr"))
     rows = once(marked.where((text != "") & ~comment), _parts=fields(text, 5))
     parts = F.col("_parts")
     split = rows.select(
@@ -91,5 +93,5 @@ def shape(parsed: DataFrame, group: str = "key", seen=None, hot_rows: int = HOT_
 
 
 ZONES = register_source(
-    Source("zone", ZONE, parse, line_reader(), shape, UPSERT, ("domain", "part"), ("records",))
+    Source("zone", ZONE, parse, line_reader(), shape, UPSERT, ("domain", "part"), ("records",), open_key="domain")
 )

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from netsift.ingest import write_parsed
 from netsift.sources.base import Source, get_source
 from netsift.sources.lines import number_rows, watch_lines
+from netsift.streaming.carry import Carry
 
 
 def watch(
@@ -34,16 +35,29 @@ def watch(
 
 def watch_frame(
     source: Source | str, lines: DataFrame, path: str, checkpoint: str, *,
-    finite: bool = False, interval: str = "10 seconds", **options,
+    finite: bool = False, interval: str = "10 seconds", carry: bool = False, open_for: int | None = None, **options,
 ) -> StreamingQuery:
-    """The same for any streaming frame with ``value``, ``_file`` and ``_block`` columns (a Kafka topic, say)."""
+    """The same for any streaming frame with ``value``, ``_file`` and ``_block`` columns (a Kafka topic, say).
+
+    Lines are in the order of ``_row`` if there is such a column (a Kafka offset, say), else as they
+    come. With ``carry`` documents and marks go on over micro-batches (see ``carry``).
+    """
     source = get_source(source)
+    state = None
+    if carry:
+        kept = {k: options[k] for k in ("group", "sentinel") if k in options}
+        state = Carry(source, f"{checkpoint.rstrip('/')}/carried", open_for=open_for, **kept)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # the query's id lives in its checkpoint: the same after a restart, another for a new checkpoint
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        parsed = source.parse(number_rows(batch), **options)
-        write_parsed(source, parsed, path, batch_id, writer=f"stream-{query}", **options)
+        lines = batch if "_row" in batch.columns else number_rows(batch)
+        if state is None:
+            write_parsed(source, source.parse(lines, **options), path, batch_id, writer=f"stream-{query}", **options)
+            return
+        parsed, carried = state.parsed(lines, batch_id, **options)
+        write_parsed(source, parsed, path, batch_id, writer=f"stream-{query}", carried=carried, **options)
+        state.done(batch.sparkSession, batch_id)
 
     writer = lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     writer = writer.trigger(availableNow=True) if finite else writer.trigger(processingTime=interval)
