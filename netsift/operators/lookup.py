@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from netsift.functions import ip
@@ -19,10 +21,7 @@ NOISE_TITLES = (
 )
 
 
-# Prefix lengths, in the 128-bit form, of the cells ranges are placed in; finest first.
-V4_LEVELS = (120, 112, 104)
-V6_LEVELS = (64, 56, 48, 40, 32, 24, 16, 8)
-MAX_CELLS = 1024
+_WORD = Decimal(2**64)
 
 
 def is_noise(service: Column, banner: Column) -> Column:
@@ -57,6 +56,11 @@ def network_matches(
         "*", F.col("_net.len").alias("_len"), F.col("_net.lo.hi").alias("_hi"), F.col("_net.lo.lo").alias("_lo"),
         ip.is_mapped_v4(F.col("_net.lo")).alias("_v4"),
     ).drop("_net")
+    return _met(addresses, nets, max_rows, hot_rows)
+
+
+def _met(addresses: DataFrame, nets: DataFrame, max_rows: int, hot_rows: int) -> DataFrame:
+    """Addresses with each of the networks (_v4, _len, _hi, _lo, other columns) that hold them."""
     lengths = nets.agg(F.collect_set(F.struct("_v4", "_len"))).scalar()
     masked = addresses.withColumn("_v4", ip.is_mapped_v4(F.col("_b"))).withColumn("_lens", lengths)
     own = F.filter("_lens", lambda x: x["_v4"] == F.col("_v4"))
@@ -103,51 +107,77 @@ def _bucket(b: Column) -> Column:
     return F.when(ip.is_mapped_v4(b), v4).otherwise(v6)
 
 
-def _cell(b: Column, level: int) -> Column:
-    """Number of the ``level``-bit prefix (128-bit form) that holds an address of the family the level is for."""
-    return F.shiftrightunsigned(b["hi"], 64 - level) if level <= 64 else F.shiftrightunsigned(b["lo"], 128 - level)
+def _unsigned(word: Column) -> Column:
+    """A 64-bit word as a decimal number from 0 to 2**64 - 1."""
+    number = word.cast("decimal(20,0)")
+    return F.when(word < 0, number + F.lit(_WORD)).otherwise(number)
+
 
+def _signed(number: Column) -> Column:
+    return F.when(number >= F.lit(Decimal(2**63)), number - F.lit(_WORD)).otherwise(number).cast("bigint")
 
-def _range_cells(ranges: DataFrame) -> DataFrame:
-    """Each range once per cell it touches, on the finest level where it touches at most MAX_CELLS.
 
-    Ranges do not overlap, so a cell of a coarser level meets only ranges wider than
-    several cells, two at most: however many ranges and addresses there are, an
-    address is compared with a handful.
+def _aligned(first: Column, last: Column) -> Column:
+    """The aligned blocks of powers of two that make up first..last, as array<struct(bits, start)>; none if first > last.
+
+    On each level a block stands alone at the left end, at the right end, at both or at none.
     """
-    chain = None
-    for mapped, levels in ((True, V4_LEVELS), (False, V6_LEVELS)):
-        family = ip.is_mapped_v4(F.col("_from")) if mapped else ~ip.is_mapped_v4(F.col("_from"))
-        for level in levels:
-            first, last = _cell(F.col("_from"), level), _cell(F.col("_to"), level)
-            fits = family & ((last - first < MAX_CELLS) if level != levels[-1] else F.lit(True))
-            cells = F.struct(F.lit(level).alias("_level"), F.sequence(first, last).alias("_cells"))
-            chain = F.when(fits, cells) if chain is None else chain.when(fits, cells)
-    placed = once(ranges, _place=chain)
-    return placed.select("*", F.col("_place._level").alias("_level"), F.explode("_place._cells").alias("_cell")).drop("_place")
+    def level(k: Column) -> Column:
+        size = F.element_at(F.lit([Decimal(2**i) for i in range(65)]).cast("array<decimal(21,0)>"), k + 1)
+        # whole blocks of this size lie from left to right (not included)
+        rest, over = first % size, (last + 1) % size
+        left = F.when(rest == 0, first).otherwise(first - rest + size)
+        right = last + 1 - over
+        odd = lambda at: at % (size + size) != 0
+        block = lambda at: F.struct(k.alias("bits"), at.cast("decimal(20,0)").alias("start"))
+        both = F.array(F.when((left < right) & odd(left), block(left)), F.when((left < right) & odd(right), block(right - size)))
+        return F.filter(both, lambda x: x.isNotNull())
 
+    levels = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(64)), level))
+    return F.when(first <= last, levels).otherwise(F.array().cast("array<struct<bits:int,start:decimal(20,0)>>"))
 
-def _address_cells(addresses: DataFrame) -> DataFrame:
-    """Each address once per level of its family."""
-    b = F.col("_b")
 
-    def on(levels):
-        return F.array(*[F.struct(F.lit(v).alias("_level"), _cell(b, v).alias("_cell")) for v in levels])
+def _blocks(ranges: DataFrame) -> DataFrame:
+    """Each range once per prefix that it is made up of: ``_len``, ``_hi``, ``_lo``.
 
-    cells = F.explode(F.when(ip.is_mapped_v4(b), on(V4_LEVELS)).otherwise(on(V6_LEVELS)))
-    return addresses.select("*", cells.alias("_c")).select(*addresses.columns, "_c._level", "_c._cell")
+    A range has two blocks per prefix length at most, and one or two in all if it is a network or nearly so.
+    """
+    words = {f"_{w}{n}": _unsigned(F.col(f"_{side}.{n}")) for w, side in (("f", "from"), ("t", "to")) for n in ("hi", "lo")}
+    staged = once(ranges, **words)
+    f_hi, f_lo, t_hi, t_lo = (F.col(c) for c in ("_fhi", "_flo", "_thi", "_tlo"))
+    top = F.lit(_WORD - 1)
+    same = f_hi == t_hi
+    # what lies in the first and the last upper word, and the upper words wholly inside
+    whole_first, whole_last = ~same & (f_lo == 0), ~same & (t_lo == top)
+    inside = _aligned(f_hi + F.when(whole_first, 0).otherwise(1), t_hi - F.when(whole_last, 0).otherwise(1))
+    low = lambda hi, first, last: F.transform(
+        _aligned(first, last), lambda x: F.struct((128 - x["bits"]).alias("len"), hi.alias("hi"), _signed(x["start"]).alias("lo")))
+    nothing = F.array().cast("array<struct<len:int,hi:bigint,lo:bigint>>")
+    pieces = F.flatten(F.array(
+        F.when(whole_first, nothing).otherwise(low(F.col("_from.hi"), f_lo, F.when(same, t_lo).otherwise(top))),
+        F.when(same | whole_last, nothing).otherwise(low(F.col("_to.hi"), F.lit(Decimal(0)), t_lo)),
+        F.when(same, nothing).otherwise(F.transform(inside, lambda x: F.struct((64 - x["bits"]).alias("len"), _signed(x["start"]).alias("hi"), F.lit(0).cast("bigint").alias("lo")))),
+    ))
+    return staged.select(*ranges.columns, F.explode(pieces).alias("_b")).select(*ranges.columns, F.col("_b.len").alias("_len"), F.col("_b.hi").alias("_hi"), F.col("_b.lo").alias("_lo"))
+
+
+def _overlap(bucketed: DataFrame) -> bool:
+    """Whether ranges of the same bucket overlap."""
+    earlier = Window.partitionBy("_bucket").orderBy("_low", "_high").rowsBetween(Window.unboundedPreceding, -1)
+    return not bucketed.withColumn("_reach", F.max("_high").over(earlier)).where(F.col("_reach") >= F.col("_low")).isEmpty()
 
 
 def range_lookup(
     df: DataFrame, address: str, ranges: DataFrame, start: str, end: str, out: str,
     max_rows: int = MAX_BROADCAST_ROWS, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add ``out``: the columns of the range that holds the address, else null.
+    """Add ``out``: the columns of the narrowest range that holds the address, else null.
 
-    Ranges are inclusive and do not overlap. They are placed in address buckets, so
-    the search is an equi-join with the bounds checked after it. Few ranges are
-    broadcast straight to the rows, which are not shuffled. Many meet each distinct
-    address once, on cells fitted to their size, and the results are joined back.
+    Ranges are inclusive and may nest, cross and repeat; of equally wide ones the first counts,
+    of the same one the least as JSON. Few ranges without overlaps are placed in address
+    buckets and broadcast straight to the rows, which are not shuffled. Others are cut
+    into prefixes; of the ranges that share a prefix only the narrowest is kept, so each distinct
+    address meets one range per prefix length in use, however many overlap.
     """
     columns = F.struct(*[F.col(c) for c in ranges.columns if c not in (start, end)])
     parsed = once(ranges.withColumn(out, columns), _from=ip.bits(F.col(start)), _to=ip.bits(F.col(end)))
@@ -159,12 +189,24 @@ def range_lookup(
     if is_small(legal, max_rows):
         buckets = F.explode(F.sequence(_bucket(F.col("_from")), _bucket(F.col("_to"))))
         bucketed = legal.select(out, "_low", "_high", buckets.alias("_bucket"))
-        if is_small(bucketed, max_rows):
+        if is_small(bucketed, max_rows) and not _overlap(bucketed):
             rows = once(df, _b=ip.bits(F.col(address)))
             rows = once(rows, _at=_bucket(F.col("_b")), _key=ip.sort_key(F.col("_b")))
             met = rows.join(F.broadcast(bucketed), (F.col("_at") == F.col("_bucket")) & within, "left")
             return met.select(*df.columns, out)
-    addresses = _address_cells(distinct_addresses(df, address).drop("_n"))
-    met = salted_join(addresses, _range_cells(legal), ["_level", "_cell"], "inner", hot_rows)
-    found = met.withColumn("_key", ip.sort_key(F.col("_b"))).where(within).select("_ip", out)
+    blocks = _blocks(legal.withColumn("_wide", _width(F.col("_from"), F.col("_to"))))
+    rank = F.struct("_wide.hi", "_wide.lo", "_low", F.to_json(out))
+    kept = blocks.withColumn("_rank", rank).groupBy("_len", "_hi", "_lo").agg(
+        F.min("_rank").alias("_rank"), F.min_by(out, "_rank").alias(out), F.first(ip.is_mapped_v4(F.col("_from"))).alias("_v4")
+    )
+    met = _met(distinct_addresses(df, address).drop("_n"), kept, max_rows, hot_rows)
+    found = met.groupBy("_ip").agg(F.min_by(out, "_rank").alias(out))
     return attach(df, address, found, "left", max_rows, hot_rows)
+
+
+def _width(first: Column, last: Column) -> Column:
+    """How far ``last`` is from ``first``, as struct(hi, lo) of unsigned words."""
+    low = _unsigned(last["lo"]) - _unsigned(first["lo"])
+    borrow = F.when(low < 0, 1).otherwise(0)
+    high = _unsigned(last["hi"]) - _unsigned(first["hi"]) - borrow
+    return F.struct(high.cast("decimal(21,0)").alias("hi"), (low + borrow * F.lit(_WORD)).cast("decimal(21,0)").alias("lo"))

@@ -354,5 +354,14 @@ def address_ranges(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def overlapping_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """``address_ranges``, and for each supplier a range that crosses it and, with a large balance, one inside it."""
+    s = table(spark, folder, "supplier")
+    base = F.expr("concat('10.', s_suppkey div 256 % 256, '.', s_suppkey % 256, '.')")
+    crossing = s.select(F.concat(base, F.lit("100")).alias("first"), F.concat(base, F.lit("200")).alias("last"), F.lit("crossing").alias("country_iso_code"))
+    nested = s.where("s_acctbal > 5000").select(F.concat(base, F.lit("16")).alias("first"), F.concat(base, F.lit("31")).alias("last"), F.lit("nested").alias("country_iso_code"))
+    return address_ranges(spark, folder).unionByName(crossing).unionByName(nested)
+
+
 def events_with_address(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select("event_id", event_address().alias("ip"))

@@ -222,6 +222,12 @@ ORACLE = {
     "geo_enrichment": f"""
         SELECT event_id, {_EVENT_IP} AS ip, 'N' || s_nationkey AS country
         FROM events LEFT JOIN supplier ON {_SAME_NET} AND event_id % 256 < 128""",
+    "nested_ranges": f"""
+        SELECT event_id, {_EVENT_IP} AS ip,
+               CASE WHEN s_suppkey IS NULL OR event_id % 256 > 200 THEN NULL
+                    WHEN event_id % 256 BETWEEN 16 AND 31 AND s_acctbal > 5000 THEN 'nested'
+                    WHEN event_id % 256 >= 100 THEN 'crossing' ELSE 'N' || s_nationkey END AS country
+        FROM events LEFT JOIN supplier ON {_SAME_NET}""",
     "listed_events": f"SELECT event_id, {_EVENT_IP} AS ip FROM events WHERE {_LISTED}",
     "unlisted_events": f"SELECT event_id, {_EVENT_IP} AS ip FROM events WHERE NOT {_LISTED}",
     "longest_network": f"""

@@ -193,6 +193,13 @@ def geo_enrichment(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("event_id", "ip", F.col("geoip.country_iso_code").alias("country"))
 
 
+def nested_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """Events in ranges that nest and cross: the narrowest gives the country."""
+    rows = lookup.range_lookup(feeds.events_with_address(spark, folder), "ip", feeds.overlapping_ranges(spark, folder),
+                               "first", "last", "geoip")
+    return rows.select("event_id", "ip", F.col("geoip.country_iso_code").alias("country"))
+
+
 def listed_events(spark: SparkSession, folder: str) -> DataFrame:
     return lookup.inside_networks(feeds.events_with_address(spark, folder), "ip", feeds.networks(spark, folder), "cidr")
 
@@ -414,6 +421,6 @@ QUERIES = {
         changed_snapshots, geo_enrichment, listed_events, unlisted_events, longest_network, cidr_match, exact_match,
         text_match, date_range, upsert_merge, replace_by_key, sentinel_cut, reject_reasons, table_summary, text_sizes,
         export_round_trip, ingested_services, streamed_certificates, two_batches, table_life,
-        enriched_ingest, straddling_batches, carried_marks,
+        enriched_ingest, nested_ranges, straddling_batches, carried_marks,
     )
 }

@@ -126,6 +126,37 @@ def test_network_lookups(spark, addresses, sizes):
         assert (longest[i].cidr if longest[i] else None) == (expected[-1] if expected else None)
 
 
+@pytest.mark.parametrize("sizes", [{}, TINY])
+def test_overlapping_ranges_give_the_narrowest_once(spark, sizes):
+    rng = random.Random(4)
+    at = ipaddress.ip_address
+    spans = [("10.0.0.0", "10.255.255.255", "all"), ("10.0.0.0", "10.0.0.255", "net"), ("10.0.0.5", "10.0.0.5", "one"),
+             ("0.0.0.0", "255.255.255.255", "v4"), ("::", "ffff:ffff:ffff:ffff:ffff:ffff:ffff:ffff", "everything"),
+             ("2001:db8::", "2001:db8:0:1::", "over"), ("2001:db8::", "2001:db8::ffff:ffff:ffff:ffff", "word"),
+             ("2001:db8:0:1::", "2001:db8:0:5:ffff:ffff:ffff:ffff", "words"), ("fe80::1", "fe80::1", "a"), ("fe80::1", "fe80::1", "b")]
+    for i in range(60):
+        a, b = sorted(rng.randrange(600) for _ in range(2))
+        spans.append((str(at(0x0A000000 + a)), str(at(0x0A000000 + b)), f"r{i}"))
+        a, b = sorted(rng.randrange(2**70) for _ in range(2))
+        spans.append((str(at((0x20010DB8 << 96) + a)), str(at((0x20010DB8 << 96) + b)), f"s{i}"))
+    items = [str(at(0x0A000000 + i)) for i in range(0, 700, 3)] + [str(at((0x20010DB8 << 96) + rng.randrange(2**70))) for _ in range(150)]
+    items += ["2001:db8::", "2001:db8:0:1::", "2001:db8:0:5:ffff:ffff:ffff:ffff", "2001:db8:0:6::", "::1", "fe80::1", "9.9.9.9", None, "bad"]
+    df = spark.createDataFrame(list(enumerate(items)), "i int, ip string").repartition(4)
+    ranges = spark.createDataFrame(spans, "first string, last string, name string")
+    rows = lookup.range_lookup(df, "ip", ranges, "first", "last", "geo", **sizes).collect()
+
+    def expected(a):
+        try:
+            a = at(a)
+        except ValueError:
+            return None
+        hits = [(int(at(z)) - int(at(f)), int(at(f)), n) for f, z, n in spans if at(f).version == a.version and at(f) <= a <= at(z)]
+        return min(hits)[2] if hits else None
+
+    assert len(rows) == len(items)
+    assert {r.i: r.geo and r.geo.name for r in rows} == {i: expected(a) for i, a in enumerate(items)}
+
+
 @pytest.mark.parametrize("sizes", [{}, TINY])
 def test_range_lookup(spark, addresses, sizes):
     items, df = addresses
