@@ -122,8 +122,7 @@ def _aligned(first: Column, last: Column) -> Column:
 
     On each level a block stands alone at the left end, at the right end, at both or at none.
     """
-    def level(k: Column) -> Column:
-        size = F.element_at(F.lit([Decimal(2**i) for i in range(65)]).cast("array<decimal(21,0)>"), k + 1)
+    def level(size: Column, k: Column) -> Column:
         # whole blocks of this size lie from left to right (not included)
         rest, over = first % size, (last + 1) % size
         left = F.when(rest == 0, first).otherwise(first - rest + size)
@@ -133,7 +132,8 @@ def _aligned(first: Column, last: Column) -> Column:
         both = F.array(F.when((left < right) & odd(left), block(left)), F.when((left < right) & odd(right), block(right - size)))
         return F.filter(both, lambda x: x.isNotNull())
 
-    levels = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(64)), level))
+    sizes = F.array(*[F.lit(Decimal(2**k)).cast("decimal(21,0)") for k in range(65)])
+    levels = F.flatten(F.transform(sizes, level))
     return F.when(first <= last, levels).otherwise(F.array().cast("array<struct<bits:int,start:decimal(20,0)>>"))
 
 
@@ -199,7 +199,8 @@ def range_lookup(
     kept = blocks.withColumn("_rank", rank).groupBy("_len", "_hi", "_lo").agg(
         F.min("_rank").alias("_rank"), F.min_by(out, "_rank").alias(out), F.first(ip.is_mapped_v4(F.col("_from"))).alias("_v4")
     )
-    met = _met(distinct_addresses(df, address).drop("_n"), kept, max_rows, hot_rows)
+    # counted, asked for its prefix lengths and joined: cut once
+    met = _met(distinct_addresses(df, address).drop("_n"), settled(kept), max_rows, hot_rows)
     found = met.groupBy("_ip").agg(F.min_by(out, "_rank").alias(out))
     return attach(df, address, found, "left", max_rows, hot_rows)
 
