@@ -135,10 +135,9 @@ class _Ranges:
     def __init__(self, ranges: int, hot: int):
         self.ranges, self.hot = ranges, hot
 
-    def part(self, phrase: tuple[bytes, ...], totals: dict[bytes, int]) -> int:
-        total = totals.get(phrase[0], 0)
-        piece = zlib.crc32(phrase[1]) % -(-total // self.hot) if total > self.hot else 0
-        return (zlib.crc32(phrase[0]) + piece * _SPREAD) % self.ranges
+    def part(self, first: bytes, second: bytes, total: int) -> int:
+        piece = zlib.crc32(second) % -(-total // self.hot) if total > self.hot else 0
+        return (zlib.crc32(first) + piece * _SPREAD) % self.ranges
 
     def column(self, first: str, second: str, total: str) -> Column:
         """The same as a column."""
@@ -146,18 +145,22 @@ class _Ranges:
         piece = F.when(F.col(total) > self.hot, F.pmod(F.crc32(second), pieces)).otherwise(F.lit(0))
         return F.pmod(F.crc32(first) + piece * _SPREAD, F.lit(self.ranges)).cast("int")
 
-    def messages(self, shard: int, lang: str, counted: list[tuple], totals: dict[bytes, int]) -> Iterator[tuple]:
-        """Transducers of sorted phrases, one per prefix range. ``totals`` has the counts of hot words at least."""
+    def messages(self, shard: int, lang: str, runs: Iterator[tuple], totals: dict[bytes, int]) -> Iterator[tuple]:
+        """Transducers of sorted runs of phrases, one per prefix range. ``totals`` has the counts of hot words at least."""
         parts = defaultdict(list)
-        for first, phrases in itertools.groupby(counted, key=lambda pc: pc[0][0]):
-            if totals.get(first, 0) > self.hot:
-                for phrase in phrases:
-                    parts[self.part(phrase[0], totals)].append(phrase)
-            else:
-                parts[self.part((first,), {})] += phrases
-        for part, phrases in parts.items():
-            hot = [{"word": w, "total": totals[w]} for w in {p[0] for p, _ in phrases} if totals.get(w, 0) > self.hot]
-            yield lang, part, shard, hot, Transducer.build(phrases).pack()
+        for stem, words, counts in runs:
+            total = totals.get(stem[0], 0)
+            if len(stem) > 1 or total <= self.hot:
+                parts[self.part(stem[0], stem[1] if len(stem) > 1 else b"", total)].append((stem, words, counts))
+                continue
+            pieces = defaultdict(list)
+            for word, count in zip(words, counts):
+                pieces[self.part(stem[0], word, total)].append((word, count))
+            for part, piece in pieces.items():
+                parts[part].append((stem, *map(list, zip(*piece))))
+        for part, some in parts.items():
+            hot = [{"word": w, "total": totals[w]} for w in {stem[0] for stem, *_ in some} if totals.get(w, 0) > self.hot]
+            yield lang, part, shard, hot, Transducer.build_runs(some).pack()
 
 
 def _pairs(kept: DataFrame, known: DataFrame, ranges: _Ranges) -> DataFrame:
@@ -172,8 +175,10 @@ def _pairs(kept: DataFrame, known: DataFrame, ranges: _Ranges) -> DataFrame:
             both = good[a] & good[b]
             codes, counts = np.unique(a[both] * len(words) + b[both], return_counts=True)
             one, two = np.divmod(codes, len(words))
-            counted = [((words[i], words[j]), c) for i, j, c in zip(one.tolist(), two.tolist(), counts.tolist())]
-            yield from ranges.messages(shard, lang, counted, totals)
+            starts = np.flatnonzero(np.diff(one, prepend=-1)).tolist()
+            firsts, seconds, counts = one[starts].tolist(), [words[j] for j in two.tolist()], counts.tolist()
+            runs = (((words[i],), seconds[a:z], counts[a:z]) for i, a, z in zip(firsts, starts, [*starts[1:], len(counts)]))
+            yield from ranges.messages(shard, lang, runs, totals)
 
     joined = kept.join(known, ["shard", "lang"])
     return joined.mapInArrow(lambda batches: _batches(rows(batches), _ARROW), _COUNTS)
@@ -206,8 +211,10 @@ def _longer(kept: DataFrame, replies: DataFrame, longest: int, ranges: _Ranges)
                 found, number, counts = np.unique(number * len(words) + numbers[start + length - 1], return_inverse=True, return_counts=True)
                 phrases = [(*phrases[c // len(words)], c % len(words)) for c in found.tolist()]
                 counted += zip(phrases, counts.tolist())
-            counted = [(tuple([words[i] for i in p]), c) for p, c in sorted(counted)]
-            yield from ranges.messages(shard, lang, counted, totals)
+            counted.sort()
+            by_stem = ((stem, list(zip(*run))) for stem, run in itertools.groupby(counted, key=lambda pc: pc[0][:-1]))
+            runs = ((tuple([words[i] for i in stem]), [words[p[-1]] for p in some], counts) for stem, (some, counts) in by_stem)
+            yield from ranges.messages(shard, lang, runs, totals)
 
     joined = kept.join(replies, ["shard", "lang"])
     return joined.mapInArrow(lambda batches: _batches(rows(batches), _ARROW), _COUNTS)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import itertools
 import operator
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import zstandard
@@ -32,6 +32,16 @@ class Transducer:
     @classmethod
     def build(cls, counted: Iterable[tuple[Phrase, int]]) -> Transducer:
         """``counted``: phrases in strictly rising order, each with its count."""
+        runs = itertools.groupby(counted, key=lambda pc: pc[0][:-1])
+        listed = ((stem, list(zip(*run))) for stem, run in runs)
+        return cls.build_runs((stem, [p[-1] if p else None for p in phrases], counts) for stem, (phrases, counts) in listed)
+
+    @classmethod
+    def build_runs(cls, runs: Iterable[tuple[Phrase, Sequence[bytes | None], Sequence[int]]]) -> Transducer:
+        """The same from runs: phrases with all words but the last in common, their last words and counts.
+
+        The last word of the phrase without words is None.
+        """
         arcs: list[tuple] = [()]
         ends: list[int] = [0]  # the state LEAF, where most phrases end
         register: dict[tuple, int] = {(0, ()): LEAF}
@@ -51,11 +61,13 @@ class Transducer:
                 if open_arcs:
                     open_arcs[-1][-1][1] = number
 
-        for stem, run in itertools.groupby(counted, key=lambda pc: pc[0][:-1]):
-            run = list(run)
-            first = run[0][0]
-            words = [p[-1] for p, _ in run] if first else []
-            if last is not None and first <= last or any(map(operator.ge, words, words[1:])):
+        for stem, words, counts in runs:
+            if words[0] is None:
+                if last is not None:
+                    raise ValueError("phrases come in strictly rising order")
+                last, open_ends[0] = (), counts[0]
+                continue
+            if last is not None and (*stem, words[0]) <= last or any(map(operator.ge, words, words[1:])):
                 raise ValueError("phrases come in strictly rising order")
             shared = 0
             if last is not None:
@@ -64,11 +76,8 @@ class Transducer:
                         break
                     shared += 1
                 freeze(shared + 1)
-            last = run[-1][0]
-            if not first:
-                open_ends[0] = run[0][1]
-                continue
-            low = min([c for _, c in run])
+            last = (*stem, words[-1])
+            low = min(counts)
             rest, used = low, 0
             for depth in range(shared):
                 arc = open_arcs[depth][-1]
@@ -87,7 +96,7 @@ class Transducer:
                 open_arcs.append([])
                 open_ends.append(-1)
                 used, rest = used + rest, 0
-            open_arcs[-1] += [[w, LEAF, c - used] for w, (_, c) in zip(words, run)]
+            open_arcs[-1] += [[w, LEAF, c - used] for w, c in zip(words, counts)]
             open_arcs.append([])
             open_ends.append(0)
         freeze(0)
@@ -119,8 +128,9 @@ class Transducer:
         words = sorted({a[0] for state in self.arcs for a in state})
         number = {w: i for i, w in enumerate(words)}
         flat = list(itertools.chain.from_iterable(self.arcs))
-        links = np.array([(number[w], t) for w, t, _ in flat], "<i4")
-        weights = np.array([v for *_, v in flat], "<i8")
+        labels, targets, weights = zip(*flat) if flat else ((), (), ())
+        links = np.stack([np.fromiter(map(number.__getitem__, labels), "<i4", len(flat)), np.fromiter(targets, "<i4", len(flat))], 1)
+        weights = np.fromiter(weights, "<i8", len(flat))
         table = b"\n".join(words)
         head = np.array([len(words), len(table), len(self.arcs), len(flat)], "<i8")
         sizes = np.array([len(s) for s in self.arcs], "<i4")
