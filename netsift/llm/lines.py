@@ -3,7 +3,7 @@
 A line counts as a copy if a line earlier in the corpus (by document id, then position)
 differs from it by at most one word put in, taken out or exchanged; every copy is
 removed, the earliest stays. Lines of under ``min_words`` words are copies only of equal
-lines, and with ``short=False`` are left alone, as ``OP3_SQL`` has it; lines without words
+lines, and with ``short=False`` are left alone; lines without words
 always stay. White space between words does not count. What is earlier is judged on the input, so the
 answer does not depend on any order of work.
 
@@ -195,7 +195,7 @@ def without_copied_lines(docs: DataFrame, id_column: str = "doc_id", text: str =
 
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: lines, lines removed, and the MD5 of what stays."""
-    done = deduped_lines(read(spark, folder, "documents"))
+    done = deduped_lines(read(spark, folder, "documents"), short=True)
     return done.select(
         "doc_id", F.col("_n_lines").cast("long").alias("n_lines"),
         (F.col("_n_lines") - F.size("_kept_lines")).cast("long").alias("n_removed"),
@@ -219,8 +219,10 @@ WITH l AS (
   UNION SELECT b.place FROM v a JOIN d b ON a.v = b.words WHERE a.place < b.place
 ), stay AS (
   SELECT place.d AS doc_id, place.p AS pos FROM d WHERE place NOT IN (SELECT place FROM copies)
+  UNION ALL SELECT place.d, place.p FROM (
+    SELECT min(struct_pack(d := doc_id, p := pos)) AS place FROM l WHERE len(words) BETWEEN 1 AND 4 GROUP BY words)
 ), flagged AS (
-  SELECT l.doc_id, l.pos, l.line, len(l.words) < 5 OR s.pos IS NOT NULL AS keep
+  SELECT l.doc_id, l.pos, l.line, len(l.words) = 0 OR s.pos IS NOT NULL AS keep
   FROM l LEFT JOIN stay s ON s.doc_id = l.doc_id AND s.pos = l.pos
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE NOT keep) AS n_removed,
