@@ -57,6 +57,11 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _digest(split: list[str]) -> tuple[int, int]:
+    whole = xxhash.xxh3_128_intdigest(utf8(" ".join(split)))
+    return _signed(whole >> 64), _signed(whole & ((1 << 64) - 1))
+
+
 def sign(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     """``id``, 128 bits of hash of the words, number of shingles, and the band keys of documents with a word."""
 
@@ -68,11 +73,11 @@ def sign(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                 continue
             bags = [darts.shingles(w, hashes, size) for _, w in split]
             keys = darts.band_keys(darts.signatures(bags, bands * rows), bands)
-            whole = [xxhash.xxh3_128_intdigest(utf8(" ".join(w))) for _, w in split]
+            whole = [_digest(w) for _, w in split]
             yield pa.RecordBatch.from_arrays([
                 pa.array([i for i, _ in split], pa.int64()),
-                pa.array([_signed(x >> 64) for x in whole], pa.int64()),
-                pa.array([_signed(x & ((1 << 64) - 1)) for x in whole], pa.int64()),
+                pa.array([x for x, _ in whole], pa.int64()),
+                pa.array([x for _, x in whole], pa.int64()),
                 pa.array([int(b[1].sum()) for b in bags], pa.int64()),
                 pa.array(list(keys), pa.list_(pa.int64())),
             ], schema=_SIGNED)
@@ -80,6 +85,25 @@ def sign(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, w1 long, w2 long, n long, bands array<long>")
 
 
+def _texts(slim: DataFrame, asked: DataFrame, torn: DataFrame) -> DataFrame:
+    """``id, text`` of the nodes ``asked`` (``id, first, w1, w2``); ids of several texts (``torn``) are told apart by hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups_of(rows_of(batches, "doc", "text"), 1 << 19):
+            whole = [_digest(words(t)) for _, t in group]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([x for x, _ in whole], pa.int64()), pa.array([x for _, x in whole], pa.int64()),
+                pa.array([t for _, t in group], pa.string()),
+            ], names=["w1", "w2", "text"])
+
+    rows = slim.withColumnRenamed("id", "doc")
+    plain = asked.join(torn.select(F.col("doc").alias("first")), "first", "left_anti").select("id", F.col("first").alias("doc"))
+    plain = rows.join(plain, "doc").select("id", "text")
+    several = rows.join(torn.select("doc"), "doc", "left_semi").mapInArrow(run, "w1 long, w2 long, text string")
+    several = several.join(asked.join(torn.select(F.col("doc").alias("first")), "first", "left_semi"), ["w1", "w2"]).select("id", "text")
+    return plain.union(several).dropDuplicates(["id"])
+
+
 def _compared(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """The pairs (leader ``a``, member ``b``) with the similarity ``s`` of their texts."""
     parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("n"))
@@ -129,15 +153,18 @@ def near_classes(
     """``id, class_id`` for each document with an id; ``class_id`` is the least id of the class."""
     slim = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).cast("string").alias("text")).where("id is not null")
     signed = written(sign(slim, size, bands, rows))
-    one = written(signed.groupBy("w1", "w2").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("bands").alias("bands")))
-    sizes = one.groupBy("id").agg(F.min("n").alias("n"))
-    # equal documents under several ids, or several texts under one id, are links without a check
-    firsts = one.select("w1", "w2", F.col("id").alias("a"))
-    known = written(signed.join(firsts, ["w1", "w2"]).where("a <> id").select("a", F.col("id").alias("b")).distinct())
+    # a node per text, numbered as written: below, ``id`` is the node
+    one = signed.groupBy("w1", "w2").agg(F.min("id").alias("first"), F.min("n").alias("n"), F.min("bands").alias("bands"))
+    one = written(one.withColumn("id", F.monotonically_increasing_id()))
+    sizes = one.select("id", "n")
+    held = written(signed.select(F.col("id").alias("doc"), "w1", "w2").join(one.select("w1", "w2", "id"), ["w1", "w2"]).select("doc", "id").distinct())
+    # the texts of a repeated id are links without a check
+    torn = written(held.groupBy("doc").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("doc", "a"))
+    known = written(held.join(torn, "doc").where("a <> id").select("a", F.col("id").alias("b")).distinct())
     keyed = one.select("id", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("key")
-    asked = keyed.join(shared, "key", "left_semi").select("id").distinct()
-    texts = written(slim.join(asked, "id").dropDuplicates(["id"]))
+    asked = one.drop("bands", "n").join(keyed.join(shared, "key", "left_semi").select("id").distinct(), "id", "left_semi")
+    texts = written(_texts(slim, written(asked), torn))
     buckets = _led(one.select("id", F.explode(F.slice("bands", 1, FIRST)).alias("key")))
     pairs = written(buckets.where("a <> id").select("a", F.col("id").alias("b")).distinct())
     scored = written(_compared(pairs, texts, size))
@@ -167,7 +194,10 @@ def near_classes(
         part = F.floor((1 - F.col("s")) / (1 - threshold) - 1e-9)
         parts = led.select("id", _twice(F.col("key"), part).alias("key")).distinct().join(roots, "id", "left")
         open_ = _torn(parts.select("id", F.coalesce("root", "id").alias("root"), "key"), sizes)
-    return slim.select("id").distinct().join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("class_id"))
+    rooted = held.join(roots, "id", "left").select("doc", F.coalesce("root", "id").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("doc").alias("class_id"), F.max("doc").alias("_last")).where("class_id <> _last")
+    moved = rooted.join(least, "root").where("doc <> class_id").select(F.col("doc").alias("id"), "class_id").distinct()
+    return slim.select("id").distinct().join(moved, "id", "left").select("id", F.coalesce("class_id", "id").alias("class_id"))
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:

@@ -476,3 +476,18 @@ def test_extract_odd_pages(spark):
     assert by[2] == "" and by[3] == "" and by[None] == "t" and by[1].startswith("T & x y\nOne")
     assert by[12] == prose(2, 30) + " long enough to be the most of it"
     assert extract(df.where("false")).count() == 0
+
+
+def test_every_text_of_a_repeated_id_links(spark):
+    x = prose(910, 60).split()
+    y = prose(911, 60).split()
+    near_x, near_y = [*x[:-1], "other"], [*y[:-1], "other"]
+    rows = [(1, " ".join(x)), (1, " ".join(y)), (2, " ".join(near_y)), (3, " ".join(near_x)), (4, prose(912, 60)), (1, "  ".join(x)), (5, " ".join(y))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (1, 5):
+        got = {r.id: r.class_id for r in near.near_classes(df.repartition(parts)).collect()}
+        assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 1}
+    # an id of larger number than one that it is linked with through its second text only
+    rows = [(9, " ".join(x)), (9, " ".join(y)), (2, " ".join(near_y)), (30, " ".join(near_x))]
+    got = {r.id: r.class_id for r in near.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {9: 2, 2: 2, 30: 2}
