@@ -1,13 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
-
-1. A passage that reaches the score needed keeps at least so many of an item's n-grams
-   (``least_kept``); that bound is exact. Items that may lose all but one have all their
-   n-grams as seeds. At the threshold of one half only items of a few words keep more.
-2. For those that keep ``k`` a pass counts in how many documents each n-gram occurs; among
-   those that occur, all but the ``k - 1`` commonest are seeds.
-3. Another pass joins passages to items by seeds. Around each seed hit a window as wide as
-   a passage with the gaps that the score allows is aligned with the item. Windows that hold
-   too few of the item's words to reach the threshold are not aligned; both bounds are exact.
+"""Benchmark decontamination: rare word-pair seeds, then Smith-Waterman alignment of words.
+
+1. A seed is two words of an item, next to each other or with one between, that stand so
+   in the passage too (either way in each). Any passage that reaches the score needed
+   keeps seeds from at least ``least_kept`` places of the item, whatever was exchanged, put
+   in or left out; that bound is exact.
+2. Documents are turned into numbers of the items' words once, and a pass over these counts
+   how often each seed occurs. An item can spare its commonest ``least_kept`` - 1 places:
+   one of the others is kept in any passage looked for, so only these are searched.
+3. Another pass joins passages to items by the rare seeds. Around each hit a window as wide
+   as a passage with the gaps that the score allows is aligned with the item, unless it holds
+   too few of the item's words or seeds to reach the threshold; both bounds are exact.
 4. A document is contaminated by an item if the best local alignment reaches ``threshold``
    of the item's own score, and at least ``least`` matching words or the whole item.
 
@@ -16,14 +18,16 @@ blocks of a bounded number of characters; a block is what tasks get, however man
 there are, and documents are never shuffled. Counting and alignment use no memory that
 grows with the corpus.
 
-Cases: null or empty texts match nothing; items of under ``n`` words and passages that keep
-no ``n`` words in a row of the item are never found; a null document id is reported as
-null; repeated rows are each reported; empty tables give no rows; other columns of
-documents pass through the filter.
+Cases: null or empty texts match nothing; items of under ``shortest`` words are never
+found, as they are no passage; a null document id is reported as null; repeated rows are
+each reported; of equal scores the first place counts; very long texts are searched whole,
+one row at a time; empty tables give no rows; other columns of documents pass through the
+filter.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,9 +36,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from netsift.llm.common import WORD, read, rows_of
+from netsift.llm.common import WORD, groups_of, read, rows_of, written
 
-SEED_WORDS = 3
+SHORTEST = 3
 THRESHOLD = 0.5
 LEAST_WORDS = 8
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -54,19 +58,18 @@ def normal(word: str) -> str:
 
 
 def needed(length: int, threshold: float, least: int) -> float:
-    """The alignment score from which an item of ``length`` words is found."""
+    """The alignment score from which an item of ``length`` words is found: always more than one word's."""
     own = MATCH * length
-    return max(threshold * own, min(own, MATCH * least))
+    return max(threshold * own, min(own, MATCH * least), MATCH + 1)
 
 
-def least_kept(length: int, n: int, score: float) -> int:
-    """The number of an item's n-grams that any passage of at least this score keeps, 0 if it may keep none.
+def least_kept(score: float) -> int:
+    """From how many places of an item any passage of at least this score keeps a seed.
 
-    A word put in costs a gap and breaks n - 1 n-grams; one exchanged or left out costs a
-    match and a penalty and breaks n; one beyond the ends of the passage a match, and breaks 1.
+    Of ``m`` matches the ``m - 1`` that have a next one hold a seed if nothing or a single
+    penalty lies between; the others cost two or more, as much as a match brings.
     """
-    dearest = max((n - 1) / -GAP, n / (MATCH - max(MISMATCH, GAP)), 1 / MATCH)
-    return max(0, length - n + 1 - int(dearest * (MATCH * length - score)))
+    return math.ceil(score / MATCH) - 1
 
 
 class Ids(dict):
@@ -88,38 +91,39 @@ class Ids(dict):
 
 
 class Block:
-    """Test items as arrays of word numbers, with the n-grams they hold."""
+    """Test items as arrays of word numbers, with the seeds at each of their places."""
 
-    def __init__(self, items: list[tuple[int, str]], n: int):
-        self.n, self.items, self.words = n, [], []
+    def __init__(self, items: list[tuple[int, str]], shortest: int):
+        self.items, self.words = [], []
         self.vocabulary: dict[str, int] = {}
         for item, text in items:
-            number = [self.vocabulary.setdefault(normal(w), len(self.vocabulary) + 1) for w in WORD.findall(text)]
-            if len(number) >= n:
+            found = WORD.findall(text)
+            if len(found) >= max(2, shortest):
+                number = [self.vocabulary.setdefault(normal(w), len(self.vocabulary) + 1) for w in found]
                 self.items.append(item)
                 self.words.append(np.array(number, np.int64))
         self.size = len(self.vocabulary) + 1
-        self.grams = [self.keys(w) for w in self.words]
-
-    def keys(self, ids: np.ndarray) -> np.ndarray:
-        """A number per n-gram, -1 where a word is none of the items'. Numbers are mixed beyond 63 bits, without harm: hits are aligned."""
-        count = max(0, len(ids) - self.n + 1)
-        key, good = np.zeros(count, np.int64), np.ones(count, bool)
-        for i in range(self.n):
-            part = ids[i : i + count]
-            good &= part > 0
-            with np.errstate(over="ignore"):
-                key = key * self.size + part
-        return np.where(good, key & np.int64((1 << 62) - 1), -1)
-
-    def hits(self, keys: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of the keys that occur in the sorted array ``of``, and where there."""
-        at = np.flatnonzero(keys >= 0)
-        if not len(at) or not len(of):
-            return at[:0], at[:0]
-        place = np.minimum(np.searchsorted(of, keys[at]), len(of) - 1)
-        found = of[place] == keys[at]
-        return at[found], place[found]
+        self.kind = np.uint16 if self.size <= 1 << 16 else np.uint32
+        self.seeds = [self.pairs(w) for w in self.words]
+
+    def pairs(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of all pairs of the items' words at distance one and two, and the places of their first words."""
+        keys, places = [], []
+        for step in (1, 2):
+            first, second = ids[:-step], ids[step:]
+            at = np.flatnonzero((first > 0) & (second > 0))
+            keys.append(first[at].astype(np.int64) * self.size + second[at])
+            places.append(at)
+        return np.concatenate(keys), np.concatenate(places)
+
+
+def hits(keys: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the keys occur in the sorted array ``of``, and where there."""
+    if not len(keys) or not len(of):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    place = np.minimum(np.searchsorted(of, keys), len(of) - 1)
+    found = np.flatnonzero(of[place] == keys)
+    return found, place[found]
 
 
 def best_alignment(window: np.ndarray, item: np.ndarray) -> tuple[int, int]:
@@ -139,15 +143,19 @@ def best_alignment(window: np.ndarray, item: np.ndarray) -> tuple[int, int]:
 
 
 class Matcher:
-    """Finds the items of a block in texts, by seeds."""
+    """Finds the items of a block in arrays of word numbers, by the seeds at the places given for each item."""
 
-    def __init__(self, block: Block, seeds: list[np.ndarray], threshold: float, least: int):
+    def __init__(self, block: Block, places: list[np.ndarray], threshold: float, least: int):
         self.block, self.ids, self.memory = block, Ids(block.vocabulary), {}
-        pairs = [(k, i, int(o)) for i, s in enumerate(seeds) for k, o in zip(block.grams[i][s].tolist(), s.tolist())]
-        pairs.sort()
-        self.keys = np.unique(np.array([p[0] for p in pairs], np.int64))
-        self.first = np.searchsorted(np.array([p[0] for p in pairs], np.int64), np.append(self.keys, np.iinfo(np.int64).max))
-        self.where = [(i, o) for _, i, o in pairs]
+        rows = []
+        for item, ((keys, at), rare) in enumerate(zip(block.seeds, places)):
+            chosen = np.flatnonzero(np.isin(at, rare))
+            rows.append(np.stack([keys[chosen], np.full(len(chosen), item), at[chosen]]))
+        table = np.concatenate(rows, 1) if rows else np.zeros((3, 0), np.int64)
+        table = table[:, np.argsort(table[0], kind="stable")]
+        self.keys, first = np.unique(table[0], return_index=True)
+        self.first = np.append(first, table.shape[1])
+        self.where = list(zip(table[1].tolist(), table[2].tolist()))
         self.own = [MATCH * len(w) for w in block.words]
         self.needed = [needed(len(w), threshold, least) for w in block.words]
         self.bags = [Counter(w.tolist()) for w in block.words]
@@ -158,6 +166,9 @@ class Matcher:
         bag, have = self.bags[item], Counter(window.tolist())
         if MATCH * sum(min(n, have[w]) for w, n in bag.items()) < self.needed[item]:
             return None
+        keys, at = self.block.seeds[item]
+        if len(np.unique(at[np.isin(keys, self.block.pairs(window)[0])])) < least_kept(self.needed[item]):
+            return None
         key = (item, window.tobytes())
         if key not in self.memory:
             if len(self.memory) > 20_000:
@@ -170,20 +181,20 @@ class Matcher:
                 self.memory[key] = (score, end - length, end)
         return self.memory[key]
 
-    def find(self, text: str | None) -> list[tuple[int, float, int, int]]:
+    def find(self, ids: np.ndarray) -> list[tuple[int, float, int, int]]:
         """(item id, share of the item's own score, first word, end word) of each item found, by item."""
-        ids = self.ids.of(text)
-        at, place = self.block.hits(self.block.keys(ids), self.keys)
-        spans: dict[int, list[tuple[int, int]]] = {}
-        for p, k in zip(at.tolist(), place.tolist()):
+        keys, places = self.block.pairs(ids)
+        found, place = hits(keys, self.keys)
+        spans: dict[int, set[tuple[int, int]]] = {}
+        for p, k in zip(places[found].tolist(), place.tolist()):
             for item, offset in self.where[self.first[k] : self.first[k + 1]]:
                 length = len(self.block.words[item])
                 pad = int(self.own[item] - self.needed[item]) // -GAP
-                spans.setdefault(item, []).append((max(0, p - offset - pad), min(len(ids), p - offset + length + pad)))
+                spans.setdefault(item, set()).add((max(0, p - offset - pad), min(len(ids), p - offset + length + pad)))
         found = []
         for item, windows in spans.items():
             best, last = None, (-1, -1)
-            for start, end in sorted(set(windows)):
+            for start, end in sorted(windows):
                 if end <= last[1]:
                     continue
                 last = (start, end)
@@ -195,98 +206,102 @@ class Matcher:
         return sorted(found)
 
 
-def blocks(items: DataFrame, id_column: str, text: str, n: int, chars: int) -> Iterator[Block]:
+def blocks(items: DataFrame, id_column: str, text: str, shortest: int, chars: int) -> Iterator[Block]:
     """The items in blocks of at most ``chars`` characters (or one item)."""
     held, total = [], 0
     chosen = items.where(F.col(text).isNotNull()).select(F.col(id_column).cast("long"), F.col(text).cast("string"))
     for item, body in chosen.toLocalIterator():
         if held and total + len(body) > chars:
-            yield Block(held, n)
+            yield Block(held, shortest)
             held, total = [], 0
         held.append((item, body))
         total += len(body)
     if held:
-        yield Block(held, n)
+        yield Block(held, shortest)
 
 
-def rarest(block: Block, docs: DataFrame, text: str, threshold: float, least: int) -> list[np.ndarray]:
-    """Positions in each item of its seeds, by document counts of n-grams over all ``docs``.
+def numbered(docs: DataFrame, block: Block) -> DataFrame:
+    """``doc_id`` and ``ids``, the numbers of the words of ``text`` in the block."""
 
-    Only items that can spare seeds are counted; of the others every n-gram is one.
-    """
-    kept = [least_kept(len(w), block.n, needed(len(w), threshold, least)) for w in block.words]
-    counted = [g for g, k in zip(block.grams, kept) if k > 1]
-    if not counted:
-        return [np.arange(len(g)) for g in block.grams]
-    known = np.unique(np.concatenate(counted))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = Ids(block.vocabulary)
+        for group in groups_of(rows_of(batches, "doc_id", "text"), 1 << 20):
+            bodies = [ids.of(body).astype(block.kind).tobytes() for _, body in group]
+            yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in group], pa.int64()), pa.array(bodies, pa.binary())], names=["doc_id", "ids"])
+
+    return docs.mapInArrow(run, "doc_id long, ids binary")
+
+
+def rarest(block: Block, ids: DataFrame, threshold: float, least: int) -> list[np.ndarray]:
+    """The places of each item that are searched: all but the ``least_kept`` - 1 whose seeds are commonest in ``ids``."""
+    known = np.unique(np.concatenate([keys for keys, _ in block.seeds]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, seen = Ids(block.vocabulary), np.zeros(len(known), np.int64)
-        for (body,) in rows_of(batches, "text"):
-            _, place = block.hits(block.keys(ids.of(body)), known)
-            seen[np.unique(place)] += 1
+        seen = np.zeros(len(known), np.int64)
+        for (body,) in rows_of(batches, "ids"):
+            _, place = hits(block.pairs(np.frombuffer(body, block.kind))[0], known)
+            np.add.at(seen, place, 1)
         some = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(seen[some])], names=["gram", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(seen[some])], names=["seed", "n"])
 
-    counts = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "gram long, n long")
+    counts = ids.select("ids").mapInArrow(run, "seed long, n long")
     total = np.zeros(len(known), np.int64)
-    for row in counts.groupBy("gram").agg(F.sum("n").alias("n")).toLocalIterator():  # at most the n-grams counted
-        total[row.gram] = row.n
-    seeds = []
-    for grams, k in zip(block.grams, kept):
-        if k <= 1:
-            seeds.append(np.arange(len(grams)))
-            continue
-        n = total[np.searchsorted(known, grams)]
-        occurring = np.argsort(n, kind="stable")[(n == 0).sum() :]
-        seeds.append(np.sort(occurring[: max(0, len(occurring) - k + 1)]))
-    return seeds
-
-
-def _matchers(docs, items, text, item_id, item_text, n, threshold, least, chars):
-    for block in blocks(items, item_id, item_text, n, chars):
-        if block.items:
-            yield block, rarest(block, docs, text, threshold, least), threshold, least
+    for row in counts.groupBy("seed").agg(F.sum("n").alias("n")).toLocalIterator():  # at most the seeds of a block
+        total[row.seed] = row.n
+    places = []
+    for (keys, at), words in zip(block.seeds, block.words):
+        n = np.bincount(at, total[np.searchsorted(known, keys)], len(words) - 1)
+        spared = least_kept(needed(len(words), threshold, least)) - 1
+        places.append(np.sort(np.argsort(n, kind="stable")[: len(n) - spared]))
+    return places
 
 
 def contaminated(
     docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text: str = "text", item_id: str = "item_id",
-    item_text: str = "text", n: int = SEED_WORDS, threshold: float = THRESHOLD, least: int = LEAST_WORDS,
+    item_text: str = "text", shortest: int = SHORTEST, threshold: float = THRESHOLD, least: int = LEAST_WORDS,
     chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """One row per document and item found in it: ids, ``score`` (share of the item), ``first_word``, ``end_word``."""
     schema = "doc_id long, item_id long, score double, first_word long, end_word long"
     slim = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     out = None
-    for made in _matchers(docs, items, text, item_id, item_text, n, threshold, least, chars):
+    for block in blocks(items, item_id, item_text, shortest, chars):
+        if not block.items:
+            continue
+        ids = written(numbered(slim, block))
+        places = rarest(block, ids, threshold, least)
 
-        def run(batches: Iterator[pa.RecordBatch], made=made) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(*made)
-            for doc, body in rows_of(batches, "doc_id", "text"):
-                if found := matcher.find(body):
+        def run(batches: Iterator[pa.RecordBatch], block=block, places=places) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(block, places, threshold, least)
+            for doc, body in rows_of(batches, "doc_id", "ids"):
+                if found := matcher.find(np.frombuffer(body, block.kind)):
                     columns = [[doc] * len(found), *zip(*found)]
                     kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)],
                                                      names=["doc_id", "item_id", "score", "first_word", "end_word"])
 
-        part = slim.mapInArrow(run, schema)
+        part = ids.mapInArrow(run, schema)
         out = part if out is None else out.union(part)
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
 
 def clean(
     docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-    n: int = SEED_WORDS, threshold: float = THRESHOLD, least: int = LEAST_WORDS, chars: int = BLOCK_CHARS,
+    shortest: int = SHORTEST, threshold: float = THRESHOLD, least: int = LEAST_WORDS, chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """``docs`` without the documents in which an item is found; rows are filtered where they are, nothing is joined."""
+    slim = docs.select(F.lit(None).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     out = docs
-    for made in _matchers(docs, items, text, item_id, item_text, n, threshold, least, chars):
+    for block in blocks(items, item_id, item_text, shortest, chars):
+        if not block.items:
+            continue
+        places = rarest(block, numbered(slim, block), threshold, least)
 
-        def run(batches: Iterator[pa.RecordBatch], made=made) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(*made)
+        def run(batches: Iterator[pa.RecordBatch], block=block, places=places) -> Iterator[pa.RecordBatch]:
+            matcher = Matcher(block, places, threshold, least)
             for batch in batches:
                 bodies = batch.column(batch.schema.get_field_index(text))
-                yield batch.filter(pa.array([not matcher.find(b.as_py()) for b in bodies], pa.bool_()))
+                yield batch.filter(pa.array([not matcher.find(matcher.ids.of(b.as_py())) for b in bodies], pa.bool_()))
 
         out = out.mapInArrow(run, docs.schema)
     return out
