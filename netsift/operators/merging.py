@@ -54,7 +54,8 @@ def replace_by_key(existing: DataFrame, incoming: DataFrame, key: Sequence[str])
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 
-def _merged(column: str, is_map: bool, array_merge: str, is_array: bool) -> Column:
+def merged_column(column: str, is_map: bool, array_merge: str, is_array: bool) -> Column:
+    """The merge of a column of ``o`` (stored) and ``n`` (incoming)."""
     old, new = F.col(f"o.{column}"), F.col(f"n.{column}")
     if is_map:
         both = F.map_zip_with(old, new, lambda _k, a, b: F.coalesce(b, a))
@@ -87,7 +88,7 @@ def upsert(
     joined = old.join(incoming.alias("n"), [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in key], "full_outer")
     return joined.select(
         *[F.coalesce(F.col(f"n.{k}"), F.col(f"o.{k}")).alias(k) for k in key],
-        *[_merged(c, c in maps, array_merge, c in arrays).alias(c) for c in names],
+        *[merged_column(c, c in maps, array_merge, c in arrays).alias(c) for c in names],
     ).select(*incoming.columns)
 
 

@@ -147,6 +147,26 @@ def with_snapshot_date(documents: DataFrame, day: str) -> DataFrame:
     return documents.withColumn("snapshot_date", F.lit(day).cast("date"))
 
 
+def write_dated(documents: DataFrame, path: str, day: str | None = None, partitions: int | None = None) -> None:
+    """Write snapshots, one folder per ``snapshot_date``; those of the days that come in are replaced, others stay.
+
+    ``day`` dates all documents; without it they hold their ``snapshot_date`` already (null: a
+    folder of its own). Days are swapped when the job commits, so a failed write changes none.
+    """
+    dated = documents if day is None else with_snapshot_date(documents, day)
+    writer = laid_out(dated, partitions).write.partitionBy("snapshot_date").mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def read_dated(spark: SparkSession, path: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """The snapshots from day ``first`` to ``last``, both included; only the folders of these days are read."""
+    docs = spark.read.parquet(path)
+    day = F.col("snapshot_date")
+    if first is not None:
+        docs = docs.where(day >= F.lit(first).cast("date"))
+    return docs if last is None else docs.where(day <= F.lit(last).cast("date"))
+
+
 def table_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Documents, files and bytes per table read from files; hidden and empty tables are left out.
 

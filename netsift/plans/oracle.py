@@ -284,4 +284,14 @@ ORACLE = {
                           ORDER BY 'p' || l_partkey || '.example.net') AS record FROM lineitem GROUP BY l_suppkey)
         SELECT {_dot3('k')} AS ip, record FROM n
         UNION ALL SELECT {_dot3('k')}, record FROM o WHERE k NOT IN (SELECT k FROM n)""",
+    "dated_snapshots": f"""
+        SELECT substr(seen, 1, 10) AS snapshot_date, count(*) AS records, count(banner) AS banners, count(DISTINCT ip) AS addresses
+        FROM ({_SCANS}) WHERE substr(seen, 1, 10) BETWEEN '2024-01-08' AND '2024-01-25'
+          AND (substr(seen, 1, 10) <> '2024-01-20' OR banner IS NOT NULL) GROUP BY 1""",
+    "bucketed_upsert": """
+        WITH c AS (SELECT c_custkey AS key, c_mktsegment AS segment FROM customer WHERE c_mktsegment <> 'BUILDING'),
+             o AS (SELECT o_custkey AS key, count(*) AS orders, CAST(CAST(max(o_orderdate) AS DATE) AS VARCHAR) AS last_order
+                   FROM orders GROUP BY o_custkey)
+        SELECT coalesce(c.key, o.key) AS key, segment, coalesce(orders, 0) AS orders, last_order
+        FROM c FULL JOIN o ON c.key = o.key""",
 }

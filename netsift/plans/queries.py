@@ -11,7 +11,7 @@ from netsift import ingest as ingestion
 from netsift.functions import ip, times
 from netsift.functions.staging import once
 from netsift.functions.text import human_size
-from netsift.operators import lookup, merging, predicates, tables
+from netsift.operators import keyed, lookup, merging, predicates, tables
 from netsift.operators.enrichment import geoip_enrichment, register_enrichment
 from netsift.operators.skew import shared_folder
 from netsift.plans import feeds
@@ -28,6 +28,9 @@ TABLES = (
 )
 
 
+BUCKETS = 16
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder in the storage all executors share."""
     return f"{shared_folder(spark).rstrip('/')}/netsift-{uuid.uuid4().hex}"
@@ -412,6 +415,28 @@ def carried_marks(spark: SparkSession, folder: str) -> DataFrame:
     return types.select("zone", "domain", "source", "type", F.array_join(texts, ";").alias("records"))
 
 
+def dated_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """The port-scan feed as a snapshot a day; one day is written again with its banners only, a period is read."""
+    path = scratch(spark)
+    docs = _scans(spark, folder).withColumn("snapshot_date", F.col("seen").cast("date"))
+    tables.write_dated(docs, path)
+    tables.write_dated(docs.where("snapshot_date = date'2024-01-20' and banner is not null"), path)
+    days = tables.read_dated(spark, path, "2024-01-08", "2024-01-25").groupBy("snapshot_date").agg(
+        F.count(F.lit(1)).alias("records"), F.count("banner").alias("banners"), F.count_distinct("ip").alias("addresses"))
+    return days.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
+
+
+def bucketed_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as a keyed table in buckets; what their orders tell is merged in, new keys come in."""
+    name = f"netsift_{uuid.uuid4().hex}"
+    stored = table(spark, folder, "customer").where("c_mktsegment <> 'BUILDING'")
+    stored = stored.select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("segment"), F.lit(0).cast("bigint").alias("orders"))
+    told = table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("key")).agg(
+        F.count(F.lit(1)).alias("orders"), F.max(F.col("o_orderdate").cast("date")).cast("string").alias("last_order"))
+    first = keyed.write_bucketed(stored, name, ["key"], BUCKETS)
+    return spark.table(keyed.upsert_bucketed(spark, name, first, told, ["key"], BUCKETS))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -421,6 +446,6 @@ QUERIES = {
         changed_snapshots, geo_enrichment, listed_events, unlisted_events, longest_network, cidr_match, exact_match,
         text_match, date_range, upsert_merge, replace_by_key, sentinel_cut, reject_reasons, table_summary, text_sizes,
         export_round_trip, ingested_services, streamed_certificates, two_batches, table_life,
-        enriched_ingest, nested_ranges, straddling_batches, carried_marks,
+        enriched_ingest, nested_ranges, straddling_batches, carried_marks, dated_snapshots, bucketed_upsert,
     )
 }

@@ -96,8 +96,9 @@ LICENCE_COLUMNS = (
 )
 LICENCE_DATES = ("grant_date", "expired_date", "cancellation_date", "last_action_date")
 LICENCE_INTEGERS = (
-    "license_id", "facility_id", "antenna_id", "frequency_id", "emission_id", "loc_lat_deg", "loc_long_deg",
-    "loc_lat_min", "loc_long_min", "loc_seq_id", "ant_seq_id", "freq_seq_id", "emission_seq_id",
+    "facility_id", "loc_lat_deg", "loc_long_deg", "loc_lat_min", "loc_long_min", "loc_seq_id", "ant_seq_id",
+    "freq_seq_id", "emission_seq_id",
+    "license_id", "antenna_id", "frequency_id", "emission_id",
 )
 LICENCE_NUMBERS = (
     "loc_lat_sec", "loc_long_sec", "loc_radius_op", "hgt_structure", "azimuth", "beamwidth", "power_erp",
