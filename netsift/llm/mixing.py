@@ -1,16 +1,18 @@
 """Logistic mixing of hashed-context bit predictors, in numpy.
 
-A word is coded byte by byte and bit by bit, in two parts: its first two bytes, which see
-the last two bytes of the word before, and the rest, which sees the word so far. Each of
-five contexts is hashed with the bits of the byte so far to a slot; the slot's counts of
-zeros and ones give a prediction in the logistic domain. Predictions are added up with
-weights chosen by a gate: how often the whole context was seen, whether the context of
-four bytes was, and in which part. Words
-that occur again in a block are computed once and counted as often as they occur.
-
-Training takes blocks one by one: a block's bits are counted, then every batch of them is
-predicted with the counts so far less the occurrence predicted itself, and the weights of
-the gates take a Newton step against the error (their curvature adds up over the batches).
+A word is coded byte by byte and bit by bit, in two parts: its head, which is its first two
+bytes and sees the last two of the word before, and the rest, which sees the word so far.
+So a part's cost depends on nothing but four bytes, or the word: each distinct head and word is
+worked out once, however often and in however many documents it occurs.
+
+Each of five contexts is hashed to 56 bits; the bit nodes of the byte that follows have counts
+of zeros and ones, which give a prediction in the logistic domain. Predictions are added up
+with weights chosen by a gate: how often the whole context was seen, whether the context of
+four bytes was, and in which part. Everything is written for the bit that comes: the
+prediction of the other one is its negative, and gates do not see the bit.
+
+Weights are fitted by Newton steps on all training occurrences at once, each predicted
+without itself; gradients and curvatures of any parts of the data add up.
 """
 
 from __future__ import annotations
@@ -19,68 +21,20 @@ import numpy as np
 
 CONTEXTS = 5
 GATES = 16
-# Slots of each context's table, as powers of two below the largest.
-SMALLER = (5, 3, 1, 0, 1)
-WHOLE = 3
+FOUR, WHOLE = 2, 3
 PRIOR = 0.4
-UNSEEN = -128
-SCALE = 10.0
+RIDGE = 30.0
 END = b"\xff"  # a byte that UTF-8 never has
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _P = 0x100000001B3
 _PI = pow(_P, -1, 1 << 64)
-BATCH = 16_000
+BATCH = 1 << 15  # coded bytes that are predicted at once
 
 
-class Bits:
-    """The bits of coded parts with the slots of their contexts."""
-
-    def __init__(self, strings: list[bytes], skip: int, part: int, bits: int):
-        """The first ``skip`` bytes of each string are context only."""
-        lengths = np.array([len(s) for s in strings], np.int64)
-        flat = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint64)
-        ends = np.cumsum(lengths)
-        starts = ends - lengths
-        owner = np.repeat(np.arange(len(strings)), lengths)
-        place = np.arange(len(flat)) - starts[owner]
-        power, inverse = _powers(len(flat) + 1)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((flat + np.uint64(1)) * power[: len(flat)])])
-
-        def since(first: np.ndarray, at: np.ndarray) -> np.ndarray:
-            return (sums[at] - sums[first]) * inverse[first]
-
-        at = np.flatnonzero(place >= skip)
-        self.owner = owner[at]
-        start = starts[self.owner]
-        back = [since(np.maximum(at - n, start), at) for n in (1, 2, 4)]
-        whole = since(start, at)
-        other = since(start + skip, at) if part == 0 else since(np.maximum(at - 3, start), at)
-        contexts = [*back, whole, other]
-        byte = flat[at]
-        depth = np.arange(8, dtype=np.uint64)
-        node = (np.uint64(1) << depth) | (byte[:, None] >> (np.uint64(8) - depth))
-        self.bit = ((byte[:, None] >> (np.uint64(7) - depth)) & np.uint64(1)).astype(bool).ravel()
-        salt = node * _A
-        self.slots = []
-        for k, c in enumerate(contexts):
-            key = (c + np.uint64(part * 8 + k + 1)) * _B
-            key ^= key >> np.uint64(29)
-            self.slots.append((((key[:, None] ^ salt) * _B) >> np.uint64(64 - bits + SMALLER[k])).astype(np.int64).ravel())
-        self.part, self.count = part, len(strings)
-
-    def predict(self, x: list[np.ndarray], level: np.ndarray, seen: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Logistic sums and gates."""
-        gate = level + 4 * seen.astype(np.int64) + 8 * self.part
-        w = weights.astype(np.float32)[gate]
-        total = w[:, CONTEXTS].copy()
-        for k in range(CONTEXTS):
-            total += w[:, k] * x[k]
-        return np.clip(total, -15, 15), gate
-
-    def cost(self, total: np.ndarray) -> np.ndarray:
-        """Natural logarithm of the probability of each string."""
-        each = np.logaddexp(0, np.where(self.bit, -total, total)).reshape(-1, 8).sum(1)
-        return -np.bincount(self.owner, each, self.count)
+def first_weights() -> np.ndarray:
+    weights = np.full((GATES, CONTEXTS), 0.2)
+    weights[:, WHOLE] = 0.5
+    return weights
 
 
 _known_powers: list[np.ndarray] = []
@@ -96,114 +50,120 @@ def _powers(n: int) -> list[np.ndarray]:
     return _known_powers
 
 
-def parts(words: list[bytes], last: np.ndarray, word: np.ndarray, number: np.ndarray, bits: int):
-    """Batches of the coded parts of tokens.
-
-    ``last`` is the number of the word before each distinct pair (-1 at the start), ``word``
-    its own, ``number`` how often the pair occurs. Gives (Bits, how often, heads or words):
-    heads come with the index of each pair's head, rests with the words they belong to.
+def _keys(flat: np.ndarray, lengths: np.ndarray, part: int) -> list[np.ndarray]:
+    """Keys of the bytes from each string's third on: 56 bits of context and the byte, per context."""
+    flat = flat.astype(np.uint64)
+    starts = np.cumsum(lengths) - lengths
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    at = np.flatnonzero(np.arange(len(flat)) - starts[owner] >= 2)
+    start = starts[owner[at]]
+    power, inverse = _powers(len(flat) + 1)
+    out = []
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((flat + np.uint64(1)) * power[: len(flat)])])
+        last = start + 2 if part == 0 else np.maximum(at - 3, start)
+        for k, first in enumerate((np.maximum(at - 1, start), np.maximum(at - 2, start), np.maximum(at - 4, start), start, last)):
+            key = ((sums[at] - sums[first]) * inverse[first] + np.uint64(part * 8 + k + 1) * _B) * _B
+            key = (key ^ (key >> np.uint64(29))) * _A
+            out.append((key ^ (key >> np.uint64(32))) & ~np.uint64(255) | flat[at])
+    return out
+
+
+class Units:
+    """Distinct heads (numbers of four bytes) and words, with their training counts."""
+
+    def __init__(self, heads: np.ndarray, head_counts: np.ndarray, words: list[bytes], counts: np.ndarray):
+        closed = [w + b" " for w in words]
+        lengths = np.fromiter(map(len, closed), np.int64, len(closed))
+        self.texts = [(heads.astype(">u4").view(np.uint8), np.full(len(heads), 4, np.int64)),
+                      (np.frombuffer(b"".join(closed), np.uint8), lengths)]
+        self.sizes = [len(heads), len(closed)]
+        coded = np.concatenate([np.full(len(heads), 2, np.int64), np.maximum(lengths - 2, 0)])
+        self.owner = np.repeat(np.arange(len(coded)), coded)
+        self.often = np.concatenate([head_counts, counts]).astype(np.int64)[self.owner]
+        self.head_bytes = 2 * len(heads)
+
+    def keys(self):
+        """For each context: distinct keys, their training counts, and which one each coded byte has."""
+        both = zip(*[_keys(*text, part) for part, text in enumerate(self.texts)])
+        for pair in both:
+            key, where = np.unique(np.concatenate(pair), return_inverse=True)
+            yield key, np.bincount(where, self.often, len(key)).astype(np.int64), where.astype(np.uint32)
+
+
+def node_sums(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Counts at the nodes on each key's path: before its first bit, after it, ..., after its eighth.
+
+    ``keys`` are distinct and sorted; one row of nine numbers for each.
     """
-    closed = [w + b" " for w in words]
-    before = [(b"  " + w)[-2:] for w in words] + [b"  "]
-    head = np.array([int.from_bytes(before[i], "big") for i in range(len(before))], np.int64)[last]
-    own = np.array([int.from_bytes(w[:2], "big") for w in closed], np.int64)[word]
-    keys, where = np.unique(head << 16 | own, return_inverse=True)
-    n = np.bincount(where, number, len(keys))
-    for a in range(0, len(keys), BATCH):
-        some = keys[a : a + BATCH]
-        yield Bits([int(k).to_bytes(4, "big") for k in some], 2, 0, bits), n[a : a + BATCH], (a, where)
-    n = np.bincount(word, number, len(words))
-    long = np.flatnonzero((n > 0) & np.array([len(w) > 2 for w in closed]))
-    for some in _by_bytes(long, closed):
-        yield Bits([closed[i] for i in some], 2, 1, bits), n[some], some
-
-
-def _by_bytes(indices: np.ndarray, strings: list[bytes]):
-    held, total = [], 0
-    for i in indices.tolist():
-        held.append(i)
-        total += len(strings[i])
-        if total > 4 * BATCH:
-            yield np.array(held)
-            held, total = [], 0
-    if held:
-        yield np.array(held)
-
-
-def levels(n: np.ndarray) -> np.ndarray:
-    """0 to 3: never seen, a few times, often, very often."""
-    return (n > 0).astype(np.int64) + (n > 3) + (n > 60)
-
-
-class Trainer:
-    """Counts of every slot, and weights learned on the way."""
-
-    def __init__(self, bits: int, ridge: float = 30.0):
-        self.bits = bits
-        self.n = [np.zeros(2 << (bits - less), np.uint32) for less in SMALLER]  # zeros, then ones
-        self.weights = np.full((GATES, CONTEXTS + 1), 0.2)
-        self.weights[:, WHOLE] = 0.5
-        self.weights[:, CONTEXTS] = 0
-        self.curve = np.tile(np.eye(CONTEXTS + 1) * ridge, (GATES, 1, 1))
-        self.tokens = 0.0
-
-    def half(self, k: int) -> int:
-        return len(self.n[k]) >> 1
-
-    def fit(self, b: Bits, often: np.ndarray) -> None:
-        """A step by bits that are counted already; each is predicted without itself."""
-        zeros = [self.n[k][s] - ~b.bit for k, s in enumerate(b.slots)]
-        ones = [self.n[k][s + self.half(k)] - b.bit for k, s in enumerate(b.slots)]
-        x = [np.log((o + np.float32(PRIOR)) / (z + np.float32(PRIOR))) for z, o in zip(zeros, ones)]
-        level = levels(zeros[WHOLE] + ones[WHOLE])
-        total, gate = b.predict(x, level, zeros[2] + ones[2] > 0, self.weights)
-        p = 1 / (1 + np.exp(-total))
-        table = np.stack([*x, np.ones(len(p), np.float32)], 1).astype(np.float64)
-        for g in np.unique(gate):
-            at = gate == g
-            some, n, q = table[at], often[at], p[at]
-            self.curve[g] += some.T @ (some * (n * np.maximum(q * (1 - q), 1e-4))[:, None])
-            self.weights[g] += np.linalg.solve(self.curve[g], some.T @ (n * (b.bit[at] - q)))
-
-    def learn(self, words: list[bytes], last: np.ndarray, word: np.ndarray, number: np.ndarray) -> None:
-        for b, n, _ in parts(words, last, word, number, self.bits):
-            often = np.repeat(n[b.owner], 8)
-            count = often.astype(np.uint32)
-            for k, s in enumerate(b.slots):
-                np.add.at(self.n[k], s + b.bit * self.half(k), count)
-        for b, n, _ in parts(words, last, word, number, self.bits):
-            self.fit(b, np.repeat(n[b.owner], 8))
-        self.tokens += float(number.sum())
-
-
-def packed(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """Predictions of slots as 8-bit numbers."""
-    value = np.round(SCALE * np.log((ones + PRIOR) / (zeros + PRIOR)))
-    return np.where(zeros + ones > 0, np.clip(value, -127, 127), UNSEEN).astype(np.int8)
-
-
-class Model:
-    """Frozen predictions and weights."""
-
-    def __init__(self, tables: list[np.ndarray], level: np.ndarray, weights: np.ndarray):
-        self.tables, self.level, self.weights = tables, level, weights
-        self.bits = len(tables[WHOLE]).bit_length() - 1
-
-    def of_pairs(self, words: list[bytes], last: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Natural logarithm of the probability of each (word before, word)."""
-        out = np.zeros(len(word))
-        rest = np.zeros(len(words))
-        heads = None
-        for b, _, where in parts(words, last, word, np.ones(len(word)), self.bits):
-            raw = [self.tables[k][s] for k, s in enumerate(b.slots)]
-            x = [np.where(r != UNSEEN, r, 0) * np.float32(1 / SCALE) for r in raw]
-            level = self.level[b.slots[WHOLE]].astype(np.int64)
-            cost = b.cost(b.predict(x, level, raw[2] != UNSEEN, self.weights)[0])
-            if b.part == 0:
-                heads = cost if heads is None else np.concatenate([heads, cost])
-                index = where[1]
-            else:
-                rest[where] = cost
-        if heads is not None:
-            out += heads[index]
-        return out + rest[word]
+    out = np.empty((len(keys), 9), np.int64)
+    for depth in range(9):
+        node = keys >> np.uint64(8 - depth)
+        starts = np.flatnonzero(np.append(True, node[1:] != node[:-1])) if len(keys) else np.zeros(0, np.int64)
+        sums = np.add.reduceat(counts, starts) if len(keys) else counts
+        out[:, depth] = np.repeat(sums, np.diff(np.append(starts, len(keys))))
+    return out
+
+
+def stretched(nodes: np.ndarray, without: int) -> np.ndarray:
+    """Predictions of the eight bits of each key, without that many occurrences of the key itself."""
+    nodes = nodes.astype(np.float32)
+    right = np.maximum(nodes[:, 1:] - np.float32(without), 0)
+    return np.log((right + np.float32(PRIOR)) / (nodes[:, :-1] - nodes[:, 1:] + np.float32(PRIOR)))
+
+
+class Predictor:
+    """Predictions and gates of all coded bits of ``units``; ``nodes`` and ``where`` are per context."""
+
+    def __init__(self, nodes: list[np.ndarray], where: list[np.ndarray], head_bytes: int, without: int):
+        self.x = [stretched(n, without) for n in nodes]
+        seen = np.maximum(nodes[WHOLE][:, :-1] - without, 0)
+        self.level = ((seen > 0).astype(np.uint8) + (seen > 3) + (seen > 60)).astype(np.uint8)
+        self.four = (4 * (nodes[FOUR][:, :-1] > without)).astype(np.uint8)
+        self.where, self.head_bytes = where, head_bytes
+
+    def batches(self, chosen: np.ndarray):
+        """For each batch of coded bytes: those, predictions (bits by contexts), gates."""
+        for a in range(0, len(chosen), BATCH):
+            some = chosen[a : a + BATCH]
+            at = [w[some] for w in self.where]
+            x = np.stack([self.x[k][at[k]].ravel() for k in range(CONTEXTS)], 1)
+            part = np.repeat((some >= self.head_bytes).astype(np.uint8) * np.uint8(8), 8)
+            yield some, x, self.level[at[WHOLE]].ravel() + self.four[at[FOUR]].ravel() + part
+
+
+def _sums(x: np.ndarray, gate: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return np.clip(np.einsum("ij,ij->i", x, weights.astype(np.float32)[gate]), -15, 15)
+
+
+def gradients(units_often: np.ndarray, predictor: Predictor, weights: np.ndarray) -> np.ndarray:
+    """Gradient and curvature of each gate over the training occurrences, one row of numbers per gate."""
+    slope, curve = np.zeros((GATES, CONTEXTS)), np.zeros((GATES, CONTEXTS, CONTEXTS))
+    for some, x, gate in predictor.batches(np.flatnonzero(units_often > 0)):
+        order = np.argsort(gate, kind="stable")
+        x, gate = x[order], gate[order]
+        often = np.repeat(units_often[some], 8)[order].astype(np.float32)
+        wrong = 1 / (1 + np.exp(_sums(x, gate, weights)))
+        heavy = often * np.maximum(wrong * (1 - wrong), np.float32(1e-4))
+        bounds = np.searchsorted(gate, np.arange(GATES + 1))
+        for g in np.flatnonzero(np.diff(bounds)):
+            rows = slice(bounds[g], bounds[g + 1])
+            slope[g] += x[rows].T @ (often[rows] * wrong[rows])
+            curve[g] += x[rows].T @ (x[rows] * heavy[rows, None])
+    return np.concatenate([slope, curve.reshape(GATES, -1)], 1)
+
+
+def step(weights: np.ndarray, summed: np.ndarray) -> np.ndarray:
+    """A Newton step by added-up ``gradients``; a ridge holds gates that are hardly seen at their first weights."""
+    slope, curve = summed[:, :CONTEXTS], summed[:, CONTEXTS:].reshape(GATES, CONTEXTS, CONTEXTS)
+    slope = slope - RIDGE * (weights - first_weights())
+    return weights + np.linalg.solve(curve + RIDGE * np.eye(CONTEXTS), slope[..., None])[..., 0]
+
+
+def costs(owner: np.ndarray, n_units: int, predictor: Predictor, weights: np.ndarray) -> np.ndarray:
+    """Natural logarithm of the probability of each unit."""
+    out = np.zeros(n_units)
+    for some, x, gate in predictor.batches(np.arange(len(owner))):
+        each = np.logaddexp(0, -_sums(x, gate, weights)).reshape(-1, 8).sum(1, dtype=np.float64)
+        out -= np.bincount(owner[some], each, n_units)
+    return out

@@ -298,47 +298,82 @@ def test_scores(odd, odd_rows, none):
     want = sorted(((i, len(t), sum(w in counts for w in t), n, round(sum(np.log10((counts[w] + 1) / (n + v + 1)) for w in t), 5)) for i, t in tokens), key=repr)
     assert sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in got), key=repr) == want
     assert all(r.score < 0 for r in got) and scoring.score(none, held).count() == 0
-    parted = scoring.blocks(odd, "doc_id", "text", held, chars=500)
-    assert parted.count() > 10
-
-
-def test_gate_weights_are_fitted_on_every_batch_of_every_block(monkeypatch):
-    monkeypatch.setattr(mixing, "BATCH", 50)
-    fits, fit = [], mixing.Trainer.fit
-    monkeypatch.setattr(mixing.Trainer, "fit", lambda self, b, often: (fits.append(b.part), fit(self, b, often)))
-    words = sorted({w.encode() + str(i % 40).encode() for i, w in enumerate(prose(800, 3000).split())})
-    word = np.arange(len(words))
-    last, number = np.roll(word, 7), word % 5 + 1
-    trainer = mixing.Trainer(18)
-    start = trainer.weights.copy()
-    for _ in range(2):
-        fits.clear()
-        with np.errstate(over="ignore"):
-            batches = [b.part for b, _, _ in mixing.parts(words, last, word, number, 18)]
-            trainer.learn(words, last, word, number)
-        assert fits == batches and min(batches.count(0), batches.count(1)) > 6
-        # the first block alone has moved the weights
-        assert not np.allclose(trainer.weights, start) and np.isfinite(trainer.weights).all()
+
+
+def test_scores_do_not_depend_on_partitions_or_blocks(odd):
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    one = scoring.score(odd.coalesce(1), held).collect()
+    four = scoring.score(odd.repartition(4), held, block_chars=500, bucket_entries=100).collect()
+    pairs = zip(*[sorted((str(r.doc_id), r.n_tokens, r.score) for r in rows) for rows in (one, four)])
+    assert len(one) == len(four) and all(a[:2] == b[:2] and abs(a[2] / b[2] - 1) < 1e-5 for a, b in pairs)
+
+
+def plain_model(tokens_of, steps):
+    """The method with dictionaries: node counts of every bit, Newton steps over single bits, score per document."""
+    def coded(tokens):
+        for before, word in zip([b"  ", *(b"  " + t for t in tokens)], tokens):
+            head, closed = before[-2:] + (word + b" ")[:2], word + b" "
+            for part, s in ((0, head), (1, closed)):
+                for at in range(2, len(s)):
+                    last = b"" + s[2:at] if part == 0 else s[max(at - 3, 0) : at]
+                    contexts = [(part, k, c) for k, c in enumerate((s[at - 1 : at], s[max(at - 2, 0) : at], s[max(at - 4, 0) : at], s[:at], last))]
+                    for bit in range(8):
+                        node = (1 << bit) | (s[at] >> (8 - bit))
+                        yield part, [(*c, node) for c in contexts], s[at] >> (7 - bit) & 1
+
+    def seen(row, less):
+        part, contexts, bit = row
+        both = [[counts[c + (v,)] - less * (v == bit) for v in (0, 1)] for c in contexts]
+        x = np.array([np.log((b[bit] + 0.4) / (b[1 - bit] + 0.4)) for b in both])
+        whole = sum(both[3])
+        return x, (whole > 0) + (whole > 3) + (whole > 60) + 4 * (sum(both[2]) > 0) + 8 * part
+
+    counts = collections.Counter(c + (bit,) for tokens, train in tokens_of if train for _, cs, bit in coded(tokens) for c in cs)
+    weights = mixing.first_weights()
+    for _ in range(steps):
+        slope, curve = -mixing.RIDGE * (weights - mixing.first_weights()), np.tile(np.eye(5) * mixing.RIDGE, (16, 1, 1))
+        for row in (r for tokens, train in tokens_of if train for r in coded(tokens)):
+            x, g = seen(row, 1)
+            q = 1 / (1 + np.exp(np.clip(x @ weights[g], -15, 15)))
+            slope[g] += q * x
+            curve[g] += max(q * (1 - q), 1e-4) * np.outer(x, x)
+        weights = weights + np.linalg.solve(curve, slope[..., None])[..., 0]
+    for tokens, _ in tokens_of:
+        total = 0.0
+        parts = [sum(-np.logaddexp(0, -np.clip(x @ weights[g], -15, 15)) for x, g in (seen(r, 0) for r in coded(tokens[: i + 1]))) for i in range(len(tokens))]
+        for i, (whole, before) in enumerate(zip(parts, [0, *parts])):
+            share = scoring.CACHE_SHARE * i / (i + scoring.CACHE_HALF)
+            total += np.log(np.exp(whole - before) * (1 - share) + share * tokens[:i].count(tokens[i]) / max(i, 1))
+        yield total / np.log(10)
+
+
+def test_scores_against_dictionaries(spark):
+    texts = [prose(i, 12) for i in range(12)] + ["", prose(3, 12), "a bc a bc\u00e9 A"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = sorted(scoring.score(docs, F.col("doc_id") % 4 == 2, block_chars=200, bucket_entries=20).collect())
+    tokens = [((t.encode().lower().split()) + [mixing.END], i % 4 != 2) for i, t in enumerate(texts)]
+    want = list(plain_model(tokens, scoring.STEPS))
+    assert np.allclose([r.score for r in got], want, rtol=1e-4)
 
 
 def test_model_is_a_distribution():
     """The probabilities of all next bytes add up to one, whatever was learned."""
-    trainer = mixing.Trainer(14)
-    vocabulary = [mixing.END, *(w.encode() for w in prose(1, 400).split())]
-    word = np.arange(len(vocabulary))
-    with np.errstate(over="ignore"):
-        for _ in range(3):
-            trainer.learn(vocabulary, np.roll(word, 1), word, np.ones(len(word), np.int64))
-        sizes = [len(t) >> 1 for t in trainer.n]
-        tables = [mixing.packed(t[:s], t[s:]) for t, s in zip(trainer.n, sizes)]
-        whole = trainer.n[mixing.WHOLE]
-        model = mixing.Model(tables, mixing.levels(whole[: sizes[3]] + whole[sizes[3] :]).astype(np.int8), trainer.weights)
-        one = [bytes([97, b]) for b in range(256)]
-        bits = mixing.Bits([b"xy" + s[1:] for s in one], 2, 0, model.bits)
-        raw = [model.tables[k][s] for k, s in enumerate(bits.slots)]
-        x = [np.where(r != mixing.UNSEEN, r, 0) * np.float32(1 / mixing.SCALE) for r in raw]
-        total, _ = bits.predict(x, model.level[bits.slots[mixing.WHOLE]].astype(np.int64), raw[2] != mixing.UNSEEN, model.weights)
-    assert abs(np.exp(bits.cost(total)).sum() - 1) < 1e-5
+    vocabulary = [w.encode() for w in sorted(set(prose(1, 400).split()))]
+    # words of two bytes code one byte more after them; every one of its values is asked for
+    asked = [b"th" + bytes([b]) for b in range(256) if b not in b" "]
+    known = mixing.Units(np.zeros(0, np.uint32), np.zeros(0, np.int64), [*vocabulary, *asked], np.array([1] * len(vocabulary) + [0] * len(asked)))
+    learned = list(known.keys())
+    nodes = [mixing.node_sums(key, count) for key, count, _ in learned]
+    predictor = mixing.Predictor(nodes, [where for _, _, where in learned], 0, 0)
+    weights = mixing.step(mixing.first_weights(), mixing.gradients(known.often, mixing.Predictor(nodes, predictor.where, 0, 1), mixing.first_weights()))
+    first = np.flatnonzero(np.append(True, np.diff(known.owner) > 0) & (known.owner >= len(vocabulary)))
+    cost = mixing.costs(known.owner, len(vocabulary) + len(asked), predictor, weights)
+    closing = mixing.costs(known.owner[first + 1], len(vocabulary) + len(asked), mixing.Predictor(nodes, [w[first + 1] for w in predictor.where], 0, 0), weights)
+    total = np.exp((cost - closing)[len(vocabulary) :]).sum()
+    space = mixing.Units(np.zeros(0, np.uint32), np.zeros(0, np.int64), [*vocabulary, *asked, b"th"], np.array([1] * len(vocabulary) + [0] * (len(asked) + 1)))
+    learned = list(space.keys())
+    last = mixing.costs(space.owner, sum(space.sizes), mixing.Predictor([mixing.node_sums(k, c) for k, c, _ in learned], [w for _, _, w in learned], 0, 0), weights)[-1]
+    assert abs(total + np.exp(last) - 1) < 1e-4
 
 
 # ---- packing ----
