@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from netsift.operators.enrichment import apply_enrichment
+from netsift.operators.progress import staged, write_metrics
 from netsift.operators.tables import drop_batch, fold_log, read_log, write_batch
 from netsift.sources.base import APPEND, Source, get_source, rejects
 
@@ -56,15 +57,18 @@ def _counted(counts: Observation) -> dict[str, int]:
 def write_parsed(
     source: Source, parsed: DataFrame, path: str, batch_id: int, *, enrichment: str | None = None,
     partitions: int | None = None, rows_per_file: int = 0, strict: bool = False, writer: str = "batch",
-    carried: DataFrame | None = None, **options,
+    carried: DataFrame | None = None, metrics: bool = False, **options,
 ) -> Report:
     """Write the documents of a parsed frame, then its rejects if there were any.
 
     ``carried`` are good rows of earlier micro-batches that belong to the same documents.
 
     Counts come from the write itself, so a clean input is parsed once. A batch that is
-    written again by the same ``writer`` replaces its documents and its rejects.
+    written again by the same ``writer`` replaces its documents and its rejects. ``metrics``
+    keeps counts per file besides (see ``operators.progress``), for which parsed rows are written once.
     """
+    if metrics:
+        parsed = staged(parsed)
     counts = Observation()
     watched = parsed.observe(
         counts, F.count(F.lit(1)).alias("parsed"), F.count_if(F.col("_error").isNotNull()).alias("rejected")
@@ -75,6 +79,8 @@ def write_parsed(
         documents = documents.withColumn("_order", F.lit(0))
     write_batch(documents, path, batch_id, partitions, rows_per_file, source.key, writer)
     seen = _counted(counts)
+    if metrics:
+        write_metrics(parsed, source.name, path, batch_id, writer)
     if not seen["rejected"]:
         drop_batch(parsed.sparkSession, rejects_path(path), batch_id, writer)
     else:

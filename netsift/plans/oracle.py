@@ -189,6 +189,16 @@ ORACLE = {
                CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN CAST(c_nationkey AS BIGINT) END AS loc_lat_deg, c_acctbal AS power_erp,
                CASE WHEN c_mktsegment <> 'FURNITURE' THEN 'say "' || c_mktsegment || '"/end' END AS lic_name,
                c_mktsegment AS note FROM customer""",
+    "split_dump": """
+        SELECT c_custkey AS license_id, c_name AS callsign,
+               CASE WHEN c_mktsegment <> 'FURNITURE' THEN 'say "' || c_mktsegment || '"/end' END AS lic_name, c_acctbal AS power_erp
+        FROM customer""",
+    "ingest_progress": """
+        SELECT CASE event_id % 3 WHEN 0 THEN 'north' WHEN 1 THEN 'south' ELSE 'east' END AS registry,
+               CASE event_id % 3 WHEN 2 THEN 2 ELSE 1 END AS batch,
+               count(*) + count(*) FILTER (event_type IN ('signup', 'purchase')) AS rows,
+               count(*) FILTER (event_type IN ('signup', 'purchase')) AS rejected, true AS done
+        FROM events GROUP BY event_id % 3""",
     "mesh_payloads": f"""
         SELECT event_id AS id, user_id AS sender, {_ISO.format('ts')} AS received,
                CASE event_type WHEN 'error' THEN 't' || {_K} WHEN 'click' THEN CAST({_K} AS VARCHAR) END AS text,

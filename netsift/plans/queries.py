@@ -11,7 +11,7 @@ from netsift import ingest as ingestion
 from netsift.functions import ip, times
 from netsift.functions.staging import once
 from netsift.functions.text import human_size
-from netsift.operators import keyed, lookup, merging, predicates, tables
+from netsift.operators import keyed, lookup, merging, predicates, progress, tables
 from netsift.operators.enrichment import geoip_enrichment, register_enrichment
 from netsift.operators.skew import shared_folder
 from netsift.plans import feeds
@@ -19,7 +19,7 @@ from netsift.plans.feeds import SEEN, table
 from netsift.sources import blocklists, certificates, delegations, exchanges, licences, mesh_radio, port_scan
 from netsift.sources import registry_objects, reverse_names, transfers, web_probe, zone
 from netsift.sources.base import rejects
-from netsift.sources.lines import cut_at_sentinel
+from netsift.sources.lines import cut_at_sentinel, label_by_path
 from netsift.streaming.watch import watch, watch_frame
 
 TABLES = (
@@ -160,6 +160,15 @@ def licence_parse(spark: SparkSession, folder: str) -> DataFrame:
                        F.col("_extra")["note"].alias("note"))
 
 
+def split_dump(spark: SparkSession, folder: str) -> DataFrame:
+    """The dump as few large files, cut into many tasks though fields hold line breaks."""
+    path = scratch(spark)
+    rows = feeds.licence_rows(spark, folder).repartition(2, "LICENSE_ID")
+    rows.write.option("header", True).option("escape", '"').csv(path)
+    docs = licences.LICENCES.shape(licences.parse(licences.read(spark, path, split=True)))
+    return docs.select("license_id", "callsign", F.replace("lic_name", F.lit("\n"), F.lit("/")).alias("lic_name"), "power_erp")
+
+
 def mesh_payloads(spark: SparkSession, folder: str) -> DataFrame:
     docs = mesh_radio.MESH.shape(mesh_radio.parse(feeds.mesh_lines(spark, folder), sentinel=None))
     p = F.col("decoded.payload")[0]
@@ -332,6 +341,21 @@ def ingested_services(spark: SparkSession, folder: str) -> DataFrame:
     return good.agg(rows).unionByName(bad.agg(rows))
 
 
+def ingest_progress(spark: SparkSession, folder: str) -> DataFrame:
+    """The port-scan feed in three folders, two by a batch and one by a stream: rows and rejects of each."""
+    path = scratch(spark)
+    lines = feeds.port_scan_lines(spark, folder).select("value", F.expr("_row div 2 % 3").alias("part"))
+    lines.repartition(3, "part").write.partitionBy("part").text(f"{path}/in")
+    first = [f"{path}/in/part={n}" for n in (0, 1)]
+    ingestion.ingest(spark, port_scan.PORT_SCANS, first, f"{path}/table", batch_id=1, metrics=True)
+    watch(spark, port_scan.PORT_SCANS, f"{path}/in/part=2", f"{path}/table", f"{path}/checkpoint", finite=True,
+          bytes_per_trigger=1 << 30, metrics=True).awaitTermination()
+    files = progress.progress(spark, f"{path}/table", f"{path}/in")
+    named = label_by_path(files, {"/part=0/": "north", "/part=1/": "south", "/part=2/": "east"}, "registry", "file")
+    return named.groupBy("registry", "batch").agg(
+        F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected"), F.bool_and("done").alias("done"))
+
+
 def enriched_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """The port-scan feed stored with the place of each address, by a registered enrichment."""
     path = scratch(spark)
@@ -447,5 +471,6 @@ QUERIES = {
         text_match, date_range, upsert_merge, replace_by_key, sentinel_cut, reject_reasons, table_summary, text_sizes,
         export_round_trip, ingested_services, streamed_certificates, two_batches, table_life,
         enriched_ingest, nested_ranges, straddling_batches, carried_marks, dated_snapshots, bucketed_upsert,
+        split_dump, ingest_progress,
     )
 }

@@ -39,13 +39,16 @@ def read_lines(spark: SparkSession, path: str | list[str], pattern: str | None =
     return _with_position(reader.text(path))
 
 
-def watch_lines(spark: SparkSession, directory: str, pattern: str | None = None, files_per_trigger: int | None = None):
+def watch_lines(spark: SparkSession, directory: str, pattern: str | None = None, files_per_trigger: int | None = None,
+                bytes_per_trigger: int | None = None):
     """The same lines as a stream of files landing in ``directory``."""
     reader = spark.readStream
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return reader.text(directory).select(
         strip(F.col("value")).alias("value"),
         F.col("_metadata.file_path").alias("_file"),
@@ -63,6 +66,17 @@ def file_name(df: DataFrame) -> Column:
     return F.url_decode(F.replace(F.element_at(F.split(df["_file"], "/"), -1), F.lit("+"), F.lit("%2B")))
 
 
+def label_by_path(df: DataFrame, labels: Mapping[str, str], out: str, path: str = "_file") -> DataFrame:
+    """Add column ``out``: the label of the first pattern that is found in the path, null if none is.
+
+    For inputs that are told apart by where they lie only, as registries by their folder.
+    """
+    label = F.lit(None).cast("string")
+    for pattern, name in reversed(labels.items()):
+        label = F.when(F.col(path).rlike(pattern), name).otherwise(label)
+    return df.withColumn(out, label)
+
+
 def position(*extra: Column) -> Column:
     return F.struct("_block", "_row", *extra)
 

@@ -20,16 +20,17 @@ from netsift.streaming.carry import Carry
 def watch(
     spark: SparkSession, source: Source | str, directory: str, path: str, checkpoint: str, *,
     finite: bool = False, interval: str = "10 seconds", pattern: str | None = None,
-    files_per_trigger: int | None = None, **options,
+    files_per_trigger: int | None = None, bytes_per_trigger: int | None = None, **options,
 ) -> StreamingQuery:
     """Start feeding ``directory`` into the table at ``path``.
 
-    ``finite`` takes what is there and ends; else the query runs until stopped.
+    ``finite`` takes what is there and ends; else the query runs until stopped. A micro-batch
+    takes at most ``files_per_trigger`` files, or files up to ``bytes_per_trigger`` bytes and one at least.
     """
     source = get_source(source)
     if not source.streaming:
         raise ValueError(f"source {source.name!r} is read in batches only")
-    lines = watch_lines(spark, directory, pattern, files_per_trigger)
+    lines = watch_lines(spark, directory, pattern, files_per_trigger, bytes_per_trigger)
     return watch_frame(source, lines, path, checkpoint, finite=finite, interval=interval, **options)
 
 

@@ -396,3 +396,29 @@ def test_an_empty_batch_and_a_dropped_one(spark, tmp_path):
     assert tables.read_log(spark, path).columns == ["id", "batch"] and tables.read_log(spark, path).count() == 0
     with pytest.raises(ValueError):
         tables.read_log(spark, str(tmp_path / "none"))
+
+
+def test_progress_counts_files_and_batches(spark, tmp_path):
+    """Rows and rejects per file and batch; a batch that is written again replaces its counts; files not read yet show."""
+    from netsift.ingest import ingest
+    from netsift.operators import progress
+    from netsift.sources.lines import label_by_path
+    from netsift.streaming.watch import watch
+
+    folder, path = tmp_path / "in put", str(tmp_path / "table")
+    folder.mkdir()
+    good, bad = '{"ip": "10.0.0.1", "port": 1, "proto": "tcp", "ttl": 1, "timestamp": "1700000000", "rec_type": "status", "data": {}}', '{"ip": 1'
+    for name, lines in {"a": [good, good, bad], "b": [good], "c": [bad, bad]}.items():
+        (folder / f"{name}.json").write_text("\n".join(lines) + "\n")
+    ingest(spark, "port_scan", str(folder / "a.json"), path, batch_id=1, metrics=True)
+    again = ingest(spark, "port_scan", [str(folder / "a.json"), str(folder / "b.json")], path, batch_id=1, metrics=True)
+    assert (again.parsed, again.rejected) == (4, 1)
+    rows = progress.progress(spark, path, str(folder))
+    named = label_by_path(rows, {"/a[.]": "first", "[.]json$": "other"}, "label", "file")
+    assert {(r.label, r.batch, r.rows, r.rejected, r.done) for r in named.collect()} == {
+        ("first", 1, 3, 1, True), ("other", 1, 1, 0, True), ("other", None, 0, 0, False)}
+    total = progress.summary(rows).first()
+    assert (total.files, total.files_done, total.rows, total.rejected) == (3, 2, 4, 1) and total.bytes_done < total.bytes
+    watch(spark, "port_scan", str(folder), path, str(tmp_path / "cp"), finite=True, pattern="c*", bytes_per_trigger=1, metrics=True).awaitTermination()
+    got = {(r.file[-6:], r.batch, r.rows, r.rejected) for r in progress.progress(spark, path, str(folder)).collect()}
+    assert got == {("a.json", 1, 3, 1), ("b.json", 1, 1, 0), ("c.json", 2, 2, 2)}

@@ -395,3 +395,27 @@ def test_licence_files_with_other_headers(spark, tmp_path):
     (tmp_path / "b.csv").write_text("lic_name,callsign,grant_date\nBob,W2,01/02/2020 00:00:00\n")
     rows = licences.parse(licences.read(spark, str(tmp_path))).collect()
     assert sorted((r.callsign, r.lic_name) for r in rows) == [("W1", "Ann"), ("W2", "Bob")]
+
+
+def test_split_dumps_equal_the_multi_line_reader(spark, tmp_path):
+    """Quoted line breaks, commas and quotes over many splits; two files, one with another header."""
+    from netsift.sources import licences, quoted_csv
+
+    row = lambda i: f'{i},"name {i}{chr(10) * (i % 3)}, ""q{i}"" {"x" * (i % 90)}",{i}.5\n' + "\n" * (i % 17 == 0)
+    for name, header, rows in (("a", "LICENSE_ID,lic_name,power_erp", range(1, 900)), ("b", "license_id,Lic_Name,more", range(900, 1200))):
+        write(tmp_path / "in", f"{name}.csv", header + "\n" + "".join(row(i) for i in rows) + '7777,"a\n\n\nlong\none",1')
+    write(tmp_path / "in", "empty.csv", "")
+    path, size = str(tmp_path / "in"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    want = licences.read(spark, path)
+    columns = sorted(want.columns)
+    expected = sorted(map(str, want.select(columns).collect()))
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        assert quoted_csv.raw_lines(spark, path).select("_file", "_block").distinct().count() > 40
+        got = licences.read(spark, path, split=True)
+        assert sorted(map(str, got.where("_error is null").select(columns).collect())) == expected and len(expected) == 1201
+        assert got.where("_error is not null").count() == 0
+        short = quoted_csv.records(quoted_csv.raw_lines(spark, path), max_lines=4).where("_error is not null").collect()
+        assert sorted(r.record for r in short) == ['7777,"a'] * 2 and {r["_error"] for r in short} == {quoted_csv.UNCLOSED}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
