@@ -17,6 +17,8 @@ without itself; gradients and curvatures of any parts of the data add up.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 
 CONTEXTS = 5
@@ -113,13 +115,17 @@ def stretched(nodes: np.ndarray, without: int) -> np.ndarray:
 
 
 class Predictor:
-    """Predictions and gates of all coded bits of ``units``; ``nodes`` and ``where`` are per context."""
-
-    def __init__(self, nodes: list[np.ndarray], where: list[np.ndarray], head_bytes: int, without: int):
-        self.x = [stretched(n, without) for n in nodes]
-        seen = np.maximum(nodes[WHOLE][:, :-1] - without, 0)
-        self.level = ((seen > 0).astype(np.uint8) + (seen > 3) + (seen > 60)).astype(np.uint8)
-        self.four = (4 * (nodes[FOUR][:, :-1] > without)).astype(np.uint8)
+    """Predictions and gates of all coded bits of units; ``nodes`` come one context at a time, as they are large."""
+
+    def __init__(self, nodes: Iterable[np.ndarray], where: list[np.ndarray], head_bytes: int, without: int):
+        self.x = []
+        for k, counts in enumerate(nodes):
+            self.x.append(stretched(counts, without))
+            if k == WHOLE:
+                seen = counts[:, :-1] - without
+                self.level = (seen > 0).astype(np.uint8) + (seen > 3) + (seen > 60)
+            elif k == FOUR:
+                self.four = (counts[:, :-1] > without).astype(np.uint8) * np.uint8(4)
         self.where, self.head_bytes = where, head_bytes
 
     def batches(self, chosen: np.ndarray):

@@ -41,7 +41,7 @@ from netsift.llm import mixing
 from netsift.llm.common import groups_of, read, rows_of, utf8, written
 from netsift.llm.languages import fold
 
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 6_000_000
 # Words and heads of blocks, one entry per block, that a bucket gets on average.
 BUCKET_ENTRIES = 1_000_000
 STEPS = 2
@@ -259,12 +259,12 @@ def _learned(units: DataFrame, buckets: int) -> DataFrame:
             nodes = [[] for _ in range(mixing.CONTEXTS)]
             for context, _, data, *columns in held:
                 if context < mixing.CONTEXTS:
-                    nodes[context].append(_unzip(data, np.int64).reshape(9, -1))
+                    nodes[context].append(data)
                     continue
                 tables = []
                 for k, (_, _, where) in enumerate(_of(columns).keys()):
-                    table = np.concatenate(nodes[k], 1) if nodes[k] else np.zeros((9, 0), np.int64)
-                    tables += [_zip(table.tobytes()), _zip(where.tobytes())]
+                    parts = [_unzip(d, np.int64).reshape(9, -1) for d in nodes[k]] or [np.zeros((9, 0), np.int64)]
+                    tables += [_zip(np.concatenate(parts, 1).tobytes()), _zip(where.tobytes())]
                 yield (bucket, *columns, *tables)
 
         return _batches(_grouped(batches, done, both), schema)
@@ -277,7 +277,7 @@ def _learned(units: DataFrame, buckets: int) -> DataFrame:
 
 
 def _predictor(tables: list, head_bytes: int, without: int) -> mixing.Predictor:
-    nodes = [_unzip(t, np.int64).reshape(9, -1).T for t in tables[::2]]
+    nodes = (_unzip(t, np.int64).reshape(9, -1).T for t in tables[::2])
     return mixing.Predictor(nodes, [_unzip(t, np.uint32) for t in tables[1::2]], head_bytes, without)
 
 
