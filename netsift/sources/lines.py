@@ -87,6 +87,24 @@ def position_number() -> Column:
     return (block + F.col("_row").cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
+def first_marks(lines: DataFrame, marks: Mapping[str, tuple[Column, Column]]) -> DataFrame:
+    """Per file with a mark, for each name ``struct(_block, _row, value)`` of the first line where ``condition`` holds.
+
+    Lines are first counted down to one per split and value, by number, which a hash aggregate
+    can do: the least of structs would sort every line that qualifies.
+    """
+    any_mark = F.lit(False)
+    for condition, _ in marks.values():
+        any_mark = any_mark | F.coalesce(condition, F.lit(False))
+    names = list(marks)
+    values = {f"_v{i}": F.when(c, v) for i, (c, v) in enumerate(marks.values())}
+    flags = {f"_c{i}": F.coalesce(c, F.lit(False)) for i, (c, _) in enumerate(marks.values())}
+    marked = lines.where(any_mark).select("_file", "_block", "_row", *[c.alias(n) for n, c in {**values, **flags}.items()])
+    least = marked.groupBy("_file", "_block", *values, *flags).agg(F.min("_row").alias("_row"))
+    firsts = [F.min(F.when(F.col(f"_c{i}"), position(F.col(f"_v{i}").alias("value")))).alias(n) for i, n in enumerate(names)]
+    return least.groupBy("_file").agg(*firsts)
+
+
 def mark_first(lines: DataFrame, marks: Mapping[str, tuple[Column, Column]]) -> DataFrame:
     """Add per-file facts: for each name the ``value`` at the first line where ``condition`` holds.
 
@@ -95,12 +113,7 @@ def mark_first(lines: DataFrame, marks: Mapping[str, tuple[Column, Column]]) ->
     MAX_LOCAL_MARKS they come back as a literal table, else ``_marks_by_split`` joins
     them on splits so that a huge file is not one join key.
     """
-    any_mark = F.lit(False)
-    firsts = []
-    for name, (condition, value) in marks.items():
-        any_mark = any_mark | condition
-        firsts.append(F.min(F.when(condition, position(value.alias("value")))).alias(name))
-    found = lines.where(any_mark).groupBy("_file").agg(*firsts)
+    found = first_marks(lines, marks)
     rows = found.limit(MAX_LOCAL_MARKS + 1).collect()
     if not rows:
         shape = {f.name: f.dataType for f in found.schema}
@@ -117,6 +130,12 @@ def _marks_by_split(lines: DataFrame, found: DataFrame, names: list[str]) -> Dat
     return lines.join(facts, ["_file", "_block"], "left").select(lines["*"], *names)
 
 
+def place_of(number: Column) -> tuple[Column, Column]:
+    """Block and row of a ``position_number``."""
+    unit = F.lit(Decimal(10**19))
+    return F.floor(number / unit).cast("bigint"), (number % unit).cast("bigint")
+
+
 def cut_at_sentinel(lines: DataFrame, token: str | None = SENTINEL) -> DataFrame:
     """Keep the lines before the first ``token`` line of each file."""
     if token is None:

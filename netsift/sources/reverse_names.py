@@ -11,7 +11,7 @@ from netsift.functions.text import drop_dots, fields
 from netsift.operators.grouping import run_numbers, with_order
 from netsift.operators.skew import HOT_ROWS, fold_lists
 from netsift.sources.base import UPSERT, Source, first_error, good_rows, line_reader, parse_json, register_source
-from netsift.sources.lines import POSITION, SENTINEL, cut_at_sentinel, position_number
+from netsift.sources.lines import POSITION, SENTINEL, cut_at_sentinel, place_of, position_number
 from netsift.sources.schemas import REVERSE_NAMES, REVERSE_STREAM
 
 
@@ -97,8 +97,9 @@ def shape_json(parsed: DataFrame, **_) -> DataFrame:
 
 def first_rows(rows: DataFrame) -> DataFrame:
     """Each name of an address once, at its first position."""
-    first = rows.groupBy("_file", "ip", "record").agg(F.min(F.struct("_block", "_row")).alias("_at"))
-    return first.select("_file", "_at.*", "ip", "record").select(*rows.columns)
+    first = rows.groupBy("_file", "ip", "record").agg(F.min(position_number()).alias("_at"))
+    block, row = place_of(F.col("_at"))
+    return first.select("_file", block.alias("_block"), row.alias("_row"), "ip", "record").select(*rows.columns)
 
 
 REVERSE = register_source(

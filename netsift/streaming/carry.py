@@ -10,6 +10,8 @@ of lines would remember:
 ``marks`` per topic, whether its end mark came (nothing behind it counts, in any later
           micro-batch) and where its transfer comment stands.
 
+``parsed`` holds the parsed rows of a micro-batch while it is being written.
+
 Micro-batch n reads what n - 1 left and replaces what an earlier attempt of n left, so one that
 is run again gives the same. Rows keep their places over micro-batches: ``_block`` gets
 the number of the micro-batch in front.
@@ -24,7 +26,7 @@ from netsift.operators.batches import remove_folder
 from netsift.operators.grouping import run_numbers
 from netsift.operators.skew import join_lookup
 from netsift.sources.base import Source, good_rows
-from netsift.sources.lines import SENTINEL, position
+from netsift.sources.lines import SENTINEL, first_marks
 
 BLOCK_BITS = 31
 MARKS = "_file string, _end boolean, _axfr struct<_block: bigint, _row: bigint, value: boolean>"
@@ -40,10 +42,9 @@ def placed(lines: DataFrame, batch_id: int) -> DataFrame:
 def marks_after(lines: DataFrame, before: DataFrame, token: str | None) -> DataFrame:
     """The marks of each topic after ``lines``, which hold nothing of topics that had ended."""
     text = F.col("value")
-    end = F.min(F.when(text == token if token is not None else F.lit(False), position()))
     transfer = text.startswith(";") & text.contains("DiG") & text.contains("AXFR")
-    axfr = F.min(F.when(transfer, position(F.lit(True).alias("value"))))
-    found = lines.groupBy("_file").agg(end.alias("_at"), axfr.alias("_axfr"))
+    marks = {"_at": (text == token if token is not None else F.lit(False), F.lit(True)), "_axfr": (transfer, F.lit(True))}
+    found = first_marks(lines, marks).withColumn("_at", F.when(F.col("_at").isNotNull(), F.struct("_at._block", "_at._row")))
     counts = F.col("_at").isNull() | (F.struct("_axfr._block", "_axfr._row") < F.col("_at"))
     found = found.select("_file", F.col("_at").isNotNull().alias("_end"), F.when(counts, F.col("_axfr")).alias("_axfr"))
     both = before.unionByName(found).groupBy("_file").agg(F.bool_or("_end").alias("_end"), F.min("_axfr").alias("_axfr"))
@@ -75,7 +76,8 @@ class Carry:
         named = join_lookup(placed(lines, batch_id), known.withColumnRenamed("_axfr", "_axfr_before"), ["_file"])
         going_on = named.where(~F.coalesce("_end", F.lit(False))).drop("_end")
         marks = self._keep(marks_after(going_on, known, self.sentinel), "marks", batch_id)
-        parsed = self.source.parse(going_on, **options)
+        # written once: documents, open rows, touched keys and rejects all read it
+        parsed = self._keep(self.source.parse(going_on, **options), "parsed", batch_id)
         rows = good_rows(parsed).drop("_raw", "_error", "_axfr", "_axfr_before")
         before = self._kept(spark, "open", batch_id, rows.schema)
         if self.group == "run":
@@ -104,3 +106,4 @@ class Carry:
         """Forgets what no attempt needs any more, once micro-batch ``batch_id`` is written."""
         for table in ("marks", "open"):
             remove_folder(spark, f"{self.folder}/{table}/{batch_id - 2}")
+        remove_folder(spark, f"{self.folder}/parsed/{batch_id}")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from netsift.ingest import write_parsed
 from netsift.operators import tables
 from netsift.sources import reverse_names, web_probe, zone
-from netsift.streaming.carry import Carry
+from netsift.streaming.carry import MARKS, Carry, marks_after
 from netsift.streaming.watch import watch_frame
 
 LINE = "value string, _file string, _block bigint, _row bigint"
@@ -119,3 +119,25 @@ def test_what_cannot_be_carried(spark, tmp_path):
     far = frame(spark, [answer(1, "a")]).withColumn("_block", F.lit(1 << 31))
     with pytest.raises(Exception, match="not below"):
         carry.parsed(far, 0)[0].collect()
+
+
+@pytest.mark.parametrize("source", [reverse_names.REVERSE, zone.ZONES])
+def test_a_micro_batch_is_parsed_once(spark, tmp_path, source):
+    """Documents, open rows and rejects read the parsed rows as they were written, not the lines again."""
+    frame(spark, [answer(1, "a"), "x"]).write.parquet(str(tmp_path / "lines"))
+    carry = Carry(source, str(tmp_path / "carried"))
+    parsed, _ = carry.parsed(spark.read.schema(LINE).parquet(str(tmp_path / "lines")), 0)
+    assert all("/carried/parsed/0/" in f for f in parsed.inputFiles())
+    carry.done(spark, 0)
+    assert not (tmp_path / "carried" / "parsed" / "0").exists()
+
+
+def test_marks_and_open_rows_sort_no_lines(spark):
+    """Both count down by hash; only what is left, a row per split and mark, is sorted."""
+    lines = frame(spark, [answer(1, "a"), "; DiG AXFR", "~eof"])
+    none = spark.createDataFrame([], MARKS)
+    plans = [marks_after(lines, none, "~eof"), reverse_names.first_rows(lines.selectExpr("_file", "_block", "_row", "value ip", "value record"))]
+    for df in plans:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        bottom = [line for line in plan.splitlines() if "Aggregate(" in line][-1]
+        assert "HashAggregate" in bottom, plan
