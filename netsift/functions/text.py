@@ -16,6 +16,9 @@ _UNUSUAL = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u
 # Runs that are not a single blank already; clean text has no match and is left alone.
 _UNTIDY_RUN = f"(?: [ {_UNUSUAL}]|[{_UNUSUAL}])[ {_UNUSUAL}]*"
 
+# Words of printable ASCII with single blanks between: most text, told by one pass that never goes back.
+_TIDY = r"\A[!-~]++(?: [!-~]++)*+\z"
+
 # Size units, each 1024 times the one before.
 SIZE_UNITS = ("bytes", "kb", "mb", "gb", "tb", "pb", "eb", "zb")
 
@@ -25,9 +28,14 @@ def strip(c: Column) -> Column:
     return F.trim(c, F.lit(WHITESPACE))
 
 
+def _tidied(c: Column) -> Column:
+    """Every run of white space as one blank; the regex sees only text that may hold an untidy run."""
+    return F.when(c.rlike(_TIDY), c).otherwise(F.regexp_replace(c, _UNTIDY_RUN, " "))
+
+
 def squeeze(c: Column) -> Column:
     """Collapse every run of white space to one blank."""
-    return F.regexp_replace(strip(c), _UNTIDY_RUN, " ")
+    return _tidied(strip(c))
 
 
 def fields(c: Column, limit: int = -1) -> Column:
@@ -35,7 +43,7 @@ def fields(c: Column, limit: int = -1) -> Column:
 
     Splitting tidied text on one literal blank spares a regex compiled per row.
     """
-    return F.split(F.regexp_replace(c, _UNTIDY_RUN, " "), " ", limit)
+    return F.split(_tidied(c), " ", limit)
 
 
 def drop_dots(c: Column) -> Column:

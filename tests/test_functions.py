@@ -134,3 +134,14 @@ def test_times(spark):
     assert values(spark, ["x"], times.iso(times.as_instant("2024-01-02T03:04:05Z"))) == [("2024-01-02T03:04:05Z",)]
     shown = values(spark, ["x"], times.iso(times.now_utc()))[0][0]
     assert abs(dt.datetime.fromisoformat(shown) - dt.datetime.now(dt.UTC)) < dt.timedelta(minutes=5)
+
+
+def test_fields_of_tidy_and_untidy_text(spark):
+    """Tidy text is told by one pattern; what it does not tell goes through the regex as before."""
+    v = F.col("v")
+    odd = ["a b  c", "a\tb c", "a b\x1cc d", "　a b", "a b c", "", " ", "a", "a b c d", "ä b c", " a", "x " * 50_000 + "y", "a b\n", None]
+    plain = F.split(F.regexp_replace(v, text._UNTIDY_RUN, " "), " ", 3)
+    for row in spark.createDataFrame([(o,) for o in odd], "v string").select("v", text.fields(v, 3).alias("a"), plain.alias("b")).collect():
+        assert row.a == row.b, row.v
+    tidy = [r[0] for r in values(spark, ["1.0.0.10.in-addr.arpa. PTR a.b.", "a  b", "ä", "a "], v.rlike(text._TIDY))]
+    assert tidy == [True, False, False, False]
