@@ -17,8 +17,14 @@ _CATEGORY = r"(?i)\A#\s*Category\s*:\s*(.+)\z"
 
 def parse(lines: DataFrame, **_) -> DataFrame:
     """One row per entry: network text, list name, list category."""
-    history = "|".join(BLOCKLIST_HISTORY)
-    kept = lines.where(F.col("_file").rlike(rf"(?<!{history})\.(?:ipset|netset)\z"))
+    # by endings, not by a regex: this is asked of every line
+    wanted = F.lit(False)
+    for ending in (".ipset", ".netset"):
+        listed = F.col("_file").endswith(ending)
+        for age in BLOCKLIST_HISTORY:
+            listed = listed & ~F.col("_file").endswith(age + ending)
+        wanted = wanted | listed
+    kept = lines.where(wanted)
     text = F.col("value")
     header = text.startswith("#") & text.rlike(_CATEGORY)
     marked = mark_first(kept, {"_category": (header, strip(F.regexp_extract(text, _CATEGORY, 1)))})

@@ -419,3 +419,12 @@ def test_split_dumps_equal_the_multi_line_reader(spark, tmp_path):
         assert sorted(r.record for r in short) == ['7777,"a'] * 2 and {r["_error"] for r in short} == {quoted_csv.UNCLOSED}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_lists_are_told_by_their_endings(spark):
+    """No regex is asked of every line, and the same files are read."""
+    names = ["a.netset", "a.ipset", "a_30d.netset", "a_1d.ipset", "readme.md", "a.ipset.txt", "_30d.netset", "x30d.netset", "a_730d.ipset", "netset"]
+    lines = spark.createDataFrame([("10.0.0.1", f"/f/{n}", 0, i) for i, n in enumerate(names)], "value string, _file string, _block long, _row long")
+    parsed = get_source("blocklists").parse(lines)
+    assert sorted(r._file for r in parsed.collect()) == ["/f/a.ipset", "/f/a.netset", "/f/x30d.netset"]
+    assert "RLIKE(_file" not in parsed._jdf.queryExecution().optimizedPlan().toString()
