@@ -345,15 +345,17 @@ def ingest_progress(spark: SparkSession, folder: str) -> DataFrame:
     """The port-scan feed in three folders, two by a batch and one by a stream: rows and rejects of each."""
     path = scratch(spark)
     lines = feeds.port_scan_lines(spark, folder).select("value", F.expr("_row div 2 % 3").alias("part"))
-    lines.repartition(3, "part").write.partitionBy("part").text(f"{path}/in")
+    for n in range(3):  # a file per task and folder: no rows meet in a task, none are sorted
+        lines.where(F.col("part") == n).select("value").write.text(f"{path}/in/part={n}")
     first = [f"{path}/in/part={n}" for n in (0, 1)]
     ingestion.ingest(spark, port_scan.PORT_SCANS, first, f"{path}/table", batch_id=1, metrics=True)
     watch(spark, port_scan.PORT_SCANS, f"{path}/in/part=2", f"{path}/table", f"{path}/checkpoint", finite=True,
           bytes_per_trigger=1 << 30, metrics=True).awaitTermination()
     files = progress.progress(spark, f"{path}/table", f"{path}/in")
     named = label_by_path(files, {"/part=0/": "north", "/part=1/": "south", "/part=2/": "east"}, "registry", "file")
-    return named.groupBy("registry", "batch").agg(
-        F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected"), F.bool_and("done").alias("done"))
+    # a stream of more bytes than a trigger takes needs several batches: the first of them is told
+    return named.groupBy("registry").agg(
+        F.min("batch").alias("batch"), F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected"), F.bool_and("done").alias("done"))
 
 
 def enriched_ingest(spark: SparkSession, folder: str) -> DataFrame:

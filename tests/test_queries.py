@@ -2,6 +2,7 @@
 
 import pytest
 
+from netsift.plans import queries
 from netsift.plans.oracle import ORACLE
 from netsift.plans.queries import QUERIES
 from tests.check import compare, duck
@@ -22,3 +23,18 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, db, name):
     assert compare(spark, db, name, FOLDER) is None
+
+
+def test_progress_feed_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """No folder is one task's, and a stream that needs several batches is one row of the result."""
+    monkeypatch.setattr(queries, "scratch", lambda _: str(tmp_path / "s"))
+    whole = queries.watch
+
+    def small(*args, bytes_per_trigger, **options):
+        return whole(*args, bytes_per_trigger=1, **options)
+
+    monkeypatch.setattr(queries, "watch", small)
+    found = {r.registry: r for r in queries.ingest_progress(spark, FOLDER).collect()}
+    files = [len(list((tmp_path / "s" / "in" / f"part={n}").glob("part-*"))) for n in range(3)]
+    assert min(files) > 1
+    assert {n: (r.batch, r.done) for n, r in found.items()} == {"north": (1, True), "south": (1, True), "east": (2, True)}
