@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from netsift.llm import darts, decontaminate, languages, lines, mixing, near, packing, quality, scoring, substrings, suffixes
 from netsift.llm import wordpiece, wrappers
 from netsift.llm.common import words
-from netsift.llm.extract import extract, main_text
+from netsift.llm.extract import extract, infer, main_text
 from tests.llm.conftest import prose
 
 SPLIT = re.compile("[^\x20\x09-\x0D]+")
@@ -532,6 +532,15 @@ def test_wrapper_joins_optional_and_repeated_parts():
     assert wrappers.read_back(wrappers.written_out(whole)) == whole
 
 
+def test_the_wrapper_tells_the_kinds_of_root(spark):
+    """What the wrapper of a host shows decides where a page's text is looked for."""
+    page = "<div id='content'><p>one</p><main><p>two</p></main></div>"
+    assert [main_text(page, r) for r in ("article,main", "main", "-", None)] == ["two", "two", "one\ntwo", "two"]
+    rows = [(1, "http://a.b/1", page), (2, "http://a.b/2", "<article>x</article>"), (3, "http://c.d/", "<p>plain</p>"), (4, "http://e.f/", "<main>y</main>")]
+    roots = {r.host: r.root.split(" ")[0] for r in infer(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert roots == {"a.b": "article,main", "c.d": "-", "e.f": "main"}
+
+
 def test_extract_odd_pages(spark):
     plain = "<div class='top'>menu menu</div><div class='x'><p>{} long enough to be the most of it</p></div>"
     rows = [(1, "http://a.b/1", PAGE), (2, "http://a.b/2", None), (3, None, ""), (None, "no url", "<p>t"), (1, "http://a.b/1", PAGE)]
