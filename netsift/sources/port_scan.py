@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from netsift.functions import ip, times
+from netsift.functions.staging import once
 from netsift.functions.text import blank_to_null, squeeze, strip
 from netsift.sources.base import Source, as_is, first_error, line_reader, parse_json, register_source
 from netsift.sources.lines import POSITION, SENTINEL, cut_at_sentinel
@@ -21,19 +22,19 @@ def parse(lines: DataFrame, sentinel: str | None = SENTINEL, **_) -> DataFrame:
     rows = cut_at_sentinel(lines, sentinel).where(F.col("value").startswith("{"))
     r = F.col("_json")
     banner = r.rec_type == "banner"
-    flat = parse_json(rows, _RECORD).select(
-        *POSITION,
-        F.col("value").alias("_raw"),
-        r.isNotNull().alias("_parsed"),
-        r.ip.alias("ip"),
-        r.port.try_cast("int").alias("port"),
-        r.proto.alias("proto"),
-        F.when(banner, blank_to_null(r.data.service_name, "unknown")).alias("service"),
-        F.when(banner & (strip(r.data.banner) != ""), squeeze(r.data.banner)).alias("banner"),
-        r.ttl.try_cast("int").alias("ttl"),
-        times.from_epoch(r.timestamp).alias("seen"),
-        r.rec_type.isNotNull().alias("_kind"),
-    )
+    # once, or each filter on these columns works them out again
+    flat = once(
+        parse_json(rows, _RECORD).select(*POSITION, F.col("value").alias("_raw"), "_json"),
+        _parsed=r.isNotNull(),
+        ip=r.ip,
+        port=r.port.try_cast("int"),
+        proto=r.proto,
+        service=F.when(banner, blank_to_null(r.data.service_name, "unknown")),
+        banner=F.when(banner & (strip(r.data.banner) != ""), squeeze(r.data.banner)),
+        ttl=r.ttl.try_cast("int"),
+        seen=times.from_epoch(r.timestamp),
+        _kind=r.rec_type.isNotNull(),
+    ).drop("_json")
     error = first_error(
         (F.col("_parsed"), "malformed JSON"),
         (ip.is_address(F.col("ip")), "bad or missing ip"),

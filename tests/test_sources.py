@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from netsift.functions import times
+from netsift.operators.lookup import without_noise
 from netsift.sources import get_source
 from netsift.sources.base import good_rows, rejects
 from netsift.sources.exchanges import prefixes
@@ -428,3 +429,12 @@ def test_lists_are_told_by_their_endings(spark):
     parsed = get_source("blocklists").parse(lines)
     assert sorted(r._file for r in parsed.collect()) == ["/f/a.ipset", "/f/a.netset", "/f/x30d.netset"]
     assert "RLIKE(_file" not in parsed._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_noise_is_told_from_columns_that_are_there(spark):
+    """The filter asks the columns made by the parse; it does not make the banner again."""
+    lines = spark.createDataFrame([("{}", "/f", 0, 0)], "value string, _file string, _block long, _row long")
+    source = get_source("port_scan")
+    plan = without_noise(source.shape(source.parse(lines, sentinel=None)))._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line and "Welcome to nginx!" in line]
+    assert filters and not any("regexp_replace" in f for f in filters)
