@@ -38,3 +38,18 @@ def test_progress_feed_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
     files = [len(list((tmp_path / "s" / "in" / f"part={n}").glob("part-*"))) for n in range(3)]
     assert min(files) > 1
     assert {n: (r.batch, r.done) for n, r in found.items()} == {"north": (1, True), "south": (1, True), "east": (2, True)}
+
+
+def test_a_day_written_again_is_read_from_its_folder(spark, tmp_path, monkeypatch):
+    """The feed is parsed for the first write only."""
+    monkeypatch.setattr(queries, "scratch", lambda _: str(tmp_path / "s"))
+    written, write = [], queries.tables.write_dated
+
+    def watched(documents, path, *args, **options):
+        written.append(documents.inputFiles())
+        write(documents, path, *args, **options)
+
+    monkeypatch.setattr(queries.tables, "write_dated", watched)
+    queries.dated_snapshots(spark, FOLDER).collect()
+    assert all("events.parquet" in f for f in written[0])
+    assert written[1] and all("/snapshot_date=" in f for f in written[1])
