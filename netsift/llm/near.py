@@ -5,19 +5,21 @@ similarity is ``threshold`` or more, and a class is what links connect.
 
 1. One pass over the text gives each document a hash of its words, its number of shingles
    and its band keys. Documents of equal words are one from here on, the one of least id.
-2. A bucket holds the documents that share a band key. In the first bands all documents of
-   a bucket are compared with its least one, the leader; links make components. From then
-   on only buckets of several components count, by an aggregate over all bands.
-3. Small ones are compared across components, every pair of similar enough sizes. Large ones
-   are compared with a leader and split by distance from it: distance (one less
-   similarity) is a metric, so two documents whose distances from the leader differ by
-   more than the bound cannot be near each other. Each goes to two neighbouring parts of
-   the bucket's, and parts of several components go on as buckets do.
-4. What is still large after ``SPLITS`` rounds is compared across components, every pair. So
-   no link that the buckets can show is missed.
-5. Each pair is verified on the texts. Members of one leader are dealt to parts of a
+2. A bucket holds the documents that share a band key. Only keys that several documents have
+   are kept. In the first bands all documents of a bucket are compared with its least one,
+   the leader; links make components. From then on only buckets of several components
+   count, each set of documents once, however many bands show it.
+3. Those are compared across components, every pair, inside tasks: a bucket is dealt to
+   blocks of a bounded number of documents and of shingles, and a cell of two blocks gets
+   the texts of both. It counts the shingles that its documents have in common for all pairs
+   at once and gives only links that join components, fewer than it has documents. So no
+   link that the buckets can show is missed, and no row is made per pair.
+4. Each pair is judged on the texts. Members of one leader are dealt to parts of a
    bounded size, and each part streams through a task behind the leader's text.
 
+A text is sent to a cell for each block of its bucket: once, unless the bucket holds more
+than ``BLOCK`` documents. Larger ones cost their square over that, spread over the cells.
+
 With 40 bands of 7 rows a pair of similarity 0.8 shares a bucket with probability 0.9999,
 one of 0.9 with all but 1e-11, one of 0.3 with 0.01.
 
@@ -29,12 +31,13 @@ gives no rows.
 
 from __future__ import annotations
 
-import math
+import itertools
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netsift.llm import darts
@@ -47,9 +50,11 @@ FIRST = 8
 THRESHOLD = 0.8
 # Members verified against one leader in one part.
 PART = 256
-# Rounds of splitting buckets by distance from a leader, and the size under which all is compared at once.
-SPLITS = 3
-SMALL = 48
+# Documents and shingles of a block of a bucket.
+BLOCK, BLOCK_SHINGLES = 512, 400_000
+# Shingles of up to so many documents of a cell are counted by pairs, others by a product of matrices.
+FEW = 8
+WIDE = 2048
 _SIGNED = pa.schema([("id", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64()), ("n", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
 
@@ -135,20 +140,110 @@ def _led(buckets: DataFrame) -> DataFrame:
     return buckets.join(many, "key").drop("_c")
 
 
-def _torn(members: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The buckets (``key, id, root``) of several roots, with their size ``c`` and each member's ``n``."""
-    seen = members.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("r1"), F.max("root").alias("r2"))
-    return written(members.join(seen.where("r1 <> r2").select("key", "c"), "key").join(sizes, "id"))
+def _cells(met: DataFrame, roots: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
+    """``key, x, y, part, id, root``: the members of blocks ``x`` and ``y`` of each bucket of several roots."""
+    members = met.join(roots, "id", "left").join(sizes, "id").select("key", "id", F.coalesce("root", "id").alias("root"), "n")
+    seen = members.groupBy("key").agg(
+        F.count(F.lit(1)).alias("c"), F.sum("n").alias("n_all"), F.min("root").alias("r1"), F.max("root").alias("r2"),
+        F.min("id").alias("lo"), F.max("id").alias("hi"), F.bit_xor("id").alias("x1"), F.bit_xor(F.xxhash64("id")).alias("x2"),
+    )
+    # least, greatest and xor tell sets of up to three members; larger ones have 64 bits of hash besides
+    seen = seen.where("r1 <> r2").dropDuplicates(["c", "lo", "hi", "x1", "x2"])
+    blocks = F.greatest(F.ceil(F.col("c") / block), F.ceil(F.col("n_all") / BLOCK_SHINGLES)).cast("int")
+    dealt = members.drop("n").join(seen.select("key", blocks.alias("blocks")), "key")
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.select("key", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "part", "id", "root")
+
+
+def common(bags: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """How many shingles each two of the multisets have in common, as a square table."""
+    c = len(bags)
+    hashes = np.concatenate([np.repeat(h, n) for h, n in bags])
+    at = np.concatenate([np.repeat(np.cumsum(n) - n, n) for _, n in bags])
+    sizes = np.array([n.sum() for _, n in bags])
+    turn = np.arange(len(hashes)) - np.repeat(np.cumsum(sizes) - sizes, sizes) - at
+    again = np.flatnonzero(turn)
+    with np.errstate(over="ignore"):  # a shingle's second, third, ... occurrence counts as an element of its own
+        hashes[again] = darts.mixed(hashes[again] + darts.mixed(turn[again].astype(np.uint64)))
+    _, where, often = np.unique(hashes, return_inverse=True, return_counts=True)
+    order = np.argsort(where, kind="stable")
+    owner = np.repeat(np.arange(c), sizes)[order]
+    begin = np.cumsum(often) - often
+    both = np.zeros(c * c, np.int64)
+    for k in range(2, FEW + 1):
+        held = owner[begin[often == k][:, None] + np.arange(k)]
+        for i in range(k):
+            for j in range(i):
+                np.add.at(both, held[:, j] * c + held[:, i], 1)
+    both = both.reshape(c, c)
+    both += both.T
+    heavy = np.flatnonzero(often > FEW)
+    for a in range(0, len(heavy), WIDE):
+        some = heavy[a : a + WIDE]
+        has = np.zeros((c, len(some)), np.float32)
+        column = np.repeat(np.arange(len(some)), often[some])
+        first = np.cumsum(often[some]) - often[some]
+        has[owner[np.repeat(begin[some] - first, often[some]) + np.arange(len(column))], column] = 1
+        both += (has @ has.T).astype(np.int64)
+    return both
+
+
+def joined(bags: list[tuple[np.ndarray, np.ndarray]], roots: list[int], parts: list[int], threshold: float) -> list[tuple[int, int]]:
+    """Pairs of ``roots`` that links between the multisets join, fewer than there are roots.
+
+    Multisets of one part are compared with those of the other; if there is only one part, with each other.
+    """
+    up: dict[int, int] = {}
+
+    def top(root: int) -> int:
+        while (higher := up.get(root, root)) != root:
+            up[root] = root = up.get(higher, higher)
+        return root
+
+    sizes, side, root = np.array([n.sum() for _, n in bags]), np.array(parts), np.array(roots)
+    maybe = np.triu(root[:, None] != root, 1) & (np.minimum(sizes[:, None], sizes) >= threshold * np.maximum(sizes[:, None], sizes) - 1e-9)
+    if side.min() != side.max():
+        maybe &= side[:, None] != side
+    first, second = np.nonzero(maybe)
+    if not len(first):
+        return []
+    if len(bags) > FEW:
+        both = common(bags)[first, second]
+        near = both / (sizes[first] + sizes[second] - both) >= threshold
+    else:
+        near = np.array([darts.similarity(bags[i], bags[j]) >= threshold for i, j in zip(first.tolist(), second.tolist())])
+    links = []
+    for i, j in zip(first[near].tolist(), second[near].tolist()):
+        a, b = top(roots[i]), top(roots[j])
+        if a != b:
+            up[max(a, b)] = min(a, b)
+            links.append((a, b))
+    return links
+
+
+def _joined(cells: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
+    """Links (``a, b``) between roots that pairs of texts in one cell show."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = darts.WordHashes()
+        rows = rows_of(batches, "key", "x", "y", "part", "root", "text")
+        for _, cell in itertools.groupby(rows, lambda r: r[:3]):
+            bags, roots, parts = [], [], []
+            for *_, part, root, text in cell:
+                bags.append(darts.shingles(words(text), hashes, size))
+                roots.append(root)
+                parts.append(part)
+            if links := joined(bags, roots, parts, threshold):
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in range(2)], names=["a", "b"])
 
-def _twice(key: Column, part: Column) -> Column:
-    """The keys of two neighbouring parts: equal or adjacent ``part`` numbers have one in common."""
-    return F.explode(F.array(F.xxhash64(key, part), F.xxhash64(key, part + 1)))
+    placed = cells.join(texts, "id").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    return placed.mapInArrow(run, "a long, b long")
 
 
 def near_classes(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = SHINGLE, bands: int = BANDS,
-    rows: int = ROWS, threshold: float = THRESHOLD,
+    rows: int = ROWS, threshold: float = THRESHOLD, block: int = BLOCK,
 ) -> DataFrame:
     """``id, class_id`` for each document with an id; ``class_id`` is the least id of the class."""
     slim = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).cast("string").alias("text")).where("id is not null")
@@ -161,40 +256,18 @@ def near_classes(
     # the texts of a repeated id are links without a check
     torn = written(held.groupBy("doc").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("doc", "a"))
     known = written(held.join(torn, "doc").where("a <> id").select("a", F.col("id").alias("b")).distinct())
-    keyed = one.select("id", F.explode("bands").alias("key"))
+    keyed = one.select("id", F.posexplode("bands").alias("band", "key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("key")
-    asked = one.drop("bands", "n").join(keyed.join(shared, "key", "left_semi").select("id").distinct(), "id", "left_semi")
+    met = written(keyed.join(shared, "key").select("key", F.col("band").cast("byte").alias("band"), "id"))
+    asked = one.drop("bands", "n").join(met.select("id").distinct(), "id", "left_semi")
     texts = written(_texts(slim, written(asked), torn))
-    buckets = _led(one.select("id", F.explode(F.slice("bands", 1, FIRST)).alias("key")))
+    buckets = _led(met.where(F.col("band") < FIRST).select("key", "id"))
     pairs = written(buckets.where("a <> id").select("a", F.col("id").alias("b")).distinct())
-    scored = written(_compared(pairs, texts, size))
-    known = written(known.union(scored.where(F.col("s") >= threshold).select("a", "b")))
-    roots = written(components(known))
-    rooted = one.join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("root"), "bands")
-    open_ = _torn(rooted.select("id", "root", F.explode("bands").alias("key")), sizes)
-    for split in range(SPLITS + 1):
-        whole = open_ if split == SPLITS else open_.where(F.col("c") <= SMALL)
-        other = whole.select("key", F.col("id").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"))
-        near_size = F.least("n", "n_b") >= threshold * F.greatest("n", "n_b") - 1e-9
-        across = whole.join(other, "key").where((F.col("id") < F.col("b")) & (F.col("root") != F.col("root_b")) & near_size)
-        across = across.select(F.col("id").alias("a"), "b")
-        large = None
-        if split < SPLITS:
-            large = written(_led(open_.where(F.col("c") > SMALL).select("key", "id")))
-            across = across.union(large.where("a <> id").select("a", F.col("id").alias("b")))
-        pairs = written(across.distinct().join(scored, ["a", "b"], "left_anti"))
-        now = written(_compared(pairs, texts, size))
-        scored = written(scored.union(now))
-        known = written(known.union(now.where(F.col("s") >= threshold).select("a", "b")))
-        roots = written(components(known))
-        if large is None or large.isEmpty():
-            break
-        # parts of the large buckets by distance from the leader
-        led = large.where("a <> id").join(scored.select("a", F.col("b").alias("id"), "s"), ["a", "id"])
-        part = F.floor((1 - F.col("s")) / (1 - threshold) - 1e-9)
-        parts = led.select("id", _twice(F.col("key"), part).alias("key")).distinct().join(roots, "id", "left")
-        open_ = _torn(parts.select("id", F.coalesce("root", "id").alias("root"), "key"), sizes)
-    rooted = held.join(roots, "id", "left").select("doc", F.coalesce("root", "id").alias("root"))
+    scored = _compared(pairs, texts, size).where(F.col("s") >= threshold).select("a", "b")
+    roots = written(components(known.union(written(scored))))
+    higher = components(written(_joined(_cells(met, roots, sizes, block), texts, size, threshold)))
+    rooted = held.join(roots, "id", "left").select("doc", F.coalesce("root", "id").alias("low"))
+    rooted = rooted.join(higher.withColumnRenamed("id", "low"), "low", "left").select("doc", F.coalesce("root", "low").alias("root"))
     least = rooted.groupBy("root").agg(F.min("doc").alias("class_id"), F.max("doc").alias("_last")).where("class_id <> _last")
     moved = rooted.join(least, "root").where("doc <> class_id").select(F.col("doc").alias("id"), "class_id").distinct()
     return slim.select("id").distinct().join(moved, "id", "left").select("id", F.coalesce("class_id", "id").alias("class_id"))

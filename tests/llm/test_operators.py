@@ -490,6 +490,41 @@ def test_near_classes_against_all_pairs(spark):
     assert {r.id: r.class_id for r in near.near_classes(df, bands=60, rows=1).collect()} == want
 
 
+def test_near_cells_against_all_pairs(spark):
+    rng = random.Random(11)
+    base = prose(77, 90).split()
+    texts = ["same " * 70, "same " * 60, *(" ".join(x if rng.random() > 0.03 else "edit" + str(rng.randrange(9)) for x in base) for _ in range(60))]
+    bags = [bag(t) for t in texts]
+    hashes = darts.WordHashes()
+    hashed = [darts.shingles(words(t), hashes, 5) for t in texts]
+    both = near.common(hashed)
+    want = [[sum((a & b).values()) for b in bags] for a in bags]
+    assert all(both[i, j] == want[i][j] for i in range(len(texts)) for j in range(len(texts)) if i != j)
+    roots = list(range(len(texts)))
+    for a, b in near.joined(hashed, roots, [0] * len(texts), 0.8):
+        roots = [min(a, b) if r == max(a, b) else r for r in roots]
+    classes = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if darts.similarity(hashed[i], hashed[j]) >= 0.8:
+                classes = [classes[j] if c == classes[i] else c for c in classes]
+    alike = lambda xs: [[a == b for b in xs] for a in xs]
+    assert alike(roots) == alike(classes) and 2 < len(set(roots)) < len(roots)
+    # a group many times the size of a block: each text is in one cell per block, and no link is lost
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.class_id for r in near.near_classes(df, bands=60, rows=1, block=7).collect()}
+    assert alike([got[i] for i in range(len(texts))]) == alike(classes)
+
+
+def test_near_buckets_make_no_row_per_pair(spark):
+    met = spark.createDataFrame([(k, 0, i) for k in (1, 2) for i in range(1000)] + [(3, 0, 1), (3, 0, 2)], "key long, band byte, id long")
+    roots = spark.createDataFrame([(1, 1), (2, 1)], "id long, root long")
+    sizes = spark.createDataFrame([(i, 50) for i in range(1000)], "id long, n long")
+    cells = near._cells(met, roots, sizes, 512).collect()
+    # the set is taken once; bucket 3 has one root; two blocks, so three cells
+    assert len(cells) == 2000 and {(r.x, r.y) for r in cells} == {(0, 0), (0, 1), (1, 1)} and len({r.key for r in cells}) == 1
+
+
 def test_near_odd_rows(odd, none):
     got = {r.id: r.class_id for r in near.near_classes(odd).collect()}
     assert got[107] == 7 and got[100] == 100 and got[101] == 101 and got[102] == 102 and None not in got
