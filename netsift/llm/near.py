@@ -55,6 +55,8 @@ BLOCK, BLOCK_SHINGLES = 512, 400_000
 # Shingles of up to so many documents of a cell are counted by pairs, others by a product of matrices.
 FEW = 8
 WIDE = 2048
+# Bits of the table that tells most texts that no other shares a bucket with before texts are shuffled.
+SIEVE = 1 << 24
 _SIGNED = pa.schema([("id", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64()), ("n", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
 
@@ -90,6 +92,20 @@ def sign(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, w1 long, w2 long, n long, bands array<long>")
 
 
+def _sieved(rows: DataFrame, column: str, asked: DataFrame, wanted: str) -> DataFrame:
+    """``rows`` whose ``column`` may be among ``wanted`` of ``asked``: all that are and few others, without a shuffle.
+
+    Values are hashed to ``SIEVE`` bits, in a table of at most a 64th as many rows, so what is broadcast does not grow.
+    """
+    def placed(df: DataFrame, name: str) -> DataFrame:
+        place = F.pmod(F.xxhash64(name), F.lit(SIEVE))
+        return df.select("*", F.shiftright(place, 6).alias("_slot"), F.pmod(place, F.lit(64)).cast("int").alias("_bit"))
+
+    masks = placed(asked, wanted).groupBy("_slot").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_mask"))
+    met = placed(rows, column).join(F.broadcast(masks), "_slot")
+    return met.where(F.getbit("_mask", "_bit") == 1).select(rows.columns)
+
+
 def _texts(slim: DataFrame, asked: DataFrame, torn: DataFrame) -> DataFrame:
     """``id, text`` of the nodes ``asked`` (``id, first, w1, w2``); ids of several texts (``torn``) are told apart by hash."""
 
@@ -101,7 +117,7 @@ def _texts(slim: DataFrame, asked: DataFrame, torn: DataFrame) -> DataFrame:
                 pa.array([t for _, t in group], pa.string()),
             ], names=["w1", "w2", "text"])
 
-    rows = slim.withColumnRenamed("id", "doc")
+    rows = _sieved(slim.withColumnRenamed("id", "doc"), "doc", asked, "first")
     plain = asked.join(torn.select(F.col("doc").alias("first")), "first", "left_anti").select("id", F.col("first").alias("doc"))
     plain = rows.join(plain, "doc").select("id", "text")
     several = rows.join(torn.select("doc"), "doc", "left_semi").mapInArrow(run, "w1 long, w2 long, text string")

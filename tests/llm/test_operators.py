@@ -525,6 +525,15 @@ def test_near_buckets_make_no_row_per_pair(spark):
     assert len(cells) == 2000 and {(r.x, r.y) for r in cells} == {(0, 0), (0, 1), (1, 1)} and len({r.key for r in cells}) == 1
 
 
+def test_near_texts_are_sieved_before_they_are_shuffled(spark):
+    rows = spark.range(100_000).selectExpr("id * 7 - 1000 doc", "cast(id as string) text")
+    asked = spark.range(0, 100_000, 10).selectExpr("id * 7 - 1000 first")
+    got = {r.doc for r in near._sieved(rows, "doc", asked, "first").select("doc").collect()}
+    want = {i * 7 - 1000 for i in range(0, 100_000, 10)}
+    assert want <= got and len(got) < 1.1 * len(want)
+    assert near._sieved(rows, "doc", asked.where("false"), "first").count() == 0
+
+
 def test_near_odd_rows(odd, none):
     got = {r.id: r.class_id for r in near.near_classes(odd).collect()}
     assert got[107] == 7 and got[100] == 100 and got[101] == 101 and got[102] == 102 and None not in got
