@@ -45,6 +45,7 @@ LENGTH = 50
 GRAM = 16
 BLOCK_CHARS = 6_000_000
 HOT = 20_000
+STRETCH = 1 << 14
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _NOBODY = np.iinfo(np.int64).max
 
@@ -97,32 +98,48 @@ class Block:
         self.first, self.many, self.owner, self.hash = empty, empty, empty, empty.astype(np.uint64)
         if n < 1:
             return
-        w = words8(self.data)
-        with np.errstate(over="ignore"):
-            h = w[: len(w) - GRAM + 1] * _A + w[8 : len(w) - GRAM + 9] * _B
-            h = (h ^ (h >> np.uint64(32))) * _A
-            h ^= h >> np.uint64(29)
-        least = (h >> np.uint64(32) << np.uint64(32)) | np.arange(len(h), dtype=np.uint64)
-        span, have = self.length - GRAM + 1, 1
-        while have < span:
-            step = min(have, span - have)
-            least = np.minimum(least[:-step], least[step:])
-            have += step
-        owner = np.repeat(np.arange(len(self.sizes)), self.sizes)[:n]
-        good = np.flatnonzero((np.arange(n) + self.length <= self.ends[owner]) & (self.docs[owner] != _NOBODY))
-        if not len(good):
-            return
-        anchor = (least[good] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        new = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (np.diff(good) != 1)))
-        self.first, self.many = good[new], np.diff(np.append(new, len(good)))
-        self.hash, self.owner = h[anchor[new]], owner[good[new]]
+        begins = np.unique(self.ends - self.sizes)
+        firsts, hashes, last = [], [], None
+        # stretches that the processor's cache holds
+        for at in range(0, n, STRETCH):
+            m = min(STRETCH, n - at)
+            w = words8(self.data[at : at + m + self.length - 1])
+            with np.errstate(over="ignore"):
+                h = w[: len(w) - GRAM + 1] * _A + w[8 : len(w) - GRAM + 9] * _B
+                h = (h ^ (h >> np.uint64(32))) * _A
+                h ^= h >> np.uint64(29)
+            least = (h >> np.uint64(32) << np.uint64(32)) | np.arange(len(h), dtype=np.uint64)
+            span, have = self.length - GRAM + 1, 1
+            while have < span:
+                step = min(have, span - have)
+                least = np.minimum(least[:-step], least[step:])
+                have += step
+            anchor = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            new = np.append(anchor[0] + at != last, anchor[1:] != anchor[:-1])
+            new[begins[slice(*np.searchsorted(begins, [at, at + m]))] - at] = True
+            new = np.flatnonzero(new)
+            firsts.append(new + at)
+            hashes.append(h[anchor[new]])
+            last = anchor[-1] + at
+        first = np.concatenate(firsts)
+        owner = np.searchsorted(self.ends, first, "right")
+        many = np.minimum(np.append(first[1:], n), self.ends[owner] - self.length + 1) - first
+        good = np.flatnonzero((many > 0) & (self.docs[owner] != _NOBODY))
+        self.first, self.many, self.owner, self.hash = first[good], many[good], owner[good], np.concatenate(hashes)[good]
 
     def anchors(self, buckets: int):
         """Distinct anchors in order of (bucket, rest of the hash): where each bucket starts, rests, documents, and each run's anchor."""
         bucket, rest = self.hash % np.uint64(buckets), (self.hash // np.uint64(buckets)) & np.uint64(0xFFFFFFFF)
-        key, where = np.unique(bucket << np.uint64(32) | rest, return_inverse=True)
-        pair = np.unique(where * len(self.sizes) + self.owner)
-        docs = np.bincount(pair // max(1, len(self.sizes)), minlength=len(key))
+        key = bucket << np.uint64(32) | rest
+        order = np.argsort(key, kind="stable")
+        key, owner = key[order], self.owner[order]
+        new = np.append(True, key[1:] != key[:-1])[: len(key)]
+        number = np.cumsum(new) - 1
+        where = np.empty(len(key), np.int64)
+        where[order] = number
+        key = key[new]
+        # runs stand in order of documents, so those of one anchor do too
+        docs = np.bincount(number[new | np.append(True, owner[1:] != owner[:-1])[: len(owner)]], minlength=len(key))
         starts = np.searchsorted(key, np.arange(buckets + 1).astype(np.uint64) << np.uint64(32))
         return starts, (key & np.uint64(0xFFFFFFFF)).astype(np.uint32), docs, where
 

@@ -453,6 +453,31 @@ def test_token_counts(odd, odd_rows, none):
     assert wordpiece.token_counts(odd, path).where("doc_id = 104").first().n_words == 1
 
 
+def test_runs_of_anchors_over_stretches(monkeypatch):
+    rng = random.Random(21)
+    texts = ["".join(rng.choice("ab") for _ in range(rng.choice([0, 3, 49, 50, 51, 300]))) * rng.choice([1, 5]) for _ in range(40)]
+    ids = [rng.choice([substrings._NOBODY, 1, 2, 3]) for _ in texts]
+    packed = (np.array(ids, np.int64).tobytes(), np.array([len(t) for t in texts], np.int64).tobytes(), substrings._zip("".join(texts).encode()))
+    got = []
+    for stretch in (7, 64, 1 << 14):
+        monkeypatch.setattr(substrings, "STRETCH", stretch)
+        block = substrings.Block(*packed, 50)
+        block.runs()
+        starts, rest, docs, where = block.anchors(3)
+        got.append([x.tolist() for x in (block.first, block.many, block.owner, block.hash, starts, rest, docs, where)])
+    assert got[0] == got[1] == got[2]
+    # every string of a document with an id is in one run of its document, and each anchor counts its documents
+    at = np.repeat(block.first, block.many) + np.concatenate([np.arange(m) for m in block.many])
+    begins = np.cumsum([0, *map(len, texts)])
+    assert at.tolist() == [b + i for b, t, d in zip(begins, texts, ids) if d != substrings._NOBODY for i in range(len(t) - 49)]
+    assert docs.tolist() == [len(set(block.owner[where == i].tolist())) for i in range(len(docs))]
+    # equal strings have equal anchors
+    of = {}
+    raw = "".join(texts)
+    for first, many, h in zip(block.first.tolist(), block.many.tolist(), block.hash.tolist()):
+        assert all(of.setdefault(raw[i : i + 50], h) == h for i in range(first, first + many))
+
+
 # ---- near-duplicates ----
 
 def bag(text):
