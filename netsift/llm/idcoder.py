@@ -1,23 +1,20 @@
 """Adaptive context-mixing range coder for token ids.
 
-Each id is predicted three times: by how often ids came in the block so far (order 0), by the
-id that last followed the id before (order 1), and by the one that last followed the two ids
-before (order 2). Orders 1 and 2 predict one id each, with a confidence that grows with hits;
-each lane learns how often a prediction of that confidence is right, which is its weight in the
-mix. The mixed distribution drives a range coder with 64-bit bounds and 32-bit output.
-
-An id is coded as two or three digits of four bits: the 192 most frequent ids of a block take
-two, the next 768 three, others an escape, their highest digit and the rest as it is. Order 0
-has a row of 16 cumulative frequencies for each digit behind its digits before, which moves
-towards what came, fast while it is young. Behind each digit the shares of the three
-predictions in the mix follow by Bayes' rule: one that named another digit is out for this id.
-
-A block is cut into up to ``LANES`` runs of ids that are coded side by side with one model, and
-many blocks are coded at once, so that each step is a few numpy calls over all lanes. A block
-starts from a fresh model and carries checksums of its bytes and of its ids: it can be read alone.
-
-Frequencies are integers; shares use sums, products and quotients of doubles only, which are
-the same on every machine.
+Each id is predicted three times: by how often ids come in the block (order 0), by the id that
+last followed the id before (order 1), and by the one that last followed the two ids before
+(order 2). Order 0 is a distribution over the block's ids. Orders 1 and 2 predict one id each,
+with a confidence that grows with hits; how often predictions of two such confidences were right
+so far is their share in the mix. An id takes one step of a range coder with 64-bit bounds and
+32-bit output: its part of the range is its order 0 part times the rest of the shares, before
+which stands the share of each order that predicts it.
+
+Order 0 is sent ahead, as the ids of the block and how often each comes. What they and their
+cumulative sums say is exact: the order 0 parts of a block are scaled to ``1 << FREQ_BITS``, which
+no block passes, so that every id that comes keeps a part, and the id at a place of the range is looked up.
+
+A block is cut into up to ``LANES`` runs of ids that are coded side by side with one model, so
+that each step is a few numpy calls over all lanes. A block starts from a fresh model and carries
+checksums of its bytes and of its ids: it can be read alone. All figures are integers.
 """
 
 from __future__ import annotations
@@ -27,349 +24,262 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"CMID"
-BLOCK_IDS = 1 << 17
-LANES = 256
-LEAST_LANE = 128
-PAIRS, TRIPLES = 192, 768  # ids with two digits, ids with three
-SLOTS = 1 << 13  # predictions of an order in a block
+MAGIC = b"CMI2"
+BLOCK_IDS = 1 << 20
+LANES = 4096
+LEAST_LANE = 256
 ID_BITS = 20
-LEAST = 16  # frequency that every digit keeps, of TOTAL
-TOTAL_BITS, MIX_BITS = 15, 12
-TOTAL = 1 << TOTAL_BITS
-STEP = 0.03  # by which the share of a confidence moves
-_HEAD = struct.Struct("<4sIHHBxxxIII")
+FREQ_BITS = 20  # order 0 parts of a block, in all
+SHARE_BITS = 8  # steps of the share of order 0 in the mix
+LEAST = 4  # share that order 0 keeps
+SLOT_BITS = 16, 18  # predictions of orders 1 and 2 in a block
+AGES = 1 << 14  # predictions after which those of a state count half
+_HEAD = struct.Struct("<4sIIII")
+_SUMS = struct.Struct("<II")
 
 _U = np.uint64
-_WORD, _LOW, _FIRST, _BITS = _U(32), _U(0xFFFFFFFF), _U(1 << 32), _U(TOTAL_BITS)
-_digit = np.arange(16)
-# what a row moves towards if a digit comes
-_TARGET = np.where(_digit[None, :] <= _digit[:, None], LEAST * _digit, TOTAL - LEAST * (16 - _digit)).astype(np.int16)
-_FRESH = (_digit * (TOTAL // 16)).astype(np.int16)
-# by the number of times a row was used, which is kept in its first place (its own value is 0)
-_RATES = np.repeat(np.array([1, 2, 2, 3, 3, 3, 3, *[4] * 8, *[5] * 16, 6], np.int16)[:, None], 16, 1)
-_NEXT = np.minimum(np.arange(32) + 1, 31).astype(np.int16)
-_ROWS = 1 + 16 + 256  # rows of a block: first digits, second digits, third digits behind 12 to 14
-_SHARES = np.array([0.0, 0.1, 0.2, 0.3, 0.45, 0.6, 0.7, 0.8])
+_WORD, _LOW, _FIRST, _BITS = _U(32), _U(0xFFFFFFFF), _U(1 << 32), _U(FREQ_BITS + SHARE_BITS)
 _A1, _A2 = np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D)
-_SLOT = np.uint32(32 - SLOTS.bit_length() + 1)
-
-
-def _slots(one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    """Slots of the orders 1 and 2 behind the ids before (shifted by one, 0 at a start)."""
-    first = one.astype(np.uint32) * _A1
-    first ^= first >> np.uint32(15)
-    second = (first + two.astype(np.uint32)) * _A2
-    second ^= second >> np.uint32(13)
-    return np.stack([(first * _A2) >> _SLOT, (second * _A1) >> _SLOT]).astype(np.int64)
+_SHIFTS = [np.uint32(32 - b) for b in SLOT_BITS]
+_STATES = 128  # two confidences of three bits, and whether both orders name one id
+_sure = np.arange(_STATES)
+_one, _two, _same = _sure & 7, _sure >> 3 & 7, _sure >> 6
+_FRESH = np.stack([8 - np.maximum(_one, _two), _one * (1 - _same) // 2, (1 - _same) * _two // 2, _same * np.maximum(_one, _two)], 1)
+# confidence behind a miss and a hit, by the one before
+_SURER = np.array([[max(1, s >> 1), min(7, s + 1)] for s in range(8)], np.int32).ravel()
 
 
 class _Model:
-    """What the lanes of some blocks have learned. ``block`` is the number of each lane's block."""
-
-    def __init__(self, blocks: int, block: np.ndarray):
-        n = len(block)
-        self.rows = np.empty((blocks * _ROWS, 16), np.int16)
-        self.rows[:] = _FRESH
-        self.stored = self.rows.view("V32").ravel()  # the same, a row as one value
-        self.first_row = block * _ROWS
-        self.known = np.zeros(blocks * 2 * SLOTS, np.int64)  # predicted id, its digits, confidence
-        self.first_slot = np.stack([block * 2 * SLOTS, (block * 2 + 1) * SLOTS])
-        self.shares = np.tile(_SHARES, 2 * n)
-        self.first_share = np.arange(2 * n).reshape(n, 2).T * 8
-
-    def predict(self, slots: np.ndarray) -> None:
-        """Starts an id in each of the first lanes. ``slots``: (2, lanes)."""
-        self.k = k = slots.shape[1]
-        self.at = self.first_slot[:, :k] + slots
-        self.came = self.known.take(self.at)
-        self.sure = self.came & 7
-        self.share_at = self.first_share[:, :k] + self.sure
-        share = self.shares.take(self.share_at)
-        one, two = share
-        # the longer context counts first; where both name one id, once
-        one = np.where(self.came[0] >> 3 == self.came[1] >> 3, 0.0, (1.0 - two) * one)
-        self.masses = [1.0 - one - two, one, two]
-        self.share = share
-
-    def open(self, row: np.ndarray, shift: int, lanes: np.ndarray | None = None) -> None:
-        """Starts a digit, in all lanes or in ``lanes``: ``row`` of order 0, digit of the predictions."""
-        self.lanes = lanes
-        came, self.row = self.came, self.first_row[: self.k]
-        masses = self.masses
-        if lanes is not None:
-            came, self.row, masses = came[:, lanes], self.row[lanes], [m[lanes] for m in masses]
-        self.row = self.row + row
-        self.now = self.stored.take(self.row).view(np.int16).reshape(-1, 16)
-        self.used = self.now[:, 0].copy()
-        self.now[:, 0] = 0
-        named = (came >> shift) & 15
-        self.named = named[0], named[1]
-        m0, m1, m2 = masses
-        m0 = np.maximum(m0, (m1 + m2) * (1 / 15))
-        scale = (1 << MIX_BITS) / (m0 + m1 + m2)
-        q1, q2 = (m1 * scale).astype(np.int32), (m2 * scale).astype(np.int32)
-        self.q = (1 << MIX_BITS) - q1 - q2, q1 << TOTAL_BITS, q2 << TOTAL_BITS
-        self.mass = m0, m1, m2
+    """What the lanes of a block have learned. ``ids`` are those that come, ``counts`` how often."""
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray, lanes: int):
+        ends = (np.cumsum(counts) << FREQ_BITS) // max(1, int(counts.sum()))
+        sizes = np.diff(ends, prepend=0)
+        # ids are known by their rank here
+        self.ranks_at = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
+        self.sizes, self.starts = sizes.astype(np.int32), (ends - sizes).astype(np.int32)
+        self.hashed = (ids.astype(np.uint32) + np.uint32(1)) * _A1
+        # a predicted rank, three bits of confidence; where nothing was seen, the commonest
+        self.known = [np.full(1 << b, int(counts.argmax()) << 3, np.int32) for b in SLOT_BITS]
+        self.one = self.two = np.zeros(lanes, np.uint32)
+        # by state, how often neither, order 1, order 2 or both were right
+        self.found = _FRESH.copy()
+        self.steps = 0
+        self.weigh()
+
+    def weigh(self) -> None:
+        """Shares of the orders, by state."""
+        tried = self.found.sum(1)
+        self.found[tried >= AGES] >>= 1
+        _, one, two, both = self.found.T
+        two = two + both
+        right = one + two
+        taken = np.minimum((right << SHARE_BITS) // (self.found.sum(1) + 1), (1 << SHARE_BITS) - LEAST)
+        first = (taken << FREQ_BITS) * one // np.maximum(right, 1)
+        self.shares = [q.astype(np.int32) for q in ((1 << SHARE_BITS) - taken, first, (taken << FREQ_BITS) - first)]
+
+    def predict(self, k: int) -> None:
+        """Starts an id in each of the first ``k`` lanes."""
+        one = self.one[:k]
+        mixed = self.two[:k] * _A2
+        mixed += one
+        mixed ^= mixed >> np.uint32(15)
+        mixed *= _A2
+        self.slots = [(one >> _SHIFTS[0]).astype(np.int64), (mixed >> _SHIFTS[1]).astype(np.int64)]
+        self.came = c1, c2 = [t.take(s, mode="clip") for t, s in zip(self.known, self.slots)]
+        self.named = p1, p2 = c1 >> 3, c2 >> 3
+        self.sure = s1, s2 = c1 & 7, c2 & 7
+        state = (p1 == p2).view(np.int8) * np.int64(8)
+        state += s2
+        state <<= 3
+        state += s1
+        self.state = state
+        self.q = [q.take(state, mode="clip") for q in self.shares]
 
     def find(self, value: np.ndarray) -> np.ndarray:
-        """The digits in whose parts of the mixed distribution ``value`` lies."""
-        wide = self.now.T[1:].astype(np.int32, order="C")
-        wide *= self.q[0]
-        for digit, weight in zip(self.named, self.q[1:]):
-            wide += (digit < _digit[1:, None]) * weight
-        wide >>= MIX_BITS
-        return (wide <= value).view(np.uint8).sum(0, dtype=np.uint8).astype(np.int64)
-
-    def close(self, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and size of the digits' parts; the model learns them."""
-        flat = self.now.ravel()
-        at = np.arange(0, len(flat), 16) + digit
-        low = flat.take(at).astype(np.int32)
-        at += 1
-        high = np.where(digit == 15, np.int32(TOTAL), flat.take(at, mode="clip"))
+        """The ranks in whose parts of the mixed distribution ``value`` lies."""
+        q0, q1, q2 = self.q
+        p1, p2 = self.named
+        later = p2 < p1
+        past1 = self.starts.take(p1, mode="clip")
+        past1 *= q0
+        past1 += q2 * later
+        np.subtract(value, past1, out=past1)
+        past2 = self.starts.take(p2, mode="clip")
+        past2 *= q0
+        past2 += q1 * (p1 < p2)
+        np.subtract(value, past2, out=past2)
+        # what lies in the share of a prediction is brought to the start of its order 0 part
+        value = value - np.minimum(np.maximum(past1, 0, out=past1), q1, out=past1)
+        value -= np.minimum(np.maximum(past2, 0, out=past2), q2, out=past2)
+        return self.ranks_at.take((value / q0).astype(np.int64), mode="clip")  # quotients of doubles are exact here
+
+    def close(self, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of the ranks' parts; the model learns them."""
         q0, q1, q2 = self.q
-        one, two = self.named
-        hit1, hit2 = one == digit, two == digit
-        below = q0 * low + (one < digit) * q1 + (two < digit) * q2
-        high -= low
-        start = below >> MIX_BITS
-        size = ((below + q0 * high + hit1 * q1 + hit2 * q2) >> MIX_BITS) - start
-        m0, m1, m2 = self.mass
-        masses = [m0 * high * (1 / TOTAL), m1 * hit1, m2 * hit2]
-        if self.lanes is None:
-            self.masses = masses
-        change = _TARGET.take(digit, 0)
-        change -= self.now
-        change >>= _RATES.take(self.used, 0)
-        self.now += change
-        self.now[:, 0] = _NEXT.take(self.used)
-        # where lanes share a row, the last one counts
-        self.stored[self.row] = self.now.view("V32").ravel()
+        p1, p2 = self.named
+        hit1, hit2 = rank == p1, rank == p2
+        start = self.starts.take(rank, mode="clip")
+        start *= q0
+        start += q1 * (p1 < rank)
+        start += q2 * (p2 < rank)
+        size = self.sizes.take(rank, mode="clip")
+        size *= q0
+        size += q1 * hit1
+        size += q2 * hit2
+        for known, at, named, sure, hit in zip(self.known, self.slots, self.named, self.sure, (hit1, hit2)):
+            # an unsure prediction that was wrong gives way
+            now = named - rank
+            now *= sure > 1
+            now += rank
+            now <<= 3
+            sure <<= 1
+            sure += hit
+            now += _SURER.take(sure, mode="clip")
+            known[at] = now  # where lanes share a slot, the last one counts
+        state = self.state
+        state <<= 1
+        state += hit2
+        state <<= 1
+        state += hit1
+        self.found += np.bincount(state, minlength=4 * _STATES).reshape(-1, 4)
+        self.steps += 1
+        if self.steps < 16 or self.steps % 4 == 0:
+            self.weigh()
+        self.two = self.one
+        self.one = self.hashed.take(rank, mode="clip")
         return start.astype(_U), size.astype(_U)
 
-    def learn(self, code: np.ndarray) -> None:
-        """Ends the ids: ``code`` is each id with its digits."""
-        hit = self.came >> 3 == code
-        self.shares[self.share_at] = self.share + (hit - self.share) * STEP
-        kept = np.where(self.sure > 1, self.came - self.sure + (self.sure >> 1), (code << 3) + 1)
-        self.known[self.at] = np.where(hit, self.came + (self.sure < 7), kept)
-        self.shares[self.first_share[:, : self.k]] = 0.0  # nothing known yet: no share
-
-
-def _codes(ids: np.ndarray, listed: np.ndarray, width: int) -> np.ndarray:
-    """Each id with its three digits behind it (those it has)."""
-    rank = np.full(1 << (4 * width), -1, np.int64)
-    rank[listed] = np.arange(len(listed))
-    ids = ids.astype(np.int64)
-    rank = rank[ids]
-    digits = np.where(rank < PAIRS, rank << 4, (12 << 8) + rank - PAIRS)
-    digits = np.where(rank < 0, (15 << 8) + ((ids >> (4 * width - 4)) << 4), digits)
-    return (ids << 12) + digits
-
-
-def _lanes(n: int) -> np.ndarray:
-    """Bounds of a block's lanes among its ids."""
-    lanes = min(LANES, max(1, n // LEAST_LANE))
-    return np.arange(lanes + 1) * n // lanes
-
-
-class _Plan:
-    """Lanes of some blocks of ``sizes`` ids, longest first."""
-
-    def __init__(self, sizes: list[int]):
-        self.bounds = [_lanes(n) for n in sizes]
-        self.starts = np.concatenate([[0], np.cumsum([len(b) - 1 for b in self.bounds])])
-        block = np.repeat(np.arange(len(sizes)), np.diff(self.starts))
-        length = np.concatenate([np.diff(b) for b in self.bounds]) if sizes else np.zeros(0, np.int64)
-        order = np.argsort(-length, kind="stable")
-        self.block, self.length = block[order], length[order]
-        self.lane = order - self.starts[self.block]
-        self.n = len(order)
-        self.steps = int(self.length[0]) if self.n else 0
-        self.active = np.searchsorted(-self.length, -np.arange(self.steps), "left").tolist()
-        self.place = np.argsort(order)  # where the lanes of a block are, in its order
-
-
-class _Coder:
-    """Bounds of the range coder of each lane."""
-
-    def __init__(self, n: int):
-        self.low, self.room = np.zeros(n, _U), np.full(n, 2**64 - 1, _U)
-
-    def narrow(self, lanes, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Goes to a part of the range; gives the lanes that have a word to move."""
-        unit_size = unit * size
-        self.low[lanes] += unit * start
-        self.room[lanes] = unit_size
-        full = np.flatnonzero(unit_size < _FIRST)
-        return full if isinstance(lanes, slice) else lanes[full]
-
-    def move(self, full: np.ndarray) -> np.ndarray:
-        """Gives the highest words of the lanes ``full`` and moves on behind them."""
-        low, left = self.low[full], self.room[full]
-        # a range that reaches over the next word is cut there, so that nothing carries
-        left = np.where((low ^ (low + left)) >> _WORD != 0, (_U(0) - low) & _LOW, left)
-        self.low[full], self.room[full] = low << _WORD, left << _WORD
-        return low >> _WORD
+
+def _lanes(n: int) -> tuple[int, int]:
+    """Lanes of a block of ``n`` ids and their length; only the last may be shorter."""
+    length = max(LEAST_LANE, -(-n // LANES))
+    return -(-n // length), length
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(planes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def encode_block(ids: np.ndarray) -> bytes:
+    """The bytes of a block of ids."""
+    ids = np.asarray(ids, np.uint32)
+    if len(ids) > 1 << FREQ_BITS:
+        raise ValueError(f"a block has at most {1 << FREQ_BITS} ids")
+    if int(ids.max(initial=0)) >> ID_BITS:
+        raise ValueError(f"ids are below 2 ** {ID_BITS}")
+    n, (lanes, length) = len(ids), _lanes(len(ids))
+    counts = np.bincount(ids, minlength=1)
+    listed = np.flatnonzero(counts)
+    words, filled = np.zeros((lanes, 2 + length), _U), np.zeros(lanes, np.int64)
+    if n:
+        rank = np.zeros(len(counts), np.int64)
+        rank[listed] = np.arange(len(listed))
+        ranks = np.zeros(lanes * length, np.int32)
+        ranks[:n] = rank[ids]
+        ranks = np.ascontiguousarray(ranks.reshape(lanes, length).T)
+        model = _Model(listed, counts[listed], lanes)
+        low, room = np.zeros(lanes, _U), np.full(lanes, 2**64 - 1, _U)
+        # a word for what comes before the first, so that carries always have a place
+        place, flat = np.arange(lanes) * words.shape[1], words.ravel()
+        last = n - (lanes - 1) * length
+        for t in range(length if lanes > 1 else last):
+            k = lanes - (t >= last)
+            model.predict(k)
+            start, size = model.close(ranks[t, :k])
+            unit = room[:k] >> _BITS
+            start *= unit
+            before = low[:k]
+            now = before + start
+            over = np.flatnonzero(now < before)
+            if len(over):
+                flat[place[over]] += _U(1)
+            size *= unit
+            low[:k], room[:k] = now, size
+            full = np.flatnonzero(size < _FIRST)
+            if len(full):
+                place[full] += 1
+                moved = now[full]
+                flat[place[full]] = moved >> _WORD
+                low[full] = moved << _WORD
+                room[full] = size[full] << _WORD
+        end = low + _LOW
+        flat[place[end < low]] += _U(1)
+        place += 1
+        flat[place] = end >> _WORD
+        filled = place - np.arange(lanes) * words.shape[1]
+        for at in range(words.shape[1] - 1, 0, -1):
+            words[:, at - 1] += words[:, at] >> _WORD
+    out = words[:, 1:].astype("<u4")
+    table = zlib.compress(b"".join(map(_planes, (np.diff(listed, prepend=0), counts[listed], filled))), 6)
+    body = table + out[np.arange(out.shape[1]) < filled[:, None]].tobytes()
+    head = _HEAD.pack(MAGIC, n, len(listed), len(table), len(body))
+    return head + _SUMS.pack(zlib.crc32(body, zlib.crc32(head)), zlib.crc32(ids.astype("<u4").tobytes())) + body
 
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
-    """The bytes of each block of ids. Blocks are coded side by side."""
-    blocks = [np.asarray(ids, np.uint32) for ids in blocks]
-    plan = _Plan([len(ids) for ids in blocks])
-    n, steps = plan.n, plan.steps
-    code, slot = np.zeros((steps, n), np.int64), np.zeros((2, steps, n), np.int64)
-    widths, lists = [], []
-    for b, ids in enumerate(blocks):
-        top = int(ids.max(initial=0))
-        if top >> ID_BITS:
-            raise ValueError(f"ids are below 2 ** {ID_BITS}")
-        widths.append(max(1, -(-top.bit_length() // 4)))
-        counts = np.bincount(ids, minlength=1)
-        order = np.argsort(-counts, kind="stable")[: PAIRS + TRIPLES]
-        lists.append(order[counts[order] > 1])
-        codes = _codes(ids, lists[b], widths[b])
-        before = np.concatenate([[0, 0], ids.astype(np.int64) + 1])
-        bounds = plan.bounds[b]
-        one, two = before[1:-1].copy(), before[:-2].copy()
-        if len(ids):
-            one[bounds[:-1]], two[bounds[:-1]] = 0, 0
-            later = bounds[:-1] + 1
-            two[later[later < bounds[1:]]] = 0
-        slots = _slots(one, two)
-        for i, a, z in zip(plan.place[plan.starts[b] : plan.starts[b + 1]], bounds, bounds[1:]):
-            code[: z - a, i] = codes[a:z]
-            slot[:, : z - a, i] = slots[:, a:z]
-    width = np.array(widths, np.int64)[plan.block]
-    model, coder = _Model(len(blocks), plan.block), _Coder(n)
-    words, filled = np.zeros((n, steps + 3), np.uint32), np.zeros(n, np.int64)
-
-    def put(lanes, unit_bits, start, size) -> None:
-        nonlocal words
-        full = coder.narrow(lanes, coder.room[lanes] >> unit_bits, start, size)
-        if len(full):
-            if int(filled.max()) + 2 >= words.shape[1]:
-                words = np.concatenate([words, np.zeros_like(words)], 1)
-            words[full, filled[full]] = coder.move(full)
-            filled[full] += 1
-
-    for t in range(steps):
-        k = plan.active[t]
-        now, every = code[t, :k], slice(0, k)
-        model.predict(slot[:, t, :k])
-        first, second = (now >> 8) & 15, (now >> 4) & 15
-        model.open(0, 11)
-        put(every, _BITS, *model.close(first))
-        model.open(1 + first, 7)
-        put(every, _BITS, *model.close(second))
-        more = np.flatnonzero(first >= 12)
-        third, whole = more[first[more] < 15], more[first[more] == 15]
-        if len(third):
-            model.open(17 + (first[third] - 12) * 16 + second[third], 3, third)
-            put(third, _BITS, *model.close(now[third] & 15))
-        if len(whole):
-            bits = 4 * width[whole] - 4
-            put(whole, bits.astype(_U), ((now[whole] >> 12) & ((1 << bits) - 1)).astype(_U), _U(1))
-        model.learn(now)
-    words[np.arange(n), filled] = (coder.low + _LOW) >> _WORD
-    filled += plan.length > 0
-    out = []
-    for b, ids in enumerate(blocks):
-        mine = plan.place[plan.starts[b] : plan.starts[b + 1]]
-        body = b"".join([lists[b].astype("<u4").tobytes(), filled[mine].astype("<u4").tobytes(), *[words[i, : filled[i]].astype("<u4").tobytes() for i in mine]])
-        sums = zlib.crc32(body), zlib.crc32(ids.astype("<u4").tobytes())
-        out.append(_HEAD.pack(MAGIC, len(ids), len(mine), len(lists[b]), widths[b], len(body), *sums) + body)
-    return out
-
-
-HEAD_BYTES = _HEAD.size
+    """The bytes of each block of ids."""
+    return [encode_block(ids) for ids in blocks]
+
+
+HEAD_BYTES = _HEAD.size + _SUMS.size
 
 
 def block_size(head: bytes) -> int:
     """Bytes of the block that starts with ``head`` (``HEAD_BYTES`` of it)."""
-    magic, _, _, _, _, size, _, _ = _HEAD.unpack(head)
+    magic, _, _, _, size = _HEAD.unpack(head[: _HEAD.size])
     if magic != MAGIC:
         raise ValueError("no block of ids starts here")
-    return _HEAD.size + size
+    return HEAD_BYTES + size
+
+
+def decode_block(data: bytes) -> np.ndarray:
+    """The ids of a block; raises ValueError where a checksum is wrong."""
+    magic, n, n_listed, n_table, n_body = _HEAD.unpack(data[: _HEAD.size])
+    body_sum, ids_sum = _SUMS.unpack(data[_HEAD.size : HEAD_BYTES])
+    body = data[HEAD_BYTES : HEAD_BYTES + n_body]
+    if magic != MAGIC or len(body) != n_body or zlib.crc32(body, zlib.crc32(data[: _HEAD.size])) != body_sum:
+        raise ValueError("damaged block of ids")
+    lanes, length = _lanes(n)
+    table = np.frombuffer(zlib.decompress(body[:n_table]), np.uint8)
+    listed, counts = _numbers(table[: 4 * n_listed]).cumsum(), _numbers(table[4 * n_listed : 8 * n_listed])
+    filled = _numbers(table[8 * n_listed :])
+    ranks = np.zeros((length, lanes), np.int32)
+    if n:
+        # zeros behind the words of a lane
+        words = np.zeros((lanes, int(filled.max()) + 3), _U)
+        words[np.arange(words.shape[1]) < filled[:, None]] = np.frombuffer(body, "<u4", offset=n_table) if n_table % 4 == 0 else np.frombuffer(body[n_table:], "<u4")
+        flat, place = words.ravel(), np.arange(lanes) * words.shape[1] + 2
+        left, room = (words[:, 0] << _WORD) | words[:, 1], np.full(lanes, 2**64 - 1, _U)
+        model = _Model(listed, counts, lanes)
+        last = n - (lanes - 1) * length
+        for t in range(length if lanes > 1 else last):
+            k = lanes - (t >= last)
+            model.predict(k)
+            unit = room[:k] >> _BITS
+            value = np.minimum(left[:k] // unit, _U((1 << FREQ_BITS + SHARE_BITS) - 1))
+            ranks[t, :k] = rank = model.find(value.astype(np.int32))
+            start, size = model.close(rank)
+            start *= unit
+            left[:k] -= start
+            size *= unit
+            room[:k] = size
+            full = np.flatnonzero(size < _FIRST)
+            if len(full):
+                at = place[full]
+                left[full] = (left[full] << _WORD) | flat.take(at, mode="clip")
+                room[full] = size[full] << _WORD
+                place[full] = at + 1
+    got = listed[ranks.T.ravel()[:n]].astype(np.uint32)
+    if zlib.crc32(got.astype("<u4").tobytes()) != ids_sum:
+        raise ValueError("ids of a block do not match their checksum")
+    return got
 
 
 def decode(blocks: list[bytes]) -> list[np.ndarray]:
-    """The ids of each block; raises ValueError where a checksum is wrong."""
-    parts, lists = [], []
-    for data in blocks:
-        magic, size, lanes, n_listed, width, n_body, body_sum, ids_sum = _HEAD.unpack(data[: _HEAD.size])
-        body = data[_HEAD.size : _HEAD.size + n_body]
-        if magic != MAGIC or len(body) != n_body or zlib.crc32(body) != body_sum:
-            raise ValueError("damaged block of ids")
-        numbers = np.frombuffer(body, "<u4")
-        filled = numbers[n_listed : n_listed + lanes].astype(np.int64)
-        lists.append(numbers[:n_listed].astype(np.int64))
-        parts.append((size, width, filled, n_listed + lanes + np.cumsum(filled) - filled, numbers, ids_sum))
-    plan = _Plan([p[0] for p in parts])
-    n, steps = plan.n, plan.steps
-    words = np.zeros((n, max((int(p[2].max()) for p in parts), default=0) + 3), _U)
-    for b, (_, _, filled, starts, numbers, _) in enumerate(parts):
-        for i, count, start in zip(plan.place[plan.starts[b] : plan.starts[b + 1]], filled.tolist(), starts.tolist()):
-            words[i, :count] = numbers[start : start + count]
-    listed = np.zeros((len(lists), PAIRS + TRIPLES), np.int64)
-    for row, ids in zip(listed, lists):
-        row[: len(ids)] = ids
-    listed, width = listed.ravel(), np.array([p[1] for p in parts], np.int64)[plan.block]
-    high = 4 * width - 4
-    model, coder = _Model(len(blocks), plan.block), _Coder(n)
-    data, used = (words[:, 0] << _WORD) | words[:, 1], np.full(n, 2, np.int64)
-    ids = np.zeros((steps, n), np.uint32)
-    one, two = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    list_at = plan.block * (PAIRS + TRIPLES)
-
-    def take(lanes, unit, start, size) -> None:
-        full = coder.narrow(lanes, unit, start, size)
-        if len(full):
-            coder.move(full)
-            data[full] = (data[full] << _WORD) | words[full, np.minimum(used[full], words.shape[1] - 1)]
-            used[full] += 1
-
-    def digit(lanes) -> np.ndarray:
-        unit = coder.room[lanes] >> _BITS
-        value = np.minimum((data[lanes] - coder.low[lanes]) // unit, _U(TOTAL - 1)).astype(np.int32)
-        got = model.find(value)
-        take(lanes, unit, *model.close(got))
-        return got
-
-    for t in range(steps):
-        k = plan.active[t]
-        every = slice(0, k)
-        model.predict(_slots(one[:k], two[:k]))
-        model.open(0, 11)
-        first = digit(every)
-        model.open(1 + first, 7)
-        second = digit(every)
-        digits = (first << 8) + (second << 4)
-        rank = digits >> 4
-        more = np.flatnonzero(first >= 12)
-        third, whole = more[first[more] < 15], more[first[more] == 15]
-        if len(third):
-            model.open(17 + (first[third] - 12) * 16 + second[third], 3, third)
-            digits[third] += digit(third)
-            rank[third] = digits[third] - (12 << 8) + PAIRS
-        rank[whole] = 0
-        came = listed.take(list_at[:k] + rank)
-        if len(whole):
-            bits = high[whole]
-            unit = coder.room[whole] >> bits.astype(_U)
-            rest = np.minimum((data[whole] - coder.low[whole]) // unit, ((1 << bits) - 1).astype(_U))
-            take(whole, unit, rest, _U(1))
-            came[whole] = (second[whole] << bits) + rest.astype(np.int64)
-        model.learn((came << 12) + digits)
-        ids[t, :k] = came
-        two[:k] = one[:k]
-        one[:k] = came + 1
-    out = []
-    for b, part in enumerate(parts):
-        mine = plan.place[plan.starts[b] : plan.starts[b + 1]]
-        got = np.concatenate([ids[:m, i] for i, m in zip(mine, np.diff(plan.bounds[b]))])
-        if zlib.crc32(got.astype("<u4").tobytes()) != part[5]:
-            raise ValueError("ids of a block do not match their checksum")
-        out.append(got)
-    return out
+    """The ids of each block."""
+    return [decode_block(data) for data in blocks]

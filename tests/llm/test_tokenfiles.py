@@ -3,10 +3,11 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from netsift.llm import idcoder, tokenfiles
 from netsift.llm.tokenfiles import Encoder, op12_mixed_id_files, read_ids, write_ids
@@ -70,6 +71,49 @@ def test_many_units_over_the_bound(monkeypatch):
         assert encode.many(texts) == [packed(ids_of(t)[:-1]) for t in texts]
 
 
+def test_words_in_other_dress_are_not_new():
+    words = [a + b for a in ("tree", "über", "ça", "sol") for b in ("s", "ing", "ê", "ßen", "")]
+    texts = [" ".join(dress(w) for w in words) for dress in (str, str.title, str.upper, "{}, ".format, "{}.".format, "{}!?".format)]
+    texts += ["Don't, DON'T. a1, (b) ,c ... A.B \u0130i, x\u0301. \u017f! \u00aa?", "J\u030c, j\u030c <|endoftext|>. <|>", "y" * 90 + "."]
+    encode = Encoder(VOCABULARY, drops_spaces=True)
+    encode.many(texts[:6])
+    assert len(encode.known) < 2 * len(words)
+    assert encode.many(texts) == [packed(ids_of(t)[:-1]) for t in texts]
+
+
+def test_cased_vocabulary(tmp_path):
+    vocabulary = {c: i for i, c in enumerate("abAB.,")} | {"ab": 6, "AB": 7}
+    made = Tokenizer(models.BPE(vocabulary, [("a", "b"), ("A", "B")]))
+    made.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    made.save(str(tmp_path / "cased.json"))
+    texts = ["ab AB, aB. ab", "ABAB.. a"]
+    want = [packed(made.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert Encoder(str(tmp_path / "cased.json"), drops_spaces=True).many(texts) == want
+
+
+def test_an_id_takes_one_step(monkeypatch):
+    steps, close = [], idcoder._Model.close
+    monkeypatch.setattr(idcoder._Model, "close", lambda self, *of: steps.append(1) or close(self, *of))
+    ids = np.random.default_rng(1).zipf(1.3, 30_000).clip(max=49_000).astype(np.uint32)
+    made = idcoder.encode([ids])
+    assert len(steps) <= 256
+    assert idcoder.decode(made)[0].tolist() == ids.tolist() and len(steps) <= 512
+
+
+@pytest.mark.parametrize("kinds", [1, 2, 3, 50, 40_000])
+def test_carries_and_long_lanes(kinds, monkeypatch):
+    monkeypatch.setattr(idcoder, "LANES", 3)
+    rng = np.random.default_rng(kinds)
+    ids = np.concatenate([rng.integers(0, kinds, 4000), np.full(3000, kinds - 1), rng.integers(0, kinds, 999)]).astype(np.uint32)
+    made = idcoder.encode([ids])
+    assert idcoder.decode(made)[0].tolist() == ids.tolist()
+    for at in range(idcoder.HEAD_BYTES):
+        broken = bytearray(made[0])
+        broken[at] ^= 4
+        with pytest.raises(ValueError):
+            idcoder.decode([bytes(broken)])
+
+
 def expected(rows):
     """(doc_id, start, n, crc) per row; rows of equal id share the starts they may have."""
     out, start = [], 0
@@ -125,3 +169,21 @@ def test_stripes_of_small_files(tmp_path, monkeypatch):
     (tmp_path / "x").write_bytes(data[:-1])
     with open(tmp_path / "x", "rb") as stream, pytest.raises(ValueError):
         list(tokenfiles.stripes(stream))
+
+
+@pytest.mark.parametrize("was", [None, "123456789"])
+def test_batch_size_is_put_back(spark, tmp_path, was):
+    spark.conf.unset(tokenfiles.BATCH_BYTES) if was is None else spark.conf.set(tokenfiles.BATCH_BYTES, was)
+    try:
+        write_ids(spark.createDataFrame([(1, "one")], "doc_id long, text string"), VOCABULARY, str(tmp_path / "ids"))
+        assert spark.conf.get(tokenfiles.BATCH_BYTES, None) == was
+    finally:
+        spark.conf.unset(tokenfiles.BATCH_BYTES)
+
+
+def test_groups_of_texts_are_bounded(monkeypatch):
+    monkeypatch.setattr(tokenfiles, "GROUP_BYTES", 10)
+    texts = ["abc", None, "é" * 5, "", "x" * 40, "y", ""]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [None, *range(6)], "text": texts})
+    got = [(d, t.to_pylist()) for d, t in tokenfiles._groups([batch, batch.slice(5), batch.slice(0, 0)])]
+    assert got == [([None, 0, 1], ["abc", "", "é" * 5]), ([2, 3], ["", "x" * 40]), ([4, 5], ["y", ""]), ([4, 5], ["y", ""])]
