@@ -17,7 +17,7 @@ without itself; gradients and curvatures of any parts of the data add up.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -31,6 +31,7 @@ _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _P = 0x100000001B3
 _PI = pow(_P, -1, 1 << 64)
 BATCH = 1 << 15  # coded bytes that are predicted at once
+SLICE = 1 << 16  # bytes of strings whose keys are made at once
 
 
 def first_weights() -> np.ndarray:
@@ -71,6 +72,27 @@ def _keys(flat: np.ndarray, lengths: np.ndarray, part: int) -> list[np.ndarray]:
     return out
 
 
+def _slices(flat: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Strings in runs of whole ones, of about ``SLICE`` bytes or a string that is longer."""
+    ends = np.cumsum(lengths)
+    cuts = np.unique(np.searchsorted(ends, np.arange(SLICE, len(flat), SLICE)) + 1)
+    cuts = [0, *cuts[cuts < len(lengths)], len(lengths)]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            yield flat[ends[a] - lengths[a] : ends[b - 1]], lengths[a:b]
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and which one each is: ``np.unique`` with an inverse, in less memory."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    where = np.empty(len(keys), np.uint32)
+    where[order] = np.cumsum(new, dtype=np.uint32) - np.uint32(1)
+    return keys[new], where
+
+
 class Units:
     """Distinct heads (numbers of four bytes) and words, with their training counts."""
 
@@ -87,10 +109,17 @@ class Units:
 
     def keys(self):
         """For each context: distinct keys, their training counts, and which one each coded byte has."""
-        both = zip(*[_keys(*text, part) for part, text in enumerate(self.texts)])
-        for pair in both:
-            key, where = np.unique(np.concatenate(pair), return_inverse=True)
-            yield key, np.bincount(where, self.often, len(key)).astype(np.int64), where.astype(np.uint32)
+        found = [np.empty(len(self.owner), np.uint64) for _ in range(CONTEXTS)]
+        at = 0
+        for part, text in enumerate(self.texts):
+            for some in _slices(*text):
+                keys = _keys(*some, part)
+                for own, key in zip(found, keys):
+                    own[at : at + len(key)] = key
+                at += len(keys[0])
+        while found:
+            key, where = distinct(found.pop(0))
+            yield key, np.bincount(where, self.often, len(key)).astype(np.int64), where
 
 
 def node_sums(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -115,17 +144,26 @@ def stretched(nodes: np.ndarray, without: int) -> np.ndarray:
 
 
 class Predictor:
-    """Predictions and gates of all coded bits of units; ``nodes`` come one context at a time, as they are large."""
+    """Predictions and gates of all coded bits of units; ``nodes`` come one context at a time, whole or in parts, as they are large."""
 
-    def __init__(self, nodes: Iterable[np.ndarray], where: list[np.ndarray], head_bytes: int, without: int):
+    def __init__(self, nodes: Iterable[np.ndarray | Iterable[np.ndarray]], where: list[np.ndarray], head_bytes: int, without: int):
         self.x = []
-        for k, counts in enumerate(nodes):
-            self.x.append(stretched(counts, without))
+        for k, parts in enumerate(nodes):
+            x, gates = [], []
+            for counts in [parts] if isinstance(parts, np.ndarray) else parts:
+                # rows side by side: they are looked up one at a time
+                counts = np.ascontiguousarray(counts)
+                x.append(stretched(counts, without))
+                if k == WHOLE:
+                    seen = counts[:, :-1] - without
+                    gates.append((seen > 0).astype(np.uint8) + (seen > 3) + (seen > 60))
+                elif k == FOUR:
+                    gates.append((counts[:, :-1] > without).astype(np.uint8) * np.uint8(4))
+            self.x.append(np.concatenate(x))
             if k == WHOLE:
-                seen = counts[:, :-1] - without
-                self.level = (seen > 0).astype(np.uint8) + (seen > 3) + (seen > 60)
+                self.level = np.concatenate(gates)
             elif k == FOUR:
-                self.four = (counts[:, :-1] > without).astype(np.uint8) * np.uint8(4)
+                self.four = np.concatenate(gates)
         self.where, self.head_bytes = where, head_bytes
 
     def batches(self, chosen: np.ndarray):

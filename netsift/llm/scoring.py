@@ -28,6 +28,8 @@ that fills it: a very long text is a block of its own, held by one task at a tim
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,8 @@ from netsift.llm.languages import fold
 BLOCK_CHARS = 6_000_000
 # Words and heads of blocks, one entry per block, that a bucket gets on average.
 BUCKET_ENTRIES = 1_000_000
+# What a worker gets and gives at once, or a message that is larger.
+BATCH_BYTES = 1 << 22
 STEPS = 2
 CACHE_SHARE, CACHE_HALF = 0.3, 300.0
 _BLOCK = "block long, docs binary, words binary, tokens binary, sizes binary, training binary, n_docs long, n_training long, n_words long"
@@ -138,7 +142,7 @@ _UNITS = "bucket long, block long, words binary, counts binary, heads binary, he
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    kinds = {"long": pa.int64(), "binary": pa.binary(), "int": pa.int32()}
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "array<binary>": pa.list_(pa.binary())}
     named = [c.split() for c in schema.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(list(c), kinds[k]) for c, (_, k) in zip(zip(*rows), named)],
                                       names=[name for name, _ in named])
@@ -148,8 +152,8 @@ def _batches(rows: Iterator[tuple], schema: str, size: int = 256) -> Iterator[pa
     held, total = [], 0
     for row in rows:
         held.append(row)
-        total += sum(len(v) for v in row if isinstance(v, bytes))
-        if len(held) >= size or total > 16_000_000:
+        total += sum(len(part) for v in row for part in (v if isinstance(v, list) else [v]) if isinstance(part, bytes))
+        if len(held) >= size or total > BATCH_BYTES:
             yield _batch(held, schema)
             held, total = [], 0
     if held:
@@ -222,10 +226,13 @@ _TABLES = [f"{name}{k}" for k in range(mixing.CONTEXTS) for name in ("nodes", "p
 
 
 def _learned(units: DataFrame, buckets: int) -> DataFrame:
-    """Per bucket its units and, per context, the counts of the bit nodes of its keys and which key each coded byte has."""
+    """Per bucket its units and, per context, the counts of the bit nodes of its keys and which key each coded byte has.
+
+    The counts stay as the ranges sent them, one part per range."""
     asked = "span long, context long, bucket long, ids binary, counts binary"
     answered = "bucket long, context long, span long, nodes binary"
-    schema = "bucket long, words binary, counts binary, heads binary, head_counts binary, " + ", ".join(f"{c} binary" for c in _TABLES)
+    schema = "bucket long, words binary, counts binary, heads binary, head_counts binary, " + ", ".join(
+        f"{c} array<binary>" if c.startswith("nodes") else f"{c} binary" for c in _TABLES)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
@@ -246,7 +253,7 @@ def _learned(units: DataFrame, buckets: int) -> DataFrame:
                 if not some:
                     continue
                 found = [np.frombuffer(m[2], np.uint64) for m in some]
-                keys, where = np.unique(np.concatenate(found), return_inverse=True)
+                keys, where = mixing.distinct(np.concatenate(found))
                 nodes = mixing.node_sums(keys, np.bincount(where, np.concatenate([_unzip(m[3], np.int64) for m in some]), len(keys)).astype(np.int64))
                 for m, place in zip(some, np.split(where, np.cumsum([len(f) for f in found])[:-1])):
                     # columns of equal depth side by side compress well
@@ -263,8 +270,7 @@ def _learned(units: DataFrame, buckets: int) -> DataFrame:
                     continue
                 tables = []
                 for k, (_, _, where) in enumerate(_of(columns).keys()):
-                    parts = [_unzip(d, np.int64).reshape(9, -1) for d in nodes[k]] or [np.zeros((9, 0), np.int64)]
-                    tables += [_zip(np.concatenate(parts, 1).tobytes()), _zip(where.tobytes())]
+                    tables += [nodes[k], _zip(where.tobytes())]
                 yield (bucket, *columns, *tables)
 
         return _batches(_grouped(batches, done, both), schema)
@@ -277,7 +283,8 @@ def _learned(units: DataFrame, buckets: int) -> DataFrame:
 
 
 def _predictor(tables: list, head_bytes: int, without: int) -> mixing.Predictor:
-    nodes = (_unzip(t, np.int64).reshape(9, -1).T for t in tables[::2])
+    none = np.zeros((0, 9), np.int64)
+    nodes = (chain([none], (_unzip(part, np.int64).reshape(9, -1).T for part in t)) for t in tables[::2])
     return mixing.Predictor(nodes, [_unzip(t, np.uint32) for t in tables[1::2]], head_bytes, without)
 
 
@@ -357,6 +364,23 @@ def score(
     block_chars: int = BLOCK_CHARS, bucket_entries: int = BUCKET_ENTRIES, steps: int = STEPS,
 ) -> DataFrame:
     """Per row: id, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` and ``bits_per_byte``."""
+    with _short_batches(docs.sparkSession):
+        return written(_scored(docs, held_out, id_column, text, block_chars, bucket_entries, steps))
+
+
+@contextmanager
+def _short_batches(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile workers get rows of ``BATCH_BYTES`` at once, or one; else all of a task's messages, a copy on each side."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if old is None else spark.conf.set(name, old)
+
+
+def _scored(docs: DataFrame, held_out: Column, id_column: str, text: str, block_chars: int, bucket_entries: int, steps: int) -> DataFrame:
     cut = written(blocks(docs, id_column, text, held_out, block_chars))
     n_blocks, entries = cut.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
     buckets = 1 << max(4, (2 * entries // bucket_entries).bit_length())  # about as many heads as words

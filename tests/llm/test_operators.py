@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -356,6 +357,51 @@ def test_scores_against_dictionaries(spark):
     assert np.allclose([r.score for r in got], want, rtol=1e-4)
 
 
+def test_keys_of_large_buckets_take_little_memory():
+    """A worker's share of memory holds a bucket of ordinary size; the keys do not depend on the slices they are made in."""
+    words = [b"%x" % (i * 0x9E3779B97F4A7C15 % (1 << 40)) for i in range(60000)] + [b"long" * 5000]
+    units = mixing.Units(np.arange(1000, dtype=np.uint32), np.ones(1000, np.int64), words, np.ones(len(words), np.int64))
+    tracemalloc.start()
+    try:
+        found = [(key[:5].copy(), len(key), count.sum(), where[-1]) for key, count, where in units.keys()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 130 * len(units.owner)
+    for k, (key, n, total, last) in enumerate(found):
+        all_keys = np.concatenate([mixing._keys(*text, part)[k] for part, text in enumerate(units.texts)])
+        want, where = np.unique(all_keys, return_inverse=True)
+        assert (want[:5] == key).all() and (len(want), len(all_keys), where[-1]) == (n, total, last)
+
+
+def test_counts_are_taken_part_by_part():
+    """A range's counts are predicted from as they came: the whole table of a context is never unpacked at once."""
+    rng = np.random.default_rng(1)
+    nodes = [np.sort(rng.integers(0, 90, (160_000, 9)))[:, ::-1] for _ in range(mixing.CONTEXTS)]
+    where = [rng.integers(0, 160_000, 5000).astype(np.uint32) for _ in range(mixing.CONTEXTS)]
+    tables = []
+    for some, places in zip(nodes, where):
+        tables += [[scoring._zip(np.ascontiguousarray(part.T).tobytes()) for part in np.split(some, 16)], scoring._zip(places.tobytes())]
+    tracemalloc.start()
+    try:
+        parted = scoring._predictor(tables, 1000, 1)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 160_000 * (8 * 4 * (mixing.CONTEXTS + 1) + 32)  # what is predicted, one context twice, and the gates
+    whole = mixing.Predictor(nodes, where, 1000, 1)
+    for (_, x, gate), (_, y, same) in zip(parted.batches(np.arange(5000)), whole.batches(np.arange(5000))):
+        assert (x == y).all() and (gate == same).all()
+
+
+def test_workers_get_short_batches_while_scoring(spark, odd, monkeypatch):
+    name, seen, plain = "spark.sql.execution.arrow.maxBytesPerBatch", [], scoring.written
+    before = spark.conf.get(name, None)
+    monkeypatch.setattr(scoring, "written", lambda df: seen.append(spark.conf.get(name)) or plain(df))
+    scoring.score(odd, F.lit(False))
+    assert len(seen) == 4 and set(seen) == {str(scoring.BATCH_BYTES)} and spark.conf.get(name, None) == before
+
+
 def test_model_is_a_distribution():
     """The probabilities of all next bytes add up to one, whatever was learned."""
     vocabulary = [w.encode() for w in sorted(set(prose(1, 400).split()))]
