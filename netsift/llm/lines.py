@@ -29,7 +29,7 @@ same place keep or go together; an empty table gives an empty one; other columns
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from netsift.functions.staging import once
@@ -87,13 +87,15 @@ def _in_question(distinct: DataFrame) -> DataFrame:
 
 
 def _with_words(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """``lines`` with their ``words``, from the documents."""
-    lines = written(lines)
-    wanted = lines.groupBy("_id").agg(F.collect_list(F.struct("pos", "low", "high")).alias("wanted"))
-    if is_small(lines, MAX_SENT):  # about 40 bytes a line
+    """``lines`` with their ``words``, from the documents, and ``rank``, a number in the order of places.
+
+    Unlike places, ranks are compared and added up by hash, without sorting."""
+    lines = written(lines.orderBy("_id", "pos").withColumn("rank", F.monotonically_increasing_id()))
+    wanted = lines.groupBy("_id").agg(F.collect_list(F.struct("pos", "low", "high", "rank")).alias("wanted"))
+    if is_small(lines, MAX_SENT):  # about 50 bytes a line
         wanted = F.broadcast(wanted)
     met = docs.select("_id", "_text").join(wanted, "_id").select("_id", F.split("_text", "\n").alias("lines"), F.explode("wanted").alias("w"))
-    met = met.select(F.struct("_id", "w.pos").alias("place"), "w.low", "w.high", _words(F.get("lines", F.col("w.pos"))).alias("words"))
+    met = met.select(F.struct("_id", "w.pos").alias("place"), "w.rank", "w.low", "w.high", _words(F.get("lines", F.col("w.pos"))).alias("words"))
     return met.where(F.col("words").isNotNull()).dropDuplicates(["place"])
 
 
@@ -104,30 +106,33 @@ def _without(words: Column, i: Column) -> Column:
 
 
 def _partners(lines: DataFrame) -> DataFrame:
-    """``place`` of each line with an earlier line that shares a variant, ``partner`` and the position ``i`` left out."""
+    """``rank`` of each line with that of an earlier line that shares a variant, ``partner``."""
     places = F.concat(F.array(F.lit(-1)), F.sequence(F.col("low"), F.col("high") - 1))
-    numbered = lines.select("place", "words", F.explode(places).alias("i"))
-    variant = once(numbered, v=_without(F.col("words"), F.col("i")))
+    # a variant is made of the hashes of its words: a line has about as many variants as words
+    hashed = once(lines.select("rank", "low", "high", "words"), hashes=F.transform("words", lambda w: F.xxhash64(w)))
+    numbered = hashed.select("rank", "hashes", F.explode(places).alias("i"))
+    variant = _without(F.col("hashes"), F.col("i"))
     # made twice, for the sums and for the join with them: on disk they would be larger than the lines by far
-    keys = variant.select("place", "i", F.xxhash64("v").alias("k1"), F.xxhash64(F.lit(7), "v").alias("k2"))
-    at = keys.groupBy("k1", "k2", "i").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    keys = numbered.select("rank", "i", F.xxhash64(variant).alias("k1"), F.xxhash64(F.lit(7), variant).alias("k2"))
+    at = keys.groupBy("k1", "k2", "i").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n"))
     own = F.col("i") == -1
-    by_key = at.groupBy("k1", "k2").agg(
-        F.min(F.when(own, F.col("first"))).alias("whole"), F.min(F.when(~own, F.col("first"))).alias("longer"),
-        F.sum("n").alias("_n"),
+    # a row per position by now, however many lines share the key
+    key = Window.partitionBy("k1", "k2")
+    both = at.select(
+        "k1", "k2", "i", "first", F.min(F.when(own, F.col("first"))).over(key).alias("whole"),
+        F.min(F.when(~own, F.col("first"))).over(key).alias("longer"), F.sum("n").over(key).alias("_n"),
     ).where("_n > 1")
-    both = at.join(by_key, ["k1", "k2"])
     # most keys are of one line only and gone by now
     best = both.select("k1", "k2", "i", F.when(own, F.col("longer")).otherwise(F.least("first", "whole")).alias("partner"))
-    found = keys.join(best, ["k1", "k2", "i"]).where(F.col("partner") < F.col("place"))
-    return found.groupBy("place").agg(F.min(F.struct("partner", "i")).alias("m")).select("place", "m.partner", "m.i")
+    found = keys.join(best, ["k1", "k2", "i"]).where(F.col("partner") < F.col("rank"))
+    return found.groupBy("rank").agg(F.min("partner").alias("partner"))
 
 
 def _copies(lines: DataFrame) -> DataFrame:
     """Places of lines whose partner is within one word, by comparison of the words."""
     found = _partners(lines)
-    other = lines.select(F.col("place").alias("partner"), F.col("words").alias("theirs"))
-    met = found.join(lines, "place").join(other, "partner")
+    other = lines.select(F.col("rank").alias("partner"), F.col("words").alias("theirs"))
+    met = found.join(lines, "rank").join(other, "partner")
     exchanged = F.size(F.filter(F.zip_with("words", "theirs", lambda a, b: ~a.eqNullSafe(b)), lambda x: x)) <= 1
     # a line that is its partner with one word left out is checked by trying the words; they are few and the lines too
     drop_one = lambda a, b: F.exists(F.sequence(F.lit(0), F.size(a) - 1), lambda i: _without(F.col(a), i) == F.col(b))

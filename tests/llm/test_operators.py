@@ -140,6 +140,17 @@ def test_line_dedup_against_all_pairs(spark):
     assert gone and {r.doc_id: r._kept_lines for r in got} == want
 
 
+def test_variants_of_lines_are_made_twice_and_summed_by_hash(spark, tmp_path):
+    """Most work of near copies: once for the earliest line of each variant, once to meet it; no sort before the sums."""
+    path = str(tmp_path / "lines.parquet")
+    rows = [(r, 0, 3, [str(w) for w in words]) for r, words in enumerate(([1, 2, 3, 4, 5, 6], [1, 9, 3, 4, 5, 6], [1, 3, 4, 5, 6], [7, 7, 7, 7, 7, 7]))]
+    spark.createDataFrame(rows, "rank long, low int, high int, words array<string>").write.parquet(path)
+    found = lines._partners(spark.read.parquet(path))
+    assert sorted(map(tuple, found.collect())) == [(1, 0), (2, 0)]
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 2 and "SortAggregate" not in plan
+
+
 def test_line_dedup_odd_rows(odd, odd_rows, none):
     done = lines.without_copied_lines(odd)
     assert done.columns == odd.columns and lines.without_copied_lines(none).count() == 0
